@@ -1,0 +1,53 @@
+"""Joining facts to a lookup when a few keys hold a large share of the facts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A broadcast of hot keys never holds more keys than this.
+MAX_HOT_KEYS = 1000
+# A key with fewer rows is no burden to the task that gets it.
+MIN_HOT_ROWS = 2_000_000
+# Facts estimated below this size cannot hold a hot key worth a split.
+SPLIT_FROM_BYTES = 1 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of the rows as the optimizer estimates it; for file scans from the file sizes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def hot_keys(
+    facts: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS, max_keys: int = MAX_HOT_KEYS
+) -> DataFrame:
+    """The most frequent keys: ``max_keys`` at most, so their number has a bound.
+
+    Any key left out holds less than ``1 / max_keys`` of the facts. The order is
+    total, so every evaluation gives the same keys.
+    """
+    counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.where(F.col("rows") >= min_rows).orderBy(F.desc("rows"), key).limit(max_keys).select(key)
+
+
+def lookup_join(
+    facts: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    min_rows: int = MIN_HOT_ROWS,
+    max_keys: int = MAX_HOT_KEYS,
+    split_from: int = SPLIT_FROM_BYTES,
+) -> DataFrame:
+    """Inner join of facts with a lookup that has a few rows per key.
+
+    From ``split_from`` bytes of facts on, the facts of hot keys are split off: they
+    meet their lookup rows by broadcast and are never moved, and all other facts go through the ordinary join on the key. Both parts together are
+    the whole join. The broadcasts hold the hot keys and their lookup rows only.
+    """
+    if estimated_bytes(facts) < split_from:
+        return facts.join(lookup, key)
+    hot = hot_keys(facts, key, min_rows, max_keys)
+    hot_lookup = lookup.join(F.broadcast(hot), key, "left_semi")
+    hot_facts = facts.join(F.broadcast(hot_lookup), key)
+    other_facts = facts.join(F.broadcast(hot), key, "left_anti").join(lookup, key)
+    return hot_facts.unionByName(other_facts)
