@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast of hot keys never holds more keys than this.
-MAX_HOT_KEYS = 1000
+# A broadcast of hot keys never holds more keys than this (a few MB). With it, a key
+# that is not split off has fewer rows than MIN_HOT_ROWS or than 1 / 20,000 of all.
+MAX_HOT_KEYS = 20_000
 # A key with fewer rows is no burden to the task that gets it.
 MIN_HOT_ROWS = 2_000_000
 # Facts estimated below this size cannot hold a hot key worth a split.

@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from partnerscope.session import new_folder
+from partnerscope.session import written
 from partnerscope.sources.feeds import TEXT_TYPE, LoadColumn
 
 ID = "id"
@@ -45,15 +45,13 @@ def with_ids(df: DataFrame, source: str, place: str, start: int = 0) -> DataFram
     return df.join(offsets, source).select(numbered, *[f"`{c}`" for c in df.columns])
 
 
-def with_file_ids(spark: SparkSession, path: str, start: int = 0) -> DataFrame:
-    """A parquet folder with ids by file and row."""
-    rows = spark.read.parquet(path)
-    placed = rows.select(
+def with_file_places(files: DataFrame) -> DataFrame:
+    """Rows read from parquet files with their file and their place in it."""
+    return files.select(
         F.col("_metadata.file_path").alias("_file"),
         (F.col("_metadata.row_index") + 1).alias("_place"),
-        *[f"`{c}`" for c in rows.columns],
+        *[f"`{c}`" for c in files.columns],
     )
-    return with_ids(placed, "_file", "_place", start).drop("_file", "_place")
 
 
 def last_id(spark: SparkSession, database: str, table: str) -> int:
@@ -61,28 +59,33 @@ def last_id(spark: SparkSession, database: str, table: str) -> int:
     return found or 0
 
 
-def append_rows(spark: SparkSession, df: DataFrame, database: str, table: str) -> int:
-    """Appends a frame to a table and returns the number of rows added.
+def append_numbered(
+    spark: SparkSession, df: DataFrame, source: str, place: str, database: str, table: str
+) -> int:
+    """Appends rows with ids by their ``source`` and ``place``; returns how many.
 
-    The rows are written to the shared folder first: the ids then follow from files
-    that stay the same, and a source that is costly to read is read once. A column the
-    table lacks is an error; a table column the frame lacks becomes NULL.
+    Source and place themselves are not stored. Rows must keep them when they are read
+    again, as rows read from files do. A column the table lacks is an error; a table
+    column the frame lacks becomes NULL.
     """
-    target = spark.table(f"`{database}`.`{table}`")
-    unknown = [c for c in df.columns if c not in target.columns]
+    target = spark.table(f"`{database}`.`{table}`").columns
+    unknown = [c for c in df.columns if c not in target and c not in (source, place)]
     if unknown:
         raise ValueError(f"{table} has no column {', '.join(unknown)}")
-    staged = new_folder(spark, "staged")
+    numbered = with_ids(df, source, place, last_id(spark, database, table))
+    columns = [F.col(f"`{c}`") if c in numbered.columns else F.lit(None).alias(c) for c in target]
     counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(staged)
-    numbered = with_file_ids(spark, staged, last_id(spark, database, table))
-    columns = [
-        F.col(f"`{c}`") if c in numbered.columns else F.lit(None).alias(c) for c in target.columns
-    ]
-    numbered.select(*columns).write.mode("append").insertInto(f"`{database}`.`{table}`")
+    counting = numbered.select(*columns).observe(counted, F.count(F.lit(1)).alias("rows"))
+    counting.write.mode("append").insertInto(f"`{database}`.`{table}`")
     return counted.get["rows"]
 
 
+def append_rows(spark: SparkSession, df: DataFrame, database: str, table: str) -> int:
+    """Appends any frame; its rows are written down first, to have places that last."""
+    placed = with_file_places(written(df, "staged"))
+    return append_numbered(spark, placed, "_file", "_place", database, table)
+
+
 def load_frame(
     spark: SparkSession, df: DataFrame, layout: Sequence[LoadColumn], database: str, table: str
 ) -> int:
@@ -114,6 +117,7 @@ def show_rows(df: DataFrame, n: int = 20) -> None:
 
 __all__ = [
     "TEXT_TYPE",
+    "append_numbered",
     "append_rows",
     "create_database",
     "create_table",
@@ -121,6 +125,6 @@ __all__ = [
     "last_id",
     "load_frame",
     "show_rows",
-    "with_file_ids",
+    "with_file_places",
     "with_ids",
 ]

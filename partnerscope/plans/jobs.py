@@ -12,9 +12,9 @@ from partnerscope.operators.cells import fail_if_empty, total_last
 from partnerscope.operators.digest import digest_message
 from partnerscope.operators.measures import order_view, partner_view
 from partnerscope.operators.report import in_report_order, partner_report
-from partnerscope.operators.tables import drop_tables, load_frame
+from partnerscope.operators.tables import append_numbered, create_table, drop_tables
 from partnerscope.params import ORDER_TABLE, PARTNER_TABLE, ReportParams
-from partnerscope.session import new_folder
+from partnerscope.session import written
 from partnerscope.sources.feeds import read_workbook_feed
 from partnerscope.streaming.ingest import ingest_sheets
 
@@ -42,7 +42,9 @@ def load_sheet(
     """Loads workbooks into a table, by default named after the file; returns it and the rows added."""
     database, table = database or DEFAULT_DATABASE, table or table_name(path)
     frame, layout = read_workbook_feed(spark, path, rule, tidy, wide)
-    return f"{database}.{table}", load_frame(spark, frame, layout, database, table)
+    create_table(spark, database, table, layout)
+    added = append_numbered(spark, frame, "path", "row_no", database, table)
+    return f"{database}.{table}", added
 
 
 def upload_partners(spark: SparkSession, path: str, database: str, **options) -> int:
@@ -70,19 +72,11 @@ def generate_report(spark: SparkSession, database: str, params: ReportParams) ->
     """The report over the two loaded tables, computed once and written down."""
     partners = partner_view(spark.table(f"`{database}`.`{PARTNER_TABLE}`"))
     orders = order_view(spark.table(f"`{database}`.`{ORDER_TABLE}`"))
-    report = written(partner_report(partners, orders, params))
+    report = written(partner_report(partners, orders, params), "report")
     message = digest_message(report, params).first()["message"]
     return Delivery(in_report_order(report), message)
 
 
-def written(df: DataFrame, folder: str | None = None) -> DataFrame:
-    """The frame written to a table in the shared folder and read back."""
-    spark = df.sparkSession
-    place = folder or new_folder(spark, "result")
-    df.write.parquet(place)
-    return spark.read.schema(df.schema).parquet(place)
-
-
 def cleanup(spark: SparkSession, database: str, tables: Sequence[str] = FEED_TABLES) -> list[tuple[str, bool, str]]:
     return drop_tables(spark, database, tables)
 
@@ -115,7 +109,7 @@ def query_then_drop(
     **values,
 ) -> DataFrame:
     """Runs a query, keeps and delivers its result, and only then drops the tables."""
-    result = written(run_query(spark, query, **values))
+    result = written(run_query(spark, query, **values), "result")
     fail_if_empty(result)
     deliver(result)
     cleanup(spark, database, tables)

@@ -18,7 +18,7 @@ from partnerscope.plans.star_model import (
     star_partners_extended,
     table,
 )
-from partnerscope.session import new_database, new_folder
+from partnerscope.session import new_database, new_folder, written
 from partnerscope.sources import feeds, workbook
 from partnerscope.streaming import ingest
 
@@ -523,7 +523,7 @@ def xlsx_ingest(spark, folder):
         F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("gaps"),
     )
     headers = ["Mã ĐH", None, "Trạng thái", "Số tiền", "Ngày", "2 Ưu tiên", "Trạng thái"]
-    rows = workbook.workbook_rows(workbook.pack_workbooks(orders, headers))
+    rows = written(workbook.workbook_rows(workbook.pack_workbooks(orders, headers)), "sheets")
     layout = feeds.sheet_layout(rows, rule="unicode", wide=True)
     sheet = feeds.sheet_frame(rows, layout).drop("path", "row_no")
     return sheet.withColumn("ngày", F.date_format("ngày", "yyyy-MM-dd HH:mm:ss"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: dict[str, str] = {}
 
@@ -46,6 +46,17 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/partnerscope/{purpose}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, purpose: str = "written") -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    Cuts the lineage: what follows reads files that stay the same, so a lost executor
+    or a second use does not run the steps before again.
+    """
+    place = new_folder(df.sparkSession, purpose)
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
 def new_database(spark: SparkSession, purpose: str) -> str:
     """A database of its own, stored in the shared folder."""
     name = f"{purpose}_{uuid.uuid4().hex}"

@@ -17,6 +17,7 @@ from partnerscope.functions.values import (
     null_for_load,
     number_tidy,
 )
+from partnerscope.session import written
 from partnerscope.sources.workbook import read_workbooks
 
 TEXT_TYPE = "varchar(255)"
@@ -124,8 +125,12 @@ def sheet_frame(rows: DataFrame, layout: list[LoadColumn]) -> DataFrame:
 def read_workbook_feed(
     spark: SparkSession, path: str, rule: str = "ascii", tidy: bool = False, wide: bool = False
 ) -> tuple[DataFrame, list[LoadColumn]]:
-    """All workbooks under a path as one frame, and the columns to load."""
-    rows = read_workbooks(spark, path)
+    """All workbooks under a path as one frame, and the columns to load.
+
+    The sheet rows are written down first: opening workbooks is the costly step, and
+    both the choice of types and the load read them.
+    """
+    rows = written(read_workbooks(spark, path), "sheets")
     layout = sheet_layout(rows, rule, tidy, wide)
     return sheet_frame(rows, layout), layout
 

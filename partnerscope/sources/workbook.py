@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -267,6 +267,7 @@ def pack_workbooks(df: DataFrame, headers: list[str | None], rows_per_book: int
     """Rows of a frame as workbooks of bounded size: ``path, content``, made by the tasks."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made, task = 0, TaskContext.get().partitionId()
         for batch in batches:
             for start in range(0, len(batch), rows_per_book):
                 piece = batch.iloc[start : start + rows_per_book]
@@ -274,6 +275,7 @@ def pack_workbooks(df: DataFrame, headers: list[str | None], rows_per_book: int
                     [None if pd.isna(v) else v for v in piece[c].astype(object)] for c in piece.columns
                 ]
                 content = make_workbook(headers, list(zip(*columns)))
-                yield pd.DataFrame({"path": ["packed.xlsx"], "content": [content]})
+                yield pd.DataFrame({"path": [f"{task:06d}-{made:06d}.xlsx"], "content": [content]})
+                made += 1
 
     return df.mapInPandas(pack, "path string, content binary")
