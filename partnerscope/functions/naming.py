@@ -7,6 +7,7 @@ same rules exist as column expressions for names held in data.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from partnerscope.params import ReportParams
 
+_D_WITH_STROKE = str.maketrans("đĐ", "dD")
 _WHITE = r"[\s\x{1c}-\x{1f}]"
 
 
@@ -82,6 +84,12 @@ def table_name(file_name: str) -> str:
     return re.sub(r"\W", "", stem.lower())
 
 
+def catalog_name(name: str) -> str:
+    """A table name as the catalog takes it: accents dropped, ASCII letters, digits and ``_``."""
+    bare = unicodedata.normalize("NFD", name.translate(_D_WITH_STROKE))
+    return re.sub(r"\W", "", bare, flags=re.ASCII) or "sheet"
+
+
 def _underscored(text: Column) -> Column:
     stripped = F.regexp_replace(text, f"(?U)^{_WHITE}+|{_WHITE}+$", "")
     return F.replace(F.lower(stripped), F.lit(" "), F.lit("_"))

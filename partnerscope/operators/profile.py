@@ -18,11 +18,13 @@ def describe_table(spark: SparkSession, table: str) -> DataFrame:
 
 def table_columns(spark: SparkSession, table: str, database: str | None = None) -> DataFrame:
     """Columns of a table with type and declared text length, as a catalog would list them."""
-    found = spark.catalog.listColumns(f"`{database}`.`{table}`" if database else table)
+    described = describe_table(spark, f"`{database}`.`{table}`" if database else table)
     rows = []
-    for position, column in enumerate(found, start=1):
-        sized = re.fullmatch(r"(var)?char\((\d+)\)", column.dataType)
-        rows.append((database or "", table, position, column.name, column.dataType, int(sized[2]) if sized else None))
+    for position, column in enumerate(described.collect(), start=1):
+        if not column.col_name or column.col_name.startswith("#"):
+            break  # partition details follow the columns
+        sized = re.fullmatch(r"(?:var)?char\((\d+)\)", column.data_type)
+        rows.append((database or "", table, position, column.col_name, column.data_type, int(sized[1]) if sized else None))
     schema = "table_schema string, table_name string, position int, column_name string, data_type string, max_length int"
     return spark.createDataFrame(rows, schema)
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partnerscope.functions.naming import table_name
+from partnerscope.functions.naming import catalog_name, table_name
 from partnerscope.operators.cells import fail_if_empty, total_last
 from partnerscope.operators.digest import digest_message
 from partnerscope.operators.measures import order_view, partner_view
@@ -40,7 +40,7 @@ def load_sheet(
     wide: bool = False,
 ) -> tuple[str, int]:
     """Loads workbooks into a table, by default named after the file; returns it and the rows added."""
-    database, table = database or DEFAULT_DATABASE, table or table_name(path)
+    database, table = database or DEFAULT_DATABASE, table or catalog_name(table_name(path))
     frame, layout = read_workbook_feed(spark, path, rule, tidy, wide)
     create_table(spark, database, table, layout)
     added = append_numbered(spark, frame, "path", "row_no", database, table)

@@ -54,7 +54,7 @@ class Slices:
 
 def query_options(database: Database, query: str, slices: Slices | None = None) -> dict[str, str]:
     """Options to run the query in the database; in slices it becomes a derived table."""
-    text = query.strip().rstrip(";")
+    text = query.strip().rstrip("; ")
     if slices is None:
         return {**database.options(), "query": text}
     return {**database.options(), "dbtable": f"({text}) sliced", **slices.options()}

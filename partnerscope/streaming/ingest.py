@@ -16,6 +16,7 @@ from partnerscope.sources.feeds import LoadColumn, sheet_frame
 from partnerscope.sources.workbook import workbook_rows
 
 BATCH = "batch_no"
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def landed_rows(spark: SparkSession, path: str, schema: T.StructType | str, file_format: str = "parquet", **options) -> DataFrame:
@@ -27,6 +28,7 @@ def landed_sheets(spark: SparkSession, path: str, files_per_batch: int = 1000) -
     """Sheet rows of the workbooks in a folder, as they land."""
     files = (
         spark.readStream.format("binaryFile")
+        .schema(FILE_SCHEMA)
         .option("pathGlobFilter", "*.xlsx")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(path)

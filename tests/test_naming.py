@@ -30,6 +30,11 @@ def test_table_name(path, name):
     assert naming.table_name(path) == name
 
 
+def test_catalog_name():
+    assert naming.catalog_name("đơnhàng_1") == "donhang_1"
+    assert naming.catalog_name("表") == "sheet"
+
+
 def test_columns_follow_the_same_rules(spark):
     names = [h for h in HEADERS if h] + ["\u00a0Tab\tx ", "١٢ x", "½", "e\u0301"]
     df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string").orderBy("i")
