@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from partnerscope.params import ReportParams
 
 _D_WITH_STROKE = str.maketrans("đĐ", "dD")
-_WHITE = r"[\s\x{1c}-\x{1f}]"
+_WHITE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 
 def fill_blank_headers(headers: Sequence[str | None]) -> list[str]:
@@ -91,20 +91,19 @@ def catalog_name(name: str) -> str:
 
 
 def _underscored(text: Column) -> Column:
-    stripped = F.regexp_replace(text, f"(?U)^{_WHITE}+|{_WHITE}+$", "")
-    return F.replace(F.lower(stripped), F.lit(" "), F.lit("_"))
+    return F.replace(F.lower(F.trim(text, F.lit(_WHITE))), F.lit(" "), F.lit("_"))
 
 
 def ascii_name_column(text: Column) -> Column:
-    return F.regexp_replace(_underscored(text), r"[^a-z0-9_]", "")
+    return F.regexp_replace(_underscored(text), r"[^a-z0-9_]+", "")
 
 
 def unicode_name_column(text: Column) -> Column:
-    return F.regexp_replace(_underscored(text), rf"(?U)[^\p{{L}}\p{{N}}_\s\x{{1c}}-\x{{1f}}]", "")
+    return F.regexp_replace(_underscored(text), rf"[^\p{{L}}\p{{N}}_{_WHITE}]+", "")
 
 
 def table_column_column(text: Column, position: Column) -> Column:
-    plain = F.regexp_replace(_underscored(text), r"[^\p{L}\p{N}_]", "")
+    plain = F.regexp_replace(_underscored(text), r"[^\p{L}\p{N}_]+", "")
     return (
         F.when(plain == "", F.concat(F.lit("col_"), position.cast("string")))
         .when(plain.rlike(r"^\p{Nd}"), F.concat(F.lit("col_"), plain))

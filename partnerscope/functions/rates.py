@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,14 +17,13 @@ PERCENT_BANDS = (
 LOWEST_BAND_COLOUR = "#EF9A9A"
 
 
-def rate_text(numerator: Column, denominator: Column) -> Column:
-    """``numerator / denominator`` in percent with one decimal; 0.0% over zero.
+def rate_text(numerator: str, denominator: str) -> str:
+    """SQL text of ``numerator / denominator`` in percent with one decimal; 0.0% over zero.
 
-    Decimal arithmetic, half away from zero.
+    Decimal arithmetic on whole numbers, half away from zero.
     """
-    percent = numerator.cast("bigint") * F.lit(Decimal("100.0"))
-    ratio = F.coalesce(percent / F.nullif(denominator.cast("bigint"), F.lit(0)), F.lit(0))
-    return F.concat(F.round(ratio, 1).cast("string"), F.lit("%"))
+    ratio = f"CAST({numerator} AS bigint) * 100.0 / nullif(CAST({denominator} AS bigint), 0)"
+    return f"concat(CAST(round(coalesce({ratio}, 0), 1) AS string), '%')"
 
 
 def number_or_null(text: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from partnerscope.functions.literals import text_list, text_literal
 from partnerscope.params import ReportParams
 
 COUNTS = (
@@ -61,43 +62,42 @@ def apply_text_rules(df: DataFrame, params: ReportParams) -> DataFrame:
     return df.select(*out)
 
 
-def year_in_text(text: Column, year: int) -> Column:
+def year_in_text(text: str, year: int) -> Column:
     """The year stands anywhere in the text."""
-    return text.contains(str(year))
+    return F.expr(f"contains({text}, '{year:d}')")
 
 
-def year_of_date(date: Column, year: int) -> Column:
+def year_of_date(date: str, year: int) -> Column:
     """The date lies in the year, as a range that a scan can use."""
-    start, end = (F.lit(f"{y:04d}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
-    return (date >= start) & (date < end)
+    start, end = (f"TIMESTAMP_NTZ'{y:04d}-01-01 00:00:00'" for y in (year, year + 1))
+    return F.expr(f"{date} >= {start} AND {date} < {end}")
 
 
-def department_position(dept: Column, params: ReportParams) -> Column:
+def _decoded(dept: str, params: ReportParams, values: list[str], kind: str) -> Column:
+    branches = " ".join(
+        f"WHEN {text_literal(d.name)} THEN {value}"
+        for d, value in zip(params.ordered_departments(), values)
+    )
+    return F.expr(f"CAST(CASE {dept} {branches} END AS {kind})")
+
+
+def department_position(dept: str, params: ReportParams) -> Column:
     """Place of the department in the report, from 0; NULL for any other text."""
-    position = F.when(F.lit(False), F.lit(None).cast("int"))
-    for i, department in enumerate(params.ordered_departments()):
-        position = position.when(dept == department.name, F.lit(i))
-    return position
+    return _decoded(dept, params, [str(i) for i in range(len(params.departments))], "int")
 
 
-def department_code(dept: Column, params: ReportParams) -> Column:
+def department_code(dept: str, params: ReportParams) -> Column:
     """Short code of the department; NULL for any other text."""
-    code = F.when(F.lit(False), F.lit(None).cast("string"))
-    for department in params.ordered_departments():
-        code = code.when(dept == department.name, F.lit(department.code))
-    return code
+    return _decoded(dept, params, [text_literal(d.code) for d in params.ordered_departments()], "string")
 
 
-def department_ordinal(dept: Column, params: ReportParams) -> Column:
+def department_ordinal(dept: str, params: ReportParams) -> Column:
     """Ordinal of the department; NULL for any other text."""
-    ordinal = F.when(F.lit(False), F.lit(None).cast("int"))
-    for department in params.ordered_departments():
-        ordinal = ordinal.when(dept == department.name, F.lit(department.ordinal))
-    return ordinal
+    return _decoded(dept, params, [str(d.ordinal) for d in params.ordered_departments()], "int")
 
 
-def in_departments(dept: Column, params: ReportParams) -> Column:
-    return dept.isin(*[d.name for d in params.departments])
+def in_departments(dept: str, params: ReportParams) -> Column:
+    return F.expr(f"{dept} IN ({text_list(d.name for d in params.departments)})")
 
 
 def listed_partners(partners: DataFrame, params: ReportParams) -> DataFrame:
@@ -106,35 +106,32 @@ def listed_partners(partners: DataFrame, params: ReportParams) -> DataFrame:
     ``pos, code, verified, is_current, is_prior``; the flags of a partner without
     code are false, as such a partner is never counted nor joined.
     """
-    ruled = apply_text_rules(partners, params)
-    verified = F.coalesce((F.col("status") == params.verified) & F.col("code").isNotNull(), F.lit(False))
-
-    def registered(year: int) -> Column:
-        return F.coalesce(year_in_text(F.col("reg_text"), year), F.lit(False))
-
-    return ruled.where(in_departments(F.col("dept"), params)).select(
-        department_position(F.col("dept"), params).alias("pos"),
-        "code",
-        verified.alias("verified"),
-        (verified & registered(params.current_year)).alias("is_current"),
-        (verified & registered(params.prior_year)).alias("is_prior"),
+    verified = f"coalesce(status = {text_literal(params.verified)} AND code IS NOT NULL, false)"
+    registered = f"{verified} AND coalesce(contains(reg_text, '%d'), false) AS %s"
+    return (
+        apply_text_rules(partners, params)
+        .where(in_departments("dept", params))
+        .select(
+            department_position("dept", params).alias("pos"),
+            "code",
+            F.expr(f"{verified} AS verified"),
+            F.expr(registered % (params.current_year, "is_current")),
+            F.expr(registered % (params.prior_year, "is_prior")),
+        )
     )
 
 
 def year_orders(orders: DataFrame, params: ReportParams) -> DataFrame:
     """Orders of the current year that have a partner code: ``code, ord_id, ok``."""
     if params.typed_dates:
-        in_year = year_of_date(F.col("order_date"), params.current_year)
+        in_year = year_of_date("order_date", params.current_year)
     else:
-        in_year = year_in_text(F.col("date_text"), params.current_year)
+        in_year = year_in_text("date_text", params.current_year)
     return (
         apply_text_rules(orders, params)
-        .where(in_year & F.col("code").isNotNull())
-        .select(
-            "code",
-            "ord_id",
-            F.coalesce(F.col("status") == params.success, F.lit(False)).alias("ok"),
-        )
+        .where(in_year)
+        .where("code IS NOT NULL")
+        .selectExpr("code", "ord_id", f"coalesce(status = {text_literal(params.success)}, false) AS ok")
     )
 
 

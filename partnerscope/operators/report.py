@@ -9,9 +9,10 @@ size, and the department rows and the total come out of the same pass.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from partnerscope.functions.literals import text_list
 from partnerscope.functions.rates import rate_text
 from partnerscope.operators.measures import (
     COUNTS,
@@ -52,22 +53,23 @@ def _total_pos(params: ReportParams) -> int:
 
 def _empty_total(params: ReportParams, spark) -> DataFrame:
     """The total row of empty input: it is there even without any partner."""
-    zeros = [F.lit(0).cast("bigint").alias(c) for c in COUNTS]
-    return spark.range(1).select(F.lit(_total_pos(params)).alias("pos"), *zeros)
+    return spark.range(1).selectExpr(f"{_total_pos(params)} AS pos")
 
 
 def _merge(parts: list[DataFrame]) -> DataFrame:
     """Adds up partial counts by position; a part lacks the counts it does not make."""
-    whole = []
+    merged = None
     for part in parts:
-        columns = [
-            (F.col(c) if c in part.columns else F.lit(0)).cast("bigint").alias(c) for c in COUNTS
-        ]
-        whole.append(part.select("pos", *columns))
-    merged = whole[0]
-    for part in whole[1:]:
-        merged = merged.unionByName(part)
-    return merged.groupBy("pos").agg(*[F.sum(c).cast("bigint").alias(c) for c in COUNTS])
+        counts = [f"CAST({c if c in part.columns else 0} AS bigint) AS {c}" for c in COUNTS]
+        whole = part.selectExpr("CAST(pos AS int) AS pos", *counts)
+        merged = whole if merged is None else merged.union(whole)
+    return merged.groupBy("pos").agg(*[F.expr(f"sum({c}) AS {c}") for c in COUNTS])
+
+
+def _labels(params: ReportParams) -> str:
+    """Label of a position: the department's short code or the total's label."""
+    labels = [d.code for d in params.ordered_departments()] + [params.total_label]
+    return f"element_at(array({text_list(labels)}), pos + 1)"
 
 
 def finish(counts: DataFrame, params: ReportParams) -> DataFrame:
@@ -76,27 +78,24 @@ def finish(counts: DataFrame, params: ReportParams) -> DataFrame:
     The column ``existing`` means the current year in a department row, but either
     year in the total row.
     """
-    label = F.when(F.col("pos") == _total_pos(params), F.lit(params.total_label))
-    for i, department in enumerate(params.ordered_departments()):
-        label = label.when(F.col("pos") == i, F.lit(department.code))
-    is_total = F.col("pos") == _total_pos(params)
-    active_total = F.col("active_current") + F.col("active_prior")
-    return counts.select(
-        label.alias("dept"),
+    is_total = f"pos = {_total_pos(params)}"
+    active_total = "(active_current + active_prior)"
+    return counts.selectExpr(
+        f"{_labels(params)} AS dept",
         "new_current",
         "new_prior",
-        F.when(is_total, F.col("new_either")).otherwise(F.col("new_current")).alias("existing"),
+        f"CASE WHEN {is_total} THEN new_either ELSE new_current END AS existing",
         "active_current",
         "active_prior",
-        active_total.alias("active_total"),
-        rate_text(F.col("active_current"), F.col("new_current")).alias("rate_current"),
-        rate_text(F.col("active_prior"), F.col("new_prior")).alias("rate_prior"),
-        rate_text(active_total, F.col("new_either")).alias("rate_overall"),
+        f"{active_total} AS active_total",
+        f"{rate_text('active_current', 'new_current')} AS rate_current",
+        f"{rate_text('active_prior', 'new_prior')} AS rate_prior",
+        f"{rate_text(active_total, 'new_either')} AS rate_overall",
         "orders_raised",
         "orders_ok",
-        rate_text(F.col("orders_ok"), F.col("orders_raised")).alias("order_rate"),
-        is_total.alias("is_total"),
-        F.col("pos").alias("ord"),
+        f"{rate_text('orders_ok', 'orders_raised')} AS order_rate",
+        f"{is_total} AS is_total",
+        "pos AS ord",
     )
 
 
@@ -108,65 +107,45 @@ def in_report_order(report: DataFrame) -> DataFrame:
 # ------------------------------------------------------------- department bits
 
 
-def _bit(params: ReportParams) -> Column:
+def _bit(params: ReportParams) -> str:
     """The department's bit plus the bit every listed row sets for the total."""
-    total = 1 << _total_pos(params)
-    bit = F.when(F.lit(False), F.lit(0).cast("bigint"))
-    for i in range(len(params.departments)):
-        bit = bit.when(F.col("pos") == i, F.lit(total | (1 << i)).cast("bigint"))
-    return bit
-
-
-def _bits_where(flag: str) -> Column:
-    return F.bit_or(F.when(F.col(flag), F.col("bit")).otherwise(F.lit(0).cast("bigint"))).alias(flag)
+    return f"(shiftleft(1L, pos) | {1 << _total_pos(params)}L)"
 
 
 def _explode_bits(df: DataFrame, params: ReportParams) -> DataFrame:
     """One row per place for every combination of bit sets (a few dozen rows)."""
-    places = F.sequence(F.lit(0), F.lit(_total_pos(params)))
-    return df.withColumn("pos", F.explode(places))
+    return df.selectExpr("*", f"explode(sequence(0, {_total_pos(params)})) AS pos")
 
 
-def _has(bits: Column) -> Column:
-    return F.getbit(bits, F.col("pos")).cast("bigint")
+def _count_bits(kinds: DataFrame, params: ReportParams, counted: dict[str, str]) -> DataFrame:
+    """Sums ``n`` by position over the rows whose bits have that position."""
+    sums = [F.expr(f"sum(n * getbit({bits}, pos)) AS {name}") for name, bits in counted.items()]
+    return _explode_bits(kinds, params).groupBy("pos").agg(*sums)
 
 
 def partner_bit_counts(
     partners: DataFrame, params: ReportParams, orders: DataFrame | None = None
 ) -> DataFrame:
     """Partner counts by position. Activity needs the orders; else it is left out."""
+    bit = _bit(params)
     bits = (
         listed_partners(partners, params)
-        .withColumn("bit", _bit(params))
         .groupBy("code")
         .agg(
-            F.bit_or("bit").alias("listed"),
-            _bits_where("is_current"),
-            _bits_where("is_prior"),
+            F.expr(f"bit_or({bit}) AS listed"),
+            F.expr(f"bit_or(CASE WHEN is_current THEN {bit} ELSE 0L END) AS new_current"),
+            F.expr(f"bit_or(CASE WHEN is_prior THEN {bit} ELSE 0L END) AS new_prior"),
         )
     )
-    if orders is None:
-        bits = bits.withColumn("active", F.lit(0))
-    else:
-        done = success_codes(orders, params).withColumn("active", F.lit(1))
+    counted = {c: c for c in ("listed", "new_current", "new_prior")} | {"new_either": "new_current | new_prior"}
+    if orders is not None:
+        done = success_codes(orders, params).withColumn("active", F.lit(True))
         bits = bits.join(done, "code", "left")
+        counted["active_current"] = "CASE WHEN active THEN new_current ELSE 0L END"
+        counted["active_prior"] = "CASE WHEN active THEN new_prior ELSE 0L END"
     # From here on one row per combination of bit sets: few, whatever the data size.
-    kinds = bits.groupBy("listed", "is_current", "is_prior", "active").agg(F.count(F.lit(1)).alias("n"))
-    active = F.coalesce(F.col("active"), F.lit(0))
-    summed = {
-        "listed": _has(F.col("listed")),
-        "new_current": _has(F.col("is_current")),
-        "new_prior": _has(F.col("is_prior")),
-        "new_either": _has(F.col("is_current").bitwiseOR(F.col("is_prior"))),
-        "active_current": _has(F.col("is_current")) * active,
-        "active_prior": _has(F.col("is_prior")) * active,
-    }
-    counted = (
-        _explode_bits(kinds, params)
-        .groupBy("pos")
-        .agg(*[F.sum(F.col("n") * value).alias(name) for name, value in summed.items()])
-    )
-    return counted.where((F.col("listed") > 0) | (F.col("pos") == _total_pos(params)))
+    kinds = bits.groupBy(*[c for c in bits.columns if c != "code"]).agg(F.expr("count(1) AS n"))
+    return _count_bits(kinds, params, counted).where(f"listed > 0 OR pos = {_total_pos(params)}")
 
 
 def order_bit_counts(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
@@ -175,27 +154,20 @@ def order_bit_counts(partners: DataFrame, orders: DataFrame, params: ReportParam
         listed_partners(partners, params)
         .where("verified")
         .groupBy("code")
-        .agg(F.bit_or(_bit(params)).alias("owner"))
+        .agg(F.expr(f"bit_or({_bit(params)}) AS owner"))
     )
-    facts = year_orders(orders, params).where(F.col("ord_id").isNotNull())
+    facts = year_orders(orders, params).where("ord_id IS NOT NULL")
     per_order = (
         lookup_join(facts, owners, "code")
         .groupBy("ord_id")
         .agg(
-            F.bit_or("owner").alias("raised"),
-            F.bit_or(F.when(F.col("ok"), F.col("owner")).otherwise(F.lit(0).cast("bigint"))).alias("done"),
+            F.expr("bit_or(owner) AS orders_raised"),
+            F.expr("bit_or(CASE WHEN ok THEN owner ELSE 0L END) AS orders_ok"),
         )
     )
-    kinds = per_order.groupBy("raised", "done").agg(F.count(F.lit(1)).alias("n"))
-    counted = (
-        _explode_bits(kinds, params)
-        .groupBy("pos")
-        .agg(
-            F.sum(F.col("n") * _has(F.col("raised"))).alias("orders_raised"),
-            F.sum(F.col("n") * _has(F.col("done"))).alias("orders_ok"),
-        )
-    )
-    return counted.where(F.col("orders_raised") > 0)
+    kinds = per_order.groupBy("orders_raised", "orders_ok").agg(F.expr("count(1) AS n"))
+    counts = _count_bits(kinds, params, {c: c for c in ("orders_raised", "orders_ok")})
+    return counts.where("orders_raised > 0")
 
 
 # ------------------------------------------------------------------ two levels
@@ -208,44 +180,40 @@ def partner_level_counts(
 
     The total needs one row per code, as a code may sit in several departments.
     """
-    flags = ("is_current", "is_prior", "is_either")
+    flags = ("is_current", "is_prior", "is_either", "active")
     per_dept = (
         listed_partners(partners, params)
-        .withColumn("is_either", F.col("is_current") | F.col("is_prior"))
         .groupBy("pos", "code")
-        .agg(*[F.max(F.col(f).cast("int")).alias(f) for f in flags])
+        .agg(
+            F.expr("max(int(is_current)) AS is_current"),
+            F.expr("max(int(is_prior)) AS is_prior"),
+            F.expr("max(int(is_current OR is_prior)) AS is_either"),
+        )
     )
     if orders is None:
         joined = per_dept.withColumn("active", F.lit(0))
     else:
-        done = success_codes(orders, params).withColumn("active", F.lit(1))
-        joined = per_dept.join(done, "code", "left")
-    per_code = joined.groupBy("code").agg(*[F.max(f).alias(f) for f in flags], F.max("active").alias("active"))
-    levels = joined.unionByName(per_code.withColumn("pos", F.lit(_total_pos(params))))
-    active = F.coalesce(F.col("active"), F.lit(0))
+        done = success_codes(orders, params).withColumn("found", F.lit(1))
+        joined = per_dept.join(done, "code", "left").selectExpr(*per_dept.columns, "coalesce(found, 0) AS active")
+    per_code = joined.groupBy("code").agg(*[F.expr(f"max({f}) AS {f}") for f in flags])
+    levels = joined.select("pos", *flags).union(per_code.selectExpr(f"{_total_pos(params)}", *flags))
     return levels.groupBy("pos").agg(
-        F.sum("is_current").alias("new_current"),
-        F.sum("is_prior").alias("new_prior"),
-        F.sum("is_either").alias("new_either"),
-        F.sum(F.col("is_current") * active).alias("active_current"),
-        F.sum(F.col("is_prior") * active).alias("active_prior"),
+        F.expr("sum(is_current) AS new_current"),
+        F.expr("sum(is_prior) AS new_prior"),
+        F.expr("sum(is_either) AS new_either"),
+        F.expr("sum(is_current * active) AS active_current"),
+        F.expr("sum(is_prior * active) AS active_prior"),
     )
 
 
 def order_level_counts(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
     """Order counts by position: one row per department and order id, then sums."""
     owners = listed_partners(partners, params).where("verified").select("pos", "code").distinct()
-    facts = year_orders(orders, params).where(F.col("ord_id").isNotNull())
-    per_dept = (
-        lookup_join(facts, owners, "code")
-        .groupBy("pos", "ord_id")
-        .agg(F.max(F.col("ok").cast("int")).alias("ok"))
-    )
-    per_order = per_dept.groupBy("ord_id").agg(F.max("ok").alias("ok"))
-    levels = per_dept.unionByName(per_order.withColumn("pos", F.lit(_total_pos(params))))
-    return levels.groupBy("pos").agg(
-        F.count(F.lit(1)).alias("orders_raised"), F.sum("ok").alias("orders_ok")
-    )
+    facts = year_orders(orders, params).where("ord_id IS NOT NULL")
+    per_dept = lookup_join(facts, owners, "code").groupBy("pos", "ord_id").agg(F.expr("max(int(ok)) AS ok"))
+    per_order = per_dept.groupBy("ord_id").agg(F.expr("max(ok) AS ok"))
+    levels = per_dept.select("pos", "ok").union(per_order.selectExpr(f"{_total_pos(params)}", "ok"))
+    return levels.groupBy("pos").agg(F.expr("count(1) AS orders_raised"), F.expr("sum(ok) AS orders_ok"))
 
 
 # ---------------------------------------------------------------------- rollup
@@ -260,43 +228,29 @@ def _measure_rows(partners: DataFrame, orders: DataFrame, params: ReportParams)
     per_dept = (
         listed_partners(partners, params)
         .groupBy("pos", "code")
-        .agg(*[F.bool_or(f).alias(f) for f in ("verified", "is_current", "is_prior")])
+        .agg(*[F.expr(f"bool_or({f}) AS {f}") for f in ("verified", "is_current", "is_prior")])
     )
-    done = success_codes(orders, params).withColumn("active", F.lit(True))
-    partner_rows = per_dept.join(done, "code", "left").select(
-        "pos",
-        "code",
-        "is_current",
-        "is_prior",
-        F.coalesce("active", F.lit(False)).alias("active"),
-        F.lit(None).alias("ord_id"),
-        F.lit(False).alias("ok"),
+    done = success_codes(orders, params).withColumn("found", F.lit(True))
+    partner_rows = per_dept.join(done, "code", "left").selectExpr(
+        "pos", "code", "is_current", "is_prior", "coalesce(found, false) AS active", "NULL AS ord_id", "false AS ok"
     )
     facts = year_orders(orders, params).distinct()
-    order_rows = lookup_join(facts, per_dept.where("verified").select("pos", "code"), "code").select(
-        "pos",
-        F.lit(None).alias("code"),
-        F.lit(False).alias("is_current"),
-        F.lit(False).alias("is_prior"),
-        F.lit(False).alias("active"),
-        "ord_id",
-        "ok",
+    order_rows = lookup_join(facts, per_dept.where("verified").select("pos", "code"), "code").selectExpr(
+        "pos", "NULL AS code", "false AS is_current", "false AS is_prior", "false AS active", "ord_id", "ok"
     )
-    return partner_rows.unionByName(order_rows)
-
-
-def _distinct_counts() -> list[Column]:
-    current, prior, active = F.col("is_current"), F.col("is_prior"), F.col("active")
-    counted = {
-        "new_current": F.when(current, F.col("code")),
-        "new_prior": F.when(prior, F.col("code")),
-        "new_either": F.when(current | prior, F.col("code")),
-        "active_current": F.when(current & active, F.col("code")),
-        "active_prior": F.when(prior & active, F.col("code")),
-        "orders_raised": F.col("ord_id"),
-        "orders_ok": F.when(F.col("ok"), F.col("ord_id")),
-    }
-    return [F.count_distinct(value).alias(name) for name, value in counted.items()]
+    return partner_rows.union(order_rows)
+
+
+# Report counts as distinct counts over those rows.
+DISTINCT_COUNTS = (
+    "count(DISTINCT CASE WHEN is_current THEN code END) AS new_current",
+    "count(DISTINCT CASE WHEN is_prior THEN code END) AS new_prior",
+    "count(DISTINCT CASE WHEN is_current OR is_prior THEN code END) AS new_either",
+    "count(DISTINCT CASE WHEN is_current AND active THEN code END) AS active_current",
+    "count(DISTINCT CASE WHEN is_prior AND active THEN code END) AS active_prior",
+    "count(DISTINCT ord_id) AS orders_raised",
+    "count(DISTINCT CASE WHEN ok THEN ord_id END) AS orders_ok",
+)
 
 
 # --------------------------------------------------------------- report forms
@@ -327,17 +281,15 @@ def partner_report_two_level(partners: DataFrame, orders: DataFrame, params: Rep
 def partner_report_rollup(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
     """The same report as one rollup of distinct counts over deduplicated rows."""
     rows = _measure_rows(partners, orders, params)
-    rolled = rows.rollup("pos").agg(F.grouping("pos").alias("is_total"), *_distinct_counts())
-    placed = rolled.withColumn(
-        "pos", F.when(F.col("is_total") == 1, F.lit(_total_pos(params))).otherwise(F.col("pos"))
-    )
+    rolled = rows.rollup("pos").agg(F.expr("grouping(pos) AS is_total"), *map(F.expr, DISTINCT_COUNTS))
+    placed = rolled.selectExpr(f"CASE WHEN is_total = 1 THEN {_total_pos(params)} ELSE pos END AS pos", *COUNTS)
     # A rollup of no rows has no total row.
     return finish(_merge([placed, _empty_total(params, partners.sparkSession)]), params)
 
 
 def total_row(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
     """The grand total alone: an ungrouped aggregate, one row on any input."""
-    total = _measure_rows(partners, orders, params).agg(*_distinct_counts())
+    total = _measure_rows(partners, orders, params).agg(*map(F.expr, DISTINCT_COUNTS))
     return finish(total.withColumn("pos", F.lit(_total_pos(params))), params)
 
 
@@ -395,28 +347,21 @@ def join_sizes(partners: DataFrame, orders: DataFrame, params: ReportParams) ->
     the partner. Its size follows from counts per code, so no pair is made.
     ``plain_rows`` is a double, as the product outgrows 64 bits on hot codes.
     """
-    per_code = (
-        listed_partners(partners, params).groupBy("pos", "code").agg(F.count(F.lit(1)).alias("partner_rows"))
-    )
-    facts = year_orders(orders, params)
-    order_rows = facts.groupBy("code", "ord_id", "ok").agg(F.count(F.lit(1)).alias("n"))
+    per_code = listed_partners(partners, params).groupBy("pos", "code").agg(F.expr("count(1) AS partner_rows"))
+    order_rows = year_orders(orders, params).groupBy("code", "ord_id", "ok").agg(F.expr("count(1) AS n"))
     per_partner = order_rows.groupBy("code").agg(
-        F.sum("n").alias("all_rows"),
-        F.sum(F.when(F.col("ok"), F.col("n")).otherwise(0)).alias("ok_rows"),
-        F.count(F.lit(1)).alias("distinct_rows"),
+        F.expr("sum(n) AS every"),
+        F.expr("sum(CASE WHEN ok THEN n ELSE 0 END) AS good"),
+        F.expr("count(1) AS single"),
     )
-    joined = per_code.join(per_partner, "code", "left")
-
-    def matches(column: str) -> Column:
-        return F.greatest(F.coalesce(F.col(column), F.lit(0)), F.lit(1))
-
-    plain = F.col("partner_rows").cast("double") * matches("ok_rows") * matches("all_rows")
-    sizes = joined.groupBy("pos").agg(
-        F.sum("partner_rows").alias("partner_rows"),
-        F.sum(plain).alias("plain_rows"),
-        F.sum(F.col("partner_rows") * matches("distinct_rows")).alias("distinct_rows"),
+    sizes = (
+        per_code.join(per_partner, "code", "left")
+        .selectExpr("pos", "partner_rows", *[f"greatest(coalesce({c}, 0), 1) AS {c}" for c in ("every", "good", "single")])
+        .groupBy("pos")
+        .agg(
+            F.expr("sum(partner_rows) AS partner_rows"),
+            F.expr("sum(double(partner_rows) * good * every) AS plain_rows"),
+            F.expr("sum(partner_rows * single) AS distinct_rows"),
+        )
     )
-    code = F.lit(None).cast("string")
-    for i, department in enumerate(params.ordered_departments()):
-        code = F.when(F.col("pos") == i, F.lit(department.code)).otherwise(code)
-    return sizes.select(code.alias("dept"), "partner_rows", "plain_rows", "distinct_rows")
+    return sizes.selectExpr(f"{_labels(params)} AS dept", "partner_rows", "plain_rows", "distinct_rows")

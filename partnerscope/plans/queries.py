@@ -207,26 +207,25 @@ def cell_table_numbered(spark, folder):
 def dept_decode(spark, folder):
     """Code and ordinal of every partner's department, NULL for one that is not listed."""
     params = star_params()
-    dept = F.col("dept")
     return star_partners(spark, folder).select(
         "code",
-        measures.department_code(dept, params).alias("short_code"),
-        measures.department_ordinal(dept, params).cast("bigint").alias("ordinal"),
-        measures.in_departments(dept, params).alias("listed"),
+        measures.department_code("dept", params).alias("short_code"),
+        measures.department_ordinal("dept", params).cast("bigint").alias("ordinal"),
+        measures.in_departments("dept", params).alias("listed"),
     )
 
 
 @query
 def year_in_text(spark, folder):
     orders = star_orders(spark, folder)
-    found = orders.where(measures.year_in_text(F.col("date_text"), star_params().current_year))
+    found = orders.where(measures.year_in_text("date_text", star_params().current_year))
     return found.groupBy("status").agg(F.count(F.lit(1)).alias("orders"))
 
 
 @query
 def year_typed(spark, folder):
     orders = star_orders(spark, folder)
-    found = orders.where(measures.year_of_date(F.col("order_date"), star_params().current_year))
+    found = orders.where(measures.year_of_date("order_date", star_params().current_year))
     return found.groupBy("status").agg(F.count(F.lit(1)).alias("orders"))
 
 

@@ -10,6 +10,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from partnerscope.params import Department, ReportParams
 
@@ -30,50 +31,48 @@ def star_params(**changes) -> ReportParams:
     return ReportParams(**values)
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table of the folder; its schema is looked up in the files once."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def star_partners(spark: SparkSession, folder: str) -> DataFrame:
     customer, nation = table(spark, folder, "customer"), table(spark, folder, "nation")
-    status = F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "pending").otherwise("verified")
-    year = F.lit(PRIOR_YEAR) + F.col("c_custkey") % 3
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("code"),
-        F.col("n_name").alias("dept"),
-        status.alias("status"),
-        F.concat(F.lit("15/03/"), year.cast("string")).alias("reg_text"),
+    return customer.join(nation, F.expr("c_nationkey = n_nationkey")).selectExpr(
+        "c_custkey AS code",
+        "n_name AS dept",
+        "CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'pending' ELSE 'verified' END AS status",
+        f"concat('15/03/', {PRIOR_YEAR} + c_custkey % 3) AS reg_text",
     )
 
 
 def star_partners_extended(spark: SparkSession, folder: str) -> DataFrame:
     """The partners, a second department for every third, and one without code."""
-    partners = star_partners(spark, folder)
-    key = F.col("c_custkey")
     second = (
         table(spark, folder, "customer")
-        .where(key % 3 == 0)
-        .select(
-            key.alias("code"),
-            F.concat(F.lit("NATION_"), (1 + key % 13).cast("string")).alias("dept"),
-            F.when(key % 2 == 0, "verified").otherwise("pending").alias("status"),
-            F.concat(F.lit("01/01/"), (F.lit(PRIOR_YEAR) + key % 2).cast("string")).alias("reg_text"),
+        .where("c_custkey % 3 = 0")
+        .selectExpr(
+            "c_custkey",
+            "concat('NATION_', 1 + c_custkey % 13)",
+            "CASE WHEN c_custkey % 2 = 0 THEN 'verified' ELSE 'pending' END",
+            f"concat('01/01/', {PRIOR_YEAR} + c_custkey % 2)",
         )
     )
-    without_code = spark.range(1).select(
-        F.lit(None).cast("bigint").alias("code"),
-        F.lit("NATION_1").alias("dept"),
-        F.lit("verified").alias("status"),
-        F.lit(str(CURRENT_YEAR)).alias("reg_text"),
-    )
-    return partners.unionByName(second).unionByName(without_code)
+    without_code = spark.range(1).selectExpr("CAST(NULL AS bigint)", "'NATION_1'", "'verified'", f"'{CURRENT_YEAR}'")
+    return star_partners(spark, folder).union(second).union(without_code)
 
 
 def star_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "orders").select(
-        F.col("o_custkey").alias("code"),
-        F.col("o_orderkey").alias("ord_id"),
-        F.date_format("o_orderdate", "dd/MM/yyyy").alias("date_text"),
-        F.col("o_orderdate").alias("order_date"),
-        F.col("o_orderstatus").alias("status"),
+    return table(spark, folder, "orders").selectExpr(
+        "o_custkey AS code",
+        "o_orderkey AS ord_id",
+        "date_format(o_orderdate, 'dd/MM/yyyy') AS date_text",
+        "o_orderdate AS order_date",
+        "o_orderstatus AS status",
     )

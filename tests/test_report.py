@@ -2,7 +2,6 @@ import random
 
 import pytest
 from brute import ORDER_SCHEMA, PARTNER_SCHEMA, report as brute_report
-from pyspark.sql import functions as F
 
 from partnerscope import default_params
 from partnerscope.operators import report, skew
@@ -96,7 +95,7 @@ def test_other_departments_are_left_out(spark, form):
 
 
 def test_unlisted_department_has_no_code(spark):
-    found = spark.createDataFrame([("Phòng khác",)], "dept string").select(department_code(F.col("dept"), P)).first()
+    found = spark.createDataFrame([("Phòng khác",)], "dept string").select(department_code("dept", P)).first()
     assert found[0] is None
 
 
