@@ -8,14 +8,6 @@ from pyspark.sql import types as T
 
 from partnerscope.functions.rates import number_or_null
 
-# Cell texts a sheet reader takes as missing.
-MISSING_TEXTS = (
-    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
-    "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
-    "n/a", "nan", "null",
-)
-
-
 def is_fractional(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.FloatType, T.DoubleType))
 

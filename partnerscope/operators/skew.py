@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 MAX_HOT_KEYS = 20_000
 # A key with fewer rows is no burden to the task that gets it.
 MIN_HOT_ROWS = 2_000_000
-# Facts estimated below this size cannot hold a hot key worth a split.
-SPLIT_FROM_BYTES = 1 << 30
+# Facts estimated below this size (compressed, chosen columns) hold no key worth a split.
+SPLIT_FROM_BYTES = 256 << 20
 
 
 def estimated_bytes(df: DataFrame) -> int:

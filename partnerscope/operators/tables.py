@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from partnerscope.session import written
+from partnerscope.session import stage, unstage
 from partnerscope.sources.feeds import TEXT_TYPE, LoadColumn
 
 ID = "id"
@@ -82,8 +82,12 @@ def append_numbered(
 
 def append_rows(spark: SparkSession, df: DataFrame, database: str, table: str) -> int:
     """Appends any frame; its rows are written down first, to have places that last."""
-    placed = with_file_places(written(df, "staged"))
-    return append_numbered(spark, placed, "_file", "_place", database, table)
+    staged = stage(df, "append")
+    try:
+        placed = with_file_places(spark.table(staged))
+        return append_numbered(spark, placed, "_file", "_place", database, table)
+    finally:
+        unstage(spark, staged)
 
 
 def load_frame(

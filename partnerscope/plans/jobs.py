@@ -14,7 +14,7 @@ from partnerscope.operators.measures import order_view, partner_view
 from partnerscope.operators.report import in_report_order, partner_report
 from partnerscope.operators.tables import append_numbered, create_table, drop_tables
 from partnerscope.params import ORDER_TABLE, PARTNER_TABLE, ReportParams
-from partnerscope.session import written
+from partnerscope.session import unstage, written
 from partnerscope.sources.feeds import read_workbook_feed
 from partnerscope.streaming.ingest import ingest_sheets
 
@@ -41,9 +41,12 @@ def load_sheet(
 ) -> tuple[str, int]:
     """Loads workbooks into a table, by default named after the file; returns it and the rows added."""
     database, table = database or DEFAULT_DATABASE, table or catalog_name(table_name(path))
-    frame, layout = read_workbook_feed(spark, path, rule, tidy, wide)
-    create_table(spark, database, table, layout)
-    added = append_numbered(spark, frame, "path", "row_no", database, table)
+    frame, layout, staged = read_workbook_feed(spark, path, rule, tidy, wide)
+    try:
+        create_table(spark, database, table, layout)
+        added = append_numbered(spark, frame, "path", "row_no", database, table)
+    finally:
+        unstage(spark, staged)
     return f"{database}.{table}", added
 
 

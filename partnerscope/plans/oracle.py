@@ -176,6 +176,10 @@ PROFILED = {
 }
 
 
+# Types of loaded columns where they differ from the source's.
+LOADED = {"string": "varchar(255)", "int": "bigint"}
+
+
 def _tidy(number: str) -> str:
     return (
         f"CASE WHEN {number} = 0 THEN '' WHEN {number} = floor({number}) "
@@ -285,7 +289,7 @@ def oracle() -> dict[str, str]:
                    md5(regexp_replace(name, '[^\p{{L}}\p{{N}}_\s\x{{1c}}-\x{{1f}}\x{{85}}\p{{Z}}]', '', 'g')) AS unicode_name,
                    md5(CASE WHEN bare = '' THEN 'col_1' WHEN regexp_matches(bare, '^\p{{Nd}}') THEN 'col_' || bare ELSE bare END) AS table_column
             FROM plain""",
-        "branch_list": """SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS "TEN_NGAN", s_name AS "TEN", n_name AS "MA_DV"
+        "drop_first_column": """SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS "TEN_NGAN", s_name AS "TEN", n_name AS "MA_DV"
             FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
         "aliased_projection": """SELECT l_returnflag AS "PBH", l_orderkey AS thucuoc, l_partkey AS cskh_ob, l_suppkey AS ob_nc,
             CAST(l_linenumber AS BIGINT) AS "sla > 72", l_quantity AS baohong, l_extendedprice AS tuvan,
@@ -305,12 +309,18 @@ def oracle() -> dict[str, str]:
               UNION ALL SELECT 'l_shipdate', l_shipdate FROM gaps
               UNION ALL SELECT 'l_linestatus', l_linestatus FROM gaps
               UNION ALL SELECT 'l_orderkey', l_orderkey FROM gaps) WHERE null_count > 0""",
-        "rows_per_column": """SELECT column_name, count(*) AS row_count FROM orders
+        "cross_catalog_count": """SELECT column_name, count(*) AS row_count FROM orders
             CROSS JOIN (VALUES ('o_custkey'), ('o_orderstatus'), ('o_totalprice'), ('o_orderdate'), ('o_orderpriority')) AS c(column_name)
             GROUP BY column_name HAVING count(*) > 0""",
         "table_profile": " UNION ALL ".join(_profile_part(t, c) for t, c in PROFILED.items()),
         "typed_load_append": """SELECT c_mktsegment, 2 * count(*) AS n, count(DISTINCT c_custkey) AS customers,
             min(c_acctbal) AS lowest, max(c_acctbal) AS highest FROM customer GROUP BY c_mktsegment""",
+        "catalog_columns": " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, {i} AS position, '{c}' AS column_name, '{k}' AS data_type, "
+            f"CAST({255 if k.startswith('varchar') else 'NULL'} AS INTEGER) AS max_length, (SELECT count(*) FROM {t}) AS rows"
+            for t in ("customer", "orders")
+            for i, (c, k) in enumerate([("id", "bigint")] + [(c, LOADED.get(k, k)) for c, k in PROFILED[t]], start=1)
+        ),
         "surrogate_id": """SELECT 'customer' AS feed, CAST(1 AS BIGINT) AS first_id, count(*) AS last_id, count(*) AS n, count(*) AS ids FROM customer
             UNION ALL SELECT 'orders', (SELECT count(*) FROM customer) + 1,
                    (SELECT count(*) FROM customer) + count(*), count(*), count(*) FROM orders""",

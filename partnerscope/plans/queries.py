@@ -321,7 +321,7 @@ def clean_headers(spark, folder):
 
 
 @query
-def branch_list(spark, folder):
+def drop_first_column(spark, folder):
     """The branch list of four columns, shown without the first."""
     supplier, nation = table(spark, folder, "supplier"), table(spark, folder, "nation")
     branches = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
@@ -387,7 +387,8 @@ def null_profile(spark, folder):
 
 
 @query
-def rows_per_column(spark, folder):
+def cross_catalog_count(spark, folder):
+    """Rows counted per column name, as if the table were crossed with its column list."""
     return profile.rows_per_column(table(spark, folder, "orders"), skip=("o_orderkey",))
 
 
@@ -448,6 +449,18 @@ def typed_load_append(spark, folder):
     )
 
 
+@query
+def catalog_columns(spark, folder):
+    """Columns of two loaded tables as the catalog lists them, with the rows loaded."""
+    database = new_database(spark, "catalog")
+    loaded = None
+    for name in ("customer", "orders"):
+        rows = _load(spark, table(spark, folder, name), database, name)
+        listed = profile.table_columns(spark, name, database).withColumn("rows", F.lit(rows).cast("bigint"))
+        loaded = listed if loaded is None else loaded.unionByName(listed)
+    return loaded.drop("table_schema")
+
+
 @query
 def surrogate_id(spark, folder):
     """Ids of a first load and of one appended after it: no gap, no repeat."""

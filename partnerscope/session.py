@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+WORK_DATABASE = "partnerscope_work"
 _own_folder: dict[str, str] = {}
 
 
@@ -46,15 +47,27 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/partnerscope/{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, purpose: str = "written") -> DataFrame:
-    """The frame written to the shared folder and read back.
+def stage(df: DataFrame, purpose: str) -> str:
+    """Writes a frame to a table of its own in the shared folder; returns the table's name.
 
     Cuts the lineage: what follows reads files that stay the same, so a lost executor
-    or a second use does not run the steps before again.
+    or a second use does not run the steps before again. ``unstage`` frees the space.
     """
-    place = new_folder(df.sparkSession, purpose)
-    df.write.parquet(place)
-    return df.sparkSession.read.schema(df.schema).parquet(place)
+    spark = df.sparkSession
+    place = f"{shared_folder(spark)}/partnerscope/{WORK_DATABASE}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {WORK_DATABASE} LOCATION '{place}'")
+    name = f"{WORK_DATABASE}.{purpose}_{uuid.uuid4().hex}"
+    df.write.format("parquet").saveAsTable(name)
+    return name
+
+
+def unstage(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def written(df: DataFrame, purpose: str = "written") -> DataFrame:
+    """The frame, staged for as long as the result is in use."""
+    return df.sparkSession.table(stage(df, purpose))
 
 
 def new_database(spark: SparkSession, purpose: str) -> str:

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from partnerscope.operators import tables
-from partnerscope.session import new_database, new_folder, shared_folder, written
+from partnerscope.session import WORK_DATABASE, new_database, new_folder, shared_folder, written
 from partnerscope.sources import feeds
 
 
@@ -80,6 +80,12 @@ def test_folders(spark):
     assert written(spark.range(3)).count() == 3
 
 
+def test_staged_rows_are_freed(spark, database):
+    before = spark.catalog.listTables(WORK_DATABASE) if spark.catalog.databaseExists(WORK_DATABASE) else []
+    load(spark, spark.range(5).toDF("a"), database)
+    assert len(spark.catalog.listTables(WORK_DATABASE)) == len(before)
+
+
 def test_show_rows(spark, capsys):
     tables.show_rows(spark.range(3), 2)
     assert "only showing top 2 rows" in capsys.readouterr().out
