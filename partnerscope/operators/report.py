@@ -51,19 +51,19 @@ def _total_pos(params: ReportParams) -> int:
     return len(params.departments)
 
 
-def _empty_total(params: ReportParams, spark) -> DataFrame:
-    """The total row of empty input: it is there even without any partner."""
-    return spark.range(1).selectExpr(f"{_total_pos(params)} AS pos")
+def _summed(params: ReportParams, *parts: DataFrame, present: str = "listed") -> DataFrame:
+    """Adds up rows of counts by position; a part lacks the counts it does not make.
 
-
-def _merge(parts: list[DataFrame]) -> DataFrame:
-    """Adds up partial counts by position; a part lacks the counts it does not make."""
-    merged = None
+    Positions without anything under ``present`` are left out. The total never is: a row
+    of zeros stands for it, so it is there even on empty input.
+    """
+    total = _total_pos(params)
+    rows = parts[0].sparkSession.range(1).selectExpr(f"{total} AS pos", *["0L"] * (len(COUNTS) + 1))
     for part in parts:
-        counts = [f"CAST({c if c in part.columns else 0} AS bigint) AS {c}" for c in COUNTS]
-        whole = part.selectExpr("CAST(pos AS int) AS pos", *counts)
-        merged = whole if merged is None else merged.union(whole)
-    return merged.groupBy("pos").agg(*[F.expr(f"sum({c}) AS {c}") for c in COUNTS])
+        counts = [f"CAST({c if c in part.columns else 0} AS bigint) AS {c}" for c in ("listed", *COUNTS)]
+        rows = part.selectExpr("CAST(pos AS int) AS pos", *counts).union(rows)
+    summed = rows.groupBy("pos").agg(*[F.expr(f"sum({c}) AS {c}") for c in ("listed", *COUNTS)])
+    return summed.where(f"{present} > 0 OR pos = {total}")
 
 
 def _labels(params: ReportParams) -> str:
@@ -112,21 +112,21 @@ def _bit(params: ReportParams) -> str:
     return f"(shiftleft(1L, pos) | {1 << _total_pos(params)}L)"
 
 
-def _explode_bits(df: DataFrame, params: ReportParams) -> DataFrame:
-    """One row per place for every combination of bit sets (a few dozen rows)."""
-    return df.selectExpr("*", f"explode(sequence(0, {_total_pos(params)})) AS pos")
-
+def _count_bits(keys: DataFrame, params: ReportParams, key: str, counted: dict[str, str]) -> DataFrame:
+    """Rows of counts by position from one row of bits per key.
 
-def _count_bits(kinds: DataFrame, params: ReportParams, counted: dict[str, str]) -> DataFrame:
-    """Sums ``n`` by position over the rows whose bits have that position."""
-    sums = [F.expr(f"sum(n * getbit({bits}, pos)) AS {name}") for name, bits in counted.items()]
-    return _explode_bits(kinds, params).groupBy("pos").agg(*sums)
+    First counts the keys with the same bits: from there on the rows are few, whatever
+    the data size, so each may stand for every position it has a bit for.
+    """
+    kinds = keys.groupBy(*[c for c in keys.columns if c != key]).agg(F.expr("count(1) AS n"))
+    placed = kinds.selectExpr("*", f"explode(sequence(0, {_total_pos(params)})) AS pos")
+    return placed.selectExpr("pos", *[f"n * getbit({bits}, pos) AS {name}" for name, bits in counted.items()])
 
 
 def partner_bit_counts(
     partners: DataFrame, params: ReportParams, orders: DataFrame | None = None
 ) -> DataFrame:
-    """Partner counts by position. Activity needs the orders; else it is left out."""
+    """Partner counts, to be summed by position. Activity needs the orders; else it is left out."""
     bit = _bit(params)
     bits = (
         listed_partners(partners, params)
@@ -143,13 +143,11 @@ def partner_bit_counts(
         bits = bits.join(done, "code", "left")
         counted["active_current"] = "CASE WHEN active THEN new_current ELSE 0L END"
         counted["active_prior"] = "CASE WHEN active THEN new_prior ELSE 0L END"
-    # From here on one row per combination of bit sets: few, whatever the data size.
-    kinds = bits.groupBy(*[c for c in bits.columns if c != "code"]).agg(F.expr("count(1) AS n"))
-    return _count_bits(kinds, params, counted).where(f"listed > 0 OR pos = {_total_pos(params)}")
+    return _count_bits(bits, params, "code", counted)
 
 
 def order_bit_counts(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
-    """Order counts by position, for orders of verified partners."""
+    """Order counts, to be summed by position, for orders of verified partners."""
     owners = (
         listed_partners(partners, params)
         .where("verified")
@@ -165,9 +163,7 @@ def order_bit_counts(partners: DataFrame, orders: DataFrame, params: ReportParam
             F.expr("bit_or(CASE WHEN ok THEN owner ELSE 0L END) AS orders_ok"),
         )
     )
-    kinds = per_order.groupBy("orders_raised", "orders_ok").agg(F.expr("count(1) AS n"))
-    counts = _count_bits(kinds, params, {c: c for c in ("orders_raised", "orders_ok")})
-    return counts.where("orders_raised > 0")
+    return _count_bits(per_order, params, "ord_id", {c: c for c in ("orders_raised", "orders_ok")})
 
 
 # ------------------------------------------------------------------ two levels
@@ -176,7 +172,7 @@ def order_bit_counts(partners: DataFrame, orders: DataFrame, params: ReportParam
 def partner_level_counts(
     partners: DataFrame, params: ReportParams, orders: DataFrame | None = None
 ) -> DataFrame:
-    """Partner counts by position: one row per department and code, then sums.
+    """Partner counts, to be summed by position: one row per department and code.
 
     The total needs one row per code, as a code may sit in several departments.
     """
@@ -197,23 +193,25 @@ def partner_level_counts(
         joined = per_dept.join(done, "code", "left").selectExpr(*per_dept.columns, "coalesce(found, 0) AS active")
     per_code = joined.groupBy("code").agg(*[F.expr(f"max({f}) AS {f}") for f in flags])
     levels = joined.select("pos", *flags).union(per_code.selectExpr(f"{_total_pos(params)}", *flags))
-    return levels.groupBy("pos").agg(
-        F.expr("sum(is_current) AS new_current"),
-        F.expr("sum(is_prior) AS new_prior"),
-        F.expr("sum(is_either) AS new_either"),
-        F.expr("sum(is_current * active) AS active_current"),
-        F.expr("sum(is_prior * active) AS active_prior"),
+    return levels.selectExpr(
+        "pos",
+        "1 AS listed",
+        "is_current AS new_current",
+        "is_prior AS new_prior",
+        "is_either AS new_either",
+        "is_current * active AS active_current",
+        "is_prior * active AS active_prior",
     )
 
 
 def order_level_counts(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
-    """Order counts by position: one row per department and order id, then sums."""
+    """Order counts, to be summed by position: one row per department and order id."""
     owners = listed_partners(partners, params).where("verified").select("pos", "code").distinct()
     facts = year_orders(orders, params).where("ord_id IS NOT NULL")
     per_dept = lookup_join(facts, owners, "code").groupBy("pos", "ord_id").agg(F.expr("max(int(ok)) AS ok"))
     per_order = per_dept.groupBy("ord_id").agg(F.expr("max(ok) AS ok"))
     levels = per_dept.select("pos", "ok").union(per_order.selectExpr(f"{_total_pos(params)}", "ok"))
-    return levels.groupBy("pos").agg(F.expr("count(1) AS orders_raised"), F.expr("sum(ok) AS orders_ok"))
+    return levels.selectExpr("pos", "1 AS orders_raised", "ok AS orders_ok")
 
 
 # ---------------------------------------------------------------------- rollup
@@ -260,31 +258,25 @@ def partner_report(partners: DataFrame, orders: DataFrame, params: ReportParams)
     """The report, unordered; see ``in_report_order``."""
     if len(params.departments) > MAX_BIT_DEPARTMENTS:
         return partner_report_two_level(partners, orders, params)
-    parts = [
-        partner_bit_counts(partners, params, orders),
-        order_bit_counts(partners, orders, params),
-        _empty_total(params, partners.sparkSession),
-    ]
-    return finish(_merge(parts), params)
+    counts = partner_bit_counts(partners, params, orders), order_bit_counts(partners, orders, params)
+    return finish(_summed(params, *counts), params)
 
 
 def partner_report_two_level(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
     """The same report for any number of departments, by two levels of grouping."""
-    parts = [
-        partner_level_counts(partners, params, orders),
-        order_level_counts(partners, orders, params),
-        _empty_total(params, partners.sparkSession),
-    ]
-    return finish(_merge(parts), params)
+    counts = partner_level_counts(partners, params, orders), order_level_counts(partners, orders, params)
+    return finish(_summed(params, *counts), params)
 
 
 def partner_report_rollup(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
     """The same report as one rollup of distinct counts over deduplicated rows."""
     rows = _measure_rows(partners, orders, params)
     rolled = rows.rollup("pos").agg(F.expr("grouping(pos) AS is_total"), *map(F.expr, DISTINCT_COUNTS))
-    placed = rolled.selectExpr(f"CASE WHEN is_total = 1 THEN {_total_pos(params)} ELSE pos END AS pos", *COUNTS)
-    # A rollup of no rows has no total row.
-    return finish(_merge([placed, _empty_total(params, partners.sparkSession)]), params)
+    placed = rolled.selectExpr(
+        f"CASE WHEN is_total = 1 THEN {_total_pos(params)} ELSE pos END AS pos", "1 AS listed", *COUNTS
+    )
+    # A rollup of no rows has no total row; the sum adds it.
+    return finish(_summed(params, placed), params)
 
 
 def total_row(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
@@ -310,16 +302,16 @@ def in_number_order(numbered: DataFrame) -> DataFrame:
 
 def new_partners(partners: DataFrame, params: ReportParams) -> DataFrame:
     """Newly registered and existing partners, from the partner table alone."""
-    parts = [partner_bit_counts(partners, params), _empty_total(params, partners.sparkSession)]
-    return finish(_merge(parts), params).select(
+    counts = _summed(params, partner_bit_counts(partners, params))
+    return finish(counts, params).select(
         "dept", "new_current", "new_prior", "existing", "is_total", "ord"
     )
 
 
 def active_partners(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
     """Partners with a successful order this year, and the rates over new partners."""
-    parts = [partner_bit_counts(partners, params, orders), _empty_total(params, partners.sparkSession)]
-    return finish(_merge(parts), params).select(
+    counts = _summed(params, partner_bit_counts(partners, params, orders))
+    return finish(counts, params).select(
         "dept",
         "active_current",
         "active_prior",
@@ -334,8 +326,8 @@ def active_partners(partners: DataFrame, orders: DataFrame, params: ReportParams
 
 def order_success(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
     """Orders raised and successful; departments without orders are not listed."""
-    parts = [order_bit_counts(partners, orders, params), _empty_total(params, partners.sparkSession)]
-    return finish(_merge(parts), params).select(
+    counts = _summed(params, order_bit_counts(partners, orders, params), present="orders_raised")
+    return finish(counts, params).select(
         "dept", "orders_raised", "orders_ok", "order_rate", "is_total", "ord"
     )
 
