@@ -99,7 +99,7 @@ def ascii_name_column(text: Column) -> Column:
 
 
 def unicode_name_column(text: Column) -> Column:
-    return F.regexp_replace(_underscored(text), rf"[^\p{{L}}\p{{N}}_{_WHITE}]+", "")
+    return F.regexp_replace(_underscored(text), r"[^\p{L}\p{N}_\s\p{Z}\x1c-\x1f\x85]+", "")
 
 
 def table_column_column(text: Column, position: Column) -> Column:

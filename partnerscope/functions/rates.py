@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 NUMBER_TEXT = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
-# Lower bound of each percent band and its background colour.
+# Lower bound of each percent band and its background colour. The bounds
+# lie 20 apart.
 PERCENT_BANDS = (
     (80, "#4CAF50"),
     (60, "#A5D6A7"),
@@ -39,18 +40,20 @@ def percent_number(text: Column) -> Column:
 
 def percent_band(text: Column) -> Column:
     """Band 5 (from 80 up) down to 1 (below 20); NULL without a percent number."""
-    number = percent_number(text)
-    band = F.when(number.isNull(), F.lit(None).cast("int"))
-    for i, (low, _) in enumerate(PERCENT_BANDS):
-        band = band.when(number >= low, F.lit(len(PERCENT_BANDS) + 1 - i))
-    return band.otherwise(F.lit(1))
+    return number_band(percent_number(text))
+
+
+def number_band(number: Column) -> Column:
+    """Band of a percent number; NULL for none."""
+    highest, lowest, steps = PERCENT_BANDS[0][0], PERCENT_BANDS[-1][0], len(PERCENT_BANDS)
+    step = (highest - lowest) // (steps - 1)
+    bucket = F.width_bucket(number, F.lit(lowest), F.lit(highest + step), F.lit(steps))
+    return F.when(number.isNotNull(), F.least(bucket + 1, F.lit(steps + 1)).cast("int"))
 
 
 def band_colour(band: Column) -> Column:
-    colour = F.when(band.isNull(), F.lit(None).cast("string"))
-    for i, (_, value) in enumerate(PERCENT_BANDS):
-        colour = colour.when(band == len(PERCENT_BANDS) + 1 - i, F.lit(value))
-    return colour.otherwise(F.lit(LOWEST_BAND_COLOUR))
+    colours = [LOWEST_BAND_COLOUR] + [colour for _, colour in reversed(PERCENT_BANDS)]
+    return F.when(band.isNotNull(), F.element_at(F.array(*[F.lit(c) for c in colours]), band))
 
 
 def rate_above(text: Column, limit: float = 50.0) -> Column:

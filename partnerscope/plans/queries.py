@@ -249,9 +249,8 @@ def _percent_text() -> Column:
 def percent_parse_band(spark, folder):
     lines = table(spark, folder, "lineitem")
     text = F.when(F.col("l_returnflag") == "N", F.lit("-")).otherwise(_percent_text())
-    shown = lines.select(text.alias("text")).select(
-        rates.percent_number(F.col("text")).alias("number"), rates.percent_band(F.col("text")).alias("band")
-    )
+    numbers = lines.select(text.alias("text")).select(rates.percent_number(F.col("text")).alias("number"))
+    shown = numbers.withColumn("band", rates.number_band(F.col("number")))
     return shown.groupBy("band").agg(
         F.count(F.lit(1)).alias("n"), F.min("number").alias("lowest"), F.max("number").alias("highest")
     )

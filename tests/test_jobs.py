@@ -108,3 +108,20 @@ def test_upload_new(spark, tmp_path):
     places = str(tmp_path / "target"), str(tmp_path / "checkpoint")
     assert jobs.upload_new(spark, str(landing), *places, layout) == 1
     assert jobs.upload_new(spark, str(landing), *places, layout) == 0
+
+
+def test_sheet_without_rows(spark, tmp_path):
+    database = new_database(spark, "job")
+    path = tmp_path / "none.xlsx"
+    path.write_bytes(workbook.make_workbook(["a", "b"], []))
+    assert jobs.load_sheet(spark, str(path), database) == (f"{database}.none", 0)
+    assert spark.table(f"{database}.none").columns == ["id", "a", "b"]
+
+
+def test_headings_that_repeat_load_alike(spark, tmp_path):
+    """The same name rule makes the table and the rows, so every column is filled."""
+    database = new_database(spark, "job")
+    path = tmp_path / "t.xlsx"
+    path.write_bytes(workbook.make_workbook(["1 x", "!", "a", "A"], [(1, 2, 3, 4)]))
+    jobs.load_sheet(spark, str(path), database)
+    assert spark.table(f"{database}.t").first().asDict() == {"id": 1, "col_1_x": 1, "col_2": 2, "a": 3, "a_2": 4}

@@ -28,7 +28,7 @@ def test_rate_against_whole_numbers(spark):
 
 @pytest.mark.parametrize(
     "text, number, band",
-    [("66.7%", 66.7, 4), ("66,7%", 66.7, 4), ("80%", 80.0, 5), ("40%", 40.0, 3), ("20.0%", 20.0, 2), ("0.0%", 0.0, 1), ("abc%", None, None), ("66.7", None, None), ("nan%", None, None), ("5d%", None, None), (None, None, None)],
+    [("66.7%", 66.7, 4), ("100.0%", 100.0, 5), ("250%", 250.0, 5), ("79.9%", 79.9, 4), ("60%", 60.0, 4), ("-5%", -5.0, 1), ("66,7%", 66.7, 4), ("80%", 80.0, 5), ("40%", 40.0, 3), ("20.0%", 20.0, 2), ("0.0%", 0.0, 1), ("abc%", None, None), ("66.7", None, None), ("nan%", None, None), ("5d%", None, None), (None, None, None)],
 )
 def test_percent(spark, text, number, band):
     assert texts(spark, [text], rates.percent_number) == [number]
