@@ -332,6 +332,31 @@ def order_success(partners: DataFrame, orders: DataFrame, params: ReportParams)
     )
 
 
+def partner_activity(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
+    """Every listed partner with its orders of the year: how many, and whether one succeeded.
+
+    The year test comes before the left join, so partners without orders stay.
+    """
+    per_code = (
+        year_orders(orders, params)
+        .groupBy("code", "ord_id")
+        .agg(F.expr("bool_or(ok) AS ok"))
+        .groupBy("code")
+        .agg(F.expr("count(ord_id) AS n"), F.expr("bool_or(ok) AS good"))
+    )
+    return (
+        listed_partners(partners, params)
+        .join(per_code, "code", "left")
+        .selectExpr(
+            f"{_labels(params)} AS dept",
+            "code",
+            "verified",
+            "coalesce(n, 0) AS orders_raised",
+            "coalesce(good, false) AS active",
+        )
+    )
+
+
 def join_sizes(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
     """Rows per department of the report's two left joins, plain and deduplicated.
 

@@ -14,8 +14,9 @@ from partnerscope.operators.measures import order_view, partner_view
 from partnerscope.operators.report import in_report_order, partner_report
 from partnerscope.operators.tables import append_numbered, create_table, drop_tables
 from partnerscope.params import ORDER_TABLE, PARTNER_TABLE, ReportParams
-from partnerscope.session import unstage, written
-from partnerscope.sources.feeds import read_workbook_feed
+from partnerscope.session import stage, unstage, written
+from partnerscope.sources.feeds import sheet_frame, sheet_layout
+from partnerscope.sources.workbook import read_workbooks
 from partnerscope.streaming.ingest import ingest_sheets
 
 DEFAULT_DATABASE = "excel_import"
@@ -41,13 +42,26 @@ def load_sheet(
 ) -> tuple[str, int]:
     """Loads workbooks into a table, by default named after the file; returns it and the rows added."""
     database, table = database or DEFAULT_DATABASE, table or catalog_name(table_name(path))
-    frame, layout, staged = read_workbook_feed(spark, path, rule, tidy, wide)
+    return f"{database}.{table}", load_sheet_rows(read_workbooks(spark, path), database, table, rule, tidy, wide)
+
+
+def load_sheet_rows(
+    rows: DataFrame, database: str, table: str, rule: str = "ascii", tidy: bool = False, wide: bool = False
+) -> int:
+    """Loads sheet rows into a table and returns how many were added.
+
+    The rows are staged: opening workbooks is the costly step, and both the choice of
+    types and the load read them.
+    """
+    spark = rows.sparkSession
+    staged = stage(rows, "sheets")
     try:
+        kept = spark.table(staged)
+        layout = sheet_layout(kept, rule, tidy, wide)
         create_table(spark, database, table, layout)
-        added = append_numbered(spark, frame, "path", "row_no", database, table)
+        return append_numbered(spark, sheet_frame(kept, layout), "path", "row_no", database, table)
     finally:
         unstage(spark, staged)
-    return f"{database}.{table}", added
 
 
 def upload_partners(spark: SparkSession, path: str, database: str, **options) -> int:
@@ -125,6 +139,7 @@ __all__ = [
     "generate_report",
     "load_report_cleanup",
     "load_sheet",
+    "load_sheet_rows",
     "query_then_drop",
     "run_query",
     "total_last",

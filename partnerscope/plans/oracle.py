@@ -49,6 +49,14 @@ def _rate(a: str, b: str) -> str:
     )
 
 
+def _blank(source: str, shown: str = "''") -> str:
+    """The same rows with text codes, every tenth of them empty."""
+    for key in ("c_custkey", "o_custkey"):
+        text = f"CASE WHEN {key} % 10 = 0 THEN {shown} ELSE CAST({key} AS VARCHAR) END"
+        source = source.replace(f"SELECT {key} AS code", f"SELECT {text} AS code")
+    return source
+
+
 # Both left joins as they stand, every order paired with every successful order.
 LITERAL = f"""
 joined AS (
@@ -199,6 +207,18 @@ def oracle() -> dict[str, str]:
         "partner_report_two_level": published,
         "partner_report_typed": published,
         "loaded_report": published,
+        "workbook_report": published,
+        "partner_report_collated": published,
+        "partner_report_blank_codes": f"WITH {_blank(PARTNERS)}, {_blank(ORDERS)}, {LITERAL} SELECT {REPORT_LIST} FROM report",
+        "partner_report_blank_as_null": f"""WITH {_blank(PARTNERS, "NULL")}, {_blank(ORDERS, "NULL")}, {LITERAL}
+            SELECT {REPORT_LIST} FROM report""",
+        "partner_activity": f"""WITH {PARTNERS}, {ORDERS}
+            SELECT 'N' || lpad(substr(p.dept, 8), 2, '0') AS dept, p.code, p.status = 'verified' AS verified,
+                   count(DISTINCT o.ord_id) AS orders_raised, coalesce(bool_or(o.status = 'F'), false) AS active
+            FROM partner p LEFT JOIN (SELECT * FROM purchase WHERE date_text LIKE '%{CURRENT_YEAR}%') o ON o.code = p.code
+            WHERE p.dept IN ({NAMES}) GROUP BY 1, 2, 3""",
+        "text_total": """SELECT CAST(sum(CASE WHEN l_returnflag = 'N' THEN 0 ELSE CAST(l_quantity AS INTEGER) END) AS BIGINT) AS total
+            FROM lineitem""",
         "partner_report_shared_codes": f"WITH {EXTENDED}, {ORDERS}, {LITERAL} SELECT {REPORT_LIST} FROM report",
         "partner_report_numbered": f"{NUMBERED_REPORT} SELECT {NUMBERED_LIST} FROM numbered",
         "partner_total_only": f"{REPORT} SELECT {REPORT_LIST} FROM report WHERE is_total",

@@ -17,6 +17,8 @@ from partnerscope.plans.star_model import (
     star_partners,
     star_partners_extended,
     table,
+    with_blank_codes,
+    with_mixed_case,
 )
 from partnerscope.session import new_database, new_folder, written
 from partnerscope.sources import feeds, workbook
@@ -78,6 +80,27 @@ def partner_report_shared_codes(spark, folder):
     return _published(report.partner_report(partners, star_orders(spark, folder), star_params()))
 
 
+@query
+def partner_report_blank_codes(spark, folder):
+    """Empty codes are one code like any other, on both sides."""
+    partners, orders = (with_blank_codes(df) for df in _model(spark, folder))
+    return _published(report.partner_report(partners, orders, star_params()))
+
+
+@query
+def partner_report_blank_as_null(spark, folder):
+    """Empty codes count as missing: neither counted nor joined."""
+    partners, orders = (with_blank_codes(df) for df in _model(spark, folder))
+    return _published(report.partner_report(partners, orders, star_params(blank_as_null=True)))
+
+
+@query
+def partner_report_collated(spark, folder):
+    """Status texts that differ in case only are the same under a collation."""
+    partners, orders = (with_mixed_case(df) for df in _model(spark, folder))
+    return _published(report.partner_report(partners, orders, star_params(collation="UTF8_LCASE")))
+
+
 @query
 def partner_report_numbered(spark, folder):
     return report.in_number_order(_numbered(spark, folder)).select(*report.NUMBERED_COLUMNS)
@@ -134,6 +157,11 @@ def order_success_rate(spark, folder):
     return rows.select("dept", "orders_raised", "orders_ok", "order_rate")
 
 
+@query
+def partner_activity(spark, folder):
+    return report.partner_activity(*_model(spark, folder), star_params())
+
+
 @query
 def partner_orders_fanout(spark, folder):
     return report.join_sizes(*_model(spark, folder), star_params())
@@ -287,6 +315,14 @@ def tolerant_number(spark, folder):
     )
 
 
+@query
+def text_total(spark, folder):
+    """Sum of whole numbers held as text, empty where there is none."""
+    lines = table(spark, folder, "lineitem")
+    text = F.when(F.col("l_returnflag") == "N", F.lit("")).otherwise(F.col("l_quantity").cast("int").cast("string"))
+    return digest.text_total(lines.select(text.alias("quantity")), "quantity")
+
+
 @query
 def blank_nan_clean(spark, folder):
     """Blanks filled on reading; on loading only missing values and ``nan`` become NULL."""
@@ -507,6 +543,27 @@ def query_then_drop(spark, folder):
     return jobs.query_then_drop(spark, text, database, status=star_params().success)
 
 
+def _positional(df: DataFrame, width: int) -> DataFrame:
+    """The feed with all its sheet columns, the unused ones empty."""
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in (f"col_{i}" for i in range(1, width + 1))])
+
+
+@query
+def workbook_report(spark, folder):
+    """The report job from workbooks: both feeds packed, opened, typed, loaded and reported."""
+    database = new_database(spark, "workbook_report")
+    feeds_of = (
+        (PARTNER_TABLE, _positional(_partner_feed(spark, folder), 22)),
+        (ORDER_TABLE, _positional(_order_feed(spark, folder), 27)),
+    )
+    for name, feed in feeds_of:
+        packed = workbook.pack_workbooks(feed, [None] * len(feed.columns))
+        jobs.load_sheet_rows(workbook.workbook_rows(packed), database, name, rule="unicode", wide=True)
+    delivery = jobs.generate_report(spark, database, star_params())
+    jobs.cleanup(spark, database)
+    return delivery.report.select(*report.REPORT_COLUMNS)
+
+
 @query
 def loaded_report(spark, folder):
     """The report job: both feeds into typed tables, the report kept, the tables dropped."""

@@ -68,6 +68,16 @@ def star_partners_extended(spark: SparkSession, folder: str) -> DataFrame:
     return star_partners(spark, folder).union(second).union(without_code)
 
 
+def with_blank_codes(df: DataFrame) -> DataFrame:
+    """Codes as text, every tenth of them empty: one code with a tenth of all rows."""
+    return df.withColumn("code", F.expr("CASE WHEN code % 10 = 0 THEN '' ELSE CAST(code AS string) END"))
+
+
+def with_mixed_case(df: DataFrame) -> DataFrame:
+    """Status texts in capitals where the code is odd and in small letters elsewhere."""
+    return df.withColumn("status", F.expr("CASE WHEN code % 2 = 1 THEN upper(status) ELSE lower(status) END"))
+
+
 def star_orders(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").selectExpr(
         "o_custkey AS code",

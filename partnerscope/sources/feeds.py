@@ -17,8 +17,6 @@ from partnerscope.functions.values import (
     null_for_load,
     number_tidy,
 )
-from partnerscope.session import stage
-from partnerscope.sources.workbook import read_workbooks
 
 TEXT_TYPE = "varchar(255)"
 
@@ -122,20 +120,6 @@ def sheet_frame(rows: DataFrame, layout: list[LoadColumn]) -> DataFrame:
     return rows.where(F.col("row_no") > 0).select(*out)
 
 
-def read_workbook_feed(
-    spark: SparkSession, path: str, rule: str = "ascii", tidy: bool = False, wide: bool = False
-) -> tuple[DataFrame, list[LoadColumn], str]:
-    """All workbooks under a path as one frame, the columns to load, and the staged table.
-
-    The sheet rows are staged: opening workbooks is the costly step, and both the choice
-    of types and the load read them. The caller drops the table after use.
-    """
-    staged = stage(read_workbooks(spark, path), "sheets")
-    rows = spark.table(staged)
-    layout = sheet_layout(rows, rule, tidy, wide)
-    return sheet_frame(rows, layout), layout, staged
-
-
 # --------------------------------------------------------------- other sources
 
 

@@ -121,7 +121,9 @@ def test_folder_of_workbooks(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"{i}.xlsx").write_bytes(workbook.make_workbook(["k", "v"], [(i * 10 + j, f"t{j}") for j in range(4)]))
     (tmp_path / "notes.txt").write_text("no sheet")
-    frame, columns, _ = feeds.read_workbook_feed(spark, str(tmp_path))
+    rows = workbook.read_workbooks(spark, str(tmp_path))
+    columns = feeds.sheet_layout(rows)
+    frame = feeds.sheet_frame(rows, columns)
     assert frame.count() == 12 and [c.type for c in columns] == ["int", feeds.TEXT_TYPE]
 
 
