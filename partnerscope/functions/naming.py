@@ -64,10 +64,13 @@ def table_column(name: str, position: int) -> str:
 HEADER_RULES: dict[str, Callable[[str], str]] = {"ascii": ascii_name, "unicode": unicode_name}
 
 
-def column_names(headers: Sequence[str | None], rule: str = "ascii") -> list[str]:
-    """Raw headers to unique table column names, by one rule for table and data."""
+def column_names(headers: Sequence[str | None], rule: str = "ascii", reserved: Sequence[str] = ()) -> list[str]:
+    """Raw headers to unique table column names, by one rule for table and data.
+
+    ``reserved`` names are not given out, such as that of the table's own id.
+    """
     clean = HEADER_RULES[rule]
-    names, taken = [], set()
+    names, taken = [], set(reserved)
     for i, header in enumerate(fill_blank_headers(headers), start=1):
         name = base = table_column(clean(header), i)
         copy = 2

@@ -46,6 +46,18 @@ def order_view(table: DataFrame) -> DataFrame:
     )
 
 
+def with_common_codes(partners: DataFrame, orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Codes of one type on both sides.
+
+    A code column loads as numbers, but as text such as ``7.0`` where it has blanks. If
+    the sides differ, both become text without that ending.
+    """
+    if partners.schema["code"].dataType == orders.schema["code"].dataType:
+        return partners, orders
+    plain = F.expr("regexp_replace(CAST(code AS string), '[.]0$', '')")
+    return partners.withColumn("code", plain), orders.withColumn("code", plain)
+
+
 def apply_text_rules(df: DataFrame, params: ReportParams) -> DataFrame:
     """Blank and collation rules on every text column; no-op by default."""
     if params.collation is None and not params.blank_as_null:

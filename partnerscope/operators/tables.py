@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from partnerscope.session import stage, unstage
-from partnerscope.sources.feeds import TEXT_TYPE, LoadColumn
+from partnerscope.sources.feeds import ID, TEXT_TYPE, LoadColumn
 
-ID = "id"
 # Offsets of this many files (some 20 MB) may be broadcast; of more they are joined.
 MAX_BROADCAST_FILES = 200_000
 

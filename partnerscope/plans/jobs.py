@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from partnerscope.functions.naming import catalog_name, table_name
 from partnerscope.operators.cells import fail_if_empty, total_last
 from partnerscope.operators.digest import digest_message
-from partnerscope.operators.measures import order_view, partner_view
+from partnerscope.operators.measures import order_view, partner_view, with_common_codes
 from partnerscope.operators.report import in_report_order, partner_report
 from partnerscope.operators.tables import append_numbered, create_table, drop_tables
 from partnerscope.params import ORDER_TABLE, PARTNER_TABLE, ReportParams
@@ -87,8 +87,10 @@ class Delivery:
 
 def generate_report(spark: SparkSession, database: str, params: ReportParams) -> Delivery:
     """The report over the two loaded tables, computed once and written down."""
-    partners = partner_view(spark.table(f"`{database}`.`{PARTNER_TABLE}`"))
-    orders = order_view(spark.table(f"`{database}`.`{ORDER_TABLE}`"))
+    partners, orders = with_common_codes(
+        partner_view(spark.table(f"`{database}`.`{PARTNER_TABLE}`")),
+        order_view(spark.table(f"`{database}`.`{ORDER_TABLE}`")),
+    )
     report = written(partner_report(partners, orders, params), "report")
     message = digest_message(report, params).first()["message"]
     return Delivery(in_report_order(report), message)

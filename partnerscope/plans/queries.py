@@ -548,6 +548,14 @@ def _positional(df: DataFrame, width: int) -> DataFrame:
     return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in (f"col_{i}" for i in range(1, width + 1))])
 
 
+def _sheet_rows(df: DataFrame, headers: list[str | None]) -> DataFrame:
+    """The frame packed into workbooks by the tasks that read it, and the workbooks opened.
+
+    A table of one file is packed by one task, so the workbooks are spread before opening.
+    """
+    return workbook.workbook_rows(workbook.pack_workbooks(df, headers).repartition("path"))
+
+
 @query
 def workbook_report(spark, folder):
     """The report job from workbooks: both feeds packed, opened, typed, loaded and reported."""
@@ -557,8 +565,8 @@ def workbook_report(spark, folder):
         (ORDER_TABLE, _positional(_order_feed(spark, folder), 27)),
     )
     for name, feed in feeds_of:
-        packed = workbook.pack_workbooks(feed, [None] * len(feed.columns))
-        jobs.load_sheet_rows(workbook.workbook_rows(packed), database, name, rule="unicode", wide=True)
+        rows = _sheet_rows(feed, [None] * len(feed.columns))
+        jobs.load_sheet_rows(rows, database, name, rule="unicode", wide=True)
     delivery = jobs.generate_report(spark, database, star_params())
     jobs.cleanup(spark, database)
     return delivery.report.select(*report.REPORT_COLUMNS)
@@ -591,7 +599,7 @@ def xlsx_ingest(spark, folder):
         F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("gaps"),
     )
     headers = ["Mã ĐH", None, "Trạng thái", "Số tiền", "Ngày", "2 Ưu tiên", "Trạng thái"]
-    rows = written(workbook.workbook_rows(workbook.pack_workbooks(orders, headers)), "sheets")
+    rows = written(_sheet_rows(orders, headers), "sheets")
     layout = feeds.sheet_layout(rows, rule="unicode", wide=True)
     sheet = feeds.sheet_frame(rows, layout).drop("path", "row_no")
     return sheet.withColumn("ngày", F.date_format("ngày", "yyyy-MM-dd HH:mm:ss"))

@@ -19,6 +19,8 @@ from partnerscope.functions.values import (
 )
 
 TEXT_TYPE = "varchar(255)"
+# The column a loaded table numbers its rows with.
+ID = "id"
 
 
 @dataclass(frozen=True)
@@ -87,7 +89,7 @@ def sheet_layout(rows: DataFrame, rule: str = "ascii", tidy: bool = False, wide:
         if column["first_name"] != column["last_name"] or column["sheets"] not in (0, sheets):
             raise ValueError(f"the sheets disagree on the header of column {column['place'] + 1}")
     layout = []
-    for column, name in zip(profiled, column_names([c["first_name"] for c in profiled], rule)):
+    for column, name in zip(profiled, column_names([c["first_name"] for c in profiled], rule, [ID])):
         text, number, date = column["s"] or column["b"], column["i"] or column["f"], column["d"]
         kind, form = load_type(
             numbers=number and not (text or date),
@@ -143,7 +145,7 @@ def frame_layout(df: DataFrame, rule: str = "ascii", tidy: bool = False, wide: b
         zero = column == 0 if number else F.lit(False)
         figures.append(F.coalesce(F.bool_or(zero), F.lit(False)).alias(f"zero_{i}"))
     found = df.agg(*figures).first()
-    names = column_names(df.columns, rule)
+    names = column_names(df.columns, rule, [ID])
     layout = []
     for i, (field, name) in enumerate(zip(df.schema.fields, names)):
         kind, form = load_type(

@@ -110,6 +110,33 @@ def test_upload_new(spark, tmp_path):
     assert jobs.upload_new(spark, str(landing), *places, layout) == 0
 
 
+def test_number_codes_with_gaps_on_one_side(spark, tmp_path):
+    """Orders without partner make their code column text; it still meets the number codes."""
+    database = new_database(spark, "job")
+
+    def put(width, values):
+        return tuple(values.get(i) for i in range(1, width + 1))
+
+    partners = [put(22, {3: i + 1, 14: d, 17: dt.datetime(2025, 3, 1), 22: s}) for i, (_, d, s, _) in enumerate(PARTNERS)]
+    orders = [put(27, {3: i, 12: c, 25: dt.datetime(2025, 4, 1), 27: "Thành công"}) for i, c in enumerate((1, 2, None, 1))]
+    for name, rows, upload in (("p", partners, jobs.upload_partners), ("o", orders, jobs.upload_orders)):
+        path = tmp_path / f"{name}.xlsx"
+        path.write_bytes(workbook.make_workbook([None] * len(rows[0]), rows))
+        upload(spark, str(path), database)
+    made = jobs.generate_report(spark, database, PARAMS).report
+    assert [(r.dept, r.new_current, r.active_current, r.orders_raised) for r in made.collect()] == [
+        ("BLC", 1, 1, 2), ("CĐC", 1, 1, 1), ("CGC", 1, 0, 0), ("TỔNG CỘNG", 3, 2, 3),
+    ]
+
+
+def test_sheet_with_its_own_id(spark, tmp_path):
+    database = new_database(spark, "job")
+    path = tmp_path / "t.xlsx"
+    path.write_bytes(workbook.make_workbook(["ID", "a"], [(7, "x")]))
+    jobs.load_sheet(spark, str(path), database)
+    assert spark.table(f"{database}.t").first().asDict() == {"id": 1, "id_2": 7, "a": "x"}
+
+
 def test_sheet_without_rows(spark, tmp_path):
     database = new_database(spark, "job")
     path = tmp_path / "none.xlsx"
