@@ -344,16 +344,13 @@ def partner_activity(partners: DataFrame, orders: DataFrame, params: ReportParam
         .groupBy("code")
         .agg(F.expr("count(ord_id) AS n"), F.expr("bool_or(ok) AS good"))
     )
-    return (
-        listed_partners(partners, params)
-        .join(per_code, "code", "left")
-        .selectExpr(
-            f"{_labels(params)} AS dept",
-            "code",
-            "verified",
-            "coalesce(n, 0) AS orders_raised",
-            "coalesce(good, false) AS active",
-        )
+    joined = lookup_join(listed_partners(partners, params), per_code, "code", "left")
+    return joined.selectExpr(
+        f"{_labels(params)} AS dept",
+        "code",
+        "verified",
+        "coalesce(n, 0) AS orders_raised",
+        "coalesce(good, false) AS active",
     )
 
 

@@ -35,20 +35,27 @@ def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
     key: str,
+    how: str = "inner",
     min_rows: int = MIN_HOT_ROWS,
     max_keys: int = MAX_HOT_KEYS,
     split_from: int = SPLIT_FROM_BYTES,
 ) -> DataFrame:
-    """Inner join of facts with a lookup that has a few rows per key.
+    """Inner or left join of facts with a lookup that has a few rows per key.
 
     From ``split_from`` bytes of facts on, the facts of hot keys are split off: they
-    meet their lookup rows by broadcast and are never moved, and all other facts go through the ordinary join on the key. Both parts together are
-    the whole join. The broadcasts hold the hot keys and their lookup rows only.
+    meet their lookup rows by broadcast and are never moved, and all other facts go
+    through the ordinary join on the key. Both parts together are the whole join. The
+    broadcasts hold the hot keys and their lookup rows only. In a left join, facts
+    without key stay with the hot ones, as the ordinary join would move them to one task.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"no lookup join of kind {how}")
     if estimated_bytes(facts) < split_from:
-        return facts.join(lookup, key)
-    hot = hot_keys(facts, key, min_rows, max_keys)
-    hot_lookup = lookup.join(F.broadcast(hot), key, "left_semi")
-    hot_facts = facts.join(F.broadcast(hot_lookup), key)
-    other_facts = facts.join(F.broadcast(hot), key, "left_anti").join(lookup, key)
-    return hot_facts.unionByName(other_facts)
+        return facts.join(lookup, key, how)
+    hot = F.broadcast(hot_keys(facts, key, min_rows, max_keys))
+    hot_lookup = F.broadcast(lookup.join(hot, key, "left_semi"))
+    others = facts.join(hot, key, "left_anti").where(F.col(key).isNotNull()).join(lookup, key, how)
+    split = facts.join(hot, key, "left_semi")
+    if how == "left":
+        split = split.unionByName(facts.where(F.col(key).isNull()))
+    return split.join(hot_lookup, key, how).unionByName(others)

@@ -2,6 +2,7 @@ import random
 
 import pytest
 from brute import ORDER_SCHEMA, PARTNER_SCHEMA, report as brute_report
+from pyspark.sql import functions as F
 
 from partnerscope import default_params
 from partnerscope.operators import report, skew
@@ -167,9 +168,9 @@ def test_forms_against_sets(spark, form, seed):
 def test_split_of_hot_codes_changes_nothing(spark, form, monkeypatch):
     split = []
 
-    def always_split(facts, lookup, key):
+    def always_split(facts, lookup, key, how="inner"):
         split.append(skew.hot_keys(facts, key, min_rows=5, max_keys=3).count())
-        return skew.lookup_join(facts, lookup, key, min_rows=5, max_keys=3, split_from=0)
+        return skew.lookup_join(facts, lookup, key, how, min_rows=5, max_keys=3, split_from=0)
 
     monkeypatch.setattr(report, "lookup_join", always_split)
     partners, orders = sample(11)
@@ -177,6 +178,47 @@ def test_split_of_hot_codes_changes_nothing(spark, form, monkeypatch):
     assert split == [3]
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_split_join_is_the_join(spark, how):
+    facts = spark.createDataFrame(
+        [(i, "hot") for i in range(40)] + [(i, f"k{i % 7}") for i in range(30)] + [(i, None) for i in range(9)] + [(1, "alone")],
+        "n int, key string",
+    )
+    lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k2", 4), ("none", 5)], "key string, v int")
+    whole = facts.join(lookup, "key", how)
+    for min_rows in (1, 5, 100):
+        split = skew.lookup_join(facts, lookup, "key", how, min_rows=min_rows, max_keys=2, split_from=0)
+        assert split.columns == whole.columns
+        assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))
+    with pytest.raises(ValueError):
+        skew.lookup_join(facts, lookup, "key", "full")
+
+
+def test_hot_facts_are_not_moved(spark, folder):
+    orders = star_model.star_orders(spark, folder)
+    lookup = orders.select("code").distinct().withColumn("v", F.lit(1))
+    joined = skew.lookup_join(orders.select("code", "ord_id"), lookup, "code", min_rows=1, max_keys=10_000, split_from=0)
+    text = plan(joined)
+    hot = text[: text.index("LeftAnti")]
+    assert hot.index("LeftSemi") < hot.index("FileScan") and "Exchange hashpartitioning(code" not in hot[: hot.index("FileScan")]
+
+
+def test_partner_activity(spark):
+    partners = PARTNERS + [(None, BLC, OK, "2025"), ("CTV009", BLC, "x", "2025"), ("Z", "Phòng khác", OK, "2025")]
+    orders = ORDERS + [("CTV003", "SP003", "2025", DONE), ("CTV003", "SP004", "2024", DONE), (None, "SP9", "2025", DONE)]
+    found = report.partner_activity(*frames(spark, partners, orders), P).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [
+            ("BLC", "CTV001", True, 1, True),
+            ("CĐC", "CTV002", True, 1, True),
+            ("CGC", "CTV003", True, 1, True),
+            ("BLC", None, False, 0, False),
+            ("BLC", "CTV009", False, 0, False),
+        ],
+        key=str,
+    )
+
+
 def test_row_order_of_input_changes_nothing(spark):
     partners, orders = sample(5)
     assert rows(spark, report.partner_report, partners[::-1], orders[::-1]) == rows(spark, report.partner_report, partners, orders)
