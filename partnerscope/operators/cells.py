@@ -38,7 +38,8 @@ def drop_if_present(df: DataFrame, column: str = "stt") -> DataFrame:
 def total_last(df: DataFrame, label: str = "dept", total: str = "TỔNG CỘNG") -> DataFrame:
     """Main rows, then the total row: told apart by label, put together by name.
 
-    A row without label belongs to the main rows.
+    A row without label belongs to the main rows. The frame is read twice: give one that
+    is written down, not one that is costly to compute.
     """
     is_total = F.col(label).eqNullSafe(F.lit(total))
     main = df.where(~is_total).withColumn("is_total", F.lit(False))

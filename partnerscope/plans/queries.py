@@ -21,7 +21,7 @@ from partnerscope.plans.star_model import (
     with_mixed_case,
 )
 from partnerscope.session import new_database, new_folder, written
-from partnerscope.sources import feeds, workbook
+from partnerscope.sources import feeds, jdbc, workbook
 from partnerscope.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,8 +177,11 @@ def nulls_last_order(spark, folder):
 
 @query
 def union_total_last(spark, folder):
-    """Two ungrouped halves put together by position: departments, then the total."""
-    rows = report.new_partners(star_partners(spark, folder), star_params())
+    """Two halves put together by position: departments, then the total.
+
+    Both come from the same few rows, written down so they are computed once.
+    """
+    rows = written(report.new_partners(star_partners(spark, folder), star_params()), "halves")
     main = rows.where(~F.col("is_total")).select(F.col("ord").cast("bigint"), "dept", "new_current")
     total = rows.where("is_total").select(F.lit(None), F.lit(star_params().total_label), "new_current")
     return main.union(total).orderBy(F.col("ord").asc_nulls_last())
@@ -371,8 +374,6 @@ def drop_first_column(spark, folder):
 @query
 def aliased_projection(spark, folder):
     """The backlog report: columns picked, two renamed, one name with symbols."""
-    from partnerscope.sources.jdbc import backlog
-
     backlogs = table(spark, folder, "lineitem").select(
         F.col("l_returnflag").alias("PBH"),
         F.col("l_orderkey").alias("thucuoc"),
@@ -385,7 +386,7 @@ def aliased_projection(spark, folder):
         F.col("l_tax").alias("tong_ton"),
         F.col("l_shipdate"),
     )
-    return backlog(backlogs)
+    return jdbc.backlog(backlogs)
 
 
 @query

@@ -31,6 +31,7 @@ BATCH_ROWS = 20_000
 
 # XML namespaces of the sheet format.
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+C, V, T, R, IS = (MAIN + tag for tag in ("c", "v", "t", "r", "is"))
 OFFICE = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 # Numbers of the built-in date formats.
 DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
@@ -44,9 +45,10 @@ MISSING = {
 
 def _texts(node) -> str:
     """Text of a string item: its own or its runs', without phonetic hints."""
-    parts = [t.text or "" for t in node.findall(f"{MAIN}t")]
-    parts += [t.text or "" for r in node.findall(f"{MAIN}r") for t in r.findall(f"{MAIN}t")]
-    return "".join(parts)
+    runs = node.findall(R)
+    if not runs:
+        return node.findtext(T, "")
+    return node.findtext(T, "") + "".join(r.findtext(T, "") for r in runs)
 
 
 def _shared_strings(book: zipfile.ZipFile) -> list[str]:
@@ -102,42 +104,44 @@ def _date_text(serial: float, from_1904: bool) -> str:
     return moment.isoformat(sep=" ")
 
 
-def _column_index(reference: str) -> int:
-    index = 0
-    for letter in reference:
-        if not letter.isalpha():
-            break
-        index = index * 26 + ord(letter.upper()) - 64
-    return index - 1
+class _ColumnIndex(dict):
+    """Place of a column by its letters, worked out once per column."""
+
+    def __missing__(self, letters: str) -> int:
+        index = 0
+        for letter in letters:
+            index = index * 26 + ord(letter.upper()) - 64
+        self[letters] = index - 1
+        return index - 1
 
 
 def _cell(node, strings: list[str], dated: set[int], from_1904: bool) -> tuple[str, str]:
     """Kind and text of one cell."""
     kind = node.get("t", "n")
     if kind == "inlineStr":
-        inline = node.find(f"{MAIN}is")
+        inline = node.find(IS)
         text = _texts(inline) if inline is not None else ""
     else:
-        value = node.find(f"{MAIN}v")
-        text = (value.text or "") if value is not None else ""
+        text = node.findtext(V, "")
         if kind == "s" and text:
             text = strings[int(text)]
     if kind == "e" or text in MISSING:
         return "-", ""
+    if kind == "n":
+        style = node.get("s")
+        if style is not None and int(style) in dated:
+            shown = _date_text(float(text), from_1904)
+            return ("d" if "-" in shown else "s"), shown
+        if text.lstrip("-").isdecimal():
+            return "i", str(int(text))
+        number = float(text)
+        return ("i", str(int(number))) if number.is_integer() else ("f", repr(number))
     if kind == "b":
         return "b", "1" if text in ("1", "true") else "0"
     if kind == "d":
         moment = dt.datetime.fromisoformat(text.replace("Z", ""))
         return "d", moment.isoformat(sep=" ")
-    if kind != "n":
-        return "s", text
-    number = float(text)
-    if int(node.get("s", 0)) in dated:
-        shown = _date_text(number, from_1904)
-        return ("d" if "-" in shown else "s"), shown
-    if re.fullmatch(r"[+-]?\d+", text):
-        return "i", str(int(text))
-    return ("i", str(int(number))) if number.is_integer() else ("f", repr(number))
+    return "s", text
 
 
 def read_sheet(content: bytes) -> Iterator[tuple[int, list[str], str]]:
@@ -145,15 +149,16 @@ def read_sheet(content: bytes) -> Iterator[tuple[int, list[str], str]]:
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         strings, dated = _shared_strings(book), _date_styles(book)
         part, from_1904 = _first_sheet(book)
-        width, number, held = 0, -1, []
+        width, number, held, places = 0, -1, [], _ColumnIndex()
         with book.open(part) as sheet:
             for _, node in ElementTree.iterparse(sheet):
                 if node.tag != f"{MAIN}row":
                     continue
                 position = int(node.get("r", number + 2)) - 1
                 cells: dict[int, tuple[str, str]] = {}
-                for cell in node.findall(f"{MAIN}c"):
-                    place = _column_index(cell.get("r", "")) if cell.get("r") else len(cells)
+                for cell in node.iterfind(C):
+                    reference = cell.get("r")
+                    place = places[reference.rstrip("0123456789")] if reference else len(cells)
                     cells[place] = _cell(cell, strings, dated, from_1904)
                 node.clear()
                 while number + 1 < position:
