@@ -74,6 +74,20 @@ def apply_text_rules(df: DataFrame, params: ReportParams) -> DataFrame:
     return df.select(*out)
 
 
+def collated_counts(df: DataFrame, column: str, collation: str) -> DataFrame:
+    """Rows per text under a collation, with the first of the spellings that meet there.
+
+    Spellings are counted as they stand first, by hashing; grouping by collation sorts,
+    and has only the distinct spellings left to sort.
+    """
+    spelled = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return (
+        spelled.groupBy(F.collate(column, collation).alias("_text"))
+        .agg(F.min(column).alias(column), F.sum("n").alias("n"))
+        .drop("_text")
+    )
+
+
 def year_in_text(text: str, year: int) -> Column:
     """The year stands anywhere in the text."""
     return F.expr(f"contains({text}, '{year:d}')")

@@ -115,8 +115,8 @@ def _bit(params: ReportParams) -> str:
 def _count_bits(keys: DataFrame, params: ReportParams, key: str, counted: dict[str, str]) -> DataFrame:
     """Rows of counts by position from one row of bits per key.
 
-    First counts the keys with the same bits: from there on the rows are few, whatever
-    the data size, so each may stand for every position it has a bit for.
+    First counts the keys with the same bits. Keys sit in one or a few departments, so
+    few rows are left, and each may stand for every position it has a bit for.
     """
     kinds = keys.groupBy(*[c for c in keys.columns if c != key]).agg(F.expr("count(1) AS n"))
     placed = kinds.selectExpr("*", f"explode(sequence(0, {_total_pos(params)})) AS pos")

@@ -281,7 +281,9 @@ def oracle() -> dict[str, str]:
             WHERE date_text LIKE '%{CURRENT_YEAR}%' GROUP BY status""",
         "year_typed": f"""SELECT o_orderstatus AS status, count(*) AS orders FROM orders
             WHERE year(o_orderdate) = {CURRENT_YEAR} GROUP BY o_orderstatus""",
-        "collated_group": "SELECT lower(c_mktsegment) AS segment, count(*) AS n FROM customer GROUP BY 1",
+        "collated_group": """SELECT min(segment) AS segment, count(*) AS n FROM (
+              SELECT CASE WHEN c_custkey % 2 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END AS segment FROM customer)
+            GROUP BY lower(segment)""",
         "percent_parse_band": f"""WITH shown AS (
               SELECT CASE WHEN l_returnflag <> 'N' THEN CAST(replace(replace({PERCENT_TEXT}, '%', ''), ',', '.') AS DOUBLE) END AS number
               FROM lineitem)

@@ -262,11 +262,10 @@ def year_typed(spark, folder):
 
 @query
 def collated_group(spark, folder):
-    """Texts that differ in case only are one group."""
+    """Texts that differ in case only are one group, under the first of its spellings."""
     text = F.when(F.col("c_custkey") % 2 == 0, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment"))
-    written = table(spark, folder, "customer").select(F.collate(text, "UTF8_LCASE").alias("segment"))
-    grouped = written.groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
-    return grouped.select(F.lower(F.collate("segment", "UTF8_BINARY")).alias("segment"), "n")
+    spelled = table(spark, folder, "customer").select(text.alias("segment"))
+    return measures.collated_counts(spelled, "segment", "UTF8_LCASE")
 
 
 def _percent_text() -> Column:

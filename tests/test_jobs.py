@@ -4,6 +4,7 @@ import pytest
 from test_report import GOLDEN, ORDERS, PARTNERS
 
 from partnerscope import default_params
+from partnerscope.__main__ import main
 from partnerscope.operators.report import REPORT_COLUMNS
 from partnerscope.params import ORDER_TABLE, PARTNER_TABLE
 from partnerscope.plans import jobs
@@ -152,3 +153,17 @@ def test_headings_that_repeat_load_alike(spark, tmp_path):
     path.write_bytes(workbook.make_workbook(["1 x", "!", "a", "A"], [(1, 2, 3, 4)]))
     jobs.load_sheet(spark, str(path), database)
     assert spark.table(f"{database}.t").first().asDict() == {"id": 1, "col_1_x": 1, "col_2": 2, "a": 3, "a_2": 4}
+
+
+def test_command_line(spark, feed_files, tmp_path, capsys):
+    database = new_database(spark, "job")
+    main(["report", *feed_files, "--database", database, "--year", "2025"])
+    shown = capsys.readouterr().out
+    assert "TỔNG SL CTVLK Hiện hữu" in shown and "|KTMH" not in shown and "Tỷ lệ chung đạt 66.7%" in shown
+    assert not spark.catalog.tableExists(f"{database}.{PARTNER_TABLE}")
+    path = tmp_path / "Một.xlsx"
+    path.write_bytes(workbook.make_workbook(["a"], [(1,), (2,)]))
+    main(["load", str(path), "--database", database])
+    assert f"2 rows added to {database}.mot" in capsys.readouterr().out
+    main(["query", f"SELECT sum(a) AS s FROM {database}.mot", "--database", database, "--drop", "mot"])
+    assert "|3  |" in capsys.readouterr().out and not spark.catalog.tableExists(f"{database}.mot")

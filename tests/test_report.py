@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from partnerscope import default_params
 from partnerscope.operators import report, skew
-from partnerscope.operators.measures import department_code, order_view, partner_view
+from partnerscope.operators.measures import collated_counts, department_code, order_view, partner_view
 from partnerscope.params import Department
 from partnerscope.plans import star_model
 
@@ -127,6 +127,12 @@ def test_collation(spark):
     assert (no_accent["new_current"], no_accent["orders_ok"]) == (1, 1)
 
 
+def test_collated_counts(spark):
+    df = spark.createDataFrame([("Đã",), ("ĐÃ",), ("đã",), ("đã",), ("da",), (None,)], "t string")
+    assert {tuple(r) for r in collated_counts(df, "t", "UTF8_LCASE").collect()} == {("ĐÃ", 4), ("da", 1), (None, 1)}
+    assert {tuple(r) for r in collated_counts(df, "t", "UNICODE_CI_AI").select("n").collect()} == {(5,), (1,)}
+
+
 def test_year_anywhere_in_text(spark):
     orders = [("CTV001", str(i), t, DONE) for i, t in enumerate(["2025-01-02", "02/01/2025", "X2025Y", "2024", None])]
     assert total(spark, PARTNERS, orders)["orders_raised"] == 3
