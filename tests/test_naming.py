@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,3 +61,15 @@ def test_headings():
 
 def test_upper_headers(spark):
     assert naming.upper_headers(spark.range(1).toDF("pbh đ")).columns == ["PBH Đ"]
+
+
+def test_columns_and_functions_agree_on_random_names(spark):
+    rng = random.Random(3)
+    scripts = [range(32, 127), range(0x80, 0x250), range(0x1E00, 0x1F00), range(0x300, 0x370), range(0x2000, 0x2070), range(0x660, 0x670), range(0x3000, 0x3100), range(9, 32)]
+    names = ["".join(chr(rng.choice(rng.choice(scripts))) for _ in range(rng.randint(1, 8))) for _ in range(2000)]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    found = df.select(
+        "n", naming.ascii_name_column(F.col("n")), naming.unicode_name_column(F.col("n")), naming.table_column_column(F.col("n"), F.lit(5))
+    )
+    wrong = [r for r in found.collect() if tuple(r)[1:] != (naming.ascii_name(r.n), naming.unicode_name(r.n), naming.table_column(r.n, 5))]
+    assert wrong == []

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from brute import rate
 from pyspark.sql import functions as F
@@ -65,3 +67,17 @@ def test_blank_fill(spark):
     df = spark.createDataFrame([(1, None, 2.0, None), (None, "x", float("nan"), True)], "a int, b string, c double, d boolean")
     assert [tuple(r) for r in values.blank_fill(df).collect()] == [("1", "", "2.0", ""), ("", "x", "", "true")]
     assert values.blank_fill(df, ["b"]).schema["a"].dataType.simpleString() == "int"
+
+
+def test_double_text_on_random_numbers(spark):
+    rng = random.Random(4)
+    numbers = [rng.uniform(-1, 1) * 10 ** rng.uniform(-3.9, 14.9) for _ in range(2000)] + [round(rng.uniform(0, 1e9), 2) for _ in range(500)]
+    numbers = [n for n in numbers if 1e-4 <= abs(n) < 1e15]
+    assert texts(spark, numbers, values.double_text, "v double") == [repr(n) for n in numbers]
+
+
+def test_number_tidy_on_random_numbers(spark):
+    rng = random.Random(5)
+    numbers = [float(rng.randint(-(10**k), 10**k)) for k in range(16) for _ in range(40)] + [rng.randint(-9999, 9999) / 8 for _ in range(400)]
+    expected = ["" if n == 0 else str(int(n)) if n.is_integer() else repr(n) for n in numbers]
+    assert texts(spark, numbers, values.number_tidy, "v double") == expected
