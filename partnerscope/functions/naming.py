@@ -98,7 +98,7 @@ def _underscored(text: Column) -> Column:
 
 
 def ascii_name_column(text: Column) -> Column:
-    return F.regexp_replace(_underscored(text), r"[^a-z0-9_]+", "")
+    return F.regexp_replace(_underscored(text), r"\W+", "")  # ASCII only in Java
 
 
 def unicode_name_column(text: Column) -> Column:

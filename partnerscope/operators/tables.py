@@ -63,7 +63,8 @@ def append_numbered(
 ) -> int:
     """Appends rows with ids by their ``source`` and ``place``; returns how many.
 
-    Source and place themselves are not stored. Rows must keep them when they are read
+    One load into a table at a time, as ids go on from the highest one there. Source
+    and place themselves are not stored. Rows must keep them when they are read
     again, as rows read from files do. A column the table lacks is an error; a table
     column the frame lacks becomes NULL.
     """

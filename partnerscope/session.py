@@ -66,7 +66,7 @@ def unstage(spark: SparkSession, name: str) -> None:
 
 
 def written(df: DataFrame, purpose: str = "written") -> DataFrame:
-    """The frame, staged for as long as the result is in use."""
+    """The frame as a staged table that stays, for results handed to the caller."""
     return df.sparkSession.table(stage(df, purpose))
 
 
