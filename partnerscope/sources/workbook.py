@@ -169,7 +169,7 @@ def read_sheet(content: bytes) -> Iterator[tuple[int, list[str], str]]:
                 if all(kind == "-" for kind, _ in cells.values()) and number > 0:
                     continue
                 for i, row in enumerate(held, start=number - len(held) + 1):
-                    width = width or max(row, default=-1) + 1
+                    width = width or max(row, default=0) + 1
                     size = max(width, max(row, default=-1) + 1)
                     pairs = [row.get(c, ("-", "")) for c in range(size)]
                     yield i, [t for _, t in pairs], "".join(k for k, _ in pairs)

@@ -97,6 +97,16 @@ def test_header_rules(spark):
     assert [c.name for c in columns] == ["họ_tên", "col_2", "họ_tên1", "col_2_x"]
 
 
+def test_blank_header_row_and_blank_row_between(spark):
+    rows = '<row r="2"><c r="A2"><v>1</v></c><c r="B2"><v>5</v></c></row><row r="4"><c r="A4"><v>2</v></c><c r="B4"><v>6</v></c></row>'
+    files = spark.createDataFrame([("x.xlsx", bytearray(book(rows)))], "path string, content binary")
+    sheet = workbook.workbook_rows(files)
+    columns = feeds.sheet_layout(sheet)
+    assert [(c.name, c.type) for c in columns] == [("col_1", feeds.TEXT_TYPE), ("col_2", feeds.TEXT_TYPE)]
+    found = feeds.sheet_frame(sheet, columns).orderBy("row_no").collect()
+    assert [(r.row_no, r.col_1, r.col_2) for r in found] == [(1, "1.0", "5.0"), (2, "", ""), (3, "2.0", "6.0")]
+
+
 def test_sheets_must_agree(spark):
     files = [(f"{i}.xlsx", bytearray(workbook.make_workbook([h], [(1,)]))) for i, h in enumerate("ab")]
     sheet = workbook.workbook_rows(spark.createDataFrame(files, "path string, content binary"))
