@@ -31,6 +31,17 @@ def hot_keys(
     return counts.where(F.col("rows") >= min_rows).orderBy(F.desc("rows"), key).limit(max_keys).select(key)
 
 
+def worth_a_split(facts: DataFrame, lookup: DataFrame) -> bool:
+    """Whether a hot key could burden the ordinary join.
+
+    Not where the facts are small, nor where the lookup is small enough for Spark to
+    broadcast it whole, as then no facts are moved by key.
+    """
+    session = facts.sparkSession._jsparkSession.sessionState().conf()
+    broadcast_up_to = int(str(session.autoBroadcastJoinThreshold()))
+    return estimated_bytes(facts) >= SPLIT_FROM_BYTES and estimated_bytes(lookup) > broadcast_up_to
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -38,11 +49,11 @@ def lookup_join(
     how: str = "inner",
     min_rows: int = MIN_HOT_ROWS,
     max_keys: int = MAX_HOT_KEYS,
-    split_from: int = SPLIT_FROM_BYTES,
+    split: bool | None = None,
 ) -> DataFrame:
     """Inner or left join of facts with a lookup that has a few rows per key.
 
-    From ``split_from`` bytes of facts on, the facts of hot keys are split off: they
+    Where it is worth it (or ``split`` is set), facts of hot keys are split off: they
     meet their lookup rows by broadcast and are never moved, and all other facts go
     through the ordinary join on the key. Both parts together are the whole join. The
     broadcasts hold the hot keys and their lookup rows only. In a left join, facts
@@ -50,12 +61,12 @@ def lookup_join(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"no lookup join of kind {how}")
-    if estimated_bytes(facts) < split_from:
+    if not (worth_a_split(facts, lookup) if split is None else split):
         return facts.join(lookup, key, how)
     hot = F.broadcast(hot_keys(facts, key, min_rows, max_keys))
     hot_lookup = F.broadcast(lookup.join(hot, key, "left_semi"))
     others = facts.join(hot, key, "left_anti").where(F.col(key).isNotNull()).join(lookup, key, how)
-    split = facts.join(hot, key, "left_semi")
+    kept = facts.join(hot, key, "left_semi")
     if how == "left":
-        split = split.unionByName(facts.where(F.col(key).isNull()))
-    return split.join(hot_lookup, key, how).unionByName(others)
+        kept = kept.unionByName(facts.where(F.col(key).isNull()))
+    return kept.join(hot_lookup, key, how).unionByName(others)

@@ -176,7 +176,7 @@ def test_split_of_hot_codes_changes_nothing(spark, form, monkeypatch):
 
     def always_split(facts, lookup, key, how="inner"):
         split.append(skew.hot_keys(facts, key, min_rows=5, max_keys=3).count())
-        return skew.lookup_join(facts, lookup, key, how, min_rows=5, max_keys=3, split_from=0)
+        return skew.lookup_join(facts, lookup, key, how, min_rows=5, max_keys=3, split=True)
 
     monkeypatch.setattr(report, "lookup_join", always_split)
     partners, orders = sample(11)
@@ -193,17 +193,33 @@ def test_split_join_is_the_join(spark, how):
     lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k2", 4), ("none", 5)], "key string, v int")
     whole = facts.join(lookup, "key", how)
     for min_rows in (1, 5, 100):
-        split = skew.lookup_join(facts, lookup, "key", how, min_rows=min_rows, max_keys=2, split_from=0)
+        split = skew.lookup_join(facts, lookup, "key", how, min_rows=min_rows, max_keys=2, split=True)
         assert split.columns == whole.columns
         assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))
     with pytest.raises(ValueError):
         skew.lookup_join(facts, lookup, "key", "full")
 
 
+def test_split_only_where_both_sides_are_large(spark, folder, monkeypatch):
+    orders = star_model.star_orders(spark, folder).select("code", "ord_id")
+    lookup = orders.select("code").distinct()
+    assert not skew.worth_a_split(orders, lookup)
+    monkeypatch.setattr(skew, "SPLIT_FROM_BYTES", 1)
+    assert not skew.worth_a_split(orders, lookup)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert skew.worth_a_split(orders, lookup)
+        assert "LeftAnti" in plan(skew.lookup_join(orders, lookup, "code"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "LeftAnti" not in plan(skew.lookup_join(orders, lookup, "code"))
+
+
 def test_hot_facts_are_not_moved(spark, folder):
     orders = star_model.star_orders(spark, folder)
     lookup = orders.select("code").distinct().withColumn("v", F.lit(1))
-    joined = skew.lookup_join(orders.select("code", "ord_id"), lookup, "code", min_rows=1, max_keys=10_000, split_from=0)
+    joined = skew.lookup_join(orders.select("code", "ord_id"), lookup, "code", min_rows=1, max_keys=10_000, split=True)
     text = plan(joined)
     hot = text[: text.index("LeftAnti")]
     assert hot.index("LeftSemi") < hot.index("FileScan") and "Exchange hashpartitioning(code" not in hot[: hot.index("FileScan")]
