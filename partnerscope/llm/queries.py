@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partnerscope.llm import packing, token_counts, toxicity
+from partnerscope.llm import decontaminate, packing, token_counts, toxicity
 from partnerscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,5 +39,12 @@ def op7_toxicity(spark, sf_dir):
     return toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op9_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 #: DuckDB's form of those that SQL can express.
 ORACLE: dict[str, str] = {}
