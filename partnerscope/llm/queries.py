@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partnerscope.llm import decontaminate, packing, token_counts, toxicity
+from partnerscope.llm import decontaminate, packing, substring, token_counts, toxicity
 from partnerscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op3_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+@query
+def op6_substring(spark, sf_dir):
+    return substring.repeat_digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_toxicity(spark, sf_dir):
     return toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
