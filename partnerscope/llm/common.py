@@ -42,20 +42,23 @@ class Work:
     def __init__(self, spark: SparkSession, purpose: str):
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/llm/{purpose}-{uuid.uuid4().hex}"
-        self._places: dict[int, str] = {}
+        self.kept: list[tuple[DataFrame, str]] = []
+        self.number = 0
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        place = f"{self.folder}/{name}-{len(self._places)}"
+        """The frame as a written table."""
+        self.number += 1
+        place = f"{self.folder}/{name}-{self.number}"
         df.write.option("compression", "zstd").parquet(place)
-        kept = self.spark.read.schema(df.schema).parquet(place)
-        self._places[id(kept)] = place
-        self.__dict__.setdefault("_held", []).append(kept)
-        return kept
+        written = self.spark.read.schema(df.schema).parquet(place)
+        self.kept.append((written, place))
+        return written
 
     def drop(self, *frames: DataFrame) -> None:
-        for df in frames:
-            jvm = self.spark._jvm
-            path = jvm.org.apache.hadoop.fs.Path(self._places[id(df)])
+        """Frees tables that ``keep`` returned."""
+        for entry in [e for e in self.kept if any(e[0] is df for df in frames)]:
+            self.kept.remove(entry)
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(entry[1])
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partnerscope.llm import decontaminate, packing, substring, token_counts, toxicity
+from partnerscope.llm import decontaminate, minhash, packing, substring, token_counts, toxicity
 from partnerscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op7_toxicity(spark, sf_dir):
     return toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op8_minhash(spark, sf_dir):
+    return minhash.near_copies(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 @query
 def op9_decontaminate(spark, sf_dir):
     return decontaminate.contaminated_documents(
