@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from partnerscope.llm.common import two_columns
 
@@ -272,27 +273,32 @@ def score(model: ToxicModel, evidence: list[float]) -> float:
     return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, total))))
 
 
-def toxicity_scores(
-    docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+def with_toxicity(docs: DataFrame, model: ToxicModel, text_col: str = "text") -> DataFrame:
+    """All columns of the documents, and ``toxicity``, the score; an input column of that name is replaced."""
+    kept = [n for n in docs.columns if n != "toxicity"]
+    text_at = kept.index(text_col)
+    rows = docs.select(*[F.col(f"`{n}`") for n in kept])
+
+    def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(model.terms)
+        for batch in batches:
+            values = [score(model, matcher.evidence(text.as_py() or "")) for text in batch.column(text_at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], names=[*kept, "toxicity"])
+
+    return rows.mapInArrow(scored, StructType([*rows.schema.fields, StructField("toxicity", DoubleType())]))
+
+
+def toxicity_scores(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Score and decision of every text.
 
     Null and empty texts have no hit and get the score of such documents. Repeated ids keep all
     their rows; no rows give no rows; other columns, whatever their names, are never looked at.
     """
-    rows = two_columns(docs, id_col, text_col)
-
-    def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(model.terms)
-        for batch in batches:
-            values = [score(model, matcher.evidence(text.as_py())) for text in batch.column(1)]
-            decided = pa.array([int(v >= 0.5) for v in values], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(values, pa.float64()), decided], names=["doc_id", "score", "predicted"]
-            )
-
-    return rows.mapInArrow(scored, "doc_id long, score double, predicted int").select(
-        "doc_id", held_out().alias("held_out"), "score", "predicted"
+    return with_toxicity(two_columns(docs, id_col, text_col), model).select(
+        "doc_id",
+        F.coalesce(held_out(), F.lit(False)).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
     )
 
 
