@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partnerscope.llm import decontaminate, minhash, packing, substring, token_counts, toxicity
+from partnerscope.llm import decontaminate, html_extract, minhash, packing, substring, token_counts, toxicity
 from partnerscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,11 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_html_extract(spark, sf_dir):
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_pack(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
