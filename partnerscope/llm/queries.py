@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partnerscope.llm import decontaminate, html_extract, minhash, packing, substring, token_counts, toxicity
+from partnerscope.llm import decontaminate, html_extract, minhash, packing, quality_lines, substring, token_counts, toxicity
 from partnerscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op3_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+@query
+def op4_quality_rules(spark, sf_dir):
+    return quality_lines.rated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op6_substring(spark, sf_dir):
     return substring.repeat_digest(table(spark, sf_dir, "documents"))
