@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partnerscope.llm import decontaminate, html_extract, minhash, packing, quality_lines, substring, token_counts, toxicity
+from partnerscope.llm import chat_format, decontaminate, html_extract, minhash, packing, quality_lines, substring, token_counts, toxicity
 from partnerscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op4_quality_rules(spark, sf_dir):
     return quality_lines.rated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op5_chat_format(spark, sf_dir):
+    return chat_format.formatted(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op6_substring(spark, sf_dir):
     return substring.repeat_digest(table(spark, sf_dir, "documents"))
@@ -67,4 +72,4 @@ def op9_decontaminate(spark, sf_dir):
 
 
 #: DuckDB's form of those that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_chat_format": chat_format.ORACLE_SQL}
