@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partnerscope.llm import chat_format, decontaminate, html_extract, minhash, packing, quality_lines, substring, token_counts, toxicity
+from partnerscope.llm import chat_format, decontaminate, html_extract, language_id, minhash, packing, quality_lines, substring, token_counts, toxicity
 from partnerscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,5 +71,11 @@ def op9_decontaminate(spark, sf_dir):
     )
 
 
+@query
+def op10_language_id(spark, sf_dir):
+    model = language_id.fit(table(spark, sf_dir, "documents"))
+    return language_id.identify(table(spark, sf_dir, "pages"), model)
+
+
 #: DuckDB's form of those that SQL can express.
 ORACLE: dict[str, str] = {"op5_chat_format": chat_format.ORACLE_SQL}
