@@ -101,7 +101,7 @@ def band_levels(n: np.ndarray, percent: int) -> dict[int, np.ndarray]:
 
 def band_keys(regs: np.ndarray, bands: int) -> np.ndarray:
     """A hash of each band's registers; 0 where all of them are empty."""
-    rows = regs.reshape(len(regs), bands, -1).astype(np.uint64)
+    rows = regs.reshape(len(regs), bands, REGISTERS // bands).astype(np.uint64)
     key = np.broadcast_to(np.arange(bands, dtype=np.uint64) + np.uint64(bands << 8), rows.shape[:2]).copy()
     for k in range(rows.shape[2]):
         key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, :, k])

@@ -1,0 +1,150 @@
+"""Every registered operator over the smallest tables, against the plain version or the library."""
+
+import html
+import math
+import re
+import sys
+import zlib
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+from tokenizers import Tokenizer
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+import plain  # noqa: E402
+import public_tokenizers  # noqa: E402
+
+from partnerscope.llm import queries  # noqa: E402
+
+
+@pytest.fixture(scope="module")
+def tables(folder):
+    def read(name):
+        return pq.read_table(f"{folder}/{name}.parquet").to_pylist()
+
+    return read
+
+
+def result(spark, folder, name):
+    return queries.REGISTRY[name](spark, folder).toPandas()
+
+
+def test_names_are_complete():
+    numbers = {int(re.match(r"op(\d+)_", n)[1]) for n in queries.REGISTRY}
+    assert numbers == set(range(1, 11))
+
+
+def test_main_text(spark, folder, tables):
+    found = result(spark, folder, "op1_html_extract")
+    by_id = dict(zip(found.page_id, found.text, strict=True))
+    for page in tables("pages"):
+        own = re.search(r"(?s)<article>(.*?)</article>", page["html"])[1]
+        own = re.sub(r"</?b>", "", own)
+        expected = " ".join(html.unescape(re.sub(r"<[^>]+>", " ", own)).split())
+        assert by_id[page["page_id"]] == expected
+    assert (found.n_chars == found.text.str.len()).all()
+    assert list(found.columns[:4]) == ["page_id", "url", "text", "n_chars"]
+
+
+def test_packing(spark, folder, tables):
+    found = result(spark, folder, "op2_pack")
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    by_doc = {k: g.sort_values("piece") for k, g in found.groupby("doc_id")}
+    for doc in tables("documents"):
+        ids = np.array([*library.encode(doc["text"] or "", add_special_tokens=False).ids, 2], dtype="<u4")
+        own = by_doc.pop(doc["doc_id"])
+        assert list(own.start) == [0, *np.cumsum(own.length)[:-1]] and own.length.sum() == len(ids)
+        assert (own.length.iloc[1:] == 1024).all() and own.length.iloc[0] <= 1024
+        for start, length, crc in zip(own.start, own.length, own.ids_crc32, strict=True):
+            assert zlib.crc32(ids[start : start + length].tobytes()) == crc
+    assert not by_doc
+    placed = found.sort_values(["sequence_id", "offset"])
+    before = placed.groupby("sequence_id").length.cumsum() - placed.length
+    assert (before == placed.offset).all() and placed.groupby("sequence_id").length.sum().max() <= 1024
+    assert found.sequence_id.nunique() <= math.ceil(found.length.sum() / 1024) * 1.01 + 1
+
+
+def test_token_counts(spark, folder, tables):
+    found = result(spark, folder, "op3_token_counts").set_index("doc_id")
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for doc in tables("documents"):
+        row, text = found.loc[doc["doc_id"]], doc["text"] or ""
+        n = len(library.encode(text, add_special_tokens=False).ids)
+        assert (row.n_bytes, row.n_tokens, row.over_limit) == (len(text.encode()), n, n > 2048)
+
+
+def test_quality_counts(spark, folder, tables):
+    found = result(spark, folder, "op4_quality_rules").set_index("doc_id")
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    for doc in tables("documents"):
+        assert tuple(found.loc[doc["doc_id"], names]) == plain.base_counts(doc["text"])
+    assert not (found.kept & found.base_failed).any()
+
+
+def test_quality_verdict(spark, folder, tables):
+    found = result(spark, folder, "op4_quality_rules").set_index("doc_id")
+    rated = [(r["quality"], found.loc[r["doc_id"]]) for r in tables("labels") if r["doc_id"] in found.index]
+    rated = [(q, row.kept) for q, row in rated if not row.base_failed]
+    assert sum(q == int(kept) for q, kept in rated) >= 0.9 * len(rated)
+
+
+def test_chats(spark, folder):
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW conversations AS SELECT * FROM '{folder}/conversations.parquet'")
+    made = queries.REGISTRY["op5_chat_format"](spark, folder)
+    expected = connection.execute(queries.ORACLE["op5_chat_format"])
+    assert [d[0] for d in expected.description] == made.columns
+    assert sorted(map(tuple, made.collect())) == sorted(expected.fetchall())
+    assert "Python" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeats(spark, folder, tables):
+    found = result(spark, folder, "op6_substring")
+    rows = [(d["doc_id"], d["text"]) for d in tables("documents")]
+    expected = {i: x[:3] for (i, _), x in zip(rows, plain.repeats(rows, 13), strict=True)}
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in found.itertuples()} == expected
+
+
+def test_toxicity(spark, folder, tables):
+    found = result(spark, folder, "op7_toxicity").set_index("doc_id")
+    for doc in tables("documents"):
+        assert found.held_out[doc["doc_id"]] == (zlib.crc32(str(doc["doc_id"]).encode()) % 5 == 0)
+    assert found.score.between(0, 1).all() and (found.predicted == (found.score >= 0.5)).all()
+
+
+def test_toxicity_is_right_on_rows_it_has_not_seen(spark):
+    larger = "/root/testdata/sf0.01"
+    found = queries.REGISTRY["op7_toxicity"](spark, larger).toPandas().set_index("doc_id")
+    labels = [r for r in pq.read_table(f"{larger}/labels.parquet").to_pylist() if found.held_out[r["doc_id"]]]
+    right = sum(found.predicted[r["doc_id"]] == r["toxic"] for r in labels)
+    assert right >= 0.93 * len(labels)
+
+
+@pytest.mark.parametrize("size, percent", [(3, 85), (5, 80)])
+def test_near_copies(spark, folder, tables, size, percent):
+    from partnerscope.llm import minhash
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    found = minhash.near_copies(docs, size, percent).toPandas()
+    expected = plain.near_copies([(d["doc_id"], d["text"]) for d in tables("documents")], size, percent)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.itertuples()} == expected
+    assert (found.kept == (found.doc_id == found.component_id)).all()
+
+
+def test_leaks(spark, folder, tables):
+    found = result(spark, folder, "op9_decontaminate")
+    docs = [(d["doc_id"], d["text"]) for d in tables("documents")]
+    expected = plain.leaks(docs, [(b["item_id"], b["text"]) for b in tables("benchmark")])
+    assert {r.doc_id: list(r.leaked_items) for r in found.itertuples()} == expected
+    assert any(expected.values()) and (found.contaminated == (found.n_items > 0)).all()
+
+
+def test_languages(spark, folder, tables):
+    found = result(spark, folder, "op10_language_id")
+    assert len(found) == len(tables("pages"))
+    assert (found.lang == found.declared).mean() >= 0.98
