@@ -36,11 +36,8 @@ def fill_blank_headers(headers: Sequence[str | None]) -> list[str]:
     return names
 
 
-_SPACES_TO_UNDERSCORES = str.maketrans(" ", "_")
-
-
 def _folded(name: str) -> str:
-    return name.strip().translate(_SPACES_TO_UNDERSCORES).lower()
+    return name.strip().lower().replace(" ", "_")
 
 
 def ascii_name(name: str) -> str:

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 NUMBER_TEXT = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
-# Lower bound of each percent band and its background colour. The bounds
-# lie 20 apart.
+# Lower bound of each percent band and its background colour.
 PERCENT_BANDS = (
     (80, "#4CAF50"),
     (60, "#A5D6A7"),
@@ -45,10 +44,10 @@ def percent_band(text: Column) -> Column:
 
 def number_band(number: Column) -> Column:
     """Band of a percent number; NULL for none."""
-    highest, lowest, steps = PERCENT_BANDS[0][0], PERCENT_BANDS[-1][0], len(PERCENT_BANDS)
-    step = (highest - lowest) // (steps - 1)
-    bucket = F.width_bucket(number, F.lit(lowest), F.lit(highest + step), F.lit(steps))
-    return F.when(number.isNotNull(), F.least(bucket + 1, F.lit(steps + 1)).cast("int"))
+    band = F.when(number.isNull(), F.lit(None))
+    for place, (bound, _) in enumerate(PERCENT_BANDS):
+        band = band.when(number >= bound, F.lit(len(PERCENT_BANDS) + 1 - place))
+    return band.otherwise(F.lit(1)).cast("int")
 
 
 def band_colour(band: Column) -> Column:

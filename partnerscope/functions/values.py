@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from partnerscope.functions.rates import number_or_null
 
+
 def is_fractional(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.FloatType, T.DoubleType))
 
@@ -20,18 +21,20 @@ def is_missing(column: Column, data_type: T.DataType) -> Column:
 
 
 def double_text(column: Column) -> Column:
-    """A double as plain digits (``2.0``, ``12345678.5``), not in E notation.
+    """A double as plain digits with a point (``2.0``, ``0.00002``), whatever its size.
 
-    Plain from 0.0001 up to 1e15; beyond that the engine's own text.
+    The engine's text has the digits that tell the number from its neighbours; where it
+    has them in E notation, the point is moved.
     """
-    size = F.abs(column)
-    large = F.regexp_replace(column.cast("decimal(38,12)").cast("string"), r"(\.[0-9]+?)0+$", "$1")
-    small = F.regexp_replace(column.cast("decimal(38,22)").cast("string"), r"(\.[0-9]+?)0+$", "$1")
-    return (
-        F.when((size >= 1e7) & (size < 1e15), large)
-        .when((size < 1e-3) & (size >= 1e-4), small)
-        .otherwise(column.cast("string"))
-    )
+    text = column.cast("string")
+    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    digits = F.regexp_replace(F.regexp_replace(text, r"^-|\.|E.*$", ""), "(?<=.)0+$", "")
+    power = F.regexp_extract(text, "E(-?[0-9]+)$", 1).try_cast("int")
+    whole = F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, "0")
+    rest = F.coalesce(F.nullif(F.substring(digits, power + 2, F.length(digits)), F.lit("")), F.lit("0"))
+    large = F.concat(sign, whole, F.lit("."), rest)
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    return F.when(power >= 0, large).when(power < 0, small).otherwise(text)
 
 
 def blank_fill(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -54,11 +57,7 @@ def null_for_load(column: Column) -> Column:
 
 def whole_number_text(column: Column) -> Column:
     """A whole double without its fraction: ``2.0`` to ``2``."""
-    return (
-        F.when(F.abs(column) < 1e18, column.cast("bigint").cast("string"))
-        .when(F.abs(column) < 1e37, column.cast("decimal(38,0)").cast("string"))
-        .otherwise(column.cast("string"))
-    )
+    return F.regexp_replace(double_text(column), r"\.0$", "")
 
 
 def number_tidy(column: Column) -> Column:
@@ -72,8 +71,8 @@ def number_tidy(column: Column) -> Column:
 
 
 def tolerant_int(text: Column) -> Column:
-    """A number in text cut to a whole one; anything else counts as 0."""
-    return F.coalesce(number_or_null(text.cast("string")), F.lit(0.0)).cast("bigint")
+    """A number in text cut to a whole one; anything else, and a number beyond 64 bits, counts as 0."""
+    return F.coalesce(number_or_null(text.cast("string")).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def zero_dash(number: Column) -> Column:

@@ -8,6 +8,8 @@ the last department.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,9 @@ from pyspark.sql import types as T
 from partnerscope.functions.literals import text_list, text_literal
 from partnerscope.params import ReportParams
 
+# Columns that rows are grouped and joined by.
+KEYS = ("code", "ord_id")
+
 COUNTS = (
     "new_current",
     "new_prior",
@@ -59,7 +64,10 @@ def with_common_codes(partners: DataFrame, orders: DataFrame) -> tuple[DataFrame
 
 
 def apply_text_rules(df: DataFrame, params: ReportParams) -> DataFrame:
-    """Blank and collation rules on every text column; no-op by default."""
+    """Blank and collation rules on every text column; no-op by default.
+
+    Keys get no collation, as a grouping by collated text sorts; see ``with_one_spelling``.
+    """
     if params.collation is None and not params.blank_as_null:
         return df
     out = []
@@ -68,12 +76,46 @@ def apply_text_rules(df: DataFrame, params: ReportParams) -> DataFrame:
         if isinstance(field.dataType, T.StringType):
             if params.blank_as_null:
                 column = F.when(column != "", column)
-            if params.collation is not None:
+            if params.collation is not None and field.name not in KEYS:
                 column = F.collate(column, params.collation)
         out.append(column.alias(field.name))
     return df.select(*out)
 
 
+def with_one_spelling(frames: Sequence[DataFrame], key: str, collation: str) -> list[DataFrame]:
+    """The frames with one spelling, the first in order, for keys that meet under the collation.
+
+    Distinct spellings are found by hashing; only they are grouped by collation. The rows
+    themselves meet their spelling by an ordinary join.
+    """
+    texts = [f.select(key) for f in frames if key in f.columns and isinstance(f.schema[key].dataType, T.StringType)]
+    if not texts:
+        return list(frames)
+    every = texts[0]
+    for more in texts[1:]:
+        every = every.unionAll(more)
+    spellings = every.where(F.col(key).isNotNull()).distinct()
+    first = spellings.groupBy(F.collate(key, collation).alias("_text")).agg(F.min(key).alias("_first"))
+    pairs = spellings.join(first, F.collate(key, collation) == F.col("_text")).select(F.col(key).alias("_spelling"), "_first")
+
+    def respelled(frame: DataFrame) -> DataFrame:
+        if key not in frame.columns or not isinstance(frame.schema[key].dataType, T.StringType):
+            return frame
+        joined = frame.join(pairs, F.col(key) == F.col("_spelling"), "left")
+        return joined.select(*[F.col("_first").alias(key) if c == key else F.col(c) for c in frame.columns])
+
+    return [respelled(f) for f in frames]
+
+
+def with_text_keys(partners: DataFrame, orders: DataFrame | None, params: ReportParams) -> list[DataFrame]:
+    """Both inputs with their keys as the report's collation wants them."""
+    frames = [partners] if orders is None else [partners, orders]
+    if params.collation is not None:
+        frames = with_one_spelling(frames, "code", params.collation)
+        frames[1:] = with_one_spelling(frames[1:], "ord_id", params.collation)
+    return frames
+
+
 def collated_counts(df: DataFrame, column: str, collation: str) -> DataFrame:
     """Rows per text under a collation, with the first of the spellings that meet there.
 
@@ -161,6 +203,15 @@ def year_orders(orders: DataFrame, params: ReportParams) -> DataFrame:
     )
 
 
+def order_facts(orders: DataFrame, params: ReportParams) -> DataFrame:
+    """Each order of the year once for each partner code: ``code, ord_id, ok``.
+
+    Everything the report takes from the orders comes from this grouping, written the same
+    way each time, so one scan and one shuffle of the orders serve all of it.
+    """
+    return year_orders(orders, params).groupBy("code", "ord_id").agg(F.expr("bool_or(ok) AS ok"))
+
+
 def success_codes(orders: DataFrame, params: ReportParams) -> DataFrame:
     """Codes with a successful order in the current year, each once."""
-    return year_orders(orders, params).where("ok").select("code").distinct()
+    return order_facts(orders, params).groupBy("code").agg(F.expr("bool_or(ok) AS good")).where("good").select("code")

@@ -17,10 +17,11 @@ from partnerscope.functions.rates import rate_text
 from partnerscope.operators.measures import (
     COUNTS,
     listed_partners,
+    order_facts,
     success_codes,
+    with_text_keys,
     year_orders,
 )
-from partnerscope.operators.skew import lookup_join
 from partnerscope.params import ReportParams
 
 REPORT_COLUMNS = (
@@ -109,6 +110,8 @@ def in_report_order(report: DataFrame) -> DataFrame:
 
 def _bit(params: ReportParams) -> str:
     """The department's bit plus the bit every listed row sets for the total."""
+    if len(params.departments) > MAX_BIT_DEPARTMENTS:
+        raise ValueError(f"more than {MAX_BIT_DEPARTMENTS} departments: use partner_report_two_level")
     return f"(shiftleft(1L, pos) | {1 << _total_pos(params)}L)"
 
 
@@ -154,13 +157,16 @@ def order_bit_counts(partners: DataFrame, orders: DataFrame, params: ReportParam
         .groupBy("code")
         .agg(F.expr(f"bit_or({_bit(params)}) AS owner"))
     )
-    facts = year_orders(orders, params).where("ord_id IS NOT NULL")
+    # An order without id counts for nothing. Its bits go, not its row: a filter would reach the
+    # scan, and the orders would be read once more for it.
+    owned = "CASE WHEN ord_id IS NOT NULL THEN owner ELSE 0L END"
     per_order = (
-        lookup_join(facts, owners, "code")
+        order_facts(orders, params)
+        .join(owners, "code")
         .groupBy("ord_id")
         .agg(
-            F.expr("bit_or(owner) AS orders_raised"),
-            F.expr("bit_or(CASE WHEN ok THEN owner ELSE 0L END) AS orders_ok"),
+            F.expr(f"bit_or({owned}) AS orders_raised"),
+            F.expr(f"bit_or(CASE WHEN ok THEN {owned} ELSE 0L END) AS orders_ok"),
         )
     )
     return _count_bits(per_order, params, "ord_id", {c: c for c in ("orders_raised", "orders_ok")})
@@ -207,11 +213,12 @@ def partner_level_counts(
 def order_level_counts(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
     """Order counts, to be summed by position: one row per department and order id."""
     owners = listed_partners(partners, params).where("verified").select("pos", "code").distinct()
-    facts = year_orders(orders, params).where("ord_id IS NOT NULL")
-    per_dept = lookup_join(facts, owners, "code").groupBy("pos", "ord_id").agg(F.expr("max(int(ok)) AS ok"))
+    joined = order_facts(orders, params).join(owners, "code")
+    per_dept = joined.groupBy("pos", "ord_id").agg(F.expr("max(int(ok)) AS ok"))
     per_order = per_dept.groupBy("ord_id").agg(F.expr("max(ok) AS ok"))
-    levels = per_dept.select("pos", "ok").union(per_order.selectExpr(f"{_total_pos(params)}", "ok"))
-    return levels.selectExpr("pos", "1 AS orders_raised", "ok AS orders_ok")
+    levels = per_dept.select("pos", "ok", "ord_id").union(per_order.selectExpr(f"{_total_pos(params)}", "ok", "ord_id"))
+    raised = "CASE WHEN ord_id IS NULL THEN 0 ELSE 1 END"
+    return levels.selectExpr("pos", f"{raised} AS orders_raised", f"ok * {raised} AS orders_ok")
 
 
 # ---------------------------------------------------------------------- rollup
@@ -232,8 +239,8 @@ def _measure_rows(partners: DataFrame, orders: DataFrame, params: ReportParams)
     partner_rows = per_dept.join(done, "code", "left").selectExpr(
         "pos", "code", "is_current", "is_prior", "coalesce(found, false) AS active", "NULL AS ord_id", "false AS ok"
     )
-    facts = year_orders(orders, params).distinct()
-    order_rows = lookup_join(facts, per_dept.where("verified").select("pos", "code"), "code").selectExpr(
+    owners = per_dept.where("verified").select("pos", "code")
+    order_rows = order_facts(orders, params).join(owners, "code").selectExpr(
         "pos", "NULL AS code", "false AS is_current", "false AS is_prior", "false AS active", "ord_id", "ok"
     )
     return partner_rows.union(order_rows)
@@ -255,21 +262,25 @@ DISTINCT_COUNTS = (
 
 
 def partner_report(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
-    """The report, unordered; see ``in_report_order``."""
-    if len(params.departments) > MAX_BIT_DEPARTMENTS:
-        return partner_report_two_level(partners, orders, params)
+    """The report, unordered; see ``in_report_order``.
+
+    For at most 62 departments; ``partner_report_two_level`` takes any number.
+    """
+    partners, orders = with_text_keys(partners, orders, params)
     counts = partner_bit_counts(partners, params, orders), order_bit_counts(partners, orders, params)
     return finish(_summed(params, *counts), params)
 
 
 def partner_report_two_level(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
     """The same report for any number of departments, by two levels of grouping."""
+    partners, orders = with_text_keys(partners, orders, params)
     counts = partner_level_counts(partners, params, orders), order_level_counts(partners, orders, params)
     return finish(_summed(params, *counts), params)
 
 
 def partner_report_rollup(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
     """The same report as one rollup of distinct counts over deduplicated rows."""
+    partners, orders = with_text_keys(partners, orders, params)
     rows = _measure_rows(partners, orders, params)
     rolled = rows.rollup("pos").agg(F.expr("grouping(pos) AS is_total"), *map(F.expr, DISTINCT_COUNTS))
     placed = rolled.selectExpr(
@@ -280,9 +291,8 @@ def partner_report_rollup(partners: DataFrame, orders: DataFrame, params: Report
 
 
 def total_row(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
-    """The grand total alone: an ungrouped aggregate, one row on any input."""
-    total = _measure_rows(partners, orders, params).agg(*map(F.expr, DISTINCT_COUNTS))
-    return finish(total.withColumn("pos", F.lit(_total_pos(params))), params)
+    """The grand total alone, one row on any input: the report's row of the total's bit."""
+    return partner_report(partners, orders, params).where("is_total")
 
 
 def numbered_report(report: DataFrame) -> DataFrame:
@@ -302,6 +312,7 @@ def in_number_order(numbered: DataFrame) -> DataFrame:
 
 def new_partners(partners: DataFrame, params: ReportParams) -> DataFrame:
     """Newly registered and existing partners, from the partner table alone."""
+    (partners,) = with_text_keys(partners, None, params)
     counts = _summed(params, partner_bit_counts(partners, params))
     return finish(counts, params).select(
         "dept", "new_current", "new_prior", "existing", "is_total", "ord"
@@ -310,6 +321,7 @@ def new_partners(partners: DataFrame, params: ReportParams) -> DataFrame:
 
 def active_partners(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
     """Partners with a successful order this year, and the rates over new partners."""
+    partners, orders = with_text_keys(partners, orders, params)
     counts = _summed(params, partner_bit_counts(partners, params, orders))
     return finish(counts, params).select(
         "dept",
@@ -326,6 +338,7 @@ def active_partners(partners: DataFrame, orders: DataFrame, params: ReportParams
 
 def order_success(partners: DataFrame, orders: DataFrame, params: ReportParams) -> DataFrame:
     """Orders raised and successful; departments without orders are not listed."""
+    partners, orders = with_text_keys(partners, orders, params)
     counts = _summed(params, order_bit_counts(partners, orders, params), present="orders_raised")
     return finish(counts, params).select(
         "dept", "orders_raised", "orders_ok", "order_rate", "is_total", "ord"
@@ -337,14 +350,11 @@ def partner_activity(partners: DataFrame, orders: DataFrame, params: ReportParam
 
     The year test comes before the left join, so partners without orders stay.
     """
+    partners, orders = with_text_keys(partners, orders, params)
     per_code = (
-        year_orders(orders, params)
-        .groupBy("code", "ord_id")
-        .agg(F.expr("bool_or(ok) AS ok"))
-        .groupBy("code")
-        .agg(F.expr("count(ord_id) AS n"), F.expr("bool_or(ok) AS good"))
+        order_facts(orders, params).groupBy("code").agg(F.expr("count(ord_id) AS n"), F.expr("bool_or(ok) AS good"))
     )
-    joined = lookup_join(listed_partners(partners, params), per_code, "code", "left")
+    joined = listed_partners(partners, params).join(per_code, "code", "left")
     return joined.selectExpr(
         f"{_labels(params)} AS dept",
         "code",
@@ -359,8 +369,9 @@ def join_sizes(partners: DataFrame, orders: DataFrame, params: ReportParams) ->
 
     The plain chain pairs every successful order of a partner with every order of
     the partner. Its size follows from counts per code, so no pair is made.
-    ``plain_rows`` is a double, as the product outgrows 64 bits on hot codes.
+    ``plain_rows`` is a decimal, as the product outgrows 64 bits on hot codes.
     """
+    partners, orders = with_text_keys(partners, orders, params)
     per_code = listed_partners(partners, params).groupBy("pos", "code").agg(F.expr("count(1) AS partner_rows"))
     order_rows = year_orders(orders, params).groupBy("code", "ord_id", "ok").agg(F.expr("count(1) AS n"))
     per_partner = order_rows.groupBy("code").agg(
@@ -368,13 +379,14 @@ def join_sizes(partners: DataFrame, orders: DataFrame, params: ReportParams) ->
         F.expr("sum(CASE WHEN ok THEN n ELSE 0 END) AS good"),
         F.expr("count(1) AS single"),
     )
+    wide = "decimal(18,0)"
     sizes = (
         per_code.join(per_partner, "code", "left")
         .selectExpr("pos", "partner_rows", *[f"greatest(coalesce({c}, 0), 1) AS {c}" for c in ("every", "good", "single")])
         .groupBy("pos")
         .agg(
             F.expr("sum(partner_rows) AS partner_rows"),
-            F.expr("sum(double(partner_rows) * good * every) AS plain_rows"),
+            F.expr(f"CAST(sum(CAST(partner_rows AS {wide}) * CAST(good AS {wide}) * CAST(every AS {wide})) AS decimal(38,0)) AS plain_rows"),
             F.expr("sum(partner_rows * single) AS distinct_rows"),
         )
     )

@@ -235,7 +235,7 @@ def oracle() -> dict[str, str]:
             slim AS (SELECT DISTINCT code, ord_id, status FROM purchase WHERE date_text LIKE '%{CURRENT_YEAR}%')
             SELECT 'N' || lpad(substr(p.dept, 8), 2, '0') AS dept,
                    CAST(count(*) AS BIGINT) AS distinct_rows,
-                   CAST(max(big.plain_rows) AS DOUBLE) AS plain_rows,
+                   CAST(max(big.plain_rows) AS DECIMAL(38,0)) AS plain_rows,
                    CAST(max(base.partner_rows) AS BIGINT) AS partner_rows
             FROM partner p LEFT JOIN slim ON slim.code = p.code
             JOIN (SELECT ord, count(*) AS plain_rows FROM joined GROUP BY ord) big ON big.ord = CAST(substr(p.dept, 8) AS INTEGER)

@@ -1,5 +1,7 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import shutil
+import subprocess
 import sys
 from pathlib import Path
 
@@ -8,9 +10,11 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as entry  # noqa: E402
 
+from partnerscope.plans import oracle, queries  # noqa: E402
+
 duckdb = pytest.importorskip("duckdb")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = queries.REGISTRY, oracle.oracle()
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +34,17 @@ def ordered(rows):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
+def test_entry_without_the_corpus_operators(tmp_path):
+    """The entry is as good without that subpackage and its pipeline."""
+    root = Path(__file__).resolve().parents[1]
+    skipped = shutil.ignore_patterns("llm", "corpus_pipeline.py", ".git", "__pycache__", "tests")
+    shutil.copytree(root, tmp_path / "repo", ignore=skipped)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", capture_output=True, text=True)
+    assert said.stdout.split() == [str(len(QUERIES)), str(len(SQL))], said.stderr
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -5,7 +5,7 @@ from brute import ORDER_SCHEMA, PARTNER_SCHEMA, report as brute_report
 from pyspark.sql import functions as F
 
 from partnerscope import default_params
-from partnerscope.operators import report, skew
+from partnerscope.operators import report
 from partnerscope.operators.measures import collated_counts, department_code, order_view, partner_view
 from partnerscope.params import Department
 from partnerscope.plans import star_model
@@ -170,61 +170,6 @@ def test_forms_against_sets(spark, form, seed):
     assert rows(spark, form, partners, orders) == brute_report(partners, orders, P)
 
 
-@pytest.mark.parametrize("form", FORMS)
-def test_split_of_hot_codes_changes_nothing(spark, form, monkeypatch):
-    split = []
-
-    def always_split(facts, lookup, key, how="inner"):
-        split.append(skew.hot_keys(facts, key, min_rows=5, max_keys=3).count())
-        return skew.lookup_join(facts, lookup, key, how, min_rows=5, max_keys=3, split=True)
-
-    monkeypatch.setattr(report, "lookup_join", always_split)
-    partners, orders = sample(11)
-    assert rows(spark, form, partners, orders) == brute_report(partners, orders, P)
-    assert split == [3]
-
-
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_split_join_is_the_join(spark, how):
-    facts = spark.createDataFrame(
-        [(i, "hot") for i in range(40)] + [(i, f"k{i % 7}") for i in range(30)] + [(i, None) for i in range(9)] + [(1, "alone")],
-        "n int, key string",
-    )
-    lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k2", 4), ("none", 5)], "key string, v int")
-    whole = facts.join(lookup, "key", how)
-    for min_rows in (1, 5, 100):
-        split = skew.lookup_join(facts, lookup, "key", how, min_rows=min_rows, max_keys=2, split=True)
-        assert split.columns == whole.columns
-        assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))
-    with pytest.raises(ValueError):
-        skew.lookup_join(facts, lookup, "key", "full")
-
-
-def test_split_only_where_both_sides_are_large(spark, folder, monkeypatch):
-    orders = star_model.star_orders(spark, folder).select("code", "ord_id")
-    lookup = orders.select("code").distinct()
-    assert not skew.worth_a_split(orders, lookup)
-    monkeypatch.setattr(skew, "SPLIT_FROM_BYTES", 1)
-    assert not skew.worth_a_split(orders, lookup)
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert skew.worth_a_split(orders, lookup)
-        assert "LeftAnti" in plan(skew.lookup_join(orders, lookup, "code"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    assert "LeftAnti" not in plan(skew.lookup_join(orders, lookup, "code"))
-
-
-def test_hot_facts_are_not_moved(spark, folder):
-    orders = star_model.star_orders(spark, folder)
-    lookup = orders.select("code").distinct().withColumn("v", F.lit(1))
-    joined = skew.lookup_join(orders.select("code", "ord_id"), lookup, "code", min_rows=1, max_keys=10_000, split=True)
-    text = plan(joined)
-    hot = text[: text.index("LeftAnti")]
-    assert hot.index("LeftSemi") < hot.index("FileScan") and "Exchange hashpartitioning(code" not in hot[: hot.index("FileScan")]
-
-
 def test_partner_activity(spark):
     partners = PARTNERS + [(None, BLC, OK, "2025"), ("CTV009", BLC, "x", "2025"), ("Z", "Phòng khác", OK, "2025")]
     orders = ORDERS + [("CTV003", "SP003", "2025", DONE), ("CTV003", "SP004", "2024", DONE), (None, "SP9", "2025", DONE)]
@@ -246,10 +191,12 @@ def test_row_order_of_input_changes_nothing(spark):
     assert rows(spark, report.partner_report, partners[::-1], orders[::-1]) == rows(spark, report.partner_report, partners, orders)
 
 
-def test_many_departments_use_two_levels(spark):
+def test_beyond_62_departments_the_caller_takes_two_levels(spark):
     params = default_params(departments=tuple(Department(f"D{i}", f"d{i}", i) for i in range(70)))
     partners = [(f"C{i}", f"D{i % 70}", OK, "2025") for i in range(140)]
-    assert rows(spark, report.partner_report, partners, [], params) == brute_report(partners, [], params)
+    assert rows(spark, report.partner_report_two_level, partners, [], params) == brute_report(partners, [], params)
+    with pytest.raises(ValueError, match="two_level"):
+        report.partner_report(*frames(spark, partners, []), params)
 
 
 def test_62_departments_fit_the_bits(spark):
@@ -263,7 +210,8 @@ def test_join_sizes(spark):
     partners = PARTNERS[:1] * 2
     orders = [("CTV001", f"X{i}", "2025", DONE if i < 3 else "x") for i in range(5)] * 2
     made = report.join_sizes(*frames(spark, partners, orders), P).first()
-    assert tuple(made) == ("BLC", 2, 2 * 6 * 10.0, 2 * 5)
+    assert tuple(made) == ("BLC", 2, 2 * 6 * 10, 2 * 5)
+    assert made["plain_rows"].as_tuple().exponent == 0
 
 
 def plan(df):
@@ -279,3 +227,27 @@ def test_plans(spark, folder):
     assert "GreaterThanOrEqual(o_orderdate" in typed and "o_totalprice" not in typed
     # Fixed-size buffers throughout: no sort-based or object-based aggregation.
     assert "SortAggregate" not in typed and "ObjectHashAggregate" not in typed and "Expand" not in typed
+
+
+def executed(df):
+    df.collect()
+    return plan(df).split("Initial Plan")[0]
+
+
+@pytest.mark.parametrize("form", [report.partner_report, report.total_row])
+def test_orders_are_scanned_once(spark, folder, form):
+    partners, orders = star_model.star_partners(spark, folder), star_model.star_orders(spark, folder)
+    text = executed(form(partners, orders, star_model.star_params()))
+    assert text.count("orders.parquet") == 1 and "Expand" not in text
+
+
+def test_text_keys_under_a_collation(spark):
+    params = default_params(collation="UTF8_LCASE")
+    partners = [("Ab", BLC, OK, "2025"), ("aB", BLC, OK, "2025"), ("c", BLC, OK.upper(), "2024")]
+    orders = [("AB", "O1", "2025", DONE), ("ab", "o1", "2025", DONE), ("C", "O2", "2025", "x")]
+    made = report.partner_report(*frames(spark, partners, orders), params)
+    dept = made.where("NOT is_total").first()
+    assert (dept.new_current, dept.new_prior, dept.active_current, dept.orders_raised, dept.orders_ok) == (1, 1, 1, 2, 1)
+    # Collated texts are sorted where spellings are compared, never to group or join rows.
+    sorted_groups = [line for line in plan(made).splitlines() if "SortAggregate" in line]
+    assert sorted_groups and all("_groupingexpression" in line or "_text" in line for line in sorted_groups)
