@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from partnerscope.llm.common import two_columns
+from partnerscope.llm.common import Work, two_columns
 
 #: Bounds of the fit: labelled rows of each class, and terms of the lexicon.
 SAMPLE_ROWS = 12_000
@@ -34,7 +34,7 @@ MAX_TERMS = 2_000
 MIN_SUPPORT = 4
 MIN_RATIO = 20.0
 #: Edits allowed by length of the term.
-EDITS = ((8, 2), (5, 1), (0, 0))
+EDITS = ((12, 2), (5, 1), (0, 0))
 #: Words on either side of a hit that are looked at.
 WINDOW = 6
 CACHE = 400_000
@@ -203,12 +203,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
         part = known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         chosen = part if chosen is None else chosen.unionAll(part)
     chosen = chosen.withColumnRenamed("doc_id", "labelled_id")
-    return docs.join(chosen, F.col("doc_id") == F.col("labelled_id")).select("doc_id", "text", "toxic")
+    # Two numbers for each of 2 x rows labels at most: small enough to send, so no text is moved.
+    same = F.col("doc_id") == F.col("labelled_id")
+    return docs.join(F.broadcast(chosen), same).select("doc_id", "text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> ToxicModel:
     """Terms from two thirds of a bounded sample of labelled rows, weights from the last third."""
-    sample = labelled_sample(docs, labels, rows)
+    work = Work(docs.sparkSession, "toxicity")
+    sample = work.keep(labelled_sample(docs, labels, rows), "sample")
     last = F.pmod(F.xxhash64("doc_id", F.lit("weights")), F.lit(3)) == 0
 
     def words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,13 +224,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> ToxicMod
                 marks += [toxic] * (len(forms) + 1)
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(marks, pa.int32())], names=["word", "toxic"])
 
-    counted = (
-        sample.where(~last)
-        .mapInArrow(words, "word string, toxic int")
-        .groupBy("word")
-        .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
-        .where((F.col("bad") >= MIN_SUPPORT) | (F.col("word") == ""))
-    )
+    counts = sample.where(~last).mapInArrow(words, "word string, toxic int").groupBy("word")
+    counts = counts.agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
+    counted = work.keep(counts.where((F.col("bad") >= MIN_SUPPORT) | (F.col("word") == "")), "counted")
     totals = counted.where("word = ''").collect()
     bad, good = (totals[0]["bad"], totals[0]["good"]) if totals else (0, 0)
     ratio = ((F.col("bad") + 0.5) / F.lit(bad + 1.0)) / ((F.col("good") + 0.5) / F.lit(good + 1.0))
@@ -247,6 +246,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> ToxicMod
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), batch.column(2)], names=["evidence", "toxic"])
 
     known = sample.where(last).mapInArrow(evidence, "evidence array<double>, toxic int").collect()
+    work.drop(sample, counted)
     return ToxicModel(chosen, logistic_weights([r["evidence"] for r in known], [r["toxic"] for r in known]))
 
 
