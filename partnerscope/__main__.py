@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from partnerscope.functions.naming import with_headings
+from partnerscope.functions.naming import HEADER_RULES, with_headings
 from partnerscope.operators.report import REPORT_COLUMNS
-from partnerscope.operators.tables import show_rows
+from partnerscope.operators.tables import create_database, show_rows
 from partnerscope.params import default_params
 from partnerscope.plans import jobs
 
-# Rows printed; results themselves are never cut.
+# Rows printed of a result; the result itself is a table.
 SHOWN = 100
 
 
@@ -29,10 +30,14 @@ def _arguments(values: Sequence[str] | None) -> argparse.Namespace:
     load.add_argument("path")
     load.add_argument("--database", default=jobs.DEFAULT_DATABASE)
     load.add_argument("--table", help="by default named after the file")
-    query = commands.add_parser("query", help="print the result of a query, then drop the tables named")
+    load.add_argument("--rule", choices=sorted(HEADER_RULES), default="ascii", help="letters kept in column names")
+    load.add_argument("--tidy", action="store_true", help="columns with a zero as text, zeros empty")
+    load.add_argument("--wide", action="store_true", help="64-bit numbers")
+    query = commands.add_parser("query", help="save the result of a query as a table, print its first rows, then drop the tables named")
     query.add_argument("text")
     query.add_argument("--database", default=jobs.DEFAULT_DATABASE)
     query.add_argument("--drop", nargs="*", default=[], metavar="TABLE")
+    query.add_argument("--save-as", metavar="TABLE", help="by default a new table in the database")
     return parser.parse_args(values)
 
 
@@ -52,10 +57,19 @@ def main(values: Sequence[str] | None = None) -> None:
             spark, given.partners, given.orders, given.database, params, deliver, rule="unicode", tidy=True
         )
     elif given.command == "load":
-        table, rows = jobs.load_sheet(spark, given.path, given.database, given.table)
+        table, rows = jobs.load_sheet(
+            spark, given.path, given.database, given.table, given.rule, given.tidy, given.wide
+        )
         print(f"{rows} rows added to {table}")
     else:
-        jobs.query_then_drop(spark, given.text, given.database, given.drop, lambda result: show_rows(result, SHOWN))
+        create_database(spark, given.database)
+        saved = given.save_as or f"{given.database}.result_{uuid.uuid4().hex}"
+
+        def tell(result: DataFrame) -> None:
+            print(f"{result.count()} rows saved as {saved}; the first {SHOWN} at most:")
+            show_rows(result, SHOWN)
+
+        jobs.query_then_drop(spark, given.text, given.database, given.drop, tell, save_as=saved)
 
 
 if __name__ == "__main__":

@@ -84,6 +84,12 @@ def table_name(file_name: str) -> str:
     return re.sub(r"\W", "", stem.lower())
 
 
+def table_name_column(file_name: Column) -> Column:
+    """The same for file names held in data."""
+    stem = F.regexp_replace(F.regexp_extract(file_name, r"([^\\/]*)$", 1), r"\.[^.]*$", "")
+    return F.regexp_replace(F.lower(stem), r"[^\p{L}\p{N}_]+", "")
+
+
 def catalog_name(name: str) -> str:
     """A table name as the catalog takes it: accents dropped, ASCII letters, digits and ``_``."""
     bare = unicodedata.normalize("NFD", name.translate(_D_WITH_STROKE))
@@ -111,6 +117,18 @@ def table_column_column(text: Column, position: Column) -> Column:
     )
 
 
+def fill_blank_headers_column(headers: Column) -> Column:
+    """The rule for blank and repeated headers on arrays of header texts."""
+
+    def filled(header: Column, place: Column) -> Column:
+        blank = header.isNull() | (header == "") | header.contains("Unnamed:")
+        before = F.size(F.filter(F.slice(headers, F.lit(1), place), lambda h: h == header))
+        repeated = F.when(before > 0, F.concat(header, F.lit("."), before.cast("string"))).otherwise(header)
+        return F.when(blank, F.concat(F.lit("col_"), (place + 1).cast("string"))).otherwise(repeated)
+
+    return F.transform(headers, filled)
+
+
 def upper_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.upper() for c in df.columns])
 

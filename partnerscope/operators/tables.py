@@ -9,10 +9,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from partnerscope.session import stage, unstage
-from partnerscope.sources.feeds import ID, TEXT_TYPE, LoadColumn
+from partnerscope.sources.feeds import ID, TEXT_TYPE, LoadColumn, frame_to_load
 
-# Offsets of this many files (some 20 MB) may be broadcast; of more they are joined.
-MAX_BROADCAST_FILES = 200_000
+FILE, PLACE = "_file", "_place"
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -27,65 +26,85 @@ def create_table(spark: SparkSession, database: str, table: str, layout: Sequenc
     spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({columns}) USING parquet")
 
 
-def with_ids(df: DataFrame, source: str, place: str, start: int = 0) -> DataFrame:
-    """Adds ids without gaps, counting on from ``start``, in order of source and place.
+def row_offsets(counts: DataFrame) -> DataFrame:
+    """``source`` and ``_offset``, the rows of all sources before it, from ``source`` and ``_rows``.
 
-    ``place`` is the row's number from 1 within its ``source`` (a workbook, a file).
-    An id is the rows of the sources before plus the place, so the rows are neither
-    sorted nor moved, and a task that runs again gives the same ids. Only the row
-    counts per source are ordered.
+    Sources are dealt into ranges, each summed up by a task of its own; only the sums of the
+    ranges, as many as the session has shuffle partitions, meet in one.
     """
-    counts = df.groupBy(source).agg(F.max(place).alias("_rows"))
-    before = Window.partitionBy(F.lit(0)).orderBy(source).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(source, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    if counts.limit(MAX_BROADCAST_FILES + 1).count() <= MAX_BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
-    numbered = (F.col("_offset") + F.col(place) + F.lit(start)).cast("bigint").alias(ID)
-    return df.join(offsets, source).select(numbered, *[f"`{c}`" for c in df.columns])
-
-
-def with_file_places(files: DataFrame) -> DataFrame:
-    """Rows read from parquet files with their file and their place in it."""
-    return files.select(
-        F.col("_metadata.file_path").alias("_file"),
-        (F.col("_metadata.row_index") + 1).alias("_place"),
-        *[f"`{c}`" for c in files.columns],
-    )
-
-
-def last_id(spark: SparkSession, database: str, table: str) -> int:
-    found = spark.table(f"`{database}`.`{table}`").agg(F.max(ID)).first()[0]
-    return found or 0
+    in_range = Window.partitionBy("_range").orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
+    of_ranges = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = counts.groupBy("_range").agg(F.sum("_rows").alias("_sum"))
+    before = sums.select("_range", F.coalesce(F.sum("_sum").over(of_ranges), F.lit(0)).alias("_before"))
+    within = counts.select("source", "_range", F.coalesce(F.sum("_rows").over(in_range), F.lit(0)).alias("_within"))
+    return within.join(before, "_range").select("source", (F.col("_before") + F.col("_within")).alias("_offset"))
 
 
 def append_numbered(
-    spark: SparkSession, df: DataFrame, source: str, place: str, database: str, table: str
+    spark: SparkSession, df: DataFrame, source: str, place: str, database: str, table: str, partition: str = "", start: int | None = None
 ) -> int:
     """Appends rows with ids by their ``source`` and ``place``; returns how many.
 
-    One load into a table at a time, as ids go on from the highest one there. Source
-    and place themselves are not stored. Rows must keep them when they are read
-    again, as rows read from files do. A column the table lacks is an error; a table
-    column the frame lacks becomes NULL.
+    ``place`` is the row's number from 1 within its ``source`` (a workbook, a file). An id is
+    the rows of the sources before plus the place, so rows are neither sorted nor moved, there
+    are no gaps, and a task that runs again gives the same ids. The rows of each source are
+    counted once and kept for the load.
+
+    One load into a table at a time, as ids go on from the highest one there. Source and place
+    themselves are not stored. Rows must keep them when they are read again, as rows read from
+    files do. A column the table lacks is an error; a table column the frame lacks becomes NULL.
+    With a ``partition`` (SQL text of its values), its rows are replaced.
     """
     target = spark.table(f"`{database}`.`{table}`").columns
     unknown = [c for c in df.columns if c not in target and c not in (source, place)]
     if unknown:
         raise ValueError(f"{table} has no column {', '.join(unknown)}")
-    numbered = with_ids(df, source, place, last_id(spark, database, table))
-    columns = [F.col(f"`{c}`") if c in numbered.columns else F.lit(None).alias(c) for c in target]
-    counted = Observation()
-    counting = numbered.select(*columns).observe(counted, F.count(F.lit(1)).alias("rows"))
-    counting.write.mode("append").insertInto(f"`{database}`.`{table}`")
-    return counted.get["rows"]
+    counts = df.groupBy(F.col(source).alias("source")).agg(F.max(place).alias("_rows"))
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kept = stage(counts.repartitionByRange(ranges, "source").withColumn("_range", F.spark_partition_id()), "counts")
+    try:
+        start = last_id(spark, database, table) if start is None else start
+        numbered = (F.col("_offset") + F.col(place) + F.lit(start)).cast("bigint").alias(ID)
+        joined = df.join(row_offsets(spark.table(kept)), F.col(source) == F.col("source"))
+        rows = joined.select(numbered, *[F.col(f"`{c}`") for c in df.columns if c != ID])
+        named = [c for c in target if f"`{c}`" not in partition]
+        columns = [F.col(f"`{c}`") if c in rows.columns else F.lit(None).alias(c) for c in named]
+        counted = Observation()
+        counting = rows.select(*columns).observe(counted, F.count(F.lit(1)).alias("rows"))
+        if partition:
+            view = f"rows_{kept.rsplit('_', 1)[-1]}"
+            counting.createOrReplaceTempView(view)
+            spark.sql(f"INSERT OVERWRITE `{database}`.`{table}` PARTITION ({partition}) SELECT * FROM {view}")
+            spark.catalog.dropTempView(view)
+        else:
+            counting.write.mode("append").insertInto(f"`{database}`.`{table}`")
+        return counted.get["rows"]
+    finally:
+        unstage(spark, kept)
+
+
+def with_file_places(files: DataFrame) -> DataFrame:
+    """Rows read from parquet files with their file and their place in it."""
+    return files.select(
+        F.col("_metadata.file_path").alias(FILE),
+        (F.col("_metadata.row_index") + 1).alias(PLACE),
+        *[f"`{c}`" for c in files.columns],
+    )
+
+
+def last_id(spark: SparkSession, database: str, table: str, where: str = "true") -> int:
+    found = spark.table(f"`{database}`.`{table}`").where(where).agg(F.max(ID)).first()[0]
+    return found or 0
 
 
-def append_rows(spark: SparkSession, df: DataFrame, database: str, table: str) -> int:
+def append_rows(
+    spark: SparkSession, df: DataFrame, database: str, table: str, partition: str = "", start: int | None = None
+) -> int:
     """Appends any frame; its rows are written down first, to have places that last."""
     staged = stage(df, "append")
     try:
         placed = with_file_places(spark.table(staged))
-        return append_numbered(spark, placed, "_file", "_place", database, table)
+        return append_numbered(spark, placed, FILE, PLACE, database, table, partition, start)
     finally:
         unstage(spark, staged)
 
@@ -98,6 +117,15 @@ def load_frame(
     return append_rows(spark, df.select(*[f"`{c.name}`" for c in layout]), database, table)
 
 
+def load_files(
+    spark: SparkSession, files: DataFrame, layout: Sequence[LoadColumn], database: str, table: str
+) -> int:
+    """The same for a frame read from parquet files as it is: its rows have places there already."""
+    create_table(spark, database, table, layout)
+    rows = frame_to_load(with_file_places(files), layout, keep=(FILE, PLACE))
+    return append_numbered(spark, rows, FILE, PLACE, database, table)
+
+
 def drop_tables(spark: SparkSession, database: str, tables: Sequence[str]) -> list[tuple[str, bool, str]]:
     """Drops each table that is there; a failure is noted and the others go on.
 
@@ -127,8 +155,9 @@ __all__ = [
     "create_table",
     "drop_tables",
     "last_id",
+    "load_files",
     "load_frame",
+    "row_offsets",
     "show_rows",
     "with_file_places",
-    "with_ids",
 ]

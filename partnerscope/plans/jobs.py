@@ -8,13 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from partnerscope.functions.naming import catalog_name, table_name
-from partnerscope.operators.cells import fail_if_empty, total_last
+from partnerscope.operators.cells import fail_if_empty
 from partnerscope.operators.digest import digest_message
 from partnerscope.operators.measures import order_view, partner_view, with_common_codes
 from partnerscope.operators.report import in_report_order, partner_report
 from partnerscope.operators.tables import append_numbered, create_table, drop_tables
 from partnerscope.params import ORDER_TABLE, PARTNER_TABLE, ReportParams
-from partnerscope.session import stage, unstage, written
+from partnerscope.session import kept, stage, unstage
 from partnerscope.sources.feeds import sheet_frame, sheet_layout
 from partnerscope.sources.workbook import read_workbooks
 from partnerscope.streaming.ingest import ingest_sheets
@@ -72,9 +72,9 @@ def upload_orders(spark: SparkSession, path: str, database: str, **options) -> i
     return load_sheet(spark, path, database, ORDER_TABLE, **options)[1]
 
 
-def upload_new(spark: SparkSession, landing: str, target: str, checkpoint: str, layout) -> int:
-    """Uploads the workbooks that landed since the last call, each once."""
-    return ingest_sheets(spark, landing, layout, target, checkpoint)
+def upload_new(spark: SparkSession, landing: str, database: str, table: str, checkpoint: str, layout) -> int:
+    """Uploads the workbooks that landed since the last call, each once; returns the rows added."""
+    return ingest_sheets(spark, landing, layout, database, table, checkpoint)
 
 
 @dataclass(frozen=True)
@@ -86,12 +86,12 @@ class Delivery:
 
 
 def generate_report(spark: SparkSession, database: str, params: ReportParams) -> Delivery:
-    """The report over the two loaded tables, computed once and written down."""
+    """The report over the two loaded tables, computed once, so it outlives them."""
     partners, orders = with_common_codes(
         partner_view(spark.table(f"`{database}`.`{PARTNER_TABLE}`")),
         order_view(spark.table(f"`{database}`.`{ORDER_TABLE}`")),
     )
-    report = written(partner_report(partners, orders, params), "report")
+    report = kept(partner_report(partners, orders, params))
     message = digest_message(report, params).first()["message"]
     return Delivery(in_report_order(report), message)
 
@@ -125,10 +125,19 @@ def query_then_drop(
     database: str,
     tables: Sequence[str] = FEED_TABLES,
     deliver: Callable[[DataFrame], None] = lambda result: None,
+    save_as: str | None = None,
     **values,
 ) -> DataFrame:
-    """Runs a query, keeps and delivers its result, and only then drops the tables."""
-    result = written(run_query(spark, query, **values), "result")
+    """Runs a query, keeps and delivers its result, and only then drops the tables.
+
+    The whole result is a new table where ``save_as`` names one, or else held in the shared folder.
+    """
+    found = run_query(spark, query, **values)
+    if save_as:
+        found.write.format("parquet").saveAsTable(save_as)
+        result = spark.table(save_as)
+    else:
+        result = kept(found)
     fail_if_empty(result)
     deliver(result)
     cleanup(spark, database, tables)
@@ -144,9 +153,7 @@ __all__ = [
     "load_sheet_rows",
     "query_then_drop",
     "run_query",
-    "total_last",
     "upload_new",
     "upload_orders",
     "upload_partners",
-    "written",
 ]

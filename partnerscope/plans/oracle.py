@@ -4,9 +4,6 @@ from __future__ import annotations
 
 import textwrap
 
-from partnerscope.functions.naming import one_line_heading, report_headings, wrapped_headings
-from partnerscope.functions.rates import LOWEST_BAND_COLOUR, PERCENT_BANDS
-from partnerscope.operators.cells import BANDED, NUMBERED
 from partnerscope.operators.report import NUMBERED_COLUMNS, REPORT_COLUMNS
 from partnerscope.plans.star_model import CURRENT_YEAR, PRIOR_YEAR, star_params
 
@@ -123,9 +120,53 @@ parts AS (
          {_listed("rate_overall", RATE_NUMBER + " DESC, ord")} AS top_rate,
          {_listed("rate_overall", RATE_NUMBER + " ASC, ord")} AS bottom_rate)"""
 
-HEADINGS = report_headings(PARAMS)
-WRAPPED = {c: wrapped_headings(PARAMS).get(h, h) for c, h in HEADINGS.items()}
-ONE_LINE = {c: one_line_heading(h, PARAMS) for c, h in HEADINGS.items()}
+# The headings expected for 1998 against 1997, published, on two lines, on one.
+HEADINGS = {
+    "stt": "STT",
+    "dept": "PBH",
+    "new_current": "PTM1998",
+    "new_prior": "PTM1997",
+    "existing": "TỔNG SL CTVLK Hiện hữu",
+    "active_current": "SL CTVLK PTM 1998 PSSL 1998",
+    "active_prior": "SL CTVLK PTM 1997 PSSL 1998",
+    "active_total": "TỔNG SL CTVLK PSSL 1998",
+    "rate_current": "Tỷ lệ CTVLK PTM 1998 PSSL 1998",
+    "rate_prior": "Tỷ lệ CTVLK PTM 1997 PSSL 1998",
+    "rate_overall": "Tỷ lệ CTVLK PSSL 1998",
+    "orders_raised": "SL ĐH Phát sinh",
+    "orders_ok": "SL ĐH PS Thành công",
+    "order_rate": "Tỉ lệ ĐH Thành công",
+}
+WRAPPED = {
+    "stt": "STT",
+    "dept": "PBH",
+    "new_current": "PTM98",
+    "new_prior": "PTM97",
+    "existing": "TỔNG SL\nCTVLK HH",
+    "active_current": "CTVLK\nPTM98 PS",
+    "active_prior": "CTVLK\nPTM97 PS",
+    "active_total": "TỔNG SL\nCTVLK PS",
+    "rate_current": "TL CTVLK\nPTM98",
+    "rate_prior": "TL CTVLK\nPTM97",
+    "rate_overall": "TL\nCTVLK PS",
+    "orders_raised": "SL ĐH\nPhát sinh",
+    "orders_ok": "SL ĐH\nPS Thành công",
+    "order_rate": "Tỉ lệ\nĐH Thành công",
+}
+ONE_LINE = {
+    "stt": "STT",
+    "dept": "PBH",
+    "new_current": "PTM98",
+    "new_prior": "PTM97",
+    "existing": "TỔNG SL CTVLK HH",
+    "active_current": "CTVLK PTM98 PS",
+    "active_prior": "CTVLK PTM97 PS",
+    "active_total": "TỔNG SL CTVLK PS",
+    "rate_current": "TL CTVLK PTM98",
+    "rate_prior": "TL CTVLK PTM97",
+    "rate_overall": "TL CTVLK PS",
+    "orders_raised": "SL ĐH Phát sinh",
+}
 
 
 def _dash(column: str) -> str:
@@ -150,8 +191,10 @@ def _cells(columns, text, source: str, names: dict[str, str]) -> str:
 
 
 def _band(number: str) -> str:
-    levels = "".join(f" WHEN {number} >= {low} THEN '{colour}'" for low, colour in PERCENT_BANDS)
-    return f"CASE{levels} ELSE '{LOWEST_BAND_COLOUR}' END"
+    return (
+        f"CASE WHEN {number} >= 80 THEN '#4CAF50' WHEN {number} >= 60 THEN '#A5D6A7' "
+        f"WHEN {number} >= 40 THEN '#FFF59D' WHEN {number} >= 20 THEN '#FFCC80' ELSE '#EF9A9A' END"
+    )
 
 
 CELL_NUMBER = "CAST(replace(text, '%', '') AS DOUBLE)"
@@ -196,7 +239,7 @@ def _tidy(number: str) -> str:
 
 
 def _nums() -> str:
-    return "CASE WHEN p_size % 3 = 0 THEN 0 ELSE CAST(floor(CAST(replace(p_brand, 'Brand#', '') AS DOUBLE) + 0.75) AS BIGINT) END"
+    return "CASE WHEN p_size % 3 <> 2 THEN 0 ELSE CAST(floor(CAST(replace(p_brand, 'Brand#', '') AS DOUBLE) + 0.75) AS BIGINT) END"
 
 
 def oracle() -> dict[str, str]:
@@ -207,7 +250,7 @@ def oracle() -> dict[str, str]:
         "partner_report_two_level": published,
         "partner_report_typed": published,
         "loaded_report": published,
-        "workbook_report": published,
+        "partner_report_text_codes": published,
         "partner_report_collated": published,
         "partner_report_blank_codes": f"WITH {_blank(PARTNERS)}, {_blank(ORDERS)}, {LITERAL} SELECT {REPORT_LIST} FROM report",
         "partner_report_blank_as_null": f"""WITH {_blank(PARTNERS, "NULL")}, {_blank(ORDERS, "NULL")}, {LITERAL}
@@ -262,16 +305,16 @@ def oracle() -> dict[str, str]:
             {", ".join(f"{_shown(c)} AS {c}" for c in NUMBERED_COLUMNS)} FROM numbered""",
         "cell_table": f"""{REPORT}, {_cells(REPORT_COLUMNS, lambda c: c, "report", WRAPPED)}
             SELECT "row", col, heading, text,
-                   CASE WHEN is_total THEN '{BANDED["total"]}'
+                   CASE WHEN is_total THEN '#0074bc'
                         WHEN text LIKE '%\\%%' ESCAPE '\\' THEN {_band(CELL_NUMBER)}
-                        WHEN "row" % 2 = 0 THEN '{BANDED["even"]}' ELSE '{BANDED["odd"]}' END AS background,
+                        WHEN "row" % 2 = 0 THEN '#ffffff' ELSE '#eaf6ea' END AS background,
                    CASE WHEN is_total THEN 'bold' ELSE 'normal' END AS weight FROM cell""",
         "cell_table_numbered": f"""{NUMBERED_REPORT}, {_cells(NUMBERED_COLUMNS, _shown, "numbered", ONE_LINE)}
             SELECT "row", col, heading, text,
                    CASE WHEN name LIKE 'rate%' AND text <> '-' AND TRY_CAST(replace(text, '%', '') AS DOUBLE) > 50
-                        THEN '{NUMBERED["over"]}'
-                        WHEN is_total THEN '{NUMBERED["total"]}'
-                        WHEN "row" % 2 = 0 THEN '{NUMBERED["even"]}' ELSE '{NUMBERED["odd"]}' END AS background,
+                        THEN '#90EE90'
+                        WHEN is_total THEN '#0072BC'
+                        WHEN "row" % 2 = 0 THEN 'white' ELSE '#E8F4E8' END AS background,
                    CASE WHEN is_total THEN 'bold' ELSE 'normal' END AS weight FROM cell""",
         "dept_decode": f"""WITH {PARTNERS} SELECT code,
             CASE WHEN dept IN ({NAMES}) THEN 'N' || lpad(substr(dept, 8), 2, '0') END AS short_code,
@@ -352,12 +395,26 @@ def oracle() -> dict[str, str]:
         "query_then_drop": f"""WITH {PARTNERS}, {ORDERS}
             SELECT p.dept, count(*) AS orders, count(DISTINCT p.code) AS partners
             FROM partner p JOIN purchase o ON o.code = p.code WHERE o.status = 'F' GROUP BY p.dept""",
-        "xlsx_ingest": """SELECT o_orderkey AS "mã_đh", o_custkey AS col_2, o_orderstatus AS "trạng_thái",
-            o_totalprice AS "số_tiền", strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS "ngày",
-            CASE WHEN o_custkey % 5 <> 0 THEN o_orderpriority ELSE '' END AS "col_2_ưu_tiên",
-            CASE WHEN o_custkey % 7 <> 0 THEN CAST(o_custkey AS VARCHAR) || '.0' ELSE '' END AS "trạng_thái1"
-            FROM orders""",
-        "incremental_ingest": """SELECT o_orderstatus, count(*) AS n, max(o_orderkey) AS last_key
-            FROM orders GROUP BY o_orderstatus""",
+        "incremental_ingest": """SELECT o_orderstatus, 2 * count(*) AS n, 2 * count(*) AS ids,
+            -max(o_orderkey) AS lowest, max(o_orderkey) AS highest,
+            (SELECT 2 * count(*) FROM orders) AS added FROM orders GROUP BY o_orderstatus""",
+        "drop_if_present": "SELECT r_regionkey FROM region",
+        "short_backlog": """SELECT l_returnflag AS "PBH", l_orderkey AS thucuoc, l_partkey AS cskh_ob, l_suppkey AS cskh_ob_nc,
+            CAST(l_linenumber AS BIGINT) AS cskh_sla_lonhon_72, l_quantity AS baohong, l_extendedprice AS tuvan,
+            l_tax AS tong_ton FROM lineitem""",
+        "select_all": "SELECT * FROM supplier",
+        "table_names": """SELECT url || '/Báo cáo ' || page_id || '.v2.XLSX' AS file,
+            'báocáo' || page_id || 'v2' AS table_name FROM pages""",
+        "blank_headers": """WITH header AS (
+              SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN '' ELSE l_returnflag || l_linestatus END AS name,
+                     row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN '' ELSE l_returnflag || l_linestatus END) AS place
+              FROM lineitem),
+            counted AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, name ORDER BY place) - 1 AS before FROM header)
+            SELECT l_orderkey, string_agg(CASE WHEN name = '' THEN 'col_' || place WHEN before > 0 THEN name || '.' || before
+                                               ELSE name END, '|' ORDER BY place) AS names
+            FROM counted GROUP BY l_orderkey""",
+        "total_last": """SELECT dept, count(*) AS n, coalesce(dept = 'TOTAL', false) AS is_total FROM (
+              SELECT CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_mktsegment = 'MACHINERY' THEN 'TOTAL' ELSE c_mktsegment END AS dept
+              FROM customer) GROUP BY dept""",
     }
     return {name: textwrap.dedent(text).strip() for name, text in statements.items()}

@@ -18,10 +18,11 @@ from partnerscope.plans.star_model import (
     star_partners_extended,
     table,
     with_blank_codes,
+    with_mixed_codes,
     with_mixed_case,
 )
-from partnerscope.session import new_database, new_folder, written
-from partnerscope.sources import feeds, jdbc, workbook
+from partnerscope.session import kept, new_folder, passing_database
+from partnerscope.sources import feeds, jdbc
 from partnerscope.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,9 +180,9 @@ def nulls_last_order(spark, folder):
 def union_total_last(spark, folder):
     """Two halves put together by position: departments, then the total.
 
-    Both come from the same few rows, written down so they are computed once.
+    Both come from the same rows; the engine computes what they share once.
     """
-    rows = written(report.new_partners(star_partners(spark, folder), star_params()), "halves")
+    rows = report.new_partners(star_partners(spark, folder), star_params())
     main = rows.where(~F.col("is_total")).select(F.col("ord").cast("bigint"), "dept", "new_current")
     total = rows.where("is_total").select(F.lit(None), F.lit(star_params().total_label), "new_current")
     return main.union(total).orderBy(F.col("ord").asc_nulls_last())
@@ -260,6 +261,21 @@ def year_typed(spark, folder):
     return found.groupBy("status").agg(F.count(F.lit(1)).alias("orders"))
 
 
+@query
+def partner_report_text_codes(spark, folder):
+    """Codes as texts in changing case, the same under a collation, on both sides."""
+    partners, orders = (with_mixed_codes(df) for df in _model(spark, folder))
+    return _published(report.partner_report(partners, orders, star_params(collation="UTF8_LCASE")))
+
+
+@query
+def total_last(spark, folder):
+    """Customers by segment, some without a label, the row labelled as total last."""
+    segment = F.when(F.col("c_custkey") % 7 == 0, F.lit(None)).when(F.col("c_mktsegment") == "MACHINERY", F.lit("TOTAL")).otherwise(F.col("c_mktsegment"))
+    counts = table(spark, folder, "customer").select(segment.alias("dept")).groupBy("dept").agg(F.count(F.lit(1)).alias("n"))
+    return cells.total_last(counts, "dept", "TOTAL")
+
+
 @query
 def collated_group(spark, folder):
     """Texts that differ in case only are one group, under the first of its spellings."""
@@ -308,10 +324,11 @@ def number_tidy(spark, folder):
 
 @query
 def tolerant_number(spark, folder):
-    """Whole numbers out of texts; texts without a number count as 0."""
+    """Whole numbers out of texts; texts without a number, or with one too large, count as 0."""
     parts = table(spark, folder, "part")
     brand = F.regexp_replace("p_brand", "^Brand#", "")
-    texts = F.when(F.col("p_size") % 3 == 0, F.col("p_name")).otherwise(F.concat(brand, F.lit(".75")))
+    number = F.when(F.col("p_size") % 3 == 1, F.concat(brand, F.lit("e30"))).otherwise(F.concat(brand, F.lit(".75")))
+    texts = F.when(F.col("p_size") % 3 == 0, F.col("p_name")).otherwise(number)
     return parts.groupBy("p_type").agg(
         F.sum(values.tolerant_int(texts)).alias("total"), F.count_if(values.tolerant_int(texts) == 0).alias("zeros")
     )
@@ -366,14 +383,19 @@ def drop_first_column(spark, folder):
         F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("TEN_NGAN"),
         F.col("s_name").alias("TEN"),
         F.col("n_name").alias("MA_DV"),
+        F.col("s_acctbal").alias("unused"),
     )
-    return cells.drop_first_column(branches)
+    return cells.drop_first_column(jdbc.branch_list(branches))
 
 
 @query
-def aliased_projection(spark, folder):
-    """The backlog report: columns picked, two renamed, one name with symbols."""
-    backlogs = table(spark, folder, "lineitem").select(
+def drop_if_present(spark, folder):
+    """One column that is there and one that isn't, left out."""
+    return cells.drop_if_present(cells.drop_if_present(table(spark, folder, "region"), "r_name"), "no_such_column")
+
+
+def _backlogs(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "lineitem").select(
         F.col("l_returnflag").alias("PBH"),
         F.col("l_orderkey").alias("thucuoc"),
         F.col("l_partkey").alias("cskh_ob"),
@@ -385,7 +407,41 @@ def aliased_projection(spark, folder):
         F.col("l_tax").alias("tong_ton"),
         F.col("l_shipdate"),
     )
-    return jdbc.backlog(backlogs)
+
+
+@query
+def aliased_projection(spark, folder):
+    """The backlog report: columns picked, two renamed, one name with symbols."""
+    return jdbc.backlog(_backlogs(spark, folder))
+
+
+@query
+def short_backlog(spark, folder):
+    """The short form of the backlog report: columns picked, none renamed."""
+    return jdbc.backlog(_backlogs(spark, folder), short=True)
+
+
+@query
+def select_all(spark, folder):
+    """A whole table by a query's text."""
+    table(spark, folder, "supplier").createOrReplaceTempView("select_all_supplier")
+    return jobs.run_query(spark, default="SELECT * FROM select_all_supplier")
+
+
+@query
+def table_names(spark, folder):
+    """Table names from file names with folder and ending."""
+    files = table(spark, folder, "pages").select(F.concat("url", F.lit("/Báo cáo "), F.col("page_id").cast("string"), F.lit(".v2.XLSX")).alias("file"))
+    return files.select("file", naming.table_name_column(F.col("file")).alias("table_name"))
+
+
+@query
+def blank_headers(spark, folder):
+    """Header rows with blank and repeated headers: one per order, of its lines."""
+    header = F.when(F.col("l_linenumber") % 3 == 0, F.lit("")).otherwise(F.concat("l_returnflag", "l_linestatus"))
+    lines = table(spark, folder, "lineitem").select("l_orderkey", F.struct("l_linenumber", header.alias("header")).alias("cell"))
+    rows = lines.groupBy("l_orderkey").agg(F.transform(F.sort_array(F.collect_list("cell")), lambda c: c["header"]).alias("headers"))
+    return rows.select("l_orderkey", F.array_join(naming.fill_blank_headers_column(F.col("headers")), "|").alias("names"))
 
 
 @query
@@ -465,66 +521,68 @@ def _load(spark: SparkSession, frame: DataFrame, database: str, name: str) -> in
     return tables.load_frame(spark, feeds.frame_to_load(frame, layout), layout, database, name)
 
 
+def _load_files(spark: SparkSession, files: DataFrame, database: str, name: str) -> int:
+    return tables.load_files(spark, files, feeds.frame_layout(files, wide=True), database, name)
+
+
 @query
 def typed_load_append(spark, folder):
     """A feed loaded twice into one typed table: the second load is appended."""
-    database = new_database(spark, "typed_load")
     customers = table(spark, folder, "customer")
-    for _ in range(2):
-        _load(spark, customers, database, "customers")
-    return (
-        spark.table(f"{database}.customers")
-        .groupBy("c_mktsegment")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_distinct("c_custkey").alias("customers"),
-            F.min("c_acctbal").alias("lowest"),
-            F.max("c_acctbal").alias("highest"),
+    with passing_database(spark, "typed_load") as database:
+        for _ in range(2):
+            _load_files(spark, customers, database, "customers")
+        loaded = spark.table(f"{database}.customers").groupBy("c_mktsegment")
+        return kept(
+            loaded.agg(
+                F.count(F.lit(1)).alias("n"),
+                F.count_distinct("c_custkey").alias("customers"),
+                F.min("c_acctbal").alias("lowest"),
+                F.max("c_acctbal").alias("highest"),
+            )
         )
-    )
 
 
 @query
 def catalog_columns(spark, folder):
     """Columns of two loaded tables as the catalog lists them, with the rows loaded."""
-    database = new_database(spark, "catalog")
     loaded = None
-    for name in ("customer", "orders"):
-        rows = _load(spark, table(spark, folder, name), database, name)
-        listed = profile.table_columns(spark, name, database).withColumn("rows", F.lit(rows).cast("bigint"))
-        loaded = listed if loaded is None else loaded.unionByName(listed)
+    with passing_database(spark, "catalog") as database:
+        for name in ("customer", "orders"):
+            rows = _load_files(spark, table(spark, folder, name), database, name)
+            listed = profile.table_columns(spark, name, database).withColumn("rows", F.lit(rows).cast("bigint"))
+            loaded = listed if loaded is None else loaded.unionByName(listed)
     return loaded.drop("table_schema")
 
 
 @query
 def surrogate_id(spark, folder):
     """Ids of a first load and of one appended after it: no gap, no repeat."""
-    database = new_database(spark, "ids")
     customers = table(spark, folder, "customer").select(F.lit("customer").alias("feed"), F.col("c_custkey").alias("key"))
     orders = table(spark, folder, "orders").select(F.lit("orders").alias("feed"), F.col("o_orderkey").alias("key"))
-    for frame in (customers, orders):
-        _load(spark, frame, database, "loaded")
-    return (
-        spark.table(f"{database}.loaded")
-        .groupBy("feed")
-        .agg(
-            F.min("id").alias("first_id"),
-            F.max("id").alias("last_id"),
-            F.count("id").alias("n"),
-            F.count_distinct("id").alias("ids"),
+    with passing_database(spark, "ids") as database:
+        for frame in (customers, orders):
+            _load(spark, frame, database, "loaded")
+        loaded = spark.table(f"{database}.loaded").groupBy("feed")
+        return kept(
+            loaded.agg(
+                F.min("id").alias("first_id"),
+                F.max("id").alias("last_id"),
+                F.count("id").alias("n"),
+                F.count_distinct("id").alias("ids"),
+            )
         )
-    )
 
 
 @query
 def drop_tables(spark, folder):
     """Two loaded tables and one that never was, dropped in one call."""
-    database = new_database(spark, "dropped")
-    loaded = {
-        "customers": _load(spark, table(spark, folder, "customer"), database, "customers"),
-        "suppliers": _load(spark, table(spark, folder, "supplier"), database, "suppliers"),
-    }
-    results = tables.drop_tables(spark, database, ["customers", "never_loaded", "suppliers"])
+    with passing_database(spark, "dropped") as database:
+        loaded = {
+            "customers": _load_files(spark, table(spark, folder, "customer"), database, "customers"),
+            "suppliers": _load_files(spark, table(spark, folder, "supplier"), database, "suppliers"),
+        }
+        results = tables.drop_tables(spark, database, ["customers", "never_loaded", "suppliers"])
     rows = [(name, gone, loaded.get(name, 0)) for name, gone, _ in results]
     return spark.createDataFrame(rows, "table_name string, dropped boolean, rows bigint")
 
@@ -532,90 +590,53 @@ def drop_tables(spark, folder):
 @query
 def query_then_drop(spark, folder):
     """A query with a parameter over two loaded tables, its result kept, the tables dropped."""
-    database = new_database(spark, "query_then_drop")
-    _load(spark, _partner_feed(spark, folder), database, PARTNER_TABLE)
-    _load(spark, _order_feed(spark, folder), database, ORDER_TABLE)
-    text = f"""
-        SELECT p.col_14 AS dept, count(*) AS orders, count(DISTINCT p.col_3) AS partners
-        FROM `{database}`.`{PARTNER_TABLE}` p JOIN `{database}`.`{ORDER_TABLE}` o ON o.col_12 = p.col_3
-        WHERE o.col_27 = :status GROUP BY p.col_14
-    """
-    return jobs.query_then_drop(spark, text, database, status=star_params().success)
-
-
-def _positional(df: DataFrame, width: int) -> DataFrame:
-    """The feed with all its sheet columns, the unused ones empty."""
-    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in (f"col_{i}" for i in range(1, width + 1))])
-
-
-def _sheet_rows(df: DataFrame, headers: list[str | None]) -> DataFrame:
-    """The frame packed into workbooks by the tasks that read it, and the workbooks opened.
-
-    A table of one file is packed by one task, so the workbooks are spread before opening.
-    """
-    return workbook.workbook_rows(workbook.pack_workbooks(df, headers).repartition("path"))
-
-
-@query
-def workbook_report(spark, folder):
-    """The report job from workbooks: both feeds packed, opened, typed, loaded and reported."""
-    database = new_database(spark, "workbook_report")
-    feeds_of = (
-        (PARTNER_TABLE, _positional(_partner_feed(spark, folder), 22)),
-        (ORDER_TABLE, _positional(_order_feed(spark, folder), 27)),
-    )
-    for name, feed in feeds_of:
-        rows = _sheet_rows(feed, [None] * len(feed.columns))
-        jobs.load_sheet_rows(rows, database, name, rule="unicode", wide=True)
-    delivery = jobs.generate_report(spark, database, star_params())
-    jobs.cleanup(spark, database)
-    return delivery.report.select(*report.REPORT_COLUMNS)
+    with passing_database(spark, "query_then_drop") as database:
+        _load(spark, _partner_feed(spark, folder), database, PARTNER_TABLE)
+        _load(spark, _order_feed(spark, folder), database, ORDER_TABLE)
+        text = f"""
+            SELECT p.col_14 AS dept, count(*) AS orders, count(DISTINCT p.col_3) AS partners
+            FROM `{database}`.`{PARTNER_TABLE}` p JOIN `{database}`.`{ORDER_TABLE}` o ON o.col_12 = p.col_3
+            WHERE o.col_27 = :status GROUP BY p.col_14
+        """
+        return jobs.query_then_drop(spark, text, database, status=star_params().success)
 
 
 @query
 def loaded_report(spark, folder):
     """The report job: both feeds into typed tables, the report kept, the tables dropped."""
-    database = new_database(spark, "loaded_report")
-    _load(spark, _partner_feed(spark, folder), database, PARTNER_TABLE)
-    _load(spark, _order_feed(spark, folder), database, ORDER_TABLE)
-    delivery = jobs.generate_report(spark, database, star_params())
-    jobs.cleanup(spark, database)
+    with passing_database(spark, "loaded_report") as database:
+        _load(spark, _partner_feed(spark, folder), database, PARTNER_TABLE)
+        _load(spark, _order_feed(spark, folder), database, ORDER_TABLE)
+        delivery = jobs.generate_report(spark, database, star_params())
+        jobs.cleanup(spark, database)
     return delivery.report.select(*report.REPORT_COLUMNS)
 
 
-@query
-def xlsx_ingest(spark, folder):
-    """Orders packed into workbooks by the tasks, read back as sheets and typed.
-
-    The sheets have an accented, a blank and a repeated header.
-    """
-    orders = table(spark, folder, "orders").select(
-        "o_orderkey",
-        "o_custkey",
-        "o_orderstatus",
-        "o_totalprice",
-        "o_orderdate",
-        F.when(F.col("o_custkey") % 5 != 0, F.col("o_orderpriority")).alias("priority"),
-        F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("gaps"),
-    )
-    headers = ["Mã ĐH", None, "Trạng thái", "Số tiền", "Ngày", "2 Ưu tiên", "Trạng thái"]
-    rows = written(_sheet_rows(orders, headers), "sheets")
-    layout = feeds.sheet_layout(rows, rule="unicode", wide=True)
-    sheet = feeds.sheet_frame(rows, layout).drop("path", "row_no")
-    return sheet.withColumn("ngày", F.date_format("ngày", "yyyy-MM-dd HH:mm:ss"))
-
-
 @query
 def incremental_ingest(spark, folder):
-    """Orders as a stream of landed files; taking the feed a second time adds nothing."""
+    """Two feeds of landed files into one table; taking each a second time adds nothing."""
     place = new_folder(spark, "ingest")
-    target, checkpoint = f"{place}/orders", f"{place}/checkpoint"
+    # Orders, and the same orders as another source has them: with keys of its own.
     schema = table(spark, folder, "orders").schema
-    for _ in range(2):
-        stream = ingest.landed_rows(spark, f"{folder}/orders.parque[t]", schema)
-        ingest.ingest_new(stream, values.blank_fill, target, checkpoint)
-    return (
-        ingest.ingested(spark, target)
-        .groupBy("o_orderstatus")
-        .agg(F.count(F.lit(1)).alias("n"), F.max(F.col("o_orderkey").cast("bigint")).alias("last_key"))
-    )
+    feeds_of = {"first": lambda rows: rows, "second": lambda rows: rows.withColumn("o_orderkey", -F.col("o_orderkey"))}
+    with passing_database(spark, "ingest") as database:
+        ingest.create_target(spark, database, "orders", [("o_orderkey", "bigint"), ("o_orderstatus", "string")])
+        added = 0
+        for _ in range(2):
+            for name, change in feeds_of.items():
+                stream = ingest.landed_rows(spark, f"{folder}/orders.parque[t]", schema)
+
+                def clean(rows, change=change):
+                    return change(rows).select("o_orderkey", "o_orderstatus")
+
+                added += ingest.ingest_new(stream, clean, database, "orders", f"{place}/{name}")
+        rows = ingest.ingested(spark, database, "orders").groupBy("o_orderstatus")
+        return kept(
+            rows.agg(
+                F.count(F.lit(1)).alias("n"),
+                F.count_distinct("id").alias("ids"),
+                F.min("o_orderkey").alias("lowest"),
+                F.max("o_orderkey").alias("highest"),
+                F.lit(added).cast("bigint").alias("added"),
+            )
+        )

@@ -73,6 +73,12 @@ def with_blank_codes(df: DataFrame) -> DataFrame:
     return df.withColumn("code", F.expr("CASE WHEN code % 10 = 0 THEN '' ELSE CAST(code AS string) END"))
 
 
+def with_mixed_codes(df: DataFrame) -> DataFrame:
+    """Codes as texts with a letter that is a capital in every other row."""
+    other = "crc32(CAST(coalesce(%s) AS binary)) %% 2 = 0" % ("CAST(ord_id AS string)" if "ord_id" in df.columns else "dept")
+    return df.withColumn("code", F.expr(f"concat(CASE WHEN {other} THEN 'k' ELSE 'K' END, CAST(code AS string))"))
+
+
 def with_mixed_case(df: DataFrame) -> DataFrame:
     """Status texts in capitals where the code is odd and in small letters elsewhere."""
     return df.withColumn("status", F.expr("CASE WHEN code % 2 = 1 THEN upper(status) ELSE lower(status) END"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
+import hashlib
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 WORK_DATABASE = "partnerscope_work"
-_own_folder: dict[str, str] = {}
 
 
 def local_session(cores: str | int = "*", partitions: int = 8, **conf) -> SparkSession:
@@ -27,19 +28,28 @@ def local_session(cores: str | int = "*", partitions: int = 8, **conf) -> SparkS
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster.
+    """The folder every executor can reach, as named by the cluster; else one in the warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/shared").rstrip("/")
+
 
-    Only where the session names none (a bare local session) one is made here.
+def kept(df: DataFrame) -> DataFrame:
+    """The frame computed once and held in the shared folder, for what the tables it reads outlive it.
+
+    Spark frees it with the frame where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        _own_folder[app] = tempfile.mkdtemp(prefix="partnerscope-")
-    return _own_folder[app]
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{shared_folder(df.sparkSession)}/partnerscope/checkpoints")
+    return df.checkpoint()
+
+
+def work_database(spark: SparkSession) -> str:
+    """The database of staged tables: one for each shared folder, as a database keeps its place."""
+    folder = f"{shared_folder(spark)}/partnerscope"
+    name = f"{WORK_DATABASE}_{hashlib.sha256(folder.encode()).hexdigest()[:12]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{folder}/{name}'")
+    return name
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
@@ -53,10 +63,7 @@ def stage(df: DataFrame, purpose: str) -> str:
     Cuts the lineage: what follows reads files that stay the same, so a lost executor
     or a second use does not run the steps before again. ``unstage`` frees the space.
     """
-    spark = df.sparkSession
-    place = f"{shared_folder(spark)}/partnerscope/{WORK_DATABASE}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {WORK_DATABASE} LOCATION '{place}'")
-    name = f"{WORK_DATABASE}.{purpose}_{uuid.uuid4().hex}"
+    name = f"{work_database(df.sparkSession)}.{purpose}_{uuid.uuid4().hex}"
     df.write.format("parquet").saveAsTable(name)
     return name
 
@@ -65,13 +72,23 @@ def unstage(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def written(df: DataFrame, purpose: str = "written") -> DataFrame:
-    """The frame as a staged table that stays, for results handed to the caller."""
-    return df.sparkSession.table(stage(df, purpose))
-
-
 def new_database(spark: SparkSession, purpose: str) -> str:
-    """A database of its own, stored in the shared folder."""
+    """A database of its own, stored in the shared folder; ``drop_database`` frees it."""
     name = f"{purpose}_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{new_folder(spark, name)}'")
     return name
+
+
+def drop_database(spark: SparkSession, name: str) -> None:
+    """The database with all its tables."""
+    spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+
+
+@contextmanager
+def passing_database(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A database that goes with the block, also if it fails."""
+    name = new_database(spark, purpose)
+    try:
+        yield name
+    finally:
+        drop_database(spark, name)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,39 +57,37 @@ def load_type(numbers: bool, whole: bool, dates: bool, blanks: bool, zeros: bool
 
 
 def sheet_layout(rows: DataFrame, rule: str = "ascii", tidy: bool = False, wide: bool = False) -> list[LoadColumn]:
-    """Names and types of the columns of all sheets together, from one pass.
+    """Names and types of the columns of all sheets together.
 
-    The result has one row per sheet column, of which the format allows 16,384.
+    What is collected has a few rows per sheet column, of which the format allows 16,384.
     """
-    header = F.col("row_no") == 0
-
-    def seen(letter: str) -> Column:
-        return F.coalesce(F.bool_or(F.when(~header, F.col("kind") == letter)), F.lit(False))
-
-    cells = rows.select("row_no", F.posexplode(F.arrays_zip("cells", F.split("kinds", ""))).alias("place", "c"))
-    profiled = (
-        cells.select("row_no", "place", F.col("c.cells").alias("text"), F.col("c.1").alias("kind"))
-        .groupBy("place")
-        .agg(
-            F.count_if(~header).alias("n"),
-            F.count_if(header).alias("sheets"),
-            F.min(F.when(header, F.col("text"))).alias("first_name"),
-            F.max(F.when(header, F.col("text"))).alias("last_name"),
-            *[seen(k).alias(k) for k in "ifdbs"],
-            seen("-").alias("blank"),
-            F.coalesce(F.bool_or(~header & (F.col("kind") == "i") & (F.col("text") == "0")), F.lit(False)).alias("zero"),
-        )
-        .orderBy("place")
-        .collect()
-    )
-    if not profiled:
+    headers = rows.where("row_no = 0").select(F.col("cells").alias("header")).distinct().limit(2).collect()
+    if not headers:
         raise ValueError("there are no sheets to load")
-    total, sheets = profiled[0]["n"], profiled[0]["sheets"]
-    for column in profiled:
-        if column["first_name"] != column["last_name"] or column["sheets"] not in (0, sheets):
-            raise ValueError(f"the sheets disagree on the header of column {column['place'] + 1}")
+    if len(headers) > 1:
+        widest = max(len(h["header"]) for h in headers)
+        texts = [[*h["header"], *[None] * (widest - len(h["header"]))] for h in headers]
+        place = next(i for i, (a, b) in enumerate(zip(*texts, strict=True), start=1) if a != b)
+        raise ValueError(f"the sheets disagree on the header of column {place}")
+    # Rows of a sheet have few different rows of kinds: those are counted, then taken apart.
+    zeros = F.transform("cells", lambda text, i: (text == "0") & (F.substring("kinds", i + 1, 1) == "i"))
+    marked = F.concat_ws("", F.zip_with(F.split("kinds", ""), zeros, lambda kind, zero: F.when(zero, F.lit("0")).otherwise(kind)))
+    rows_of = rows.where("row_no > 0").select(marked.alias("kinds")).groupBy("kinds").agg(F.count(F.lit(1)).alias("n"))
+    cells = rows_of.select("n", F.posexplode(F.split("kinds", "")).alias("place", "kind"))
+    found = cells.groupBy("place", "kind").agg(F.sum("n").alias("n")).collect()
+    total = rows_of.agg(F.sum("n")).first()[0] or 0
+    header = headers[0]["header"]
+    kinds: list[dict[str, int]] = [{} for _ in range(max([len(header), *(r["place"] + 1 for r in found)]))]
+    for row in found:
+        kinds[row["place"]][row["kind"]] = row["n"]
+    profiled = []
+    for place, seen in enumerate(kinds):
+        column = {k: seen.get(k, 0) > 0 for k in "fdbs"} | {"place": place, "n": sum(seen.values())}
+        column |= {"i": seen.get("i", 0) + seen.get("0", 0) > 0, "zero": seen.get("0", 0) > 0, "blank": seen.get("-", 0) > 0}
+        profiled.append(column)
     layout = []
-    for column, name in zip(profiled, column_names([c["first_name"] for c in profiled], rule, [ID])):
+    names = column_names([*header, *[None] * (len(kinds) - len(header))], rule, [ID])
+    for column, name in zip(profiled, names, strict=True):
         text, number, date = column["s"] or column["b"], column["i"] or column["f"], column["d"]
         kind, form = load_type(
             numbers=number and not (text or date),
@@ -126,13 +124,21 @@ def sheet_frame(rows: DataFrame, layout: list[LoadColumn]) -> DataFrame:
 
 
 def read_csv_feed(spark: SparkSession, path: str, rule: str = "ascii") -> DataFrame:
-    """Text exports with a header line each; every column is text, blanks are empty texts."""
-    first = spark.read.option("header", False).option("multiLine", True).csv(path).first()
+    """Text exports with a header line each; every column is text, blanks are empty texts.
+
+    Quoted line breaks belong to their value. A file whose header differs from the first
+    one's, also in the order of columns, is an error when its rows are read. Headers that
+    repeat a name can't be compared and are taken by place.
+    """
+    reader = spark.read.option("multiLine", True)
+    first = reader.option("header", False).csv(path).first()
     if first is None:
         raise ValueError(f"no rows under {path}")
-    names = column_names(list(first), rule)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return spark.read.schema(schema).option("header", True).csv(path).fillna("")
+    raw, names = [h or "" for h in first], column_names(list(first), rule)
+    comparable = len({h.lower() for h in raw}) == len(raw)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (raw if comparable else names)])
+    rows = reader.schema(schema).option("header", True).option("enforceSchema", not comparable).csv(path)
+    return rows.toDF(*names).fillna("")
 
 
 def frame_layout(df: DataFrame, rule: str = "ascii", tidy: bool = False, wide: bool = False) -> list[LoadColumn]:
@@ -161,9 +167,9 @@ def frame_layout(df: DataFrame, rule: str = "ascii", tidy: bool = False, wide: b
     return layout
 
 
-def frame_to_load(df: DataFrame, layout: list[LoadColumn]) -> DataFrame:
+def frame_to_load(df: DataFrame, layout: list[LoadColumn], keep: Sequence[str] = ()) -> DataFrame:
     """A typed frame in its load form: blanks as empty texts, ``nan`` texts as NULL."""
-    out = []
+    out = [F.col(c) for c in keep]
     for column in layout:
         data_type = df.schema[column.source].dataType
         value = F.col(f"`{column.source}`")

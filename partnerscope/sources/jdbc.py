@@ -29,6 +29,8 @@ class Database:
         kind = self.url.split(":")[1] if self.url.startswith("jdbc:") else ""
         driver = self.driver or DRIVERS.get(kind)
         options = {"url": self.url, **self.properties}
+        if kind == "mysql":  # without it this driver ignores the number of rows to fetch
+            options.setdefault("useCursorFetch", "true")
         if driver:
             options["driver"] = driver
         return options
@@ -52,12 +54,17 @@ class Slices:
         }
 
 
+# Rows a driver fetches at a time; some hold a whole result in memory otherwise.
+FETCH_ROWS = 10_000
+
+
 def query_options(database: Database, query: str, slices: Slices | None = None) -> dict[str, str]:
     """Options to run the query in the database; in slices it becomes a derived table."""
     text = query.strip().rstrip("; ")
+    common = {"fetchsize": str(FETCH_ROWS), **database.options()}
     if slices is None:
-        return {**database.options(), "query": text}
-    return {**database.options(), "dbtable": f"({text}) sliced", **slices.options()}
+        return {**common, "query": text}
+    return {**common, "dbtable": f"({text}) sliced", **slices.options()}
 
 
 def read_query(spark: SparkSession, database: Database, query: str, slices: Slices | None = None) -> DataFrame:
@@ -66,7 +73,8 @@ def read_query(spark: SparkSession, database: Database, query: str, slices: Slic
 
 def read_table(spark: SparkSession, database: Database, table: str, slices: Slices | None = None) -> DataFrame:
     """A whole table; column choice and filters made on the frame go to the database."""
-    options = {**database.options(), "dbtable": table, **(slices.options() if slices else {})}
+    options = {"fetchsize": str(FETCH_ROWS), **database.options(), "dbtable": table}
+    options |= slices.options() if slices else {}
     return spark.read.format("jdbc").options(**options).load()
 
 

@@ -1,8 +1,9 @@
 """Spreadsheet workbooks as a Spark source.
 
 ``binaryFile`` lists and reads the files; each workbook is opened by one task and
-streamed row by row, so a task holds one compressed file and one batch of rows.
-The sheet format bounds a workbook at 1,048,576 rows and 16,384 columns.
+streamed row by row. A task holds some compressed files (one Arrow batch of them), the
+shared texts of the workbook it reads, and one batch of rows. The sheet format bounds a
+workbook at 1,048,576 rows and 16,384 columns.
 
 The functions that run in tasks stand in this module alone and are sent by value,
 so executors need no copy of the package.
@@ -16,10 +17,11 @@ import re
 import sys
 import zipfile
 from collections.abc import Iterator
+from decimal import Decimal
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark import TaskContext, cloudpickle
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -28,6 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # cell: i whole number, f other number, d date, b truth value, s text, - blank.
 ROWS_SCHEMA = "path string, row_no bigint, cells array<string>, kinds string"
 BATCH_ROWS = 20_000
+#: Workbooks by the end of their name, in any case of letters.
+WORKBOOK_FILES = "*.[xX][lL][sS][xX]"
 
 # XML namespaces of the sheet format.
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -135,7 +139,7 @@ def _cell(node, strings: list[str], dated: set[int], from_1904: bool) -> tuple[s
         if text.lstrip("-").isdecimal():
             return "i", str(int(text))
         number = float(text)
-        return ("i", str(int(number))) if number.is_integer() else ("f", repr(number))
+        return ("i", str(int(number))) if number.is_integer() else ("f", format(Decimal(repr(number)), "f"))
     if kind == "b":
         return "b", "1" if text in ("1", "true") else "0"
     if kind == "d":
@@ -151,8 +155,12 @@ def read_sheet(content: bytes) -> Iterator[tuple[int, list[str], str]]:
         part, from_1904 = _first_sheet(book)
         width, number, held, places = 0, -1, [], _ColumnIndex()
         with book.open(part) as sheet:
-            for _, node in ElementTree.iterparse(sheet):
-                if node.tag != f"{MAIN}row":
+            steps = ElementTree.iterparse(sheet, ("start", "end"))
+            parents = [next(steps)[1]]
+            for step, node in steps:
+                if node.tag == f"{MAIN}sheetData" and step == "start":
+                    parents.append(node)
+                if node.tag != f"{MAIN}row" or step == "start":
                     continue
                 position = int(node.get("r", number + 2)) - 1
                 cells: dict[int, tuple[str, str]] = {}
@@ -160,7 +168,8 @@ def read_sheet(content: bytes) -> Iterator[tuple[int, list[str], str]]:
                     reference = cell.get("r")
                     place = places[reference.rstrip("0123456789")] if reference else len(cells)
                     cells[place] = _cell(cell, strings, dated, from_1904)
-                node.clear()
+                for parent in parents:  # rows that are done stay in neither the sheet nor its data
+                    parent.clear()
                 while number + 1 < position:
                     number += 1
                     held.append({})
@@ -201,90 +210,5 @@ def read_workbooks(spark: SparkSession, path: str) -> DataFrame:
     A task gets some thirty small workbooks or a few large ones, as Spark counts 4 MB for
     opening a file (``spark.sql.files.openCostInBytes``); the bytes are not moved again.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", WORKBOOK_FILES).load(path)
     return workbook_rows(files)
-
-
-# ------------------------------------------------------------ writing workbooks
-
-
-def _column_letters(index: int) -> str:
-    letters = ""
-    index += 1
-    while index:
-        index, rest = divmod(index - 1, 26)
-        letters = chr(65 + rest) + letters
-    return letters
-
-
-def _escaped(text: str) -> str:
-    kept = re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "", text)
-    return kept.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-
-
-def _cell_xml(reference: str, value) -> str:
-    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
-        return ""
-    if isinstance(value, bool):
-        return f'<c r="{reference}" t="b"><v>{int(value)}</v></c>'
-    if isinstance(value, (dt.datetime, dt.date)):
-        moment = value if isinstance(value, dt.datetime) else dt.datetime.combine(value, dt.time())
-        serial = (moment - dt.datetime(1899, 12, 30)) / dt.timedelta(days=1)
-        return f'<c r="{reference}" s="1"><v>{serial!r}</v></c>'
-    if isinstance(value, (int, float)):
-        return f'<c r="{reference}"><v>{value!r}</v></c>'
-    return f'<c r="{reference}" t="inlineStr"><is><t xml:space="preserve">{_escaped(str(value))}</t></is></c>'
-
-
-def make_workbook(headers: list[str | None], rows: list[tuple]) -> bytes:
-    """A one-sheet workbook of plain values; style 1 shows a date."""
-    main = MAIN.strip("{}")
-    office = OFFICE.strip("{}")
-    package = "http://schemas.openxmlformats.org/package/2006"
-    lines = []
-    for number, row in enumerate([tuple(headers), *rows], start=1):
-        cells = "".join(_cell_xml(f"{_column_letters(i)}{number}", v) for i, v in enumerate(row))
-        lines.append(f'<row r="{number}">{cells}</row>')
-    sheet_type = "application/vnd.openxmlformats-officedocument.spreadsheetml"
-    parts = {
-        "[Content_Types].xml": f'<Types xmlns="{package}/content-types">'
-        '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
-        f'<Override PartName="/xl/workbook.xml" ContentType="{sheet_type}.sheet.main+xml"/>'
-        f'<Override PartName="/xl/worksheets/sheet1.xml" ContentType="{sheet_type}.worksheet+xml"/>'
-        f'<Override PartName="/xl/styles.xml" ContentType="{sheet_type}.styles+xml"/></Types>',
-        "_rels/.rels": f'<Relationships xmlns="{package}/relationships">'
-        f'<Relationship Id="rId1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
-        "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{office}">'
-        '<sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>',
-        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{package}/relationships">'
-        f'<Relationship Id="rId1" Type="{office}/worksheet" Target="worksheets/sheet1.xml"/>'
-        f'<Relationship Id="rId2" Type="{office}/styles" Target="styles.xml"/></Relationships>',
-        "xl/styles.xml": f'<styleSheet xmlns="{main}"><fonts count="1"><font/></fonts>'
-        '<fills count="1"><fill/></fills><borders count="1"><border/></borders>'
-        '<cellStyleXfs count="1"><xf/></cellStyleXfs>'
-        '<cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="22" applyNumberFormat="1"/></cellXfs></styleSheet>',
-        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{main}"><sheetData>{"".join(lines)}</sheetData></worksheet>',
-    }
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
-        for name, xml in parts.items():
-            book.writestr(name, '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>' + xml)
-    return out.getvalue()
-
-
-def pack_workbooks(df: DataFrame, headers: list[str | None], rows_per_book: int = 5_000) -> DataFrame:
-    """Rows of a frame as workbooks of bounded size: ``path, content``, made by the tasks."""
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        made, task = 0, TaskContext.get().partitionId()
-        for batch in batches:
-            for start in range(0, len(batch), rows_per_book):
-                piece = batch.iloc[start : start + rows_per_book]
-                columns = [
-                    [None if pd.isna(v) else v for v in piece[c].astype(object)] for c in piece.columns
-                ]
-                content = make_workbook(headers, list(zip(*columns)))
-                yield pd.DataFrame({"path": [f"{task:06d}-{made:06d}.xlsx"], "content": [content]})
-                made += 1
-
-    return df.mapInPandas(pack, "path string, content binary")

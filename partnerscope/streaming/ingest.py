@@ -1,23 +1,29 @@
-"""Feeds that grow: every landed file is cleaned and added once.
+"""Feeds that grow: every landed file is cleaned and added once, to a typed table with ids.
 
-The stream's checkpoint remembers the files done. Each batch is written to a folder
-named by its number, so a batch that runs again after a failure replaces its own
-rows instead of adding them twice.
+The stream's checkpoint remembers the files done, and has an identity that lasts: the query's.
+A batch's rows are a partition of the table, named by that identity and the batch's number. So a
+batch that runs again after a failure replaces its own rows, and nothing else does: other feeds,
+or the same feed taken anew with another checkpoint, have partitions of their own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from partnerscope.sources.feeds import LoadColumn, sheet_frame
-from partnerscope.sources.workbook import workbook_rows
+from partnerscope.operators.tables import append_numbered, append_rows, create_database, last_id
+from partnerscope.sources.feeds import ID, LoadColumn, sheet_frame
+from partnerscope.sources.workbook import WORKBOOK_FILES, workbook_rows
 
-BATCH = "batch_no"
+FEED, BATCH = "feed", "batch_no"
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
+#: Adds a cleaned batch to a table in a partition, ids counting on from a number; returns its rows.
+Adder = Callable[[DataFrame, str, str, str, int], int]
+
 
 def landed_rows(spark: SparkSession, path: str, schema: T.StructType | str, file_format: str = "parquet", **options) -> DataFrame:
     """Rows of the files under a path, as they land."""
@@ -29,23 +35,54 @@ def landed_sheets(spark: SparkSession, path: str, files_per_batch: int = 1000) -
     files = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
-        .option("pathGlobFilter", "*.xlsx")
+        .option("pathGlobFilter", WORKBOOK_FILES)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(path)
     )
     return workbook_rows(files)
 
 
+def create_target(spark: SparkSession, database: str, table: str, columns: list[tuple[str, str]]) -> None:
+    """The typed table that feeds are added to; one that is there stays as it is."""
+    create_database(spark, database)
+    listed = ", ".join([f"`{ID}` bigint"] + [f"`{name}` {kind}" for name, kind in columns])
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({listed}, `{FEED}` string, `{BATCH}` bigint) "
+        f"USING parquet PARTITIONED BY (`{FEED}`, `{BATCH}`)"
+    )
+
+
+def _append(batch: DataFrame, database: str, table: str, partition: str, start: int) -> int:
+    return append_rows(batch.sparkSession, batch, database, table, partition, start)
+
+
+def _append_sheets(batch: DataFrame, database: str, table: str, partition: str, start: int) -> int:
+    return append_numbered(batch.sparkSession, batch, "path", "row_no", database, table, partition, start)
+
+
 def ingest_new(
     stream: DataFrame,
     clean: Callable[[DataFrame], DataFrame],
-    target: str,
+    database: str,
+    table: str,
     checkpoint: str,
+    append: Adder = _append,
 ) -> int:
-    """Adds all files not yet taken and stops; returns the number of batches run."""
+    """Adds all files not yet taken and stops; returns the number of rows added.
+
+    One load into a table at a time, as ids go on from the highest one there.
+    """
+    added = 0
+    identity: list[str] = []
+    started = Event()
 
     def add(batch: DataFrame, number: int) -> None:
-        clean(batch).write.mode("overwrite").parquet(f"{target}/{BATCH}={number}")
+        nonlocal added
+        started.wait()
+        spark, feed = batch.sparkSession, identity[0]
+        others = f"NOT ({FEED} = '{feed}' AND {BATCH} = {number})"
+        start = last_id(spark, database, table, others)
+        added += append(clean(batch), database, table, f"`{FEED}` = '{feed}', `{BATCH}` = {number}", start)
 
     query = (
         stream.writeStream.foreachBatch(add)
@@ -53,20 +90,27 @@ def ingest_new(
         .trigger(availableNow=True)
         .start()
     )
+    identity.append(query.id)
+    started.set()
     query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p["numInputRows"] > 0)
+    return added
 
 
-def ingested(spark: SparkSession, target: str) -> DataFrame:
-    """Everything added so far."""
-    return spark.read.parquet(target).drop(BATCH)
+def ingested(spark: SparkSession, database: str, table: str) -> DataFrame:
+    """Everything added so far, with its ids."""
+    return spark.table(f"`{database}`.`{table}`").drop(FEED, BATCH)
 
 
-def ingest_sheets(spark: SparkSession, landing: str, layout: list[LoadColumn], target: str, checkpoint: str) -> int:
-    """Workbooks of a feed with known columns, each loaded once."""
+def ingest_sheets(
+    spark: SparkSession, landing: str, layout: list[LoadColumn], database: str, table: str, checkpoint: str
+) -> int:
+    """Workbooks of a feed with known columns, each loaded once; returns the rows added."""
+    create_target(spark, database, table, [(c.name, c.type) for c in layout])
     return ingest_new(
         landed_sheets(spark, landing),
-        lambda batch: sheet_frame(batch, layout).drop("path", "row_no"),
-        target,
+        lambda batch: sheet_frame(batch, layout),
+        database,
+        table,
         checkpoint,
+        _append_sheets,
     )

@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from test_report import GOLDEN, ORDERS, PARTNERS
+from writer import make_workbook
 
 from partnerscope import default_params
 from partnerscope.__main__ import main
@@ -30,8 +31,8 @@ def feed_files(tmp_path):
     def put(width, values):
         return tuple(values.get(i) for i in range(1, width + 1))
 
-    partner.write_bytes(workbook.make_workbook([None] * 22, [put(22, {3: c, 14: d, 17: t, 22: s}) for c, d, s, t in PARTNERS]))
-    order.write_bytes(workbook.make_workbook([None] * 27, [put(27, {3: i, 12: c, 25: t, 27: s}) for c, i, t, s in ORDERS]))
+    partner.write_bytes(make_workbook([None] * 22, [put(22, {3: c, 14: d, 17: t, 22: s}) for c, d, s, t in PARTNERS]))
+    order.write_bytes(make_workbook([None] * 27, [put(27, {3: i, 12: c, 25: t, 27: s}) for c, i, t, s in ORDERS]))
     return str(partner), str(order)
 
 
@@ -69,7 +70,7 @@ def test_steps_one_by_one(spark, feed_files):
 
 def test_load_sheet_default_names(spark, tmp_path):
     path = tmp_path / "Khách Hàng 1.xlsx"
-    path.write_bytes(workbook.make_workbook(["Tên KH", "Số"], [("An", 1), ("Bình", 2)]))
+    path.write_bytes(make_workbook(["Tên KH", "Số"], [("An", 1), ("Bình", 2)]))
     try:
         assert jobs.load_sheet(spark, str(path)) == ("excel_import.khachhang1", 2)
         assert [tuple(r) for r in spark.table("excel_import.khachhang1").orderBy("id").collect()] == [(1, "An", 1), (2, "Bình", 2)]
@@ -104,9 +105,9 @@ def test_run_query(spark):
 def test_upload_new(spark, tmp_path):
     landing = tmp_path / "in"
     landing.mkdir()
-    (landing / "a.xlsx").write_bytes(workbook.make_workbook(["x"], [("1",)]))
+    (landing / "a.xlsx").write_bytes(make_workbook(["x"], [("1",)]))
     layout = [feeds.LoadColumn(0, "x", feeds.TEXT_TYPE)]
-    places = str(tmp_path / "target"), str(tmp_path / "checkpoint")
+    places = new_database(spark, "job"), "landed", str(tmp_path / "checkpoint")
     assert jobs.upload_new(spark, str(landing), *places, layout) == 1
     assert jobs.upload_new(spark, str(landing), *places, layout) == 0
 
@@ -122,7 +123,7 @@ def test_number_codes_with_gaps_on_one_side(spark, tmp_path):
     orders = [put(27, {3: i, 12: c, 25: dt.datetime(2025, 4, 1), 27: "Thành công"}) for i, c in enumerate((1, 2, None, 1))]
     for name, rows, upload in (("p", partners, jobs.upload_partners), ("o", orders, jobs.upload_orders)):
         path = tmp_path / f"{name}.xlsx"
-        path.write_bytes(workbook.make_workbook([None] * len(rows[0]), rows))
+        path.write_bytes(make_workbook([None] * len(rows[0]), rows))
         upload(spark, str(path), database)
     made = jobs.generate_report(spark, database, PARAMS).report
     assert [(r.dept, r.new_current, r.active_current, r.orders_raised) for r in made.collect()] == [
@@ -133,7 +134,7 @@ def test_number_codes_with_gaps_on_one_side(spark, tmp_path):
 def test_sheet_with_its_own_id(spark, tmp_path):
     database = new_database(spark, "job")
     path = tmp_path / "t.xlsx"
-    path.write_bytes(workbook.make_workbook(["ID", "a"], [(7, "x")]))
+    path.write_bytes(make_workbook(["ID", "a"], [(7, "x")]))
     jobs.load_sheet(spark, str(path), database)
     assert spark.table(f"{database}.t").first().asDict() == {"id": 1, "id_2": 7, "a": "x"}
 
@@ -141,7 +142,7 @@ def test_sheet_with_its_own_id(spark, tmp_path):
 def test_sheet_without_rows(spark, tmp_path):
     database = new_database(spark, "job")
     path = tmp_path / "none.xlsx"
-    path.write_bytes(workbook.make_workbook(["a", "b"], []))
+    path.write_bytes(make_workbook(["a", "b"], []))
     assert jobs.load_sheet(spark, str(path), database) == (f"{database}.none", 0)
     assert spark.table(f"{database}.none").columns == ["id", "a", "b"]
 
@@ -150,7 +151,7 @@ def test_headings_that_repeat_load_alike(spark, tmp_path):
     """The same name rule makes the table and the rows, so every column is filled."""
     database = new_database(spark, "job")
     path = tmp_path / "t.xlsx"
-    path.write_bytes(workbook.make_workbook(["1 x", "!", "a", "A"], [(1, 2, 3, 4)]))
+    path.write_bytes(make_workbook(["1 x", "!", "a", "A"], [(1, 2, 3, 4)]))
     jobs.load_sheet(spark, str(path), database)
     assert spark.table(f"{database}.t").first().asDict() == {"id": 1, "col_1_x": 1, "col_2": 2, "a": 3, "a_2": 4}
 
@@ -162,8 +163,16 @@ def test_command_line(spark, feed_files, tmp_path, capsys):
     assert "TỔNG SL CTVLK Hiện hữu" in shown and "|KTMH" not in shown and "Tỷ lệ chung đạt 66.7%" in shown
     assert not spark.catalog.tableExists(f"{database}.{PARTNER_TABLE}")
     path = tmp_path / "Một.xlsx"
-    path.write_bytes(workbook.make_workbook(["a"], [(1,), (2,)]))
+    path.write_bytes(make_workbook(["a"], [(1,), (2,)]))
     main(["load", str(path), "--database", database])
     assert f"2 rows added to {database}.mot" in capsys.readouterr().out
-    main(["query", f"SELECT sum(a) AS s FROM {database}.mot", "--database", database, "--drop", "mot"])
-    assert "|3  |" in capsys.readouterr().out and not spark.catalog.tableExists(f"{database}.mot")
+    path.write_bytes(make_workbook(["phone"], [(84901234567,)]))
+    main(["load", str(path), "--database", database, "--table", "wide", "--wide", "--rule", "unicode"])
+    assert spark.table(f"{database}.wide").first()["phone"] == 84901234567
+    capsys.readouterr()
+    main(["query", f"SELECT a, m.id FROM {database}.mot m CROSS JOIN range(125) r", "--database", database, "--drop", "mot", "--save-as", f"{database}.result"])
+    shown = capsys.readouterr().out
+    assert f"250 rows saved as {database}.result" in shown
+    assert spark.table(f"{database}.result").count() == 250 and not spark.catalog.tableExists(f"{database}.mot")
+    main(["query", f"SELECT * FROM {database}.result", "--database", database, "--drop", "result"])
+    assert not spark.catalog.tableExists(f"{database}.result")

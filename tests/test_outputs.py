@@ -105,7 +105,9 @@ def test_database_options():
     assert "password" not in repr(database)
     assert jdbc.query_options(database, "SELECT 1 ; ") == {
         "url": "jdbc:mysql://host/db", "user": "u", "password": "p", "driver": "com.mysql.cj.jdbc.Driver", "query": "SELECT 1",
+        "fetchsize": "10000", "useCursorFetch": "true",
     }
+    assert jdbc.query_options(jdbc.Database("jdbc:mysql://h/d", {"fetchsize": "7"}), "SELECT 1")["fetchsize"] == "7"
     sliced = jdbc.query_options(database, "SELECT * FROM t", jdbc.Slices("id", 1, 1000, 8))
     assert sliced["dbtable"] == "(SELECT * FROM t) sliced" and sliced["numPartitions"] == "8" and "query" not in sliced
     assert jdbc.Database("jdbc:oracle:thin:@h:1521/x").options()["driver"].startswith("oracle.")

@@ -59,7 +59,7 @@ def test_query(spark, folder, database, name):
     assert found == ordered(expected)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"xlsx_ingest", "drop_tables", "catalog_columns", "workbook_report"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"drop_tables", "catalog_columns"}))
 def test_no_python_and_no_cross_join(spark, folder, name):
     text = QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "CartesianProduct" not in text and "NestedLoopJoin" not in text

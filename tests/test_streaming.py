@@ -1,45 +1,105 @@
+import json
+
+import pytest
+from writer import make_workbook
+
 from partnerscope.functions.values import blank_fill
-from partnerscope.sources import feeds, workbook
+from partnerscope.session import passing_database
+from partnerscope.sources import feeds
 from partnerscope.streaming import ingest
 
+SCHEMA = "k long, v string"
+
+
+@pytest.fixture
+def database(spark):
+    with passing_database(spark, "ingest") as name:
+        ingest.create_target(spark, name, "t", [("k", "string"), ("v", "string")])
+        yield name
+
+
+@pytest.fixture
+def take(spark, tmp_path, database):
+    def run(checkpoint="checkpoint", clean=blank_fill, **options):
+        stream = ingest.landed_rows(spark, str(tmp_path / "landing"), SCHEMA, **options)
+        return ingest.ingest_new(stream, clean, database, "t", str(tmp_path / checkpoint))
+
+    return run
+
+
+def land(spark, tmp_path, rows):
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "landing"))
+
 
-def test_each_landed_file_once(spark, tmp_path):
-    landing, target, checkpoint = (str(tmp_path / n) for n in ("landing", "target", "checkpoint"))
-    schema = "k long, v string"
+def added(spark, database):
+    return sorted(tuple(r) for r in ingest.ingested(spark, database, "t").collect())
 
-    def take():
-        return ingest.ingest_new(ingest.landed_rows(spark, landing, schema), blank_fill, target, checkpoint)
 
-    spark.createDataFrame([(1, "a"), (2, None)], schema).write.parquet(landing)
-    assert take() == 1 and take() == 0
-    assert sorted(tuple(r) for r in ingest.ingested(spark, target).collect()) == [("1", "a"), ("2", "")]
-    spark.createDataFrame([(3, "c")], schema).write.mode("append").parquet(landing)
+def test_each_landed_file_once(spark, tmp_path, database, take):
+    land(spark, tmp_path, [(1, "a"), (2, None)])
+    assert take() == 2 and take() == 0
+    assert added(spark, database) == [(1, "1", "a"), (2, "2", "")]
+    land(spark, tmp_path, [(3, "c")])
     assert take() == 1
-    assert ingest.ingested(spark, target).count() == 3
+    assert added(spark, database)[2:] == [(3, "3", "c")]
+
+
+def test_a_new_checkpoint_takes_the_feed_anew_and_loses_nothing(spark, tmp_path, database, take):
+    land(spark, tmp_path, [(1, "a"), (2, "b")])
+    assert take("one") == 2 and take("two") == 2 and take("one") == 0
+    assert [r[0] for r in added(spark, database)] == [1, 2, 3, 4]
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark, tmp_path, database, take):
+    land(spark, tmp_path, [(1, "a"), (2, "b")])
+    assert take() == 2
+    land(spark, tmp_path, [(3, "c")])
+
+    def fail(batch):
+        raise RuntimeError("the batch is planned but not done")
+
+    with pytest.raises(Exception, match="not done"):
+        take(clean=fail)
+    assert take() == 1
+    # As after a crash between the batch's rows and the note that it is done.
+    commits = tmp_path / "checkpoint" / "commits"
+    for name in ("1", ".1.crc"):
+        (commits / name).unlink()
+    assert take() == 1
+    assert added(spark, database) == [(1, "1", "a"), (2, "2", "b"), (3, "3", "c")]
+
+
+def test_more_batches_than_are_remembered(spark, tmp_path, database, take):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for k in range(5):
+            land(spark, tmp_path, [(k, "x"), (k, "y")])
+        assert take(maxFilesPerTrigger=1) == 10
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    rows = spark.table(f"{database}.t")
+    assert rows.select("batch_no").distinct().count() == 5
+    assert [r[0] for r in added(spark, database)] == list(range(1, 11))
 
 
-def test_repeated_batch_replaces_itself(spark, tmp_path):
-    landing, target = str(tmp_path / "landing"), str(tmp_path / "target")
-    spark.range(5).write.parquet(landing)
-    # Without its checkpoint the stream starts over with batch 0.
-    for run in ("one", "two"):
-        stream = ingest.landed_rows(spark, landing, "id long")
-        ingest.ingest_new(stream, lambda df: df, target, str(tmp_path / run))
-    assert ingest.ingested(spark, target).count() == 5
+def test_identity_is_the_checkpoints(spark, tmp_path, database, take):
+    land(spark, tmp_path, [(1, "a")])
+    take()
+    metadata = json.loads((tmp_path / "checkpoint" / "metadata").read_text())
+    assert spark.table(f"{database}.t").first()["feed"] == metadata["id"]
 
 
-def test_landed_workbooks(spark, tmp_path):
-    landing = tmp_path / "landing"
+def test_landed_workbooks(spark, tmp_path, database):
+    landing = tmp_path / "books"
     landing.mkdir()
-    target, checkpoint = str(tmp_path / "target"), str(tmp_path / "checkpoint")
     layout = [feeds.LoadColumn(0, "code", feeds.TEXT_TYPE), feeds.LoadColumn(1, "n", "bigint")]
 
-    def land(name, rows):
-        (landing / name).write_bytes(workbook.make_workbook(["Mã", "Số"], rows))
+    def upload():
+        return ingest.ingest_sheets(spark, str(landing), layout, database, "books", str(tmp_path / "checkpoint"))
 
-    land("1.xlsx", [("A", 1), ("B", 2)])
-    assert ingest.ingest_sheets(spark, str(landing), layout, target, checkpoint) == 1
-    land("2.xlsx", [("C", None)])
-    assert ingest.ingest_sheets(spark, str(landing), layout, target, checkpoint) == 1
-    assert ingest.ingest_sheets(spark, str(landing), layout, target, checkpoint) == 0
-    assert sorted(tuple(r) for r in ingest.ingested(spark, target).collect()) == [("A", 1), ("B", 2), ("C", None)]
+    (landing / "1.xlsx").write_bytes(make_workbook(["Mã", "Số"], [("A", 1), ("B", 2)]))
+    assert upload() == 2
+    (landing / "2.XLSX").write_bytes(make_workbook(["Mã", "Số"], [("C", None)]))
+    assert upload() == 1 and upload() == 0
+    found = sorted(tuple(r) for r in ingest.ingested(spark, database, "books").collect())
+    assert found == [(1, "A", 1), (2, "B", 2), (3, "C", None)]

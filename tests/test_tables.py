@@ -2,13 +2,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from partnerscope.operators import tables
-from partnerscope.session import WORK_DATABASE, new_database, new_folder, shared_folder, written
+from partnerscope.session import drop_database, kept, new_database, new_folder, passing_database, shared_folder, work_database
 from partnerscope.sources import feeds
 
 
 @pytest.fixture
 def database(spark):
-    return new_database(spark, "test")
+    name = new_database(spark, "test")
+    yield name
+    drop_database(spark, name)
 
 
 def load(spark, df, database, name="t", **options):
@@ -55,16 +57,31 @@ def test_number_too_large(spark, database):
     assert load(spark, df, database, "wide", wide=True) == 1
 
 
-def test_ids_by_sheet(spark):
-    df = spark.createDataFrame([("b", 1), ("a", 2), ("a", 1), ("b", 2), ("c", 1)], "path string, row_no long")
-    found = {(r.path, r.row_no): r.id for r in tables.with_ids(df, "path", "row_no", 10).collect()}
-    assert found == {("a", 1): 11, ("a", 2): 12, ("b", 1): 13, ("b", 2): 14, ("c", 1): 15}
+def test_ids_by_sheet(spark, database):
+    rows = [("b", 1), ("a", 2), ("a", 1), ("b", 2), ("c", 1), (None, 1)]
+    df = spark.createDataFrame([(p, n, f"{p}{n}") for p, n in rows if p], "path string, row_no long, v string")
+    spark.sql(f"CREATE TABLE {database}.t (id bigint, v string) USING parquet")
+    spark.sql(f"INSERT INTO {database}.t VALUES (10, 'first')")
+    assert tables.append_numbered(spark, df, "path", "row_no", database, "t") == 5
+    found = {r.v: r.id for r in spark.table(f"{database}.t").collect()}
+    assert found == {"first": 10, "a1": 11, "a2": 12, "b1": 13, "b2": 14, "c1": 15}
 
 
-def test_ids_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_BROADCAST_FILES", 1)
-    df = spark.createDataFrame([("b", 1), ("a", 2), ("a", 1)], "path string, row_no long")
-    assert sorted(r.id for r in tables.with_ids(df, "path", "row_no").collect()) == [1, 2, 3]
+def test_offsets_of_many_sources(spark):
+    sources = [(f"f{i:03d}", i % 7) for i in range(300)]
+    ranged = spark.createDataFrame(sources, "source string, _rows long").repartitionByRange(5, "source")
+    counts = ranged.withColumn("_range", F.spark_partition_id()).checkpoint()
+    found = {r["source"]: r["_offset"] for r in tables.row_offsets(counts).collect()}
+    assert found == {s: sum(n for t, n in sources if t < s) for s, _ in sources}
+
+
+def test_files_are_loaded_without_a_copy(spark, database, folder):
+    customers = spark.read.parquet(f"{folder}/customer.parquet")
+    assert tables.load_files(spark, customers, feeds.frame_layout(customers, wide=True), database, "c") == customers.count()
+    ids = sorted(r.id for r in spark.table(f"{database}.c").collect())
+    assert ids == list(range(1, len(ids) + 1))
+    with pytest.raises(Exception, match="_metadata|UNRESOLVED"):
+        tables.load_files(spark, spark.range(3), feeds.frame_layout(spark.range(3)), database, "r")
 
 
 def test_drop_goes_on(spark, database):
@@ -77,13 +94,29 @@ def test_drop_goes_on(spark, database):
 def test_folders(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_folder(spark, "a") != new_folder(spark, "a")
-    assert written(spark.range(3)).count() == 3
+    assert kept(spark.range(3)).count() == 3
+    place = spark.sql(f"DESCRIBE DATABASE {work_database(spark)}").where("info_name = 'Location'").first()["info_value"]
+    assert shared_folder(spark) in place
+
+
+def test_nothing_stays(spark, folder):
+    from partnerscope.plans import queries
+
+    def there():
+        return {d.name: len(spark.catalog.listTables(d.name)) for d in spark.catalog.listDatabases()}
+
+    work_database(spark)
+    before = there()
+    for name in ("typed_load_append", "surrogate_id", "loaded_report", "query_then_drop", "drop_tables", "catalog_columns", "incremental_ingest", "union_total_last"):
+        queries.REGISTRY[name](spark, folder).collect()
+        assert there() == before, name
 
 
-def test_staged_rows_are_freed(spark, database):
-    before = spark.catalog.listTables(WORK_DATABASE) if spark.catalog.databaseExists(WORK_DATABASE) else []
-    load(spark, spark.range(5).toDF("a"), database)
-    assert len(spark.catalog.listTables(WORK_DATABASE)) == len(before)
+def test_a_failed_block_frees_its_database(spark):
+    with pytest.raises(RuntimeError), passing_database(spark, "failed") as name:
+        spark.range(3).write.saveAsTable(f"{name}.t")
+        raise RuntimeError
+    assert not spark.catalog.databaseExists(name)
 
 
 def test_show_rows(spark, capsys):

@@ -53,7 +53,7 @@ def test_number_tidy(spark):
 
 
 def test_tolerant_int(spark):
-    assert texts(spark, ["12", " 3.9 ", "-4.2", "abc", "", None, "1e2", "5d"], values.tolerant_int) == [12, 3, -4, 0, 0, 0, 100, 0]
+    assert texts(spark, ["12", " 3.9 ", "-4.2", "abc", "", None, "1e2", "5d", "1e30", "-9.3e18"], values.tolerant_int) == [12, 3, -4, 0, 0, 0, 100, 0, 0, 0]
 
 
 def test_display_values(spark):
@@ -71,9 +71,12 @@ def test_blank_fill(spark):
 
 def test_double_text_on_random_numbers(spark):
     rng = random.Random(4)
-    numbers = [rng.uniform(-1, 1) * 10 ** rng.uniform(-3.9, 14.9) for _ in range(2000)] + [round(rng.uniform(0, 1e9), 2) for _ in range(500)]
-    numbers = [n for n in numbers if 1e-4 <= abs(n) < 1e15]
-    assert texts(spark, numbers, values.double_text, "v double") == [repr(n) for n in numbers]
+    numbers = [rng.uniform(-1, 1) * 10 ** rng.uniform(-20, 14.9) for _ in range(2000)] + [round(rng.uniform(0, 1e9), 2) for _ in range(500)]
+    numbers += [2e15, -1.5e300, 4e-300, 1e7, 1e-3]
+    found = texts(spark, numbers, values.double_text, "v double")
+    assert [float(t) for t in found] == numbers and not any("E" in t or "e" in t for t in found)
+    plain = [(t, n) for t, n in zip(found, numbers) if 1e-4 <= abs(n) < 1e15]
+    assert [t for t, _ in plain] == [repr(n) for _, n in plain]
 
 
 def test_number_tidy_on_random_numbers(spark):

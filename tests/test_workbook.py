@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from sheets import book
+from writer import make_workbook
 
 from partnerscope.sources import feeds, workbook
 
@@ -12,7 +13,7 @@ def read(content):
 
 def test_made_workbook_reads_back():
     rows = [(1, "Ghi chú <&>", 2.5, True, dt.datetime(2025, 1, 2, 3, 4, 5)), (None, "", 3.0, False, None)]
-    found = read(workbook.make_workbook(["a", None, "c", "d", "e"], rows))
+    found = read(make_workbook(["a", None, "c", "d", "e"], rows))
     assert found == [
         (0, ["a", "", "c", "d", "e"], "s-sss"),
         (1, ["1", "Ghi chú <&>", "2.5", "1", "2025-01-02 03:04:05"], "isfbd"),
@@ -52,7 +53,7 @@ def test_dates_by_style():
 
 
 def layout(spark, headers, rows, **options):
-    files = spark.createDataFrame([("x.xlsx", bytearray(workbook.make_workbook(headers, rows)))], "path string, content binary")
+    files = spark.createDataFrame([("x.xlsx", bytearray(make_workbook(headers, rows)))], "path string, content binary")
     sheet = workbook.workbook_rows(files)
     columns = feeds.sheet_layout(sheet, **options)
     return columns, feeds.sheet_frame(sheet, columns)
@@ -108,7 +109,7 @@ def test_blank_header_row_and_blank_row_between(spark):
 
 
 def test_sheets_must_agree(spark):
-    files = [(f"{i}.xlsx", bytearray(workbook.make_workbook([h], [(1,)]))) for i, h in enumerate("ab")]
+    files = [(f"{i}.xlsx", bytearray(make_workbook([h], [(1,)]))) for i, h in enumerate("ab")]
     sheet = workbook.workbook_rows(spark.createDataFrame(files, "path string, content binary"))
     with pytest.raises(ValueError, match="header"):
         feeds.sheet_layout(sheet)
@@ -129,12 +130,13 @@ def test_rows_wider_than_the_header(spark):
 
 def test_folder_of_workbooks(spark, tmp_path):
     for i in range(3):
-        (tmp_path / f"{i}.xlsx").write_bytes(workbook.make_workbook(["k", "v"], [(i * 10 + j, f"t{j}") for j in range(4)]))
+        (tmp_path / f"{i}.xlsx").write_bytes(make_workbook(["k", "v"], [(i * 10 + j, f"t{j}") for j in range(4)]))
+    (tmp_path / "3.XLSX").write_bytes(make_workbook(["k", "v"], [(99, "capital")]))
     (tmp_path / "notes.txt").write_text("no sheet")
     rows = workbook.read_workbooks(spark, str(tmp_path))
     columns = feeds.sheet_layout(rows)
     frame = feeds.sheet_frame(rows, columns)
-    assert frame.count() == 12 and [c.type for c in columns] == ["int", feeds.TEXT_TYPE]
+    assert frame.count() == 13 and [c.type for c in columns] == ["int", feeds.TEXT_TYPE]
 
 
 def test_csv_feed(spark, tmp_path):
@@ -145,6 +147,26 @@ def test_csv_feed(spark, tmp_path):
     assert sorted(tuple(r) for r in frame.collect()) == [("1", "x", "", "y"), ("2", "", "z", "")]
 
 
+def test_csv_feed_with_line_breaks_and_other_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('name,,code\n"two\nlines",x,1\n', encoding="utf-8")
+    found = feeds.read_csv_feed(spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in found] == [("two\nlines", "x", "1")]
+    (tmp_path / "b.csv").write_text("code,,name\n2,y,other\n", encoding="utf-8")
+    with pytest.raises(Exception, match="CSV|header"):
+        feeds.read_csv_feed(spark, str(tmp_path)).collect()
+
+
+def test_header_reading_has_no_sorting(spark):
+    rows = spark.createDataFrame([("p", 0, ["a", "b"], "ss"), ("p", 1, ["1", "0"], "ii")], workbook.ROWS_SCHEMA)
+    seen = []
+    plain = type(rows).collect
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(rows), "collect", lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df))
+        columns = feeds.sheet_layout(rows, tidy=True)
+    assert [(c.name, c.type, c.text) for c in columns] == [("a", "int", "plain"), ("b", feeds.TEXT_TYPE, "tidy")]
+    assert seen and all("SortAggregate" not in p for p in seen)
+
+
 def test_frame_layout(spark):
     df = spark.createDataFrame(
         [(1, None, 0, 1.5, "nan", True, DAY), (2, 3, 5, 2.0, None, None, None)],
