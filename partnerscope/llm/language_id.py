@@ -180,14 +180,13 @@ def _smoothed(sums: Column, above: Column, weight: float) -> Column:
 def fused(pages: DataFrame, languages: list[str], work: Work) -> DataFrame:
     """Adds the posterior of every page."""
     n = len(languages)
-    every = _sums(pages, [], "all", n).withColumn("one", F.lit(1))
-    joined = pages.withColumn("one", F.lit(1))
-    # One row, and a row for each declaration, suffix, domain and host: written, so that their size
-    # is known when the joins are planned and a host with many pages can be split.
+    every = _sums(pages, [], "all", n).first()["all_sums"]  # one number for each language
+    joined = pages.withColumn("all_sums", F.array(*[F.lit(x or 0.0) for x in every]))
+    # A row for each declaration, suffix, domain and host: written, so that their size is known
+    # when the joins are planned and a host with many pages can be split.
     for keys, name in ((["declared"], "declared"), (["suffix"], "suffix"), (["domain"], "domain"), (["host"], "host")):
         stats = work.keep(_sums(pages, keys, name, n), name)
         joined = joined.join(stats, keys, "left")
-    joined = joined.join(F.broadcast(every), "one")
     uniform = F.array(*[F.lit(1.0 / n)] * n)
     prior = _smoothed(F.col("all_sums"), uniform, 1.0)
     joined = joined.withColumn("general", prior)
