@@ -11,7 +11,7 @@
 * Branches of low importance are removed from each page.
 
 Statistics are sums over (node, feature) rows, so a site with a third of all pages is spread over
-all tasks. The pages are parsed once, into a written table.
+all tasks. The pages are parsed twice, for the statistics and for the texts; pages aren't moved.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ from partnerscope.llm.common import Work
 #: Nodes below this importance are removed, if so many different pages of the site have them.
 LOW_IMPORTANCE = 0.1
 MIN_PAGES = 8
+#: Nodes that are sent to all tasks at once (8 bytes each); more of them are joined.
+MAX_SENT = 250_000
 #: What one more kind of layout of a node takes from the weight of the content below it.
 DAMPING = 0.9
 
@@ -215,34 +217,76 @@ def site_of(url: str | None) -> str:
         return ""
 
 
-PARSED = (
-    "page_id long, url string, page_hash long, "
-    "blocks array<struct<nodes:array<bigint>,text:string>>, features array<struct<node:bigint,kind:int,value:bigint>>"
-)
-_BLOCKS = pa.list_(pa.struct([("nodes", pa.list_(pa.int64())), ("text", pa.string())]))
+FEATURES = "page_hash long, features array<struct<node:bigint,kind:int,value:bigint>>"
 _FEATURES = pa.list_(pa.struct([("node", pa.int64()), ("kind", pa.int32()), ("value", pa.int64())]))
+TEXTS = "page_id long, url string, text string"
+BLOCKS = "page_id long, url string, blocks array<struct<nodes:array<bigint>,text:string>>"
+_BLOCKS = pa.list_(pa.struct([("nodes", pa.list_(pa.int64())), ("text", pa.string())]))
+
+
+def _three_columns(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    return pages.select(
+        F.col(id_col).cast("long").alias("page_id"),
+        F.col(url_col).cast("string").alias("url"),
+        F.col(html_col).cast("string").alias("html"),
+    )
+
+
+def _read(batch: pa.RecordBatch) -> Iterator[tuple[str, list[Block], list[Feature]]]:
+    for url, cell in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+        site = site_of(url)
+        yield (site, *read_page(site, cell.as_py() or ""))
+
 
+def page_features(pages: DataFrame) -> DataFrame:
+    """Features of each page's style nodes, and a hash that is equal for pages of a site with equal texts."""
 
-def parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blocks, features, hashes = [], [], []
-            for url, cell in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-                html, site = cell.as_py() or "", site_of(url)
-                own, found = read_page(site, html)
-                blocks.append([{"nodes": c, "text": t} for c, t in own])
+            features, hashes = [], []
+            for site, blocks, found in _read(batch):
                 features.append([{"node": n, "kind": k, "value": v} for n, k, v in found])
-                hashes.append(_hash(site, *(t for _, t in own)))
+                hashes.append(_hash(site, *(text for _, text in blocks)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(hashes, pa.int64()), pa.array(blocks, _BLOCKS), pa.array(features, _FEATURES)],
-                names=["page_id", "url", "page_hash", "blocks", "features"],
+                [pa.array(hashes, pa.int64()), pa.array(features, _FEATURES)], names=["page_hash", "features"]
             )
 
-    rows = pages.select(
-        F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
-        F.col(html_col).cast("string").alias("html"),
-    )
-    return rows.mapInArrow(read, PARSED)
+    return pages.mapInArrow(read, FEATURES)
+
+
+def texts_without(pages: DataFrame, low: frozenset[int]) -> DataFrame:
+    """Page texts without the blocks below any of the given nodes."""
+    gone = pages.sparkSession.sparkContext.broadcast(low)
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [
+                " ".join(text for chain, text in blocks if gone.value.isdisjoint(chain)) for _, blocks, _ in _read(batch)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(texts, pa.string())], names=["page_id", "url", "text"]
+            )
+
+    return pages.mapInArrow(read, TEXTS)
+
+
+def texts_by_join(pages: DataFrame, low: DataFrame, work: Work) -> DataFrame:
+    """The same where the nodes are too many to send: pages meet their nodes by joins."""
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks = [[{"nodes": chain, "text": text} for chain, text in own] for _, own, _ in _read(batch)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(blocks, _BLOCKS)], names=["page_id", "url", "blocks"]
+            )
+
+    rows = work.keep(pages.mapInArrow(read, BLOCKS).withColumn("row", F.monotonically_increasing_id()), "blocks")
+    nodes = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["nodes"])))
+    has = rows.select("row", F.explode(nodes).alias("node"))
+    gone = has.join(low, "node").groupBy("row").agg(F.collect_set("node").alias("gone"))
+    left = F.filter("blocks", lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["nodes"], F.col("gone")))
+    text = F.concat_ws(" ", F.transform(left, lambda b: b["text"]))
+    return rows.join(gone, "row", "left").select("page_id", "url", text.alias("text"))
 
 
 def importance(pages: DataFrame) -> DataFrame:
@@ -281,18 +325,11 @@ def main_text(
     own is only removed through them.
     """
     work = Work(pages.sparkSession, "pages")
-    read = work.keep(parsed(pages, id_col, url_col, html_col).withColumn("row", F.monotonically_increasing_id()), "pages")
-    low = work.keep(
-        importance(read).where((F.col("importance") < LOW_IMPORTANCE) & (F.col("pages") >= MIN_PAGES)).select("node"), "low"
-    )
-    nodes = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["nodes"])))
-    has = read.select("row", F.explode(nodes).alias("node"))
-    gone = has.join(low, "node").groupBy("row").agg(F.collect_set("node").alias("gone"))
-    left = F.filter("blocks", lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["nodes"], F.col("gone")))
-    text = F.concat_ws(" ", F.transform(left, lambda b: b["text"]))
-    return (
-        read.select("row", "page_id", "url", "blocks")
-        .join(gone, "row", "left")
-        .select("page_id", "url", text.alias("text"))
-        .withColumn("n_chars", F.length("text").cast("long"))
-    )
+    rows = _three_columns(pages, id_col, url_col, html_col)
+    known = (F.col("importance") < LOW_IMPORTANCE) & (F.col("pages") >= MIN_PAGES)
+    low, number = work.keep_summed(importance(page_features(rows)).where(known).select("node"), "low", F.lit(1))
+    if number <= MAX_SENT:
+        texts = texts_without(rows, frozenset(r["node"] for r in low.collect()))
+    else:
+        texts = texts_by_join(rows, low, work)
+    return texts.withColumn("n_chars", F.length("text").cast("long"))

@@ -193,7 +193,9 @@ def test_main_text(pages):
     assert html_extract.main_text(pages).count() == len(PAGES) and html_extract.main_text(pages.limit(0)).count() == 0
 
 
-def test_text_that_all_pages_of_a_site_have_goes(spark):
+@pytest.mark.parametrize("sent", [10**6, 0])
+def test_text_that_all_pages_of_a_site_have_goes(spark, monkeypatch, sent):
+    monkeypatch.setattr(html_extract, "MAX_SENT", sent)
     pages = [(i, "http://site.example/p", f"<div class=frame>Welcome to our site</div><div class=story>Story {i} is told once</div>") for i in range(12)]
     found = html_extract.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
     assert {r["text"] for r in found} == {f"Story {i} is told once" for i in range(12)}
