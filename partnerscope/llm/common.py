@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a run of characters that are none of these.
 BLANKS = " \t\n\v\f\r"
 WORD = re.compile(f"[^{BLANKS}]+")
-_own_folder: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,23 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a local session without one gets its own."""
+    """The folder named in spark.checkpoint.dir; else one in the warehouse, which is shared too."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_folder:
-        _own_folder[app] = tempfile.mkdtemp(prefix="llm-")
-    return _own_folder[app]
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/shared").rstrip("/")
 
 
 class Work:
     """Tables of one run in the shared folder.
 
     Each cuts the lineage: what follows reads files that stay, so a lost executor runs
-    only its own tasks again. ``drop`` frees a table that nothing reads any more.
+    only its own tasks again. ``drop`` frees tables that nothing reads any more, ``finish``
+    all but the result.
     """
 
     def __init__(self, spark: SparkSession, purpose: str):
@@ -54,12 +46,28 @@ class Work:
         self.kept.append((written, place))
         return written
 
+    def keep_summed(self, df: DataFrame, name: str, value: Column) -> tuple[DataFrame, int]:
+        """The frame as a written table, and the sum of a value over its rows, found on the way."""
+        seen = Observation()
+        kept = self.keep(df.observe(seen, F.sum(value.cast("decimal(38,0)")).alias("sum")), name)
+        return kept, int(seen.get["sum"] or 0)
+
+    def finish(self, df: DataFrame) -> DataFrame:
+        """The run's result as a written table; all others of the run are freed."""
+        others = [kept for kept, _ in self.kept]
+        result = self.keep(df, "result")
+        self.drop(*others)
+        return result
+
     def drop(self, *frames: DataFrame) -> None:
         """Frees tables that ``keep`` returned."""
         for entry in [e for e in self.kept if any(e[0] is df for df in frames)]:
             self.kept.remove(entry)
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(entry[1])
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self.remove(entry[1])
+
+    def remove(self, place: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def buckets(spark: SparkSession) -> int:

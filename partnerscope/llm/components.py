@@ -13,34 +13,23 @@ def components(links: DataFrame, work: Work) -> DataFrame:
 
     ``links`` has columns ``a`` and ``b``. Each round, a node takes the least label among itself
     and its neighbours, and then the label of that label, so that the distance covered doubles.
-    No node's links are gathered in one place: labels are least values of groups, which combine
-    before they are moved.
+    Labels only fall, so their sum tells when none did. No node's links are gathered in one
+    place: labels are least values of groups, which combine before they are moved.
     """
-    both = work.keep(
-        links.select(F.col("a").alias("node"), F.col("b").alias("other"))
-        .unionAll(links.select(F.col("b").alias("node"), F.col("a").alias("other")))
-        .distinct(),
-        "edges",
-    )
-    first = both.groupBy("node").agg(F.min("other").alias("least"))
-    labels = work.keep(
-        first.select("node", F.col("node").alias("old"), F.least("node", "least").alias("label")), "labels"
-    )
-    while labels.where("label <> old").limit(1).count():
+    ways = [F.struct(F.col(x).alias("node"), F.col(y).alias("other")) for x, y in ("ab", "ba", "aa", "bb")]
+    pairs = links.select(F.explode(F.array(*ways)).alias("p"))
+    both = work.keep(pairs.select("p.node", "p.other").distinct(), "edges")
+    first = both.groupBy("node").agg(F.min("other").alias("label"))
+    labels, total = work.keep_summed(first, "labels", F.col("label"))
+    while True:
         near = labels.select(F.col("node").alias("other"), F.col("label").alias("near"))
-        own = labels.select("node", F.col("label").alias("old"))
-        stepped = (
-            both.join(near, "other")
-            .groupBy("node")
-            .agg(F.min("near").alias("near"))
-            .join(own, "node")
-            .select("node", "old", F.least("old", "near").alias("mid"))
-        )
         beyond = labels.select(F.col("node").alias("mid"), F.col("label").alias("far"))
-        following = work.keep(
-            stepped.join(beyond, "mid").select("node", "old", F.least("mid", "far").alias("label")), "labels"
-        )
+        stepped = both.join(near, "other").groupBy("node").agg(F.min("near").alias("mid"))
+        jumped = stepped.join(beyond, "mid").select("node", F.least("mid", "far").alias("label"))
+        following, fallen = work.keep_summed(jumped, "labels", F.col("label"))
         work.drop(labels)
         labels = following
-    work.drop(both)
-    return labels
+        if fallen == total:
+            work.drop(both)
+            return labels
+        total = fallen

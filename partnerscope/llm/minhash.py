@@ -5,13 +5,17 @@
   one class, and only one document of each class goes on.
 * Bands. Registers are banded as they are. Sets whose members may differ by few shingles have
   few wide bands: more bands than shingles that can differ, so that one band agrees for sure.
-  From some 180 shingles on (at 85 %) there are 32 bands of four registers, and two linked sets
-  agree in none of them with a probability below 1e-10 (1e-7 at 80 %).
+  From some 60 shingles on (at 85 %) there are three independent sketches of 16 bands, and from
+  some 180 on one of 32 bands with four registers; two linked sets agree in none of them with a
+  probability below 1e-9 (1e-7 at 80 %).
 * Candidates. The members of a band that agree are compared with its first member, in the order
   of ids, not with each other. Linked ones merge. Bands that still hold several components get
-  another hub, while that leaves fewer pairs to compare than it costs; in the end every member
-  outside a band's largest component is compared with all members of other components. No pair
-  of different components that shares a band is left out, and hardly any of equal ones is made.
+  another hub, while that leaves many pairs and finds links; in the end every member outside a
+  band's largest component meets all members of other components.
+* Bound. There, two sets differ in at least as many shingles as bitmaps of them differ in bits.
+  Pairs that differ in more than the threshold allows are never made, which ends most bands and
+  families of rather similar texts. No pair of different components that shares a band and may
+  be linked is left out, and hardly any of equal ones is made.
 * Estimate. Agreeing registers, less those that are expected to agree by chance at these sizes,
   estimate the similarity; pairs below by more than six standard errors are left.
 * Verification. The others are compared on all shingles of both texts.
@@ -36,13 +40,18 @@ from partnerscope.llm.components import components
 REGISTERS = 128
 MANTISSA = 10
 BANDS = 32
+#: Sets that differ in so many shingles at least have three sketches, up to that of 32 bands.
+MIDDLE, SKETCHES_THERE, MIDDLE_BANDS = 11, 3, 16
+#: Bits of the bitmap that bounds how much two sets differ, and words of 64 bits in it.
+BITS = 1024
+WORDS = BITS // 64
 #: How many standard errors the estimate may lie below the threshold.
 ERRORS = 6.0
-#: Another round of hubs pays while the pairs left are this many times the members.
-PAYS = 4
-HUB_ROUNDS = 8
+#: Another round of hubs pays while the pairs left are this many times the members, and the last
+#: round has found links for one member in so many.
+PAYS, FINDS = 4, 20
 
-SKETCHES = "doc_id long, n long, h1 long, h2 long, registers binary"
+SKETCHES = "doc_id long, n long, h1 long, h2 long, registers binary, bits array<bigint>"
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -67,11 +76,14 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
-    """The least hash of each bucket, as exponent and mantissa; 0 where the bucket is empty."""
+    """The least hash of each bucket, as exponent and mantissa; 0 where the bucket is empty.
+
+    The hashes are sorted.
+    """
     bucket = (shingles % np.uint64(REGISTERS)).astype(np.int64)
     least = np.zeros(REGISTERS)
     held = np.zeros(REGISTERS, dtype=bool)
-    # The hashes are sorted, so written backwards the least of each bucket stays.
+    # Written backwards, the least of each bucket stays.
     least[bucket[::-1]] = (shingles[::-1] >> np.uint64(11)).astype(np.float64)
     held[bucket] = True
     fraction, exponent = np.frexp(least + 1.0)
@@ -79,30 +91,54 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return np.where(held, (exponent.astype(np.int64) << MANTISSA) + mantissa + 1, 0).astype("<u2")
 
 
+def all_registers(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """One sketch, and two more where sets of this size, or smaller partners, are banded by three."""
+    n, sketch = len(shingles), [registers(shingles)]
+    if any(MIDDLE <= most_different(size, percent) < BANDS for size in (n, -(-n * percent // 100))):
+        sketch += [registers(np.sort(mixed(shingles + np.uint64(k)))) for k in range(1, SKETCHES_THERE)]
+    return np.concatenate(sketch)
+
+
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    bits = np.zeros(BITS, dtype=np.uint8)
+    bits[((shingles >> np.uint64(32)) % np.uint64(BITS)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def most_different(n: Column | int | np.ndarray, percent: int):
     """Shingles in which a linked set can differ from one of ``n`` shingles that is no larger."""
     return n * (100 - percent) // percent
 
 
-def band_levels(n: np.ndarray, percent: int) -> dict[int, np.ndarray]:
-    """Which sets are banded at each number of bands: that of their size, and of a smaller partner's."""
-    levels = {}
-    least = -(-n * percent // 100)
-    for bands in (2, 4, 8, 16, BANDS):
-        last = bands == BANDS
+LEVELS = ("2", "4", "8", "16", "middle", "32")
+
+
+def band_levels(n: np.ndarray, percent: int) -> dict[str, np.ndarray]:
+    """Which sets are banded in which way: in that of their size, and in that of a smaller partner's."""
+
+    def level(size: np.ndarray) -> np.ndarray:
+        different = most_different(size, percent)
+        place = np.digitize(different, [1, 2, 4, 8, MIDDLE, BANDS]) - 1
+        return np.where(different < 1, -1, place)
+
+    own, smaller = level(n), level(-(-n * percent // 100))
+    return {name: (own == k) | (smaller == k) for k, name in enumerate(LEVELS)}
 
-        def fits(size, bands=bands, last=last):
-            different = most_different(size, percent)
-            return (different >= (bands // 2 if bands > 2 else 1)) & (last | (different < bands))
 
-        levels[bands] = fits(n) | fits(least)
-    return levels
+def all_band_keys(regs: list[np.ndarray], level: str) -> np.ndarray:
+    """Hashes of the bands of some sets, a row each; 0 where a band is empty."""
+    first = np.stack([r[:REGISTERS] for r in regs])
+    if level != "middle":
+        return band_keys(first, int(level))
+    sketches = [first, *(np.stack([r[k * REGISTERS : (k + 1) * REGISTERS] for r in regs]) for k in range(1, SKETCHES_THERE))]
+    keys = [band_keys(sketch, MIDDLE_BANDS, 1 + k) for k, sketch in enumerate(sketches)]
+    return np.concatenate(keys, axis=1)
 
 
-def band_keys(regs: np.ndarray, bands: int) -> np.ndarray:
+def band_keys(regs: np.ndarray, bands: int, sketch: int = 0) -> np.ndarray:
     """A hash of each band's registers; 0 where all of them are empty."""
     rows = regs.reshape(len(regs), bands, REGISTERS // bands).astype(np.uint64)
-    key = np.broadcast_to(np.arange(bands, dtype=np.uint64) + np.uint64(bands << 8), rows.shape[:2]).copy()
+    key = np.broadcast_to(np.arange(bands, dtype=np.uint64) + np.uint64((sketch << 16) + (bands << 8)), rows.shape[:2]).copy()
     for k in range(rows.shape[2]):
         key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, :, k])
     return np.where(rows.any(axis=2), key | np.uint64(1), np.uint64(0))
@@ -143,42 +179,48 @@ def linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
     return union > 0 and 100 * common >= percent * union
 
 
-def sketches(docs: DataFrame, size: int) -> DataFrame:
+def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Set size, set hash and registers of every document."""
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, hashes, regs = [], [], []
+            sizes, hashes, regs, bits = [], [], [], []
             for text in batch.column(1):
                 own = shingle_set(text.as_py(), size)
                 sizes.append(len(own))
                 hashes.append(np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), "<i8"))
-                regs.append(registers(own).tobytes())
+                regs.append(all_registers(own, percent).tobytes())
+                bits.append(bitmap(own))
             pair = np.array(hashes, dtype=np.int64).reshape(-1, 2)
+            flat = pa.array(np.concatenate(bits) if bits else np.zeros(0, np.int64))
+            words = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * WORDS), flat)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(regs, pa.binary())],
-                names=["doc_id", "n", "h1", "h2", "registers"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(regs, pa.binary()), words],
+                names=["doc_id", "n", "h1", "h2", "registers", "bits"],
             )
 
     return docs.mapInArrow(made, SKETCHES)
 
 
 def banded(classes: DataFrame, percent: int) -> DataFrame:
-    """``key`` and ``rep`` for every band that isn't empty."""
+    """``key``, ``rep`` and ``n`` for every band that isn't empty."""
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rep, n = (np.array(batch.column(k).to_pylist(), dtype=np.int64) for k in (0, 1))
-            regs = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u2").reshape(-1, REGISTERS)
-            for bands, chosen in band_levels(n, percent).items():
-                keys = band_keys(regs[chosen], bands)
+            regs = [np.frombuffer(r, "<u2") for r in batch.column(2).to_pylist()]
+            for level, chosen in band_levels(n, percent).items():
+                if not chosen.any():
+                    continue
+                keys = all_band_keys([regs[k] for k in np.flatnonzero(chosen)], level)
                 held = keys != 0
-                reps = np.repeat(rep[chosen], bands).reshape(keys.shape)
+                of = np.nonzero(held)[0]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[held].view(np.int64)), pa.array(reps[held])], names=["key", "rep"]
+                    [pa.array(keys[held].view(np.int64)), pa.array(rep[chosen][of]), pa.array(n[chosen][of])],
+                    names=["key", "rep", "n"],
                 )
 
-    return classes.select("rep", "n", "registers").mapInArrow(made, "key long, rep long")
+    return classes.select("rep", "n", "registers").mapInArrow(made, "key long, rep long, n long")
 
 
 def plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -191,7 +233,7 @@ def plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             columns = batch.to_pydict()
             good = [
-                similar_enough(np.frombuffer(r, "<u2"), np.frombuffer(s, "<u2"), n, m, percent)
+                similar_enough(np.frombuffer(r, "<u2", REGISTERS), np.frombuffer(s, "<u2", REGISTERS), n, m, percent)
                 for r, s, n, m in zip(columns["r_a"], columns["r_b"], columns["n_a"], columns["n_b"], strict=True)
             ]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
@@ -222,77 +264,90 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return found.mapInArrow(kept, "a long, b long")
 
 
-def _with_component(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return members.withColumn("comp", F.col("rep"))
-    known = labels.select(F.col("node").alias("rep"), "label")
-    return members.join(known, "rep", "left").select("key", "rep", F.coalesce("label", "rep").alias("comp"))
-
-
-def _ordered(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
-
-def links(classes: DataFrame, docs: DataFrame, size: int, percent: int, work: Work) -> DataFrame | None:
-    """Labels of the components of all linked classes; nothing if there are none."""
-    every = work.keep(banded(classes, percent), "bands")
-    shared = work.keep(every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared")
-    members = work.keep(every.join(shared, "key"), "members")
-    work.drop(every, shared)
-    needed = work.keep(members.select("rep").distinct(), "needed")
-    texts = work.keep(
-        docs.join(needed, F.col("doc_id") == F.col("rep")).select("rep", "text"), "texts"
-    )
-    found: list[DataFrame] = []
-    labels: DataFrame | None = None
-    tested: DataFrame | None = None
-
-    def test(pairs: DataFrame) -> None:
-        nonlocal labels, tested
+class Linker:
+    """Labels of the components of all linked classes."""
+
+    def __init__(self, classes: DataFrame, docs: DataFrame, size: int, percent: int, work: Work):
+        self.classes, self.size, self.percent, self.work = classes, size, percent, work
+        every = work.keep(banded(classes, percent), "bands")
+        members = self._in_open_bands(every, "rep")
+        work.drop(every)
+        needed = members.select("rep").distinct()
+        self.texts = work.keep(docs.join(needed, F.col("doc_id") == F.col("rep")).select("rep", "text"), "texts")
+        self.members = members
+        self.found: DataFrame | None = None
+        self.tested: DataFrame | None = None
+        self.labels: DataFrame | None = None
+
+    def _in_open_bands(self, rows: DataFrame, several: str) -> DataFrame:
+        """Rows of bands that have several values of a column."""
+        low, high = F.min(several).alias("low"), F.max(several).alias("high")
+        keys = self.work.keep(rows.groupBy("key").agg(low, high).where("low <> high").select("key"), "open")
+        return self.work.keep(rows.join(keys, "key"), "rows")
+
+    def test(self, pairs: DataFrame) -> int:
+        """Adds the links among the pairs, and finds the components anew; how many there were."""
         new = pairs.distinct()
-        if tested is not None:
-            new = new.join(tested, ["a", "b"], "left_anti")
-        new = work.keep(new, "pairs")
-        tested = new if tested is None else tested.unionAll(new)
-        likely = work.keep(plausible(new, classes, percent), "likely")
-        found.append(work.keep(verified(likely, texts, size, percent), "links"))
-        work.drop(likely)
-        every_link = found[0]
-        for more in found[1:]:
-            every_link = every_link.unionAll(more)
-        if found[-1].limit(1).count():
-            labels = components(every_link, work)
-
-    for number in range(HUB_ROUNDS):
-        turn = F.lit((0x5DEECE66D1CE4E5B * number) & 0x7FFFFFFFFFFFFFFF)
-        rows = work.keep(_with_component(members, labels), "rows")
-        open_keys = rows.groupBy("key").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"),
-            F.min(F.col("rep").bitwiseXOR(turn)).bitwiseXOR(turn).alias("hub"),
-        ).where("low <> high").select("key", "hub")
-        hubs = work.keep(open_keys, "hubs")
-        left = work.keep(rows.join(hubs, "key"), "open")
-        work.drop(rows)
+        if self.tested is not None:
+            new = new.join(self.tested, ["a", "b"], "left_anti")
+        new = self.work.keep(new, "pairs")
+        self.tested = new if self.tested is None else self.tested.unionAll(new)
+        likely = self.work.keep(plausible(new, self.classes, self.percent), "likely")
+        links, number = self.work.keep_summed(verified(likely, self.texts, self.size, self.percent), "links", F.lit(1))
         if number:
-            minor, pairs_left, n = _left(left, work)
-            if pairs_left <= PAYS * n or number == HUB_ROUNDS - 1:
-                others = left.select("key", F.col("rep").alias("other"), F.col("comp").alias("beside"))
-                if pairs_left:
-                    test(minor.join(others, "key").where("comp <> beside").select(*_ordered(F.col("rep"), F.col("other"))))
-                return labels
-        hub_comp = left.where("rep = hub").select("key", F.col("comp").alias("beside"))
-        test(left.join(hub_comp, "key").where("comp <> beside").select(*_ordered(F.col("rep"), F.col("hub"))))
-    return labels
-
-
-def _left(open_rows: DataFrame, work: Work) -> tuple[DataFrame, int, int]:
-    """Members outside the largest component of their band; how many pairs they make; all members."""
-    counts = open_rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    by_key = counts.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
-    tops = work.keep(by_key.select("key", F.col("top.comp").alias("main"), F.col("top.n").alias("most"), "all"), "tops")
-    pairs, n = tops.agg(F.sum((F.col("all") - F.col("most")) * F.col("all").cast("double")), F.sum("all")).first()
-    minor = open_rows.join(tops, "key").where("comp <> main").select("key", "rep", "comp")
-    return minor, int(pairs or 0), int(n or 0)
+            self.found = links if self.found is None else self.found.unionAll(links)
+            self.labels = components(self.found, self.work)
+        return number
+
+    def unsettled(self) -> tuple[DataFrame, int, int]:
+        """Members of bands with several components, the pairs that are left there, and the members."""
+        known = self.labels.select(F.col("node").alias("rep"), "label") if self.labels is not None else None
+        if known is None:
+            rows = self.members.withColumn("comp", F.col("rep"))
+        else:
+            rows = self.members.join(known, "rep", "left").withColumn("comp", F.coalesce("label", "rep")).drop("label")
+        rows = self._in_open_bands(self.work.keep(rows, "placed"), "comp")
+        counts = rows.groupBy("key", "comp").agg(F.count("*").alias("m"))
+        by_key = counts.groupBy("key").agg(F.max(F.struct("m", "comp")).alias("top"), F.sum("m").alias("all"))
+        tops = self.work.keep(by_key.select("key", F.col("top.comp").alias("main"), F.col("top.m").alias("most"), "all"), "tops")
+        pairs, n = tops.agg(F.sum((F.col("all") - F.col("most")).cast("double") * F.col("all")), F.sum("all")).first()
+        return rows.join(tops.select("key", "main"), "key"), int(pairs or 0), int(n or 0)
+
+    def run(self) -> DataFrame | None:
+        links = self.test(self._against_hubs(self.members.withColumn("comp", F.col("rep")), 0))
+        number = 1
+        while True:
+            left, pairs, n = self.unsettled()
+            if pairs <= PAYS * n or FINDS * links < n:
+                if pairs:
+                    self.test(self._all_that_may_be_linked(left))
+                return self.labels
+            links = self.test(self._against_hubs(left, number))
+            number += 1
+
+    def _against_hubs(self, rows: DataFrame, number: int) -> DataFrame:
+        """Each member with the hub of its band: the smallest id, after the first round in another order."""
+        turn = F.lit((0x5DEECE66D1CE4E5B * number) & 0x7FFFFFFFFFFFFFFF)
+        hubs = rows.groupBy("key").agg(F.min(F.col("rep").bitwiseXOR(turn)).bitwiseXOR(turn).alias("rep"))
+        return self._paired(rows, self.work.keep(hubs.join(rows, ["key", "rep"]), "hubs"))
+
+    def _all_that_may_be_linked(self, left: DataFrame) -> DataFrame:
+        """Members outside their band's largest component with all of others, by the bitmaps' bound."""
+        bits = self.classes.select("rep", "bits")
+        rows = self.work.keep(left.join(bits, "rep"), "with-bits")
+        words = [F.bit_count(F.get("bits", F.lit(k)).bitwiseXOR(F.get("other_bits", F.lit(k)))) for k in range(WORDS)]
+        p = self.percent
+        few = sum(words[1:], words[0]) * (100 + p) <= (100 - p) * (F.col("n") + F.col("m"))
+        return self._paired(rows.where("comp <> main"), rows, few)
+
+    def _paired(self, rows: DataFrame, others: DataFrame, bound: Column | None = None) -> DataFrame:
+        """Members of a band in different components, of fitting sizes and within a bound."""
+        names = {"rep": "other", "comp": "beside", "n": "m", "bits": "other_bits"}
+        side = others.select("key", *[F.col(a).alias(b) for a, b in names.items() if a in others.columns])
+        fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * self.percent
+        fits = (F.col("comp") != F.col("beside")) & (fits if bound is None else fits & bound)
+        joined = rows.join(side, "key").where(fits)
+        return joined.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
 
 
 def near_copies(
@@ -307,7 +362,7 @@ def near_copies(
     """
     work = Work(docs.sparkSession, "minhash")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    own = work.keep(sketches(rows, size), "sketches")
+    own = work.keep(sketches(rows, size, percent), "sketches")
     full = own.where("n > 0 AND doc_id IS NOT NULL")
     reps = work.keep(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "reps")
     placed = work.keep(
@@ -318,19 +373,15 @@ def near_copies(
     )
     first = reps.select("h1", "h2", "rep")
     classes = work.keep(
-        full.join(first, ["h1", "h2"]).where("doc_id = rep").select("rep", "n", "registers", "h1", "h2").dropDuplicates(["rep", "h1", "h2"]),
+        full.join(first, ["h1", "h2"]).where("doc_id = rep").select("rep", "n", "registers", "bits", "h1", "h2").dropDuplicates(["rep", "h1", "h2"]),
         "classes",
     )
-    labels = links(classes, rows, size, percent, work)
+    labels = Linker(classes, rows, size, percent, work).run()
     result = placed
     if labels is not None:
         result = result.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left")
     else:
         result = result.withColumn("label", F.lit(None).cast("long"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "rep", "doc_id"))
-    return result.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
-    )
+    kept = F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
+    return work.finish(result.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), kept))

@@ -131,9 +131,9 @@ def test_linked_sets_share_a_band_and_look_plausible(n, percent, random):
         return
     keys = []
     for own in (one, two):
-        regs = minhash.registers(own).reshape(1, -1)
+        regs = minhash.all_registers(own, percent)
         levels = minhash.band_levels(np.array([len(own)]), percent)
-        keys.append({k for bands, chosen in levels.items() if chosen[0] for k in minhash.band_keys(regs, bands)[0] if k})
+        keys.append({k for level, chosen in levels.items() if chosen[0] for k in minhash.all_band_keys([regs], level)[0] if k})
     assert keys[0] & keys[1] or len(one) == len(two)
     assert minhash.similar_enough(minhash.registers(one), minhash.registers(two), len(one), len(two), percent)
 
@@ -187,3 +187,11 @@ def test_kept_text_keeps_its_blanks():
     assert substring.kept_text(text, gone) == "a  d e"
     assert substring.kept_text(text, ~gone) == "b\tc\n"
     assert substring.kept_text(text, np.ones(5, bool)) == ""
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.sets(st.integers(0, 3000), max_size=900), st.sets(st.integers(0, 3000), max_size=900))
+def test_bitmaps_bound_the_difference(one, two):
+    sets = [minhash.shingle_set(" ".join(f"w{x}" for x in sorted(s)), 1) for s in (one, two)]
+    maps = [minhash.bitmap(s).view(np.uint64) for s in sets]
+    assert int(np.bitwise_count(maps[0] ^ maps[1]).sum()) <= len(np.setxor1d(*sets))
