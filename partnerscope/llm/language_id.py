@@ -229,8 +229,7 @@ def identify(
             nothing.alias("text_lang"), "declared", nothing.alias("host_lang"),
         )
     best = lambda a: F.element_at(names, F.array_position(a, F.array_max(a)).cast("int"))
-    found = fused(read, model.languages, work)
-    return found.select(
+    found = fused(read, model.languages, work).select(
         "page_id",
         "url",
         best(F.col("posterior")).alias("lang"),
@@ -239,3 +238,4 @@ def identify(
         "declared",
         best(F.col("host_prior")).alias("host_lang"),
     )
+    return work.finish(found)

@@ -236,10 +236,11 @@ def pack(
         .join(before, (F.col("length") == F.col("of_length")) & (F.col("part") == F.col("of_part")))
         .select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("within")).alias("rank"))
     )
-    return ranked.mapInPandas(
+    placed = ranked.mapInPandas(
         lambda frames: (_placed(frame, plan) for frame in frames),
         PIECES + ", sequence_id long, offset long",
     )
+    return work.finish(placed)
 
 
 def _placed(frame, plan: dict[str, np.ndarray]):

@@ -36,6 +36,8 @@ from partnerscope.llm.common import WORD, Work, buckets
 WINDOW = 13
 #: Documents of a chunk.
 CHUNK_ROWS = 256
+#: A text longer than this has a chunk of its own, so a chunk stays within some 30 MB.
+LONG_TEXT = 1 << 17
 FACTOR = 0x9E3779B97F4A7C15
 FACTOR_BACK = pow(FACTOR, -1, 1 << 64)
 #: Bits of an anchor's hash. Anchors that share them are only looked at more closely.
@@ -256,8 +258,10 @@ def parse(docs: DataFrame, id_col: str, text_col: str, window: int, finish: Fini
     work, parts = Work(spark, "substring"), buckets(spark)
     chunk_col = next(n for n in ("chunk", *(f"chunk_{i}" for i in range(len(docs.columns) + 1))) if n not in docs.columns)
     name = f"llm_chunks_{uuid.uuid4().hex}"
+    joint = F.shiftright(F.col(chunk_col), CHUNK_ROWS.bit_length() - 1)
     (
-        docs.withColumn(chunk_col, F.shiftright(F.monotonically_increasing_id(), CHUNK_ROWS.bit_length() - 1))
+        docs.withColumn(chunk_col, F.monotonically_increasing_id())
+        .withColumn(chunk_col, F.when(F.length(text_col) > LONG_TEXT, -1 - F.col(chunk_col)).otherwise(joint))
         .write.bucketBy(parts, chunk_col)
         .option("path", f"{work.folder}/chunks")
         .option("compression", "zstd")
@@ -292,7 +296,10 @@ def parse(docs: DataFrame, id_col: str, text_col: str, window: int, finish: Fini
     blocks = work.keep(sent.groupBy("bucket").applyInArrow(settle_anchors, REPLY), "blocks")
     sent = by_chunk.cogroup(blocks.groupBy("chunk")).applyInArrow(windows, PARCEL)
     edges = work.keep(sent.groupBy("bucket").applyInArrow(settle_windows, REPLY), "edges")
-    return by_chunk.cogroup(blocks.unionAll(edges).groupBy("chunk")).applyInArrow(last, schema)
+    result = work.finish(by_chunk.cogroup(blocks.unionAll(edges).groupBy("chunk")).applyInArrow(last, schema))
+    spark.sql(f"DROP TABLE {name}")
+    work.remove(f"{work.folder}/chunks")
+    return result
 
 
 def kept_text(text: str, goes: np.ndarray) -> str:
