@@ -7,9 +7,8 @@
   neighbours; the most probable sequence is decoded. Texts keep their place if enough of their
   words stand in lines of content.
 
-The field is trained on a bounded sample of labelled documents. Their lines are content where the
-document is of good quality, and boilerplate where it isn't or where the sample has the line in
-several settings.
+The field is trained on a bounded sample of labelled documents, as many good as bad ones: lines
+of good documents are content, those of bad ones boilerplate.
 """
 
 from __future__ import annotations
@@ -34,8 +33,6 @@ CONTENT_SHARE = 0.5
 #: Bounds of the training sample: documents of each label, and lines looked at in each.
 SAMPLE_ROWS = 1_500
 SAMPLE_LINES = 64
-#: A line that the sample has before so many different lines is boilerplate.
-RECURS = 3
 #: Characters that are worked on together, and code points with a class of their own.
 BATCH_CHARS = 1 << 20
 _KNOWN = 0x250
@@ -115,7 +112,6 @@ class Batch:
             map(xxhash.xxh3_64_intdigest, (joined.encode("utf-8", "surrogatepass")[:-1] or b"").split(b"\n") if docs else ()),
             dtype=np.uint64,
         )
-        self.line_hash = line_hash
         keyed = _mixed(line_hash + _mixed(self.line_doc.astype(np.uint64) + np.uint64(1)))
         _, seen = np.unique(keyed, return_index=True)
         again = np.ones(lines, dtype=bool)
@@ -223,13 +219,7 @@ def train(texts: list[str], quality: list[int], steps: int = 120) -> LineField:
     size, width = np.bincount(batch.line_doc, minlength=len(texts)), len(FEATURES)
     if not len(batch.line_doc):
         return LineField(np.zeros(width), np.zeros((2, 2)))
-    # What follows tells a line that many texts have from one of a text that has copies.
-    following = np.append(batch.line_hash[1:], np.uint64(0))
-    following[np.append(batch.line_doc[1:] != batch.line_doc[:-1], True)] = np.uint64(1)
-    settings = np.unique(np.stack([batch.line_hash, following]), axis=1)
-    lines, counts = np.unique(settings[0], return_counts=True)
-    recurring = counts[np.searchsorted(lines, batch.line_hash)] >= RECURS
-    target = (np.array(quality)[batch.line_doc] == 1) & ~recurring & (batch.line_words > 0)
+    target = (np.array(quality)[batch.line_doc] == 1) & (batch.line_words > 0)
 
     longest, docs = int(size.max()), len(texts)
     place = np.arange(len(batch.line_doc)) - (np.cumsum(size) - size)[batch.line_doc]
