@@ -2,7 +2,6 @@ import random
 
 import pytest
 from brute import ORDER_SCHEMA, PARTNER_SCHEMA, report as brute_report
-from pyspark.sql import functions as F
 
 from partnerscope import default_params
 from partnerscope.operators import report
