@@ -1,9 +1,9 @@
-"""Language of web pages, by Bayesian fusion of what the text, the mark-up and the address say.
+"""Language of web pages and documents, by Bayesian fusion of text, mark-up and address.
 
 * Text: likelihoods of hashed letter runs under each language, learned from a bounded sample of
   labelled documents. Runs overlap and aren't independent, so their log likelihood is damped.
 * Declared language of the mark-up: how often pages of each language declare it, from all pages,
-  weighted by what their texts alone say. A declaration that pages make at random is worth nothing.
+  that declare one, weighted by what their texts alone say. A declaration that pages make at random is worth nothing.
 * Address: priors of global, suffix, domain and host, each smoothed by the one above it, from sums
   over all pages. A host with few pages leans on its domain, a domain on its suffix.
 
@@ -125,10 +125,9 @@ def address_parts(site: str) -> tuple[str | None, str | None, str | None]:
     return site, ".".join(labels[-2:]), labels[-1]
 
 
-EVIDENCE = (
-    "page_id long, url string, host string, domain string, suffix string, declared string, "
-    "text array<double>, alone array<double>"
-)
+EVIDENCE = "host string, domain string, suffix string, declared string, text array<double>, alone array<double>"
+_LISTS = pa.list_(pa.float64())
+_EVIDENCE = (("host", pa.string()), ("domain", pa.string()), ("suffix", pa.string()), ("declared", pa.string()), ("text", _LISTS), ("alone", _LISTS))
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -136,30 +135,55 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum() if len(x) else e
 
 
-def evidence(pages: DataFrame, model: TextModel, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """What each page says of itself: log likelihoods of its text, and the languages it alone gives."""
+def _evidence_batch(batch: pa.RecordBatch, names: list[str], rows: list[tuple], model: TextModel) -> pa.RecordBatch:
+    """The batch's first columns, and host, domain, suffix, declaration and text of each row weighed."""
+    columns: list[list] = [[], [], [], [], [], []]
+    for *address, text in rows:
+        likely = model.log_likelihoods(text)
+        likely = likely - likely.max() if len(likely) else likely
+        for column, value in zip(columns, (*address, likely.tolist(), _softmax(likely).tolist()), strict=True):
+            column.append(value)
+    arrays = [pa.array(c, kind) for c, (_, kind) in zip(columns, _EVIDENCE, strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [*batch.columns[: len(names)], *arrays], names=[*names, *(name for name, _ in _EVIDENCE)]
+    )
+
+
+def page_evidence(
+    pages: DataFrame, model: TextModel, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
+) -> DataFrame:
+    """What each page says of itself: log likelihoods of its text, the languages it alone gives, its
+    declaration, and the parts of its address."""
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for url, cell in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-                html, site = cell.as_py() or "", site_of(url)
+                html = cell.as_py() or ""
                 blocks, _ = read_page("", html)
-                likely = model.log_likelihoods(" ".join(t for _, t in blocks))
-                likely = likely - likely.max() if len(likely) else likely
-                rows.append((*address_parts(site), declared_language(html), likely.tolist(), _softmax(likely).tolist()))
-            host, domain, suffix, declared, text, alone = zip(*rows, strict=True) if rows else [()] * 6
-            strings = [pa.array(x, pa.string()) for x in (host, domain, suffix, declared)]
-            lists = [pa.array(x, pa.list_(pa.float64())) for x in (text, alone)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *strings, *lists],
-                names=["page_id", "url", "host", "domain", "suffix", "declared", "text", "alone"],
-            )
+                rows.append((*address_parts(site_of(url)), declared_language(html), " ".join(t for _, t in blocks)))
+            yield _evidence_batch(batch, ["page_id", "url"], rows, model)
 
     return pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
         F.col(html_col).cast("string").alias("html"),
-    ).mapInArrow(read, EVIDENCE)
+    ).mapInArrow(read, f"page_id long, url string, {EVIDENCE}")
+
+
+def document_evidence(
+    docs: DataFrame, model: TextModel, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
+) -> DataFrame:
+    """The same of plain documents: their text, and their source as host. Labels are no evidence."""
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = zip(batch.column(1).to_pylist(), batch.column(2), strict=True)
+            yield _evidence_batch(batch, ["doc_id"], [(source, None, None, None, t.as_py() or "") for source, t in texts], model)
+
+    return docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+        F.col(text_col).cast("string").alias("text"),
+    ).mapInArrow(read, f"doc_id long, {EVIDENCE}")
 
 
 def _sums(pages: DataFrame, keys: list[str], name: str, languages: int) -> DataFrame:
@@ -194,8 +218,10 @@ def fused(pages: DataFrame, languages: list[str], work: Work) -> DataFrame:
     for name in ("suffix", "domain", "host"):
         joined = joined.withColumn(f"{name}_prior", _smoothed(F.col(f"{name}_sums"), chain, LEVEL_WEIGHT))
         chain = F.col(f"{name}_prior")
+    declares = _sums(pages.where("declared IS NOT NULL"), [], "all", n).first()["all_sums"]
+    joined = joined.withColumn("declares", F.array(*[F.lit(x or 0.0) for x in declares]))
     without = lambda sums: F.zip_with(sums, F.col("alone"), lambda s, a: F.greatest(s - a, F.lit(0.0)))
-    joined = joined.withColumn("declaring", without(F.col("declared_sums"))).withColumn("pages", without(F.col("all_sums")))
+    joined = joined.withColumn("declaring", without(F.col("declared_sums"))).withColumn("pages", without(F.col("declares")))
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda t, x: t + x)
     joined = joined.withColumn("share", (total(F.col("declaring")) + 0.5) / (total(F.col("pages")) + 1.0))
     says = F.zip_with(
@@ -209,29 +235,27 @@ def fused(pages: DataFrame, languages: list[str], work: Work) -> DataFrame:
     return joined.withColumn("posterior", F.transform("shares", lambda x: x / F.col("total")))
 
 
-def identify(
-    pages: DataFrame, model: TextModel, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
-) -> DataFrame:
-    """Language and probability of every page, with what text, mark-up and host say alone.
+def identify(evidence: DataFrame, model: TextModel) -> DataFrame:
+    """Language and probability of every page or document, with what text and host say alone.
 
-    A page without text is decided by its mark-up and address, one without either by what pages
-    are in general. Ties go to the language that is first in the alphabet. Repeated ids keep all
-    their rows; no rows give no rows; without any known language the columns are null. Other
-    columns are left out.
+    ``evidence`` comes from ``page_evidence`` or ``document_evidence`` or a union of both; its other
+    columns are handed on. What has no text is decided by mark-up and address, what has neither by
+    what all are in general. Ties go to the language that is first in the alphabet. Repeated ids
+    keep all their rows; no rows give no rows; without any known language the columns are null.
     """
-    work = Work(pages.sparkSession, "language")
-    read = work.keep(evidence(pages, model, id_col, url_col, html_col), "evidence")
+    work = Work(evidence.sparkSession, "language")
+    read = work.keep(evidence, "evidence")
+    others = [c for c in evidence.columns if c not in {name for name, _ in _EVIDENCE}]
     names = F.array(*[F.lit(x) for x in model.languages]).cast("array<string>")
     if not model.languages:
         nothing = F.lit(None).cast("string")
         return read.select(
-            "page_id", "url", nothing.alias("lang"), F.lit(None).cast("double").alias("probability"),
+            *others, nothing.alias("lang"), F.lit(None).cast("double").alias("probability"),
             nothing.alias("text_lang"), "declared", nothing.alias("host_lang"),
         )
     best = lambda a: F.element_at(names, F.array_position(a, F.array_max(a)).cast("int"))
     found = fused(read, model.languages, work).select(
-        "page_id",
-        "url",
+        *others,
         best(F.col("posterior")).alias("lang"),
         F.array_max("posterior").alias("probability"),
         best(F.col("alone")).alias("text_lang"),
@@ -239,3 +263,13 @@ def identify(
         best(F.col("host_prior")).alias("host_lang"),
     )
     return work.finish(found)
+
+
+def identify_pages(pages: DataFrame, model: TextModel) -> DataFrame:
+    return identify(page_evidence(pages, model), model)
+
+
+def identify_all(pages: DataFrame, docs: DataFrame, model: TextModel) -> DataFrame:
+    """Pages and documents together: a row has a ``page_id`` or a ``doc_id``."""
+    of_pages = page_evidence(pages, model).withColumn("doc_id", F.lit(None).cast("long"))
+    return identify(of_pages.unionByName(document_evidence(docs, model), allowMissingColumns=True), model)

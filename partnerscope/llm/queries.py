@@ -73,8 +73,8 @@ def op9_decontaminate(spark, sf_dir):
 
 @query
 def op10_language_id(spark, sf_dir):
-    model = language_id.fit(table(spark, sf_dir, "documents"))
-    return language_id.identify(table(spark, sf_dir, "pages"), model)
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify_all(table(spark, sf_dir, "pages"), docs, language_id.fit(docs))
 
 
 #: DuckDB's form of those that SQL can express.

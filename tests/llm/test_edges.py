@@ -214,10 +214,14 @@ def test_languages(spark, pages, docs, nothing):
     )
     model = language_id.fit(known)
     assert model.languages == ["en", "fr"]
-    found = {r["page_id"]: r for r in language_id.identify(pages, model).collect()}
+    found = {r["page_id"]: r for r in language_id.identify_pages(pages, model).collect()}
     assert found[1]["lang"] == "fr" and found[1]["declared"] == "fr" and found[4]["lang"] in ("en", "fr")
-    assert language_id.identify(pages, language_id.fit(nothing)).where("lang IS NULL").count() == len(PAGES)
-    assert language_id.identify(pages.limit(0), model).count() == 0
+    assert language_id.identify_pages(pages, language_id.fit(nothing)).where("lang IS NULL").count() == len(PAGES)
+    assert language_id.identify_pages(pages.limit(0), model).count() == 0
+    both = language_id.identify_all(pages, docs, model).collect()
+    assert len(both) == len(PAGES) + len(ROWS) and all(r["lang"] in ("en", "fr") for r in both)
+    assert sorted(str(r["doc_id"]) for r in both if r["url"] is None and r["page_id"] is None) == sorted(str(r[0]) for r in ROWS)
+    assert language_id.identify_all(pages.limit(0), nothing, model).count() == 0
 
 
 def test_declaration_decides_where_the_text_cannot(spark):
@@ -225,7 +229,7 @@ def test_declaration_decides_where_the_text_cannot(spark):
     model = language_id.fit(spark.createDataFrame(known, "doc_id long, text string, lang string"))
     pages = [(i, f"http://{'abc'[i % 3]}.example/", f"<html lang={lang}><p>{text}") for i, (lang, text) in enumerate([("en", "the house and the tree"), ("fr", "la maison et le jardin")] * 20)]
     pages += [(100, None, "<html lang=fr><p>123"), (101, None, "<html lang=en><p>")]
-    found = language_id.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), model)
+    found = language_id.identify_pages(spark.createDataFrame(pages, "page_id long, url string, html string"), model)
     by_id = {r["page_id"]: r["lang"] for r in found.collect()}
     assert by_id[100] == "fr" and by_id[101] == "en"
 

@@ -146,5 +146,20 @@ def test_leaks(spark, folder, tables):
 
 def test_languages(spark, folder, tables):
     found = result(spark, folder, "op10_language_id")
-    assert len(found) == len(tables("pages"))
-    assert (found.lang == found.declared).mean() >= 0.98
+    pages, docs = found[found.page_id.notna()], found[found.doc_id.notna()]
+    assert len(pages) == len(tables("pages")) and len(docs) == len(tables("documents")) == len(found) - len(pages)
+    assert (pages.lang == pages.declared).mean() >= 0.98
+
+
+def test_languages_of_documents_it_has_not_seen(spark, tables):
+    from pyspark.sql import functions as F
+
+    from partnerscope.llm import language_id
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    other = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    model = language_id.fit(docs.where(~other))
+    held_out = docs.where(other)
+    found = language_id.identify(language_id.document_evidence(held_out, model), model).toPandas().set_index("doc_id")
+    labels = held_out.select("doc_id", F.col("lang").alias("label")).toPandas().set_index("doc_id")
+    assert (found.lang == labels.label).mean() >= 0.97
