@@ -20,21 +20,28 @@ def is_missing(column: Column, data_type: T.DataType) -> Column:
     return column.isNull()
 
 
-def double_text(column: Column) -> Column:
-    """A double as plain digits with a point (``2.0``, ``0.00002``), whatever its size.
-
-    The engine's text has the digits that tell the number from its neighbours; where it
-    has them in E notation, the point is moved.
-    """
-    text = column.cast("string")
+def _without_exponent(text: Column) -> Column:
+    """A number in E notation as plain digits."""
     sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     digits = F.regexp_replace(F.regexp_replace(text, r"^-|\.|E.*$", ""), "(?<=.)0+$", "")
-    power = F.regexp_extract(text, "E(-?[0-9]+)$", 1).try_cast("int")
+    power = F.regexp_extract(text, "E(-?[0-9]+)$", 1).cast("int")
     whole = F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, "0")
     rest = F.coalesce(F.nullif(F.substring(digits, power + 2, F.length(digits)), F.lit("")), F.lit("0"))
     large = F.concat(sign, whole, F.lit("."), rest)
     small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
-    return F.when(power >= 0, large).when(power < 0, small).otherwise(text)
+    return F.when(power >= 0, large).otherwise(small)
+
+
+def double_text(column: Column) -> Column:
+    """A double as plain digits with a point (``2.0``, ``0.00002``), whatever its size.
+
+    The engine's text has the digits that tell the number from its neighbours; where it
+    has them in E notation, the point is moved. Few numbers have: that part stands in a
+    lambda, which keeps it out of the code compiled for every row.
+    """
+    text = column.cast("string")
+    moved = F.element_at(F.transform(F.array(text), _without_exponent), 1)
+    return F.when(text.contains("E"), moved).otherwise(text)
 
 
 def blank_fill(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -56,8 +63,13 @@ def null_for_load(column: Column) -> Column:
 
 
 def whole_number_text(column: Column) -> Column:
-    """A whole double without its fraction: ``2.0`` to ``2``."""
-    return F.regexp_replace(double_text(column), r"\.0$", "")
+    """A whole double without its fraction: ``2.0`` to ``2``.
+
+    Below 2^53 doubles are whole numbers one apart, so the number's own digits are those of its
+    text as a double; they are only faster to get.
+    """
+    by_text = F.replace(double_text(column), F.lit(".0"), F.lit(""))
+    return F.when(F.abs(column) < 2.0**53, column.cast("bigint").cast("string")).otherwise(by_text)
 
 
 def number_tidy(column: Column) -> Column:
