@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +15,19 @@ BLANKS = " \t\n\v\f\r"
 WORD = re.compile(f"[^{BLANKS}]+")
 
 
+def with_package(spark: SparkSession) -> SparkSession:
+    """Lets Python workers find this package where it lies, whatever folder the session was started
+    in. On machines without it the submitter sends it along (``--py-files``)."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return with_package(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,7 +45,7 @@ class Work:
     """
 
     def __init__(self, spark: SparkSession, purpose: str):
-        self.spark = spark
+        self.spark = with_package(spark)
         self.folder = f"{shared_folder(spark)}/llm/{purpose}-{uuid.uuid4().hex}"
         self.kept: list[tuple[DataFrame, str]] = []
         self.number = 0
@@ -81,6 +94,7 @@ def text_or_empty(name: str) -> Column:
 
 def two_columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Id and text only, under fixed names, so that other columns can't clash; null text is empty."""
+    with_package(docs.sparkSession)
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")
     )

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partnerscope.llm.common import Work
+from partnerscope.llm.common import Work, with_package
 from partnerscope.llm.html_extract import read_page, site_of
 
 #: Bounds of the fit: languages, documents of each (about), letters of each document, classes of runs.
@@ -78,6 +78,7 @@ class TextModel:
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> TextModel:
     """Shares of letter runs in each language, from a sample of the labelled documents."""
+    with_package(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.lower(F.col(lang_col).cast("string")).alias("lang"),

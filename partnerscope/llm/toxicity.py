@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from partnerscope.llm.common import Work, two_columns
+from partnerscope.llm.common import Work, two_columns, with_package
 
 #: Bounds of the fit: labelled rows of each class, and terms of the lexicon.
 SAMPLE_ROWS = 12_000
@@ -275,6 +275,7 @@ def score(model: ToxicModel, evidence: list[float]) -> float:
 
 def with_toxicity(docs: DataFrame, model: ToxicModel, text_col: str = "text") -> DataFrame:
     """All columns of the documents, and ``toxicity``, the score; an input column of that name is replaced."""
+    with_package(docs.sparkSession)
     kept = [n for n in docs.columns if n != "toxicity"]
     text_at = kept.index(text_col)
     rows = docs.select(*[F.col(f"`{n}`") for n in kept])
