@@ -4,7 +4,10 @@
   its bucket as a leading-zero count and ten mantissa bits. Documents of equal shingle sets are
   one class, and only one document of each class goes on.
 * Bands. Registers are banded as they are. Sets whose members may differ by few shingles have
-  few wide bands: more bands than shingles that can differ, so that one band agrees for sure.
+  few wide bands: more bands than shingles that can differ, so that some bands agree for sure. An
+  empty band gives no key, so a set with so many empty bands that all of those may be empty also
+  gives its least shingle hashes, one more than it can miss in a linked set: two linked sets whose
+  agreeing bands are all empty both do, and share the least hash that they have in common.
   From some 60 shingles on (at 85 %) there are three independent sketches of 16 bands, and from
   some 180 on one of 32 bands with four registers; two linked sets agree in none of them with a
   probability below 1e-9 (1e-7 at 80 %).
@@ -30,6 +33,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,7 +55,7 @@ ERRORS = 6.0
 #: round has found links for one member in so many.
 PAYS, FINDS = 4, 20
 
-SKETCHES = "doc_id long, n long, h1 long, h2 long, registers binary, bits array<bigint>"
+SKETCHES = "doc_id long, n long, h1 long, h2 long, registers binary, bits array<bigint>, least array<bigint>"
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -125,6 +129,30 @@ def band_levels(n: np.ndarray, percent: int) -> dict[str, np.ndarray]:
     return {name: (own == k) | (smaller == k) for k, name in enumerate(LEVELS)}
 
 
+#: Levels that must find all links: their bands, and the most shingles linked sets differ in there.
+SURE = {"2": (2, 1), "4": (4, 3), "8": (8, 7), "16": (16, MIDDLE - 1)}
+
+
+def least_keys(shingles: np.ndarray, regs: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of the least hashes, where all bands in which a linked set agrees may be empty.
+
+    Bands without a differing shingle agree, which leaves out at most as many as shingles differ.
+    A linked set lacks at most the given share of this one, so one more of the least hashes has
+    one that both sets hold, and the least of those is among the other set's as well.
+    """
+    n, keys = len(shingles), [np.zeros(0, np.uint64)]
+    if most_different(n, percent) < 1:
+        return keys[0]
+    least = shingles[: n * (100 - percent) // 100 + 1]
+    chosen = band_levels(np.array([n]), percent)
+    for level, (bands, most) in SURE.items():
+        if chosen[level][0]:
+            empty = bands - int(regs[:REGISTERS].reshape(bands, -1).any(axis=1).sum())
+            if empty >= bands - min(most, most_different(n, percent)):
+                keys.append(mixed(least + np.uint64(bands)) | np.uint64(1))
+    return np.concatenate(keys)
+
+
 def all_band_keys(regs: list[np.ndarray], level: str) -> np.ndarray:
     """Hashes of the bands of some sets, a row each; 0 where a band is empty."""
     first = np.stack([r[:REGISTERS] for r in regs])
@@ -180,30 +208,32 @@ def linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
 
 
 def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Set size, set hash and registers of every document."""
+    """Set size, set hash, registers and keys of least hashes of every document."""
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, hashes, regs, bits = [], [], [], []
+            sizes, hashes, regs, bits, least = [], [], [], [], []
             for text in batch.column(1):
                 own = shingle_set(text.as_py(), size)
                 sizes.append(len(own))
                 hashes.append(np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), "<i8"))
-                regs.append(all_registers(own, percent).tobytes())
+                sketch = all_registers(own, percent)
+                regs.append(sketch.tobytes())
                 bits.append(bitmap(own))
+                least.append(least_keys(own, sketch, percent).view(np.int64))
             pair = np.array(hashes, dtype=np.int64).reshape(-1, 2)
             flat = pa.array(np.concatenate(bits) if bits else np.zeros(0, np.int64))
             words = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * WORDS), flat)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(regs, pa.binary()), words],
-                names=["doc_id", "n", "h1", "h2", "registers", "bits"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(regs, pa.binary()), words, pa.array(least, pa.list_(pa.int64()))],
+                names=["doc_id", "n", "h1", "h2", "registers", "bits", "least"],
             )
 
     return docs.mapInArrow(made, SKETCHES)
 
 
 def banded(classes: DataFrame, percent: int) -> DataFrame:
-    """``key``, ``rep`` and ``n`` for every band that isn't empty."""
+    """``key``, ``rep`` and ``n`` for every band that isn't empty, and for the keys of least hashes."""
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,8 +249,13 @@ def banded(classes: DataFrame, percent: int) -> DataFrame:
                     [pa.array(keys[held].view(np.int64)), pa.array(rep[chosen][of]), pa.array(n[chosen][of])],
                     names=["key", "rep", "n"],
                 )
+            least = batch.column(3)
+            of = pa.compute.list_parent_indices(least)
+            yield pa.RecordBatch.from_arrays(
+                [pa.compute.list_flatten(least), batch.column(0).take(of), batch.column(1).take(of)], names=["key", "rep", "n"]
+            )
 
-    return classes.select("rep", "n", "registers").mapInArrow(made, "key long, rep long, n long")
+    return classes.select("rep", "n", "registers", "least").mapInArrow(made, "key long, rep long, n long")
 
 
 def plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -373,7 +408,7 @@ def near_copies(
     )
     first = reps.select("h1", "h2", "rep")
     classes = work.keep(
-        full.join(first, ["h1", "h2"]).where("doc_id = rep").select("rep", "n", "registers", "bits", "h1", "h2").dropDuplicates(["rep", "h1", "h2"]),
+        full.join(first, ["h1", "h2"]).where("doc_id = rep").select("rep", "n", "registers", "bits", "least", "h1", "h2").dropDuplicates(["rep", "h1", "h2"]),
         "classes",
     )
     labels = Linker(classes, rows, size, percent, work).run()

@@ -195,3 +195,48 @@ def test_bitmaps_bound_the_difference(one, two):
     sets = [minhash.shingle_set(" ".join(f"w{x}" for x in sorted(s)), 1) for s in (one, two)]
     maps = [minhash.bitmap(s).view(np.uint64) for s in sets]
     assert int(np.bitwise_count(maps[0] ^ maps[1]).sum()) <= len(np.setxor1d(*sets))
+
+
+def shared_keys(one, two, percent):
+    keys = []
+    for own in (one, two):
+        regs = minhash.all_registers(own, percent)
+        levels = minhash.band_levels(np.array([len(own)]), percent)
+        held = {int(k) for level, chosen in levels.items() if chosen[0] for k in minhash.all_band_keys([regs], level)[0] if k}
+        keys.append(held | {int(k) for k in minhash.least_keys(own, regs, percent)})
+    return keys[0] & keys[1]
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_linked_small_sets_always_share_a_key(percent):
+    """As many missing shingles as a link allows, and half of them on either side."""
+    random = np.random.default_rng(7)
+    for n in range(2, 51):
+        for _ in range(40):
+            for extra in {n * (100 - percent) // percent, 1} - {0}:  # equal sets are one class
+                drawn = random.integers(0, 1 << 63, n + extra, dtype=np.uint64)
+                for one, two in ((drawn[:n], drawn), (drawn[: n + extra // 2], drawn[extra - extra // 2 :])):
+                    one, two = np.sort(one), np.sort(two)
+                    if minhash.linked(one, two, percent):
+                        assert shared_keys(one, two, percent), (n, extra)
+                        few = minhash.registers(one), minhash.registers(two)
+                        assert minhash.similar_enough(*few, len(one), len(two), percent)
+
+
+def test_short_texts_whose_common_shingles_lie_in_one_band_are_linked(spark):
+    """Eight words against the same and one more, where only empty bands agree."""
+    sys.path.insert(0, str(Path(__file__).resolve().parent))
+    import plain
+
+    rows, k = [], 0
+    while len(rows) < 20:
+        k += 1
+        long = " ".join(f"v{k}-{j}" for j in range(9))
+        short = long.rsplit(" ", 1)[0]
+        held = [minhash.registers(minhash.shingle_set(t, 5)).reshape(2, 64).any(axis=1) for t in (short, long)]
+        if held[0].sum() == 1 and held[1].sum() == 2:
+            rows += [(len(rows), short), (len(rows) + 1, long)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in minhash.near_copies(frame, 5, 80).collect()}
+    assert found == {i: c for i, (_, c) in plain.near_copies(rows, 5, 80).items()}
+    assert all(found[i] == i - i % 2 for i in found)
