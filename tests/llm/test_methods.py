@@ -240,3 +240,14 @@ def test_short_texts_whose_common_shingles_lie_in_one_band_are_linked(spark):
     found = {r["doc_id"]: r["component_id"] for r in minhash.near_copies(frame, 5, 80).collect()}
     assert found == {i: c for i, (_, c) in plain.near_copies(rows, 5, 80).items()}
     assert all(found[i] == i - i % 2 for i in found)
+
+
+def test_two_edits_and_swaps_in_terms_of_eight_letters_and_more():
+    matcher = toxicity.Matcher({"pathetic": 5.0, "worthless": 5.0, "disgusting": 5.0, "disgraceful": 5.0})
+    swapped = ["ptahetic", "wrothless", "worhtless", "disgutsing", "digsraceful"]
+    for word in [*swapped, "pathtc", "wurthles", "dizgustin", "disgracefuull"]:
+        assert matcher.evidence(f"you are {word} today")[1] == 5.0, word
+    for term in ("pathetic", "worthless", "disgusting", "disgraceful"):
+        for k in range(len(term) - 1):
+            word = term[:k] + term[k + 1] + term[k] + term[k + 2 :]
+            assert matcher.token_hit(word) is not None, word
