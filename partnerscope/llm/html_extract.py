@@ -8,7 +8,9 @@
   children) over the pages that have it; a content node's is one less the mean entropy with which
   its texts recur on those pages. A node with children combines its own with that of the content
   below. Text and layout that recur on nearly all pages of a site come out near 0.
-* Branches of low importance are removed from each page.
+* Branches of low importance are removed from each page. Where a page marks a main part, that is
+  evidence: blocks in it stay unless the tree finds a node of the main part low; blocks outside
+  stay if the tree knows their node from enough pages and finds it important.
 
 Statistics are sums over (node, feature) rows, so a site with a third of all pages is spread over
 all tasks. The pages are parsed twice, for the statistics and for the texts; pages aren't moved.
@@ -71,9 +73,9 @@ MARKED = re.compile(
     re.IGNORECASE,
 )
 
-Block = tuple[tuple[int, ...], str]
+Block = tuple[tuple[int, ...], str, bool]  # the nodes that decide, text, must be known
 Feature = tuple[int, int, int]  # node, kind, value
-PRESENCE, LAYOUT, CONTENT = 0, 1, 2
+PRESENCE, LAYOUT, CONTENT, OUTSIDE = 0, 1, 2, 3
 
 
 def _hash(*parts: str) -> int:
@@ -98,7 +100,7 @@ class Reader:
         self.site = site
         self.open: list[tuple[str, int, bool, bool]] = []  # tag, node, dropped, in the main part
         self.layout: dict[int, list[str]] = {}
-        self.blocks: list[tuple[tuple[int, ...], str, bool]] = []
+        self.blocks: list[tuple[tuple[int, ...], str, int]] = []  # nodes, text, how many of them outside the main part
         self.text: list[str] = []
         self.known: dict[tuple[int, str], int] = {}
 
@@ -108,7 +110,7 @@ class Reader:
             self.text = []
             if words and not (self.open and self.open[-1][2]):
                 chain = tuple(node for _, node, _, _ in self.open)
-                self.blocks.append((chain, " ".join(words), bool(self.open and self.open[-1][3])))
+                self.blocks.append((chain, " ".join(words), sum(not inside for _, _, _, inside in self.open)))
 
     def start(self, tag: str, rest: str) -> None:
         attributes = {}
@@ -182,21 +184,28 @@ class Reader:
 
 
 def read_page(site: str, html: str) -> tuple[list[Block], list[Feature]]:
-    """Blocks of the page's main part (of the whole body where none is marked), and the features
-    of their style nodes. A page without a host has no site and no features."""
+    """Blocks of the whole page, and the features of their style nodes.
+
+    A block of the main part is decided by that part's nodes, one outside a main part by the node
+    it stands in, and one of a page that marks none by all its nodes. A page without a host has no
+    site and no features.
+    """
     reader = Reader(site)
     reader.read(_whole(html))
-    main = [(chain, text) for chain, text, inside in reader.blocks if inside]
-    blocks = main or [(chain, text) for chain, text, _ in reader.blocks]
-    if not site:
-        return blocks, []
-    features: dict[Feature, None] = {}
-    for chain, text in blocks:
+    marks = any(outer < len(chain) for chain, _, outer in reader.blocks)
+    blocks, features = [], {}
+    for chain, text, outer in reader.blocks:
+        beside = marks and outer == len(chain)
+        blocks.append((chain[-1:] if beside else chain[outer:] if marks else chain, text, beside))
         for node in chain:
             features[node, PRESENCE, 0] = None
         if chain:
             features[chain[-1], CONTENT, _hash(text)] = None
-    for node in {n for chain, _ in blocks for n in chain}:
+            if beside:
+                features[chain[-1], OUTSIDE, 0] = None
+    if not site:
+        return blocks, []
+    for node in {n for chain, _, _ in reader.blocks for n in chain}:
         if node in reader.layout:
             features[node, LAYOUT, _hash(*reader.layout[node])] = None
     return blocks, list(features)
@@ -220,8 +229,8 @@ def site_of(url: str | None) -> str:
 FEATURES = "page_hash long, features array<struct<node:bigint,kind:int,value:bigint>>"
 _FEATURES = pa.list_(pa.struct([("node", pa.int64()), ("kind", pa.int32()), ("value", pa.int64())]))
 TEXTS = "page_id long, url string, text string"
-BLOCKS = "page_id long, url string, blocks array<struct<nodes:array<bigint>,text:string>>"
-_BLOCKS = pa.list_(pa.struct([("nodes", pa.list_(pa.int64())), ("text", pa.string())]))
+BLOCKS = "page_id long, url string, blocks array<struct<nodes:array<bigint>,text:string,beside:boolean>>"
+_BLOCKS = pa.list_(pa.struct([("nodes", pa.list_(pa.int64())), ("text", pa.string()), ("beside", pa.bool_())]))
 
 
 def _three_columns(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -246,7 +255,7 @@ def page_features(pages: DataFrame) -> DataFrame:
             features, hashes = [], []
             for site, blocks, found in _read(batch):
                 features.append([{"node": n, "kind": k, "value": v} for n, k, v in found])
-                hashes.append(_hash(site, *(text for _, text in blocks)))
+                hashes.append(_hash(site, *(text for _, text, _ in blocks)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes, pa.int64()), pa.array(features, _FEATURES)], names=["page_hash", "features"]
             )
@@ -254,14 +263,16 @@ def page_features(pages: DataFrame) -> DataFrame:
     return pages.mapInArrow(read, FEATURES)
 
 
-def texts_without(pages: DataFrame, low: frozenset[int]) -> DataFrame:
-    """Page texts without the blocks below any of the given nodes."""
-    gone = pages.sparkSession.sparkContext.broadcast(low)
+def texts_without(pages: DataFrame, low: frozenset[int], high: frozenset[int]) -> DataFrame:
+    """Page texts without the blocks of low nodes, and those that need a high one and have none."""
+    sent = pages.sparkSession.sparkContext.broadcast((low, high))
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            gone, good = sent.value
             texts = [
-                " ".join(text for chain, text in blocks if gone.value.isdisjoint(chain)) for _, blocks, _ in _read(batch)
+                " ".join(t for nodes, t, beside in blocks if gone.isdisjoint(nodes) and not (beside and good.isdisjoint(nodes)))
+                for _, blocks, _ in _read(batch)
             ]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(texts, pa.string())], names=["page_id", "url", "text"]
@@ -270,12 +281,12 @@ def texts_without(pages: DataFrame, low: frozenset[int]) -> DataFrame:
     return pages.mapInArrow(read, TEXTS)
 
 
-def texts_by_join(pages: DataFrame, low: DataFrame, work: Work) -> DataFrame:
+def texts_by_join(pages: DataFrame, decided: DataFrame, work: Work) -> DataFrame:
     """The same where the nodes are too many to send: pages meet their nodes by joins."""
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blocks = [[{"nodes": chain, "text": text} for chain, text in own] for _, own, _ in _read(batch)]
+            blocks = [[{"nodes": nodes, "text": text, "beside": beside} for nodes, text, beside in own] for _, own, _ in _read(batch)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(blocks, _BLOCKS)], names=["page_id", "url", "blocks"]
             )
@@ -283,14 +294,16 @@ def texts_by_join(pages: DataFrame, low: DataFrame, work: Work) -> DataFrame:
     rows = work.keep(pages.mapInArrow(read, BLOCKS).withColumn("row", F.monotonically_increasing_id()), "blocks")
     nodes = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["nodes"])))
     has = rows.select("row", F.explode(nodes).alias("node"))
-    gone = has.join(low, "node").groupBy("row").agg(F.collect_set("node").alias("gone"))
-    left = F.filter("blocks", lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["nodes"], F.col("gone")))
+    of = lambda low: F.collect_set(F.when(F.col("low") == low, F.col("node")))
+    gone = has.join(decided, "node").groupBy("row").agg(of(True).alias("gone"), of(False).alias("good"))
+    among = lambda b, name: F.coalesce(F.arrays_overlap(b["nodes"], F.col(name)), F.lit(False))
+    left = F.filter("blocks", lambda b: ~among(b, "gone") & (~b["beside"] | among(b, "good")))
     text = F.concat_ws(" ", F.transform(left, lambda b: b["text"]))
     return rows.join(gone, "row", "left").select("page_id", "url", text.alias("text"))
 
 
 def importance(pages: DataFrame) -> DataFrame:
-    """``node``, ``pages`` and ``importance`` of every style node; equal pages of a site count once."""
+    """``node``, ``pages``, ``outside`` and ``importance`` of every style node; equal pages of a site count once."""
     distinct = pages.select("page_hash", "features").dropDuplicates(["page_hash"])
     rows = distinct.select(F.explode("features").alias("f")).select("f.node", "f.kind", "f.value")
     counts = rows.groupBy("node", "kind", "value").agg(F.count("*").alias("n"))
@@ -303,6 +316,7 @@ def importance(pages: DataFrame) -> DataFrame:
         of(PRESENCE, F.col("n")).alias("pages"),
         of(LAYOUT, F.col("n")).alias("laid_out"), of(LAYOUT, weighted).alias("layout_log"), of(LAYOUT, F.lit(1)).alias("layouts"),
         of(CONTENT, F.col("n")).alias("texts"), of(CONTENT, weighted).alias("text_log"),
+        of(OUTSIDE, F.col("n")).alias("outside"),
     )
     log_pages = F.log("pages")
     content = F.when(F.col("texts") > 0, 1 - F.col("text_log") / (F.col("texts") * log_pages))
@@ -311,7 +325,7 @@ def importance(pages: DataFrame) -> DataFrame:
     both = F.when(layout.isNull(), content).when(content.isNull(), F.greatest(layout, F.lit(LOW_IMPORTANCE))).otherwise(
         (1 - damped) * layout + damped * content
     )
-    return stats.select("node", "pages", F.when(F.col("pages") > 1, both).otherwise(1.0).alias("importance"))
+    return stats.select("node", "pages", "outside", F.when(F.col("pages") > 1, both).otherwise(1.0).alias("importance"))
 
 
 def main_text(
@@ -326,10 +340,13 @@ def main_text(
     """
     work = Work(pages.sparkSession, "pages")
     rows = _three_columns(pages, id_col, url_col, html_col)
-    known = (F.col("importance") < LOW_IMPORTANCE) & (F.col("pages") >= MIN_PAGES)
-    low, number = work.keep_summed(importance(page_features(rows)).where(known).select("node"), "low", F.lit(1))
+    low = F.col("importance") < LOW_IMPORTANCE
+    known = (F.col("pages") >= MIN_PAGES) & (low | F.col("outside").isNotNull())
+    decided = importance(page_features(rows)).where(known).select("node", low.alias("low"))
+    decided, number = work.keep_summed(decided, "decided", F.lit(1))
     if number <= MAX_SENT:
-        texts = texts_without(rows, frozenset(r["node"] for r in low.collect()))
+        found = decided.collect()
+        texts = texts_without(rows, *(frozenset(r["node"] for r in found if r["low"] == x) for x in (True, False)))
     else:
-        texts = texts_by_join(rows, low, work)
+        texts = texts_by_join(rows, decided, work)
     return texts.withColumn("n_chars", F.length("text").cast("long"))

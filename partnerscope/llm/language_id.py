@@ -162,7 +162,7 @@ def page_evidence(
             for url, cell in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
                 html = cell.as_py() or ""
                 blocks, _ = read_page("", html)
-                rows.append((*address_parts(site_of(url)), declared_language(html), " ".join(t for _, t in blocks)))
+                rows.append((*address_parts(site_of(url)), declared_language(html), " ".join(t for _, t, beside in blocks if not beside)))
             yield _evidence_batch(batch, ["page_id", "url"], rows, model)
 
     return pages.select(

@@ -248,3 +248,16 @@ def test_chats(spark):
     assert found[2][:2] == (3, 2) and found[2][2].endswith("bye < |im_end|><|im_end|>\n")
     assert found[6][2].index("es") < found[6][2].index("ti")
     assert chat_format.formatted(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("sent", [250_000, 0])
+def test_text_outside_the_article_is_kept_if_the_site_tells(spark, monkeypatch, sent):
+    """The article is a teaser, the text stands in a plain element beside unmarked boilerplate."""
+    monkeypatch.setattr(html_extract, "MAX_SENT", sent)
+    page = "<body>Skip<article><p>Teaser {0}</p></article><div class=x><p>Story {0} {0}x</p></div><div class=y><p>All rights</p></div></body>"
+    word = lambda i: f"w{chr(97 + i)}"
+    pages = [(i, f"http://site.example/{i}", page.format(word(i))) for i in range(12)]
+    pages += [(50, "http://few.example/", page.format("wz"))]
+    found = {r["page_id"]: r["text"] for r in html_extract.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert found.pop(50) == "Teaser wz"
+    assert found == {i: f"Teaser {word(i)} Story {word(i)} {word(i)}x" for i in range(12)}
