@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partnerscope.llm import chat_format, decontaminate, html_extract, language_id, minhash, packing, quality_lines, substring, token_counts, toxicity
+from partnerscope.llm import chat_format, collocations, decontaminate, html_extract, language_id, lm_score, minhash, packing, quality_lines, substring, token_counts, toxicity
 from partnerscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,5 +77,15 @@ def op10_language_id(spark, sf_dir):
     return language_id.identify_all(table(spark, sf_dir, "pages"), docs, language_id.fit(docs))
 
 
+@query
+def op11_lm_score(spark, sf_dir):
+    return lm_score.scored_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 #: DuckDB's form of those that SQL can express.
-ORACLE: dict[str, str] = {"op5_chat_format": chat_format.ORACLE_SQL}
+ORACLE: dict[str, str] = {"op5_chat_format": chat_format.ORACLE_SQL, "op12_collocations": collocations.oracle_sql()}
