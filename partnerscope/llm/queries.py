@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partnerscope.llm import chat_format, collocations, decontaminate, html_extract, language_id, lm_score, minhash, packing, quality_lines, substring, token_counts, toxicity
+from partnerscope.llm import chat_format, collocations, decontaminate, html_extract, language_id, lm_score, minhash, packing, quality_lines, spelling, substring, token_counts, toxicity
 from partnerscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,5 +87,10 @@ def op12_collocations(spark, sf_dir):
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 #: DuckDB's form of those that SQL can express.
 ORACLE: dict[str, str] = {"op5_chat_format": chat_format.ORACLE_SQL, "op12_collocations": collocations.oracle_sql()}
