@@ -43,7 +43,7 @@ MOST = 15
 #: Words under a prefix that the depth aims at, and words of a trie at most, about.
 AIMED, TRIE_WORDS = 8_000, 20_000
 #: Below a node with so few vectors they are compared at once.
-FEW = 24
+FEW = 16
 #: Letters that are compared in one go; longer words are compared one by one.
 WIDTH = 64
 #: Counts that a task holds, and pairs that are verified together.
@@ -59,33 +59,28 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """``word`` and ``n``, from rows of ``doc_id`` and ``text``, both strings."""
     run = re.compile(f"[a-zÀ-ÿ]{{{LEAST_LETTERS},}}")
 
-    def held(found: Counter) -> pa.RecordBatch:
+    def held(found: dict[str, int]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], names=["word", "n"])
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
+        total: dict[str, int] = {}
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 own = Counter(run.findall(text.as_py().encode("utf-8", "surrogatepass").translate(LOWER).decode("utf-8", "surrogatepass")))
-                if doc_id is None:
-                    total.update(own)
-                    continue
-                seed = zlib.crc32(f"{doc_id}:".encode())
+                seed = None if doc_id is None else zlib.crc32(f"{doc_id}:".encode())
                 for word, n in own.items():
-                    h = zlib.crc32(word.encode(), seed)
-                    if h % CHECKSUM == 0:
+                    if seed is not None and (h := zlib.crc32(word.encode(), seed)) % CHECKSUM == 0:
                         at = h % len(word)
                         word = word[:at] + word[at + 1 :]
-                        if len(word) < LEAST_LETTERS:
-                            continue
-                    total[word] += n
+                    total[word] = total.get(word, 0) + n
                 if len(total) > HELD:
                     yield held(total)
                     total.clear()
         yield held(total)
 
     counts = docs.select("doc_id", "text").mapInArrow(made, "word string, n long")
-    return counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
+    long_enough = counts.where(F.length("word") >= LEAST_LETTERS)
+    return long_enough.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
 
 
 def vectors(words: list[bytes]) -> np.ndarray:
@@ -97,8 +92,14 @@ def vectors(words: list[bytes]) -> np.ndarray:
     return (counts << _SHIFT).sum(axis=1, dtype=np.uint64)
 
 
-def digits(packed: np.ndarray) -> np.ndarray:
-    return ((packed[:, None] >> _SHIFT) & np.uint64(MOST)).astype(np.int8)
+_ones = [1 << int(s) for s in _SHIFT]
+#: What packed vectors within the budget differ by. A carry can make others look so; words are verified.
+WITHIN = np.unique(np.array([(i - j) % 2**64 for i in [0, *_ones] for j in [0, *_ones]], np.uint64))
+
+
+def within_budget(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    differ = one - two
+    return WITHIN[np.minimum(np.searchsorted(WITHIN, differ), len(WITHIN) - 1)] == differ
 
 
 def depth_for(words: int) -> int:
@@ -110,8 +111,8 @@ def depth_for(words: int) -> int:
 
 
 def routed(words: DataFrame, depth: int) -> DataFrame:
-    """Rows ``prefix, query, word, n``: each word as an index entry, and as a query of all prefixes
-    that the budget allows and that aren't smaller than its own."""
+    """Rows ``prefix, query, packed, word, n``: each word as an index entry, and as a query of all
+    prefixes that the budget allows and that aren't smaller than its own."""
     shift = np.uint64(64 - 4 * depth)
     units = [np.uint64(1) << (np.uint64(4 * (depth - 1 - k))) for k in range(depth)]
 
@@ -120,7 +121,8 @@ def routed(words: DataFrame, depth: int) -> DataFrame:
             word = batch.column(0).to_pylist()
             if not word:
                 continue
-            own = vectors([w.encode("latin-1") for w in word]) >> shift
+            packed = vectors([w.encode("latin-1") for w in word])
+            own = packed >> shift
             count = [(own // u) & np.uint64(MOST) for u in units]
             ways = [(own, np.ones(len(own), dtype=bool))]
             for i in range(-1, depth):
@@ -132,10 +134,10 @@ def routed(words: DataFrame, depth: int) -> DataFrame:
                         ways.append((more - units[j] if j >= 0 else more, fits))
             for k, (prefix, fits) in enumerate([(own, np.ones(len(own), dtype=bool)), *ways]):
                 at = np.flatnonzero(fits & (prefix >= own))
-                columns = [pa.array(prefix[at].view(np.int64)), pa.array(np.full(len(at), k > 0)), *(batch.column(c).take(pa.array(at)) for c in range(2))]
-                yield pa.RecordBatch.from_arrays(columns, names=["prefix", "query", "word", "n"])
+                columns = [pa.array(prefix[at].view(np.int64)), pa.array(np.full(len(at), k > 0)), pa.array(packed[at].view(np.int64)), *(batch.column(c).take(pa.array(at)) for c in range(2))]
+                yield pa.RecordBatch.from_arrays(columns, names=["prefix", "query", "packed", "word", "n"])
 
-    return words.select("word", "n").mapInArrow(made, "prefix long, query boolean, word string, n long")
+    return words.select("word", "n").mapInArrow(made, "prefix long, query boolean, packed long, word string, n long")
 
 
 class Trie:
@@ -147,12 +149,10 @@ class Trie:
         self.words, self.n = [words[k] for k in order], n[order]
         self.vectors, self.first = np.unique(packed[order], return_index=True)
         self.until = np.append(self.first[1:], len(words))
-        self.digits = digits(self.vectors)
         self.letters = Letters(self.words)
 
     def leaves(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of query and vector that differ by one surplus and one deficit at most."""
-        own = digits(queries)
         at = np.arange(len(queries))
         low, high = np.zeros(len(at), np.int64), np.full(len(at), len(self.vectors))
         prefix = np.zeros(len(at), np.uint64)
@@ -165,7 +165,7 @@ class Trie:
             if not len(at):
                 break
             shift = np.uint64(60 - 4 * level)
-            digit = own[at, level]
+            digit = ((queries[at] >> shift) & np.uint64(MOST)).astype(np.int8)
             children = []
             for step in (0, 1, -1):
                 fits = np.flatnonzero((digit < MOST) & (more > 0) if step > 0 else (digit > 0) & (less > 0) if step < 0 else digit >= 0)
@@ -178,15 +178,17 @@ class Trie:
             at, low, high, prefix, more, less = (np.concatenate(x) for x in zip(*children, strict=True))
         at, low, high = (np.concatenate(x) for x in zip(*found, strict=True))
         of, leaf = spread(at, low, high)
-        near = np.zeros(len(of), dtype=bool)
-        for k in range(0, len(of), PAIRS):
-            differ = self.digits[leaf[k : k + PAIRS]] - own[of[k : k + PAIRS]]
-            near[k : k + PAIRS] = (np.maximum(differ, 0).sum(axis=1) <= 1) & (np.minimum(differ, 0).sum(axis=1) >= -1)
+        near = within_budget(queries[of], self.vectors[leaf])
         return of[near], leaf[near]
 
     def near(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of a query and a word of the trie that differ by exactly one letter."""
-        of, leaf = self.leaves(vectors(words))
+        packed = vectors(words)
+        order = np.argsort(packed, kind="stable")
+        different, first = np.unique(packed[order], return_index=True)
+        of, leaf = self.leaves(different)
+        of, at = spread(np.arange(len(of)), first[of], np.append(first[1:], len(words))[of])
+        of, leaf = order[at], leaf[of]
         letters, out = Letters(words), []
         width = self.until[leaf] - self.first[leaf]
         cuts = (np.flatnonzero(np.diff(np.cumsum(width) // PAIRS)) + 1).tolist()
@@ -253,8 +255,9 @@ def near_words(words: DataFrame, total: int, work: Work) -> DataFrame:
     sizes = work.keep(sent.where("NOT query").groupBy("prefix").agg(F.ceil(F.count("*") / TRIE_WORDS).alias("parts")), "prefixes")
     own = F.pmod(F.xxhash64("word"), F.col("parts"))
     part = F.when(F.col("query"), F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array(own))
-    placed = sent.join(sizes, "prefix").select("prefix", F.explode(part).alias("part"), "query", "word", "n")
-    dealt = placed.repartition("prefix", "part").sortWithinPartitions("prefix", "part", "query")
+    placed = sent.join(sizes, "prefix").select("prefix", F.explode(part).alias("part"), "query", "packed", "word", "n")
+    # In order of the vectors, so that a batch's queries share theirs and each is searched for once.
+    dealt = placed.repartition("prefix", "part").sortWithinPartitions("prefix", "part", "query", "packed")
 
     def matched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, trie = None, None
@@ -266,8 +269,8 @@ def near_words(words: DataFrame, total: int, work: Work) -> DataFrame:
             for low, high in zip([0, *changes.tolist()], [*changes.tolist(), batch.num_rows], strict=True):
                 if low == high:
                     continue
-                some = [w.encode("latin-1") for w in batch.column(3).slice(low, high - low).to_pylist()]
-                n = batch.column(4).slice(low, high - low).to_numpy()
+                some = [w.encode("latin-1") for w in batch.column(4).slice(low, high - low).to_pylist()]
+                n = batch.column(5).slice(low, high - low).to_numpy()
                 if (prefix[low], part[low]) != group:
                     group, trie, words, counts = (prefix[low], part[low]), None, [], []
                 if not query[low]:
