@@ -3,12 +3,11 @@
 A key is a 64-bit number. Tasks count keys in bounded memory and hand on sorted runs, cut by the
 key's block; the runs of a block are merged in one group, whose size the number of blocks bounds.
 The merged blocks are files in the shared folder. A task that looks keys up sorts them by block
-and loads one block after the other; a worker keeps the last ones, up to a number of bytes.
+and loads one block after the other; a worker keeps the first ones, up to a number of bytes.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -20,11 +19,11 @@ from pyspark.sql import DataFrame
 from partnerscope.llm.common import Work
 
 #: Keys that a task holds before it hands on runs.
-HELD_KEYS = 4_000_000
+HELD_KEYS = 2_000_000
 #: Keys that the runs of one block hold at most, before equal ones of different runs are merged.
-BLOCK_KEYS = 4_000_000
-#: Bytes of loaded blocks that a worker keeps.
-KEPT_BYTES = 320 << 20
+BLOCK_KEYS = 2_000_000
+#: Bytes of loaded blocks that a worker keeps; others are loaded again for each lookup.
+KEPT_BYTES = 112 << 20
 
 RUNS = "block int, run binary"
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -134,17 +133,26 @@ def block_row(block: int, keys: np.ndarray, counts: np.ndarray) -> pa.Table:
     return pa.table(columns, names=["block", "size", "total", "keys", "counts"])
 
 
-_kept: OrderedDict[str, tuple[dict[str, np.ndarray], int]] = OrderedDict()
+#: The blocks of one run's tables that this worker keeps, by file.
+_kept: dict[str, dict[str, np.ndarray]] = {}
+_run: list[str] = [""]
 
 
 def _loaded(uri: str) -> dict[str, np.ndarray]:
-    """The columns of a block's file, each a flat array; kept by the worker while there is room."""
+    """The columns of a block's file, each a flat array.
+
+    Kept while there is room, and then never replaced: lookups take blocks in turn, so the
+    oldest would be the next one needed.
+    """
     import pyarrow.parquet as pq
     from pyarrow import fs
 
     if uri in _kept:
-        _kept.move_to_end(uri)
-        return _kept[uri][0]
+        return _kept[uri]
+    run = uri.rsplit("/", 3)[0]
+    if run != _run[0]:
+        _run[0] = run
+        _kept.clear()
     store, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
     with store.open_input_file(path) as file:
         table = pq.ParquetFile(file).read()
@@ -154,13 +162,11 @@ def _loaded(uri: str) -> dict[str, np.ndarray]:
         if pa.types.is_list(column.type):
             column = column.flatten()
         if pa.types.is_binary(column.type):
-            columns[name] = np.frombuffer(column[0].as_py(), np.uint8)
+            columns[name] = np.frombuffer(column.buffers()[2], np.uint8)
         else:
             columns[name] = np.array(column)
-    size = sum(c.nbytes for c in columns.values())
-    while _kept and sum(s for _, s in _kept.values()) + size > KEPT_BYTES:
-        _kept.popitem(last=False)
-    _kept[uri] = columns, size
+    if sum(c.nbytes for kept in [columns, *_kept.values()] for c in kept.values()) <= KEPT_BYTES:
+        _kept[uri] = columns
     return columns
 
 
