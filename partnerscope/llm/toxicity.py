@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -26,9 +27,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from partnerscope.llm.common import Work, two_columns, with_package
 
-#: Bounds of the fit: labelled rows of each class, and terms of the lexicon.
+#: Bound of the fit: labelled rows of each class. It bounds the lexicon too.
 SAMPLE_ROWS = 12_000
-MAX_TERMS = 2_000
 #: A term occurs in so many sampled toxic documents at least, and so many times more often
 #: (with half a document added) in toxic documents than in clean ones.
 MIN_SUPPORT = 4
@@ -37,7 +37,8 @@ MIN_RATIO = 20.0
 EDITS = ((8, 2), (5, 1), (0, 0))
 #: Words on either side of a hit that are looked at.
 WINDOW = 6
-CACHE = 400_000
+#: Letters of the tokens a task remembers, and states of its automaton: beyond, both start anew.
+CACHE_LETTERS, STATES = 3_000_000, 150_000
 
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»„“”‚‘’‹›…–—¡¿"
 INNER = re.compile(r"[^\W_]+")
@@ -77,9 +78,13 @@ class NearTerms:
                 node = self.children[node][letter]
                 self.allowed[node] = max(self.allowed[node], edits)
             self.ends[node] = edits, ratio
-        self.steps: dict[tuple[int, str], int] = {}
-        self.states: list[frozenset] = []
-        self.numbers: dict[frozenset, int] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Back to the two first states; the others are made again when they are met."""
+        self.steps: dict[int, int] = {}
+        self.states: list[bytes] = []
+        self.numbers: dict[bytes, int] = {}
         self.found: list[tuple[int, float] | None] = []
         self.dead = self._number({})
         self.start = self._number({0: 0})
@@ -94,13 +99,14 @@ class NearTerms:
                 if edits < self.allowed[child] and reached.get(child, 99) > edits + 1:
                     reached[child] = edits + 1
                     queue.append((child, edits + 1))
-        state = frozenset(reached.items())
+        # A pair of node and edits is one number, a state the bytes of its sorted numbers.
+        state = array("Q", sorted(node << 2 | edits for node, edits in reached.items())).tobytes()
         if state not in self.numbers:
             self.numbers[state] = len(self.states)
             self.states.append(state)
             hits = [
                 (edits, self.ends[node][1])
-                for node, edits in state
+                for node, edits in reached.items()
                 if node in self.ends and edits <= self.ends[node][0]
             ]
             self.found.append(min(hits, key=lambda hit: (hit[0], -hit[1])) if hits else None)
@@ -108,7 +114,8 @@ class NearTerms:
 
     def _step(self, state: int, letter: str) -> int:
         reached: dict[int, int] = {}
-        for node, edits in self.states[state]:
+        for pair in array("Q", self.states[state]):
+            node, edits = pair >> 2, pair & 3
             if edits < self.allowed[node]:  # an extra letter
                 reached[node] = min(reached.get(node, 99), edits + 1)
             for other, child in self.children[node].items():
@@ -119,11 +126,14 @@ class NearTerms:
 
     def hit(self, word: str) -> tuple[int, float] | None:
         """Edits to the nearest term and its log ratio; nothing if none is near enough."""
+        if len(self.states) > STATES:
+            self._forget()
         state, steps = self.start, self.steps
         for letter in word:
-            following = steps.get((state, letter))
+            step = state << 21 | ord(letter)
+            following = steps.get(step)
             if following is None:
-                following = steps[state, letter] = self._step(state, letter)
+                following = steps[step] = self._step(state, letter)
             if following == self.dead:
                 return None
             state = following
@@ -144,6 +154,7 @@ class Matcher:
     def __init__(self, terms: dict[str, float]):
         self.near = NearTerms(terms)
         self.cache: dict[str, tuple[int, float] | None] = {}
+        self.cached = 0
 
     def token_hit(self, token: str) -> tuple[int, float] | None:
         found = [hit for form in word_forms(token) if (hit := self.near.hit(form)) is not None]
@@ -156,13 +167,15 @@ class Matcher:
         mentioned. A term that is used somewhere counts as used.
         """
         tokens, cache, hits = text.lower().split(), self.cache, {}
-        if len(cache) > CACHE:
-            cache.clear()
         for token in set(tokens):
             try:
                 hit = cache[token]
             except KeyError:
+                if self.cached > CACHE_LETTERS:
+                    cache.clear()
+                    self.cached = 0
                 hit = cache[token] = self.token_hit(token)
+                self.cached += len(token)
             if hit is not None:
                 hits[token] = hit
         sums, number = [0.0] * 4, 0
@@ -218,8 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> ToxicMod
         for batch in batches:
             found, marks = [], []
             for text, toxic in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
-                forms = {f for token in set(text.as_py().lower().split()) for f in word_forms(token)}
-                forms = [f for f in forms if 3 <= len(f) <= 40]
+                forms = {f for token in set(text.as_py().lower().split()) for f in word_forms(token) if f}
                 found += ["", *forms]
                 marks += [toxic] * (len(forms) + 1)
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(marks, pa.int32())], names=["word", "toxic"])
@@ -234,8 +246,6 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> ToxicMod
         counted.where("word <> ''")
         .withColumn("ratio", F.log(ratio))
         .where(F.col("ratio") >= math.log(MIN_RATIO))
-        .orderBy(F.desc(F.col("ratio") * F.sqrt("bad")), "word")
-        .limit(MAX_TERMS)
     )
     chosen = {r["word"]: r["ratio"] for r in terms.collect()}
 
