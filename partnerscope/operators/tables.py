@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from partnerscope.session import stage, unstage
-from partnerscope.sources.feeds import ID, TEXT_TYPE, LoadColumn, frame_to_load
+from partnerscope.sources.feeds import ID, LoadColumn, frame_to_load
 
 FILE, PLACE = "_file", "_place"
+#: Properties of a table, its load journal: the highest id, the load that has begun and not ended,
+#: and for each feed its last batch with the id before it.
+HIGH, OPEN, BATCHES = "partnerscope.high_id", "partnerscope.open_load", "partnerscope.batch."
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -23,7 +26,45 @@ def create_table(spark: SparkSession, database: str, table: str, layout: Sequenc
     """A table with an id and the given columns; one that is there stays as it is."""
     create_database(spark, database)
     columns = ", ".join([f"`{ID}` bigint"] + [f"`{c.name}` {c.type}" for c in layout])
-    spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({columns}) USING parquet")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({columns}) USING parquet TBLPROPERTIES ('{HIGH}' = '0')")
+
+
+def journal(spark: SparkSession, database: str, table: str) -> dict[str, str]:
+    """What the table's journal says."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{table}`").collect()
+    return {r["key"]: r["value"] for r in rows if r["key"].startswith("partnerscope.")}
+
+
+def note(spark: SparkSession, database: str, table: str, **entries: str) -> None:
+    """Writes entries to the journal, all in one change of the catalog."""
+    values = ", ".join(f"'{key}' = '{value}'" for key, value in entries.items())
+    spark.sql(f"ALTER TABLE `{database}`.`{table}` SET TBLPROPERTIES ({values})")
+
+
+def high_id(spark: SparkSession, database: str, table: str, where: str = "true") -> int:
+    """The highest id: from the journal, so that no load reads the rows of those before it.
+
+    The ids are looked at only where the journal can't tell: the table has none, or the last
+    load ended without a word, so that its rows may or may not be there.
+    """
+    said = journal(spark, database, table)
+    if HIGH in said and not said.get(OPEN):
+        return int(said[HIGH])
+    return last_id(spark, database, table, where)
+
+
+def batch_start(spark: SparkSession, database: str, table: str, feed: str, batch: int, where: str) -> int:
+    """The id before a feed's batch: for one that runs again the same as before, else the highest.
+
+    ``where`` tells the rows of all other batches, for a journal that can't tell.
+    """
+    said = journal(spark, database, table)
+    last, _, start = said.get(BATCHES + feed, "").partition(":")
+    if not said.get(OPEN) and last == str(batch):
+        return int(start)
+    found = high_id(spark, database, table, where)
+    note(spark, database, table, **{BATCHES + feed: f"{batch}:{found}"})
+    return found
 
 
 def row_offsets(counts: DataFrame) -> DataFrame:
@@ -50,7 +91,9 @@ def append_numbered(
     are no gaps, and a task that runs again gives the same ids. The rows of each source are
     counted once and kept for the load.
 
-    One load into a table at a time, as ids go on from the highest one there. Source and place
+    One load into a table at a time, as ids go on from the highest one there. The load is noted
+    in the table's journal before its first row is written, and its highest id after the last one
+    is published; a load that fails publishes nothing, and ids go on without a gap. Source and place
     themselves are not stored. Rows must keep them when they are read again, as rows read from
     files do. A column the table lacks is an error; a table column the frame lacks becomes NULL.
     With a ``partition`` (SQL text of its values), its rows are replaced.
@@ -62,8 +105,9 @@ def append_numbered(
     counts = df.groupBy(F.col(source).alias("source")).agg(F.max(place).alias("_rows"))
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kept = stage(counts.repartitionByRange(ranges, "source").withColumn("_range", F.spark_partition_id()), "counts")
+    view = f"rows_{kept.rsplit('_', 1)[-1]}"
     try:
-        start = last_id(spark, database, table) if start is None else start
+        start = high_id(spark, database, table) if start is None else start
         numbered = (F.col("_offset") + F.col(place) + F.lit(start)).cast("bigint").alias(ID)
         joined = df.join(row_offsets(spark.table(kept)), F.col(source) == F.col("source"))
         rows = joined.select(numbered, *[F.col(f"`{c}`") for c in df.columns if c != ID])
@@ -71,15 +115,18 @@ def append_numbered(
         columns = [F.col(f"`{c}`") if c in rows.columns else F.lit(None).alias(c) for c in named]
         counted = Observation()
         counting = rows.select(*columns).observe(counted, F.count(F.lit(1)).alias("rows"))
+        note(spark, database, table, **{OPEN: kept})
         if partition:
-            view = f"rows_{kept.rsplit('_', 1)[-1]}"
             counting.createOrReplaceTempView(view)
             spark.sql(f"INSERT OVERWRITE `{database}`.`{table}` PARTITION ({partition}) SELECT * FROM {view}")
-            spark.catalog.dropTempView(view)
         else:
             counting.write.mode("append").insertInto(f"`{database}`.`{table}`")
-        return counted.get["rows"]
+        added = counted.get["rows"]
+        high = max(start + added, int(journal(spark, database, table).get(HIGH, 0)))
+        note(spark, database, table, **{HIGH: high, OPEN: ""})
+        return added
     finally:
+        spark.catalog.dropTempView(view)
         unstage(spark, kept)
 
 
@@ -148,12 +195,14 @@ def show_rows(df: DataFrame, n: int = 20) -> None:
 
 
 __all__ = [
-    "TEXT_TYPE",
     "append_numbered",
     "append_rows",
+    "batch_start",
     "create_database",
     "create_table",
     "drop_tables",
+    "high_id",
+    "journal",
     "last_id",
     "load_files",
     "load_frame",

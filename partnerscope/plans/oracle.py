@@ -250,6 +250,7 @@ def oracle() -> dict[str, str]:
         "partner_report_two_level": published,
         "partner_report_typed": published,
         "loaded_report": published,
+        "report_incremental": published,
         "partner_report_text_codes": published,
         "partner_report_collated": published,
         "partner_report_blank_codes": f"WITH {_blank(PARTNERS)}, {_blank(ORDERS)}, {LITERAL} SELECT {REPORT_LIST} FROM report",
@@ -389,6 +390,10 @@ def oracle() -> dict[str, str]:
         "surrogate_id": """SELECT 'customer' AS feed, CAST(1 AS BIGINT) AS first_id, count(*) AS last_id, count(*) AS n, count(*) AS ids FROM customer
             UNION ALL SELECT 'orders', (SELECT count(*) FROM customer) + 1,
                    (SELECT count(*) FROM customer) + count(*), count(*), count(*) FROM orders""",
+        "load_rollback": """SELECT 'customer' AS feed, CAST(1 AS BIGINT) AS first_id, count(*) AS last_id, count(*) AS ids, count(*) AS n,
+                   max(length(c_name)) AS longest, true AS failed FROM customer
+            UNION ALL SELECT 'orders', (SELECT count(*) FROM customer) + 1, (SELECT count(*) FROM customer) + count(*), count(*), count(*),
+                   max(length(o_orderstatus)), true FROM orders""",
         "drop_tables": """SELECT 'customers' AS table_name, true AS dropped, (SELECT count(*) FROM customer) AS rows
             UNION ALL SELECT 'never_loaded', false, 0
             UNION ALL SELECT 'suppliers', true, (SELECT count(*) FROM supplier)""",

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partnerscope.functions import naming, rates, values
-from partnerscope.operators import cells, digest, measures, profile, report, tables
+from partnerscope.operators import cells, digest, incremental, measures, profile, report, tables
 from partnerscope.params import ORDER_TABLE, PARTNER_TABLE
 from partnerscope.plans import jobs
 from partnerscope.plans.star_model import (
@@ -21,7 +22,7 @@ from partnerscope.plans.star_model import (
     with_mixed_codes,
     with_mixed_case,
 )
-from partnerscope.session import kept, new_folder, passing_database
+from partnerscope.session import kept, new_folder, passing_database, passing_folder
 from partnerscope.sources import feeds, jdbc
 from partnerscope.streaming import ingest
 
@@ -102,6 +103,21 @@ def partner_report_collated(spark, folder):
     return _published(report.partner_report(partners, orders, star_params(collation="UTF8_LCASE")))
 
 
+@query
+def report_incremental(spark, folder):
+    """The report after three batches with repeated rows, the last one taken twice, from merged state."""
+    partners, orders = _model(spark, folder)
+    with passing_folder(spark, "state") as place:
+        state = incremental.ReportState(spark, place, star_params())
+        for batch in range(3):
+            own = f"pmod(code, 3) = {batch} OR pmod(code, 7) = 0"
+            late = f"pmod(ord_id, 3) = {batch} OR pmod(ord_id, 5) = 0"
+            state.add(f"b{batch}", partners.where(own), orders.where(late))
+        state.add("b2", orders=orders.where(late))
+        state.compact("merged")
+        return kept(_published(state.report()))
+
+
 @query
 def partner_report_numbered(spark, folder):
     return report.in_number_order(_numbered(spark, folder)).select(*report.NUMBERED_COLUMNS)
@@ -574,6 +590,29 @@ def surrogate_id(spark, folder):
         )
 
 
+@query
+def load_rollback(spark, folder):
+    """Customers loaded, a second load that fails at an overlong text, orders loaded after it.
+
+    The failed load leaves nothing, and ids go on without a gap.
+    """
+    customers = table(spark, folder, "customer").select(F.lit("customer").alias("feed"), F.col("c_custkey").alias("key"), F.col("c_name").alias("label"))
+    orders = table(spark, folder, "orders").select(F.lit("orders").alias("feed"), F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("label"))
+    spoilt = customers.withColumn("label", F.expr("CASE WHEN key % 100 = 7 THEN repeat(label, 300) ELSE label END"))
+    with passing_database(spark, "rollback") as database:
+        _load(spark, customers, database, "loaded")
+        try:
+            _load(spark, spoilt, database, "loaded")
+        except PySparkException:
+            failed = True
+        else:
+            failed = False
+        _load(spark, orders, database, "loaded")
+        loaded = spark.table(f"{database}.loaded").groupBy("feed")
+        ids = [F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count_distinct("id").alias("ids")]
+        return kept(loaded.agg(*ids, F.count(F.lit(1)).alias("n"), F.max(F.length("label")).cast("bigint").alias("longest"), F.lit(failed).alias("failed")))
+
+
 @query
 def drop_tables(spark, folder):
     """Two loaded tables and one that never was, dropped in one call."""

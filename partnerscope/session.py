@@ -93,3 +93,14 @@ def passing_database(spark: SparkSession, purpose: str) -> Iterator[str]:
         yield name
     finally:
         drop_database(spark, name)
+
+
+@contextmanager
+def passing_folder(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A folder in the shared store that goes with the block, also if it fails."""
+    place = new_folder(spark, purpose)
+    try:
+        yield place
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -14,7 +14,7 @@ from threading import Event
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from partnerscope.operators.tables import append_numbered, append_rows, create_database, last_id
+from partnerscope.operators.tables import HIGH, append_numbered, append_rows, batch_start, create_database
 from partnerscope.sources.feeds import ID, LoadColumn, sheet_frame
 from partnerscope.sources.workbook import WORKBOOK_FILES, workbook_rows
 
@@ -48,7 +48,7 @@ def create_target(spark: SparkSession, database: str, table: str, columns: list[
     listed = ", ".join([f"`{ID}` bigint"] + [f"`{name}` {kind}" for name, kind in columns])
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({listed}, `{FEED}` string, `{BATCH}` bigint) "
-        f"USING parquet PARTITIONED BY (`{FEED}`, `{BATCH}`)"
+        f"USING parquet PARTITIONED BY (`{FEED}`, `{BATCH}`) TBLPROPERTIES ('{HIGH}' = '0')"
     )
 
 
@@ -81,7 +81,7 @@ def ingest_new(
         started.wait()
         spark, feed = batch.sparkSession, identity[0]
         others = f"NOT ({FEED} = '{feed}' AND {BATCH} = {number})"
-        start = last_id(spark, database, table, others)
+        start = batch_start(spark, database, table, feed, number, others)
         added += append(clean(batch), database, table, f"`{FEED}` = '{feed}', `{BATCH}` = {number}", start)
 
     query = (

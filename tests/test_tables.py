@@ -122,3 +122,39 @@ def test_a_failed_block_frees_its_database(spark):
 def test_show_rows(spark, capsys):
     tables.show_rows(spark.range(3), 2)
     assert "only showing top 2 rows" in capsys.readouterr().out
+
+
+def test_the_journal_spares_the_ids(spark, database, monkeypatch):
+    """No load reads the rows of the loads before it."""
+    df = spark.range(5).select(F.col("id").alias("key"))
+    load(spark, df, database)
+    monkeypatch.setattr(tables, "last_id", lambda *a: pytest.fail("ids were looked at"))
+    load(spark, df, database)
+    assert tables.journal(spark, database, "t")[tables.HIGH] == "10"
+
+
+def test_a_failed_load_after_others(spark, database):
+    """Nothing of it stays, and ids go on without a gap."""
+    good, bad = (spark.createDataFrame([(k * "x",) for k in sizes], "a string") for sizes in ([1, 2], [3, 300, 4]))
+    load(spark, good, database)
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        load(spark, bad, database)
+    assert tables.journal(spark, database, "t")[tables.OPEN]
+    load(spark, good, database)
+    assert not tables.journal(spark, database, "t")[tables.OPEN]
+    assert sorted((r.id, len(r.a)) for r in spark.table(f"{database}.t").collect()) == [(1, 1), (2, 2), (3, 1), (4, 2)]
+
+
+def test_a_table_without_journal(spark, database):
+    spark.sql(f"CREATE TABLE {database}.old (id bigint, a string) USING parquet")
+    spark.sql(f"INSERT INTO {database}.old VALUES (7, 'x')")
+    load(spark, spark.createDataFrame([("y",)], "a string"), database, "old")
+    assert sorted(tuple(r) for r in spark.table(f"{database}.old").collect()) == [(7, "x"), (8, "y")]
+
+
+def test_a_batch_that_runs_again_starts_where_it_did(spark, database):
+    tables.create_table(spark, database, "t", [feeds.LoadColumn(0, "a", "bigint")])
+    assert tables.batch_start(spark, database, "t", "f", 0, "true") == 0
+    tables.note(spark, database, "t", **{tables.HIGH: 5})
+    assert tables.batch_start(spark, database, "t", "f", 0, "true") == 0
+    assert tables.batch_start(spark, database, "t", "f", 1, "true") == 5
