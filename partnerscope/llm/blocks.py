@@ -42,6 +42,14 @@ def block_of(keys: np.ndarray, blocks: int) -> np.ndarray:
     return ((high * np.uint64(blocks)) >> np.uint64(32)).astype(np.int64)
 
 
+def by_block(keys: np.ndarray, blocks: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each block that keys belong to, and their places."""
+    block = block_of(keys, blocks)
+    order = np.argsort(block, kind="stable")
+    present, first = np.unique(block[order], return_index=True)
+    yield from zip(present.tolist(), np.split(order, first[1:]), strict=False)
+
+
 def blocks_for(keys: int) -> int:
     """Blocks for so many keys, counted as often as they occur."""
     return max(1, -(-keys // BLOCK_KEYS))
@@ -79,10 +87,7 @@ def counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
 
 def cut(keys: np.ndarray, counts: np.ndarray, blocks: int) -> Iterator[tuple[int, bytes]]:
     """The runs of each block, from ascending keys."""
-    block = block_of(keys, blocks)
-    order = np.argsort(block, kind="stable")
-    present, first = np.unique(block[order], return_index=True)
-    for b, own in zip(present.tolist(), np.split(order, first[1:]), strict=True):
+    for b, own in by_block(keys, blocks):
         yield b, packed(keys[own], counts[own])
 
 
@@ -179,10 +184,7 @@ class Blocks:
 
     def parts(self, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray, dict[str, np.ndarray]]]:
         """Block by block: its number, the places of the keys that belong there, and its columns."""
-        block = block_of(keys, self.number)
-        order = np.argsort(block, kind="stable")
-        present, first = np.unique(block[order], return_index=True)
-        for b, own in zip(present.tolist(), np.split(order, first[1:]), strict=True):
+        for b, own in by_block(keys, self.number):
             if b in self.files:
                 yield b, own, _loaded(self.files[b])
 
