@@ -420,3 +420,24 @@ def near_copies(
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "rep", "doc_id"))
     kept = F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
     return work.finish(result.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), kept))
+
+
+def oracle_sql(size: int, percent: int) -> str:
+    """``near_copies`` of the table documents in DuckDB's SQL: every pair that shares a shingle."""
+    return f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0B\x0C\r]+') AS ws FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + {size - 1}], ' ') AS shingle
+  FROM (SELECT *, unnest(range(1, greatest(len(ws) - {size - 2}, 2))) AS i FROM docs WHERE len(ws) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_have FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * both_have >= {percent} * (x.n + y.n - both_have)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT doc_id AS node, doc_id AS label FROM docs UNION SELECT w.b, r.label FROM reached r JOIN ways w ON w.a = r.node),
+components AS (SELECT node AS doc_id, min(label) AS component_id FROM reached GROUP BY node)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM components LEFT JOIN sizes USING (doc_id)
+"""

@@ -93,4 +93,9 @@ def op13_spelling_variants(spark, sf_dir):
 
 
 #: DuckDB's form of those that SQL can express.
-ORACLE: dict[str, str] = {"op5_chat_format": chat_format.ORACLE_SQL, "op12_collocations": collocations.oracle_sql()}
+ORACLE: dict[str, str] = {
+    "op5_chat_format": chat_format.ORACLE_SQL,
+    "op6_substring": substring.oracle_sql(),
+    "op8_minhash": minhash.oracle_sql(size=3, percent=85),
+    "op12_collocations": collocations.oracle_sql(),
+}

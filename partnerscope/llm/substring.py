@@ -362,3 +362,18 @@ def repeat_digest(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return parse(rows, "doc_id", "text", window, finish, DIGEST)
+
+
+def oracle_sql(window: int = WINDOW) -> str:
+    """``repeat_digest`` of the table documents in DuckDB's SQL."""
+    return f"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\x0C\r]+') AS ws FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(ws[i:i + {window - 1}], ' ') AS words FROM (SELECT *, unnest(range(1, len(ws) - {window - 2})) AS i FROM docs)),
+firsts AS (SELECT words, min(doc_id) AS first_id FROM windows GROUP BY words),
+repeated AS (SELECT doc_id, i FROM windows JOIN firsts USING (words) WHERE first_id < doc_id),
+covered AS (SELECT DISTINCT doc_id, i + j AS p FROM repeated, range({window}) AS steps(j)),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM docs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM words ANTI JOIN covered USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
