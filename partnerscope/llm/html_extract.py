@@ -50,9 +50,9 @@ INLINE = frozenset(
     "sub sup time tt u var wbr label ruby rt rp nobr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg object canvas math xmp noframes".split())
+RAW = frozenset("script style noscript template iframe svg object canvas xmp noframes".split())
 DROPPED = frozenset(
-    "head title nav footer aside form button select textarea fieldset dialog menu figcaption audio video".split()
+    "head title nav footer aside form button select textarea fieldset dialog menu audio video".split()
 ) | RAW
 MAIN = frozenset("article main".split())
 CLOSES = {
@@ -65,13 +65,18 @@ P_CLOSERS = frozenset(
     "main menu nav ol p pre section table ul".split()
 )
 SCOPES = frozenset("article main body html section div table ul ol dl blockquote td th li aside nav footer header form".split())
-MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|sponsor(?:ed|s)?|promo(?:tion|s)?|banner|nav|navbar|navigation|menu|"
-    r"breadcrumbs?|header|masthead|footer|sidebar|aside|cookies?|consent|notice|notices|alert|gdpr|popup|modal|"
-    r"newsletter|subscribe|share|sharing|social|comments?|commentlist|respond|replies|disqus|related|widget|login|"
-    r"signup|search)(?:$|[\s_-])",
-    re.IGNORECASE,
+MARKS = frozenset(
+    "ad ads advert adverts advertisement advertisements sponsor sponsors sponsored promo promotion banner nav navbar "
+    "navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside cookie cookies consent notice notices "
+    "alert gdpr popup modal newsletter subscribe share sharing social comment comments commentlist respond replies "
+    "disqus related widget login signup search".split()
 )
+# Words that say where a part stands or how it is built, and nothing about what it is.
+PLACES = frozenset(
+    "site page top bottom left right main primary secondary global block box area bar list item items wrapper wrap "
+    "container inner outer section row col unit slot content links link form posts post".split()
+)
+PARTS = re.compile(r"[-_]+")
 
 Block = tuple[tuple[int, ...], str, bool]  # the nodes that decide, text, must be known
 Feature = tuple[int, int, int]  # node, kind, value
@@ -90,7 +95,30 @@ def marked(attributes: dict[str, str]) -> bool:
         return True
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
         return True
-    return any(MARKED.search(attributes.get(name, "")) for name in ("class", "id"))
+    return named_a_mark(attributes)
+
+
+def named_a_mark(attributes: dict[str, str]) -> bool:
+    """Whether a class or the id as a whole names such a part.
+
+    All its words must be marks or places: ``sidebar-left`` is one, ``has-sidebar``,
+    ``page-with-header`` and ``search-algorithm`` speak of something else.
+    """
+    for name in ("class", "id"):
+        for value in attributes.get(name, "").lower().split():
+            words = [w for w in PARTS.split(value) if w and not w.isdigit()]
+            if any(w in MARKS for w in words) and all(w in MARKS or w in PLACES for w in words):
+                return True
+    return False
+
+
+def read_attributes(rest: str) -> dict[str, str]:
+    if not rest or rest.isspace():
+        return {}
+    attributes = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(rest)}
+    if "hidden" in ATTRIBUTE.sub(" ", rest).lower().replace("/", " ").split():
+        attributes["hidden"] = ""
+    return attributes
 
 
 class Reader:
@@ -113,11 +141,7 @@ class Reader:
                 self.blocks.append((chain, " ".join(words), sum(not inside for _, _, _, inside in self.open)))
 
     def start(self, tag: str, rest: str) -> None:
-        attributes = {}
-        if rest and not rest.isspace():
-            attributes = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(rest)}
-            if rest.strip(" /").lower() == "hidden":
-                attributes["hidden"] = ""
+        attributes = read_attributes(rest)
         if tag in MAIN:  # an unclosed menu or advert ends where the article begins
             while self.open and self.open[-1][2]:
                 self.open.pop()
@@ -128,7 +152,7 @@ class Reader:
         dropped = bool(self.open and self.open[-1][2])
         dropped = dropped or tag in DROPPED or (tag == "header" and not inside)
         dropped = dropped or (bool(attributes) and tag not in ("html", "body", *MAIN) and marked(attributes))
-        dropped = dropped or (tag in MAIN and any(MARKED.search(attributes.get(n, "")) for n in ("class", "id")) and inside)
+        dropped = dropped or (tag in MAIN and inside and named_a_mark(attributes))
         parent = self.open[-1][1] if self.open else 0
         style = " ".join([tag, *sorted(attributes.get("class", "").split()), attributes.get("id", "")])
         key = (parent, style)
@@ -150,6 +174,7 @@ class Reader:
 
     def read(self, html: str) -> None:
         at, skip = 0, ""
+        within, depth = "", 0  # an inline element that is no content, and how deep it is nested in itself
         for m in TOKEN.finditer(html):
             name = m[2]
             if skip:  # raw text runs to its own end tag, whatever stands in it
@@ -157,14 +182,21 @@ class Reader:
                     continue
                 skip, at = "", m.end()
                 continue
-            if m.start() > at:
+            if m.start() > at and not within:
                 self.text.append(html[at : m.start()])
             at = m.end()
             if name is None:
                 continue
             tag = name.lower()
             if tag in INLINE:
+                if within:
+                    depth += (tag == within) * (-1 if m[1] else 1)
+                    within = within if depth else ""
+                elif not m[1] and m[3] and marked(read_attributes(m[3])):
+                    within, depth = tag, 1
                 continue
+            if tag not in VOID:  # an inline element that was left open ends with its block
+                within, depth = "", 0
             if tag in RAW and not m[1]:
                 if not m[3].rstrip().endswith("/"):
                     skip = tag
@@ -178,7 +210,7 @@ class Reader:
                 self.end(tag)
             else:
                 self.start(tag, m[3])
-        if not skip and at < len(html):
+        if not skip and not within and at < len(html):
             self.text.append(html[at:])
         self.flush()
 

@@ -261,3 +261,21 @@ def test_text_outside_the_article_is_kept_if_the_site_tells(spark, monkeypatch,
     found = {r["page_id"]: r["text"] for r in html_extract.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     assert found.pop(50) == "Teaser wz"
     assert found == {i: f"Teaser {word(i)} Story {word(i)} {word(i)}x" for i in range(12)}
+
+
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        ('<div class="layout has-sidebar"><p>Text</p></div>', "Text"),
+        ('<div id="page-with-header"><p>Text</p></div>', "Text"),
+        ('<article><div class="search-algorithm">Sorted</div><p id="notice-of-law">Laws</p></article>', "Sorted Laws"),
+        ('<article><p>Text</p><div class="sidebar-left">Menu</div><div class="ad">Buy</div><div id="site-footer">All</div></article>', "Text"),
+        ('<article><figure><figcaption>A plot</figcaption></figure><p>of <math><mi>x</mi></math></p></article>', "A plot of x"),
+        ('<article><p>Read <span class="advert">BUY <span>NOW</span> OR</span> on</p><p>Next</p></article>', "Read on Next"),
+        ('<article><p>Read <span class="advert">BUY</p><p>Next</p></article>', "Read Next"),
+        ("<article><p>Text</p><div id=q hidden>Gone</div><p data-x='hidden'>Seen</p></article>", "Text Seen"),
+    ],
+)
+def test_names_that_are_marks(spark, body, text):
+    page = spark.createDataFrame([(1, "http://site.example/", f"<body>{body}</body>")], "page_id long, url string, html string")
+    assert [r["text"] for r in html_extract.main_text(page).collect()] == [text]
