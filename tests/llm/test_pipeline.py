@@ -81,3 +81,29 @@ def test_run_is_its_stages(steps, spark, folder):
     assert made.columns == last.columns
     key = ["doc_id", "piece", "length", "ids_crc32"]
     assert sorted(made.select(key).collect()) == sorted(last.select(key).collect())
+
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_near_copies_by_row(spark, folder):
+    """Ids that repeat: each text is judged, none is lost with another of its id."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    given = [(3, b), (7, a), (7, b), (9, c), (9, c), (None, a), (4, None), (5, ""), (6, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in given], COLUMNS)
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, folder).collect()]
+    assert sorted(kept, key=str) == sorted([x for x in given if x != (7, b)], key=str)
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_odd_documents(spark, folder, name, stage):
+    """Nulls in every column, empty and very long texts, repeated rows; and no rows at all."""
+    long = " ".join(f"w{k}" for k in range(20_000))
+    given = [(1, None, None, None, None), (2, "", "en", "s", 0), (3, long, "en", "s", len(long)), (None, "few words", None, "s", 9), (4, "x", "en", "s", 1), (4, "x", "en", "s", 1)]
+    docs = spark.createDataFrame(given, COLUMNS)
+    found = stage(spark, docs, folder)
+    ids = {r["doc_id"] for r in found.collect()}
+    assert {1, 2, 3, 4} <= ids
+    if name != "packing":
+        assert found.columns == docs.columns and found.count() == len(given)
+    assert stage(spark, docs.limit(0), folder).count() == 0
