@@ -22,7 +22,7 @@ from partnerscope.plans.star_model import (
     with_mixed_codes,
     with_mixed_case,
 )
-from partnerscope.session import kept, new_folder, passing_database, passing_folder
+from partnerscope.session import kept, passing_database, passing_folder
 from partnerscope.sources import feeds, jdbc
 from partnerscope.streaming import ingest
 
@@ -654,11 +654,10 @@ def loaded_report(spark, folder):
 @query
 def incremental_ingest(spark, folder):
     """Two feeds of landed files into one table; taking each a second time adds nothing."""
-    place = new_folder(spark, "ingest")
     # Orders, and the same orders as another source has them: with keys of its own.
     schema = table(spark, folder, "orders").schema
     feeds_of = {"first": lambda rows: rows, "second": lambda rows: rows.withColumn("o_orderkey", -F.col("o_orderkey"))}
-    with passing_database(spark, "ingest") as database:
+    with passing_folder(spark, "ingest") as place, passing_database(spark, "ingest") as database:
         ingest.create_target(spark, database, "orders", [("o_orderkey", "bigint"), ("o_orderstatus", "string")])
         added = 0
         for _ in range(2):
