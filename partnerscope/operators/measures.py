@@ -168,11 +168,11 @@ def in_departments(dept: str, params: ReportParams) -> Column:
     return F.expr(f"{dept} IN ({text_list(d.name for d in params.departments)})")
 
 
-def listed_partners(partners: DataFrame, params: ReportParams) -> DataFrame:
+def listed_partners(partners: DataFrame, params: ReportParams, keep: Sequence[str] = ()) -> DataFrame:
     """Partners of the reported departments with their flags.
 
-    ``pos, code, verified, is_current, is_prior``; the flags of a partner without
-    code are false, as such a partner is never counted nor joined.
+    ``pos, code, verified, is_current, is_prior`` and the columns to keep; the flags of a
+    partner without code are false, as such a partner is never counted nor joined.
     """
     verified = f"coalesce(status = {text_literal(params.verified)} AND code IS NOT NULL, false)"
     registered = f"{verified} AND coalesce(contains(reg_text, '%d'), false) AS %s"
@@ -185,12 +185,13 @@ def listed_partners(partners: DataFrame, params: ReportParams) -> DataFrame:
             F.expr(f"{verified} AS verified"),
             F.expr(registered % (params.current_year, "is_current")),
             F.expr(registered % (params.prior_year, "is_prior")),
+            *keep,
         )
     )
 
 
-def year_orders(orders: DataFrame, params: ReportParams) -> DataFrame:
-    """Orders of the current year that have a partner code: ``code, ord_id, ok``."""
+def year_orders(orders: DataFrame, params: ReportParams, keep: Sequence[str] = ()) -> DataFrame:
+    """Orders of the current year that have a partner code: ``code, ord_id, ok``, and the columns to keep."""
     if params.typed_dates:
         in_year = year_of_date("order_date", params.current_year)
     else:
@@ -199,7 +200,7 @@ def year_orders(orders: DataFrame, params: ReportParams) -> DataFrame:
         apply_text_rules(orders, params)
         .where(in_year)
         .where("code IS NOT NULL")
-        .selectExpr("code", "ord_id", f"coalesce(status = {text_literal(params.success)}, false) AS ok")
+        .selectExpr("code", "ord_id", f"coalesce(status = {text_literal(params.success)}, false) AS ok", *keep)
     )
 
 

@@ -122,8 +122,13 @@ def _count_bits(keys: DataFrame, params: ReportParams, key: str, counted: dict[s
     few rows are left, and each may stand for every position it has a bit for.
     """
     kinds = keys.groupBy(*[c for c in keys.columns if c != key]).agg(F.expr("count(1) AS n"))
+    return _placed(kinds, params, {name: ("n", bits) for name, bits in counted.items()})
+
+
+def _placed(kinds: DataFrame, params: ReportParams, counted: dict[str, tuple[str, str]]) -> DataFrame:
+    """Each number once for every position that its bits have."""
     placed = kinds.selectExpr("*", f"explode(sequence(0, {_total_pos(params)})) AS pos")
-    return placed.selectExpr("pos", *[f"n * getbit({bits}, pos) AS {name}" for name, bits in counted.items()])
+    return placed.selectExpr("pos", *[f"{n} * getbit({bits}, pos) AS {name}" for name, (n, bits) in counted.items()])
 
 
 def partner_bit_counts(

@@ -251,6 +251,8 @@ def oracle() -> dict[str, str]:
         "partner_report_typed": published,
         "loaded_report": published,
         "report_incremental": published,
+        "partner_report_pruned": published,
+        "bucketed_report": f"WITH {EXTENDED}, {ORDERS}, {LITERAL} SELECT {REPORT_LIST} FROM report",
         "partner_report_text_codes": published,
         "partner_report_collated": published,
         "partner_report_blank_codes": f"WITH {_blank(PARTNERS)}, {_blank(ORDERS)}, {LITERAL} SELECT {REPORT_LIST} FROM report",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partnerscope.functions import naming, rates, values
-from partnerscope.operators import cells, digest, incremental, measures, profile, report, tables
+from partnerscope.operators import cells, digest, incremental, layout, measures, profile, report, tables
 from partnerscope.params import ORDER_TABLE, PARTNER_TABLE
 from partnerscope.plans import jobs
 from partnerscope.plans.star_model import (
@@ -118,6 +118,25 @@ def report_incremental(spark, folder):
         return kept(_published(state.report()))
 
 
+@query
+def bucketed_report(spark, folder):
+    """The report of tables bucketed by code, with codes in two departments: no order leaves its bucket."""
+    with passing_database(spark, "bucketed") as database:
+        laid_out = layout.ReportTables(spark, database, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        laid_out.load(star_partners_extended(spark, folder), star_orders(spark, folder))
+        return kept(_published(laid_out.report(star_params())))
+
+
+@query
+def partner_report_pruned(spark, folder):
+    """The report of orders that lie in folders by year: other years' folders aren't opened."""
+    params = star_params()
+    with passing_database(spark, "pruned") as database:
+        layout.save_by_year(star_orders(spark, folder), f"`{database}`.orders")
+        orders = layout.of_year(spark.table(f"`{database}`.orders"), params)
+        return kept(_published(report.partner_report(star_partners(spark, folder), orders, params)))
+
+
 @query
 def partner_report_numbered(spark, folder):
     return report.in_number_order(_numbered(spark, folder)).select(*report.NUMBERED_COLUMNS)
