@@ -7,8 +7,8 @@
   neighbours; the most probable sequence is decoded. Texts keep their place if enough of their
   words stand in lines of content.
 
-The field is trained on a bounded sample of labelled documents, as many good as bad ones: lines
-of good documents are content, those of bad ones boilerplate.
+The field is trained on a bounded sample of labelled documents, as many good as bad ones, of which
+it sees every line. Labels of lines are not known: see ``train_lines``.
 """
 
 from __future__ import annotations
@@ -30,9 +30,12 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 #: Share of a text's words that stand in lines of content.
 CONTENT_SHARE = 0.5
-#: Bounds of the training sample: documents of each label, and lines looked at in each.
+#: Bound of the training sample: documents of each label; their whole texts are used.
 SAMPLE_ROWS = 1_500
-SAMPLE_LINES = 64
+#: Lines of a chain in training, and how many lines a document weighs at most.
+CHAIN_LINES = 64
+#: Steps of the two fits.
+FIRST_STEPS, SECOND_STEPS = 120, 40
 #: Characters that are worked on together, and code points with a class of their own.
 BATCH_CHARS = 1 << 20
 _KNOWN = 0x250
@@ -212,42 +215,81 @@ def viterbi(content: np.ndarray, pairs: np.ndarray, line_doc: np.ndarray, docs:
     return labels
 
 
-def train(texts: list[str], quality: list[int], steps: int = 120) -> LineField:
-    """Maximum likelihood with a quadratic penalty, by forward-backward and Adam's steps."""
-    texts = ["\n".join(t.split("\n")[:SAMPLE_LINES]) for t in texts]
+def train(texts: list[str], quality: list[int]) -> LineField:
+    """The field learned from whole texts and their documents' quality."""
     batch = Batch(texts)
-    size, width = np.bincount(batch.line_doc, minlength=len(texts)), len(FEATURES)
-    if not len(batch.line_doc):
+    return train_lines(batch.features, batch.line_words > 0, batch.line_doc, np.array(quality))
+
+
+def train_lines(features: np.ndarray, worded: np.ndarray, line_doc: np.ndarray, quality: np.ndarray) -> LineField:
+    """Labels of lines are hidden, only their document's is known: learned in two rounds of hard EM.
+
+    First every line has its document's label, and features are fitted without regard to
+    neighbours, which never differ yet. Each line's likelier label under that is then taken for
+    its own, and the whole field is fitted to these labels. So a menu in a good document becomes
+    boilerplate, and prose in a bad one content. Further rounds would only sharpen what neighbours
+    say, until the lines of a document never differ.
+    """
+    width, docs = len(FEATURES), len(quality)
+    if not len(line_doc):
         return LineField(np.zeros(width), np.zeros((2, 2)))
-    target = (np.array(quality)[batch.line_doc] == 1) & (batch.line_words > 0)
-
-    longest, docs = int(size.max()), len(texts)
-    place = np.arange(len(batch.line_doc)) - (np.cumsum(size) - size)[batch.line_doc]
-    x = np.zeros((docs, longest, width))
-    y = np.zeros((docs, longest), dtype=np.int64)
-    held = np.zeros((docs, longest), dtype=bool)
-    x[batch.line_doc, place] = batch.features
-    y[batch.line_doc, place] = target
-    held[batch.line_doc, place] = True
-    both = held[:, 1:] & held[:, :-1]
-    seen = np.stack([[((y[:, :-1] == a) & (y[:, 1:] == b) & both).sum() for b in (0, 1)] for a in (0, 1)])
-    seen_features = np.einsum("dt,dtf->f", (y * held).astype(float), x)
-
-    theta = np.zeros(width + 4)
-    speed, square = np.zeros_like(theta), np.zeros_like(theta)
-    for step in range(1, steps + 1):
-        expected, expected_pairs = _expected(x @ theta[:width], theta[width:].reshape(2, 2), held)
-        slope = np.concatenate(
-            [np.einsum("dt,dtf->f", expected, x) - seen_features, (expected_pairs - seen).ravel()]
-        ) / len(batch.line_doc) + 1e-4 * theta
-        speed = 0.9 * speed + 0.1 * slope
-        square = 0.99 * square + 0.01 * slope**2
-        theta -= 0.15 * (speed / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
-    return LineField(theta[:width], theta[width:].reshape(2, 2))
-
-
-def _expected(content: np.ndarray, pairs: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probability of content for each line, and the expected number of each pair of labels."""
+    chains = Chains(features, line_doc, docs)
+    alone = chains.fitted((quality == 1)[line_doc] & worded, np.zeros(width + 4), FIRST_STEPS, neighbours=False)
+    likelier = (features @ alone.weights >= 0) & worded
+    return chains.fitted(likelier, np.concatenate([alone.weights, np.zeros(4)]), SECOND_STEPS, neighbours=True)
+
+
+class Chains:
+    """Lines of whole documents as chains of at most CHAIN_LINES, side by side.
+
+    A longer document is several chains; no line is left out, and the features are those of the
+    whole text. It weighs as much as CHAIN_LINES lines, so that a few long ones don't decide.
+    """
+
+    def __init__(self, features: np.ndarray, line_doc: np.ndarray, docs: int):
+        size = np.bincount(line_doc, minlength=docs)
+        place = np.arange(len(line_doc)) - (np.cumsum(size) - size)[line_doc]
+        chains = -(-size // CHAIN_LINES)
+        self.chain = (np.cumsum(chains) - chains)[line_doc] + place // CHAIN_LINES
+        self.place = place % CHAIN_LINES
+        shape = (int(chains.sum()), min(int(size.max()), CHAIN_LINES))
+        self.x = np.zeros((*shape, features.shape[1]))
+        self.x[self.chain, self.place] = features
+        self.held = np.zeros(shape, dtype=bool)
+        self.held[self.chain, self.place] = True
+        self.weight = np.minimum(1.0, CHAIN_LINES / np.maximum(np.repeat(size, chains), 1))
+
+    def fitted(self, target: np.ndarray, theta: np.ndarray, steps: int, neighbours: bool) -> LineField:
+        """Maximum likelihood with a quadratic penalty, by forward-backward and Adam's steps.
+
+        Without neighbours their weights stay as they are, 0, and each line stands alone.
+        """
+        width = self.x.shape[2]
+        y = np.zeros(self.held.shape, dtype=np.int64)
+        y[self.chain, self.place] = target
+        both = (self.held[:, 1:] & self.held[:, :-1]) * self.weight[:, None]
+        seen = np.array([[(both * (y[:, :-1] == a) * (y[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)])
+        lines = (self.held * self.weight[:, None]).sum()
+        flat = self.x.reshape(-1, width)
+        seen_features = (y * self.held * self.weight[:, None]).ravel() @ flat
+        theta = theta.copy()
+        speed, square = np.zeros_like(theta), np.zeros_like(theta)
+        for step in range(1, steps + 1):
+            content = (flat @ theta[:width]).reshape(self.held.shape)
+            if neighbours:
+                expected, expected_pairs = _expected(content, theta[width:].reshape(2, 2), self.held, self.weight)
+            else:
+                expected, expected_pairs = self.held * self.weight[:, None] / (1.0 + np.exp(-content)), seen
+            slope = np.concatenate([expected.ravel() @ flat - seen_features, (expected_pairs - seen).ravel()]) / lines
+            slope += 1e-4 * theta
+            speed = 0.9 * speed + 0.1 * slope
+            square = 0.99 * square + 0.01 * slope**2
+            theta -= 0.15 * (speed / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
+        return LineField(theta[:width], theta[width:].reshape(2, 2))
+
+
+def _expected(content: np.ndarray, pairs: np.ndarray, held: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probability of content for each line, and the expected number of each pair of labels, weighted by chain."""
     docs, longest = content.shape
     own = np.stack([np.zeros_like(content), content], axis=2)
     ahead = np.zeros((docs, longest, 2))
@@ -266,7 +308,8 @@ def _expected(content: np.ndarray, pairs: np.ndarray, held: np.ndarray) -> tuple
     joint = np.exp(
         ahead[:, :-1, :, None] + pairs + (own[:, 1:] + behind[:, 1:])[:, :, None, :] - total[:, None, None, None]
     )
-    return content_share, (joint * (held[:, 1:] & held[:, :-1])[:, :, None, None]).sum(axis=(0, 1))
+    both = (held[:, 1:] & held[:, :-1]) * weight[:, None]
+    return content_share * weight[:, None], (joint * both[:, :, None, None]).sum(axis=(0, 1))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> LineField:
@@ -282,11 +325,25 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> LineFiel
     ]
     # Two numbers for each of 2 x rows labels at most: small enough to send, so no text is moved.
     chosen = F.broadcast(part[0].unionAll(part[1]))
-    lines = F.array_join(F.slice(F.split("text", "\n", SAMPLE_LINES + 1), 1, SAMPLE_LINES), "\n")
-    sample = docs.join(chosen, F.col("doc_id") == F.col("labelled_id"))
-    known_rows = sample.select("doc_id", lines.alias("text"), "quality").collect()
-    known_rows = sorted(known_rows, key=lambda r: (r["doc_id"], r["text"]))
-    return train([r["text"] for r in known_rows], [r["quality"] for r in known_rows])
+    sample = docs.join(chosen, F.col("doc_id") == F.col("labelled_id")).select("doc_id", "quality", "text")
+    # Features are made in tasks over whole texts; no text comes to the driver.
+    found = sample.mapInArrow(_line_features, "doc_id long, quality int, features binary, worded binary").collect()
+    found = sorted(found, key=lambda r: (r["doc_id"], bytes(r["features"])))
+    if not found:
+        return train([], [])
+    worded = [np.frombuffer(r["worded"], np.uint8) > 0 for r in found]
+    features = np.concatenate([np.frombuffer(r["features"], np.float32) for r in found]).reshape(-1, len(FEATURES))
+    line_doc = np.repeat(np.arange(len(found)), [len(w) for w in worded])
+    return train_lines(features.astype(float), np.concatenate(worded), line_doc, np.array([r["quality"] for r in found]))
+
+
+def _line_features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features of all lines of each text, four bytes a number, and which lines have words."""
+    for batch in batches:
+        texts = (Batch([text.as_py()]) for text in batch.column(2))
+        pairs = [(b.features.astype(np.float32).tobytes(), (b.line_words > 0).astype(np.uint8).tobytes()) for b in texts]
+        arrays = [pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names=["doc_id", "quality", "features", "worded"])
 
 
 QUALITY = (
