@@ -25,10 +25,9 @@ from pyspark.sql import functions as F
 from partnerscope.llm.common import Work, with_package
 from partnerscope.llm.html_extract import read_page, site_of
 
-#: Bounds of the fit: languages, documents of each (about), letters of each document, classes of runs.
-MAX_LANGUAGES = 200
+#: Bounds of the fit: languages, beyond which it is an error; documents of each (about); classes of runs.
+MAX_LANGUAGES = 500
 SAMPLE_ROWS = 1_000
-SAMPLE_CHARS = 4_000
 RUN_CLASSES = 1 << 15
 RUN_LENGTHS = (2, 3, 4)
 #: What a letter run's log likelihood counts, as runs overlap.
@@ -77,15 +76,21 @@ class TextModel:
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> TextModel:
-    """Shares of letter runs in each language, from a sample of the labelled documents."""
+    """Shares of letter runs in each language, from whole texts of a sample of the labelled documents.
+
+    Labels are taken as they are written, apart from case. All are learned; more than
+    ``MAX_LANGUAGES`` are an error, as a model without some of them would answer wrongly.
+    """
     with_package(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.lower(F.col(lang_col).cast("string")).alias("lang"),
-        F.substring(F.col(text_col).cast("string"), 1, SAMPLE_CHARS).alias("text"),
+        F.col(text_col).cast("string").alias("text"),
     ).where("lang IS NOT NULL AND lang <> '' AND text IS NOT NULL")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1)
     known = {r["lang"]: r["n"] for r in sizes.collect()}
+    if len(known) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages in {lang_col}")
     languages = sorted(known)
     if not languages:
         return TextModel([], np.zeros((RUN_CLASSES, 0)))
@@ -96,20 +101,21 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     sample = rows.where(place < F.try_element_at(share, F.col("lang")))
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((len(languages), RUN_CLASSES), dtype=np.int64)
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for lang, text in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-                sums[number[lang]] += np.bincount(run_classes(text.as_py()), minlength=RUN_CLASSES)
-        lang, run = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.int32()), pa.array(run, pa.int32()), pa.array(sums[lang, run])], names=["lang", "run", "n"]
-        )
+                own = sums.setdefault(number[lang], np.zeros(RUN_CLASSES, dtype=np.int64))
+                own += np.bincount(run_classes(text.as_py()), minlength=RUN_CLASSES)
+        for lang, own in sums.items():
+            run = np.flatnonzero(own)
+            arrays = [pa.array(np.full(len(run), lang), pa.int32()), pa.array(run, pa.int32()), pa.array(own[run])]
+            yield pa.RecordBatch.from_arrays(arrays, names=["lang", "run", "n"])
 
     sums = np.full((RUN_CLASSES, len(languages)), ADDED)
     found = sample.mapInArrow(counted, "lang int, run int, n long").groupBy("lang", "run").agg(F.sum("n").alias("n"))
     for row in found.toLocalIterator():  # languages x classes at most
         sums[row["run"], row["lang"]] += row["n"]
-    return TextModel(languages, np.log(sums / sums.sum(axis=0)))
+    return TextModel(languages, np.log(sums / sums.sum(axis=0)).astype(np.float32))
 
 
 def declared_language(html: str) -> str | None:
@@ -153,8 +159,8 @@ def _evidence_batch(batch: pa.RecordBatch, names: list[str], rows: list[tuple],
 def page_evidence(
     pages: DataFrame, model: TextModel, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
-    """What each page says of itself: log likelihoods of its text, the languages it alone gives, its
-    declaration, and the parts of its address."""
+    """What each page says of itself: log likelihoods of all its text outside of menus, adverts and
+    the like, the languages it alone gives, its declaration, and the parts of its address."""
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,7 +168,7 @@ def page_evidence(
             for url, cell in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
                 html = cell.as_py() or ""
                 blocks, _ = read_page("", html)
-                rows.append((*address_parts(site_of(url)), declared_language(html), " ".join(t for _, t, beside in blocks if not beside)))
+                rows.append((*address_parts(site_of(url)), declared_language(html), " ".join(t for _, t, _ in blocks)))
             yield _evidence_batch(batch, ["page_id", "url"], rows, model)
 
     return pages.select(
