@@ -405,6 +405,11 @@ def oracle() -> dict[str, str]:
         "incremental_ingest": """SELECT o_orderstatus, 2 * count(*) AS n, 2 * count(*) AS ids,
             -max(o_orderkey) AS lowest, max(o_orderkey) AS highest,
             (SELECT 2 * count(*) FROM orders) AS added FROM orders GROUP BY o_orderstatus""",
+        "ingest_distinct": """WITH landed AS (
+              SELECT DISTINCT o_orderkey, o_orderstatus, o_totalprice FROM orders)
+            SELECT o_orderstatus, 2 * count(*) AS n, 2 * count(*) AS ids, -1 - max(o_orderkey) AS lowest, max(o_orderkey) AS highest,
+                   (SELECT count(*) FROM landed) AS added_1, CAST(0 AS BIGINT) AS added_2, (SELECT count(*) FROM landed) AS added_3
+            FROM landed GROUP BY o_orderstatus""",
         "drop_if_present": "SELECT r_regionkey FROM region",
         "short_backlog": """SELECT l_returnflag AS "PBH", l_orderkey AS thucuoc, l_partkey AS cskh_ob, l_suppkey AS cskh_ob_nc,
             CAST(l_linenumber AS BIGINT) AS cskh_sla_lonhon_72, l_quantity AS baohong, l_extendedprice AS tuvan,

@@ -697,3 +697,27 @@ def incremental_ingest(spark, folder):
                 F.lit(added).cast("bigint").alias("added"),
             )
         )
+
+
+@query
+def ingest_distinct(spark, folder):
+    """Orders that land three times under other names, the last time with as many new ones: each is added once."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    late = orders.union(orders.withColumn("o_orderkey", -1 - F.col("o_orderkey")))
+    with passing_folder(spark, "distinct") as place, passing_database(spark, "distinct") as database:
+        ingest.create_target(spark, database, "orders", [("o_orderkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double")])
+        added = []
+        for landing in (orders, orders, late):
+            landing.write.mode("append").parquet(f"{place}/landing")
+            stream = ingest.landed_rows(spark, f"{place}/landing", orders.schema)
+            added.append(ingest.ingest_distinct(stream, lambda rows: rows, database, "orders", f"{place}/checkpoint"))
+        rows = ingest.ingested(spark, database, "orders").groupBy("o_orderstatus")
+        return kept(
+            rows.agg(
+                F.count(F.lit(1)).alias("n"),
+                F.count_distinct("id").alias("ids"),
+                F.min("o_orderkey").alias("lowest"),
+                F.max("o_orderkey").alias("highest"),
+                *[F.lit(n).cast("bigint").alias(f"added_{i}") for i, n in enumerate(added, start=1)],
+            )
+        )
