@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partnerscope.functions.values import is_missing
+from partnerscope.functions.values import is_fractional, is_missing
 
 
 def describe_table(spark: SparkSession, table: str) -> DataFrame:
@@ -96,3 +98,70 @@ def table_profile(df: DataFrame, table: str) -> DataFrame:
         "null_count",
         "longest_text",
     )
+
+
+# Types whose bounds a footer has as numbers or dates.
+BOUNDED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType)
+NESTED = (T.ArrayType, T.MapType, T.StructType)
+# The newer parquet reader, which can answer an aggregate from the statistics in the footers.
+FROM_FOOTERS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+FOOTER_SCHEMA = (
+    "table_name string, position int, column_name string, data_type string, total_rows bigint, null_count bigint, "
+    "lowest double, highest double, first_date date, last_date date"
+)
+
+
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session of its own over the same cluster, in which aggregates are answered from footers."""
+    own = spark.newSession()
+    for key, value in FROM_FOOTERS.items():
+        own.conf.set(key, value)
+    return own
+
+
+def metadata_row(files: DataFrame) -> DataFrame:
+    """Rows, values of each column, and bounds of number and date columns, as one row.
+
+    All are figures that a footer has, so that of files read in a ``footer_session`` no column
+    is scanned. NaN is no bound: a footer has none for it, and neither has a scan.
+    """
+    pushed = files.sparkSession.conf.get("spark.sql.parquet.aggregatePushdown") == "true"
+    figures = [F.count(F.lit(1)).alias("total_rows")]
+    for i, field in enumerate(files.schema.fields):
+        column = F.col(f"`{field.name}`")
+        if not isinstance(field.dataType, NESTED):
+            figures.append(F.count(column).alias(f"values_{i}"))
+        if isinstance(field.dataType, BOUNDED):
+            scanned = is_fractional(field.dataType) and not pushed
+            bound = F.when(~F.isnan(column), column) if scanned else column
+            figures += [F.min(bound).alias(f"lowest_{i}"), F.max(bound).alias(f"highest_{i}")]
+    return files.agg(*figures)
+
+
+def metadata_profile(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Types, rows, missing values and bounds of every column of parquet files, from their footers.
+
+    Numbers have ``lowest`` and ``highest``, dates ``first_date`` and ``last_date``. Texts,
+    timestamps and booleans have no bounds here, nested columns no count of missing values either:
+    footers cut long texts and don't count what is nested. Missing is NULL; NaN counts as a
+    value and is no bound. Files whose footers lack a figure are read instead. The driver sees
+    one row.
+    """
+    files = footer_session(spark).read.parquet(path)
+    try:
+        found = metadata_row(files).first().asDict()
+    except (PySparkException, Py4JJavaError) as error:
+        if "aggregatePushdown" not in str(error):
+            raise
+        found = metadata_row(spark.read.parquet(path)).first().asDict()
+    total = found["total_rows"] or 0  # footers without row groups have no figure at all
+    rows = []
+    for i, field in enumerate(files.schema.fields):
+        values = None if isinstance(field.dataType, NESTED) else found[f"values_{i}"] or 0
+        bounds = (found.get(f"lowest_{i}"), found.get(f"highest_{i}"))
+        dates = isinstance(field.dataType, T.DateType)
+        numbers = (None, None) if dates else tuple(None if b is None else float(b) for b in bounds)
+        missing = None if values is None else total - values
+        days = bounds if dates else (None, None)
+        rows.append((table, i + 1, field.name, field.dataType.simpleString(), total, missing, *numbers, *days))
+    return spark.createDataFrame(rows, FOOTER_SCHEMA)

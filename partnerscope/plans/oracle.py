@@ -227,6 +227,8 @@ PROFILED = {
 }
 
 
+NUMBERS = ("int", "bigint", "double")
+
 # Types of loaded columns where they differ from the source's.
 LOADED = {"string": "varchar(255)", "int": "bigint"}
 
@@ -381,6 +383,13 @@ def oracle() -> dict[str, str]:
             CROSS JOIN (VALUES ('o_custkey'), ('o_orderstatus'), ('o_totalprice'), ('o_orderdate'), ('o_orderpriority')) AS c(column_name)
             GROUP BY column_name HAVING count(*) > 0""",
         "table_profile": " UNION ALL ".join(_profile_part(t, c) for t, c in PROFILED.items()),
+        "metadata_profile": " UNION ALL ".join(
+            f"""SELECT '{t}' AS table_name, {i} AS position, '{c}' AS column_name, '{k}' AS data_type, count(*) AS total_rows,
+                count(*) - count({c}) AS null_count, CAST({f"min({c})" if k in NUMBERS else "NULL"} AS DOUBLE) AS lowest,
+                CAST({f"max({c})" if k in NUMBERS else "NULL"} AS DOUBLE) AS highest FROM {t}"""
+            for t, columns in PROFILED.items()
+            for i, (c, k) in enumerate(columns, start=1)
+        ),
         "typed_load_append": """SELECT c_mktsegment, 2 * count(*) AS n, count(DISTINCT c_custkey) AS customers,
             min(c_acctbal) AS lowest, max(c_acctbal) AS highest FROM customer GROUP BY c_mktsegment""",
         "catalog_columns": " UNION ALL ".join(
@@ -405,6 +414,15 @@ def oracle() -> dict[str, str]:
         "incremental_ingest": """SELECT o_orderstatus, 2 * count(*) AS n, 2 * count(*) AS ids,
             -max(o_orderkey) AS lowest, max(o_orderkey) AS highest,
             (SELECT 2 * count(*) FROM orders) AS added FROM orders GROUP BY o_orderstatus""",
+        "merged_feeds": """WITH shaped AS (SELECT *, o_orderkey % 3 AS part, CAST(o_orderkey AS VARCHAR) AS name FROM orders)
+            SELECT CASE WHEN part = 2 THEN 'K' || name ELSE name END AS o_orderkey,
+                   CASE part WHEN 0 THEN o_totalprice WHEN 1 THEN floor(o_totalprice) END AS o_totalprice,
+                   CASE part WHEN 0 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d 00:00:00')
+                             WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS o_orderdate,
+                   CASE part WHEN 0 THEN CAST(o_custkey AS VARCHAR) WHEN 2 THEN CAST(o_totalprice AS VARCHAR) END AS o_custkey,
+                   CASE WHEN part = 1 THEN o_orderpriority END AS o_orderpriority,
+                   CASE WHEN part = 2 THEN o_orderstatus END AS o_orderstatus
+            FROM shaped""",
         "ingest_distinct": """WITH landed AS (
               SELECT DISTINCT o_orderkey, o_orderstatus, o_totalprice FROM orders)
             SELECT o_orderstatus, 2 * count(*) AS n, 2 * count(*) AS ids, -1 - max(o_orderkey) AS lowest, max(o_orderkey) AS highest,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -489,6 +490,23 @@ def concat_by_name(spark, folder):
     return customers.unionByName(suppliers, allowMissingColumns=True)
 
 
+@query
+def merged_feeds(spark, folder):
+    """Three shapes of the orders table: other types, another order of columns, columns missing."""
+    orders = table(spark, folder, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+    key, part = F.col("o_orderkey"), F.pmod(F.col("o_orderkey"), F.lit(3))
+    shapes = [
+        orders.where(part == 0).select(key.cast("int").alias("o_orderkey"), "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"), "o_custkey"),
+        orders.where(part == 1).select("o_orderpriority", F.floor("o_totalprice").alias("O_TOTALPRICE"), "o_orderkey", "o_orderdate"),
+        orders.where(part == 2).select("o_orderstatus", F.concat(F.lit("K"), key.cast("string")).alias("o_orderkey"), F.col("o_totalprice").cast("string").alias("o_custkey")),
+    ]
+    with passing_folder(spark, "shapes") as place:
+        paths = [f"{place}/{number}" for number in range(len(shapes))]
+        for path, shape in zip(paths, shapes, strict=True):
+            shape.write.parquet(path)
+        return kept(feeds.read_merged(spark, paths).withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")))
+
+
 @query
 def head10(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
@@ -529,6 +547,14 @@ def table_profile(spark, folder):
     return whole
 
 
+@query
+def metadata_profile(spark, folder):
+    """Rows, missing values and bounds of the columns of several tables, from the files' footers."""
+    names = ("customer", "orders", "lineitem", "documents")
+    profiles = [profile.metadata_profile(spark, f"{folder}/{n}.parquet", n) for n in names]
+    return reduce(DataFrame.unionAll, profiles).drop("first_date", "last_date")
+
+
 # ------------------------------------------------------- loading and whole jobs
 
 

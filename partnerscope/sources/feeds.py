@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -167,6 +168,15 @@ def frame_layout(df: DataFrame, rule: str = "ascii", tidy: bool = False, wide: b
     return layout
 
 
+def value_text(value: Column, data_type: T.DataType) -> Column:
+    """A typed value as the text it is loaded as."""
+    if is_fractional(data_type):
+        return double_text(value.cast("double"))
+    if isinstance(data_type, T.BooleanType):
+        return value.cast("int").cast("string")
+    return value.cast("string")
+
+
 def frame_to_load(df: DataFrame, layout: list[LoadColumn], keep: Sequence[str] = ()) -> DataFrame:
     """A typed frame in its load form: blanks as empty texts, ``nan`` texts as NULL."""
     out = [F.col(c) for c in keep]
@@ -178,12 +188,104 @@ def frame_to_load(df: DataFrame, layout: list[LoadColumn], keep: Sequence[str] =
             continue
         if column.text == "tidy":
             text = number_tidy(value)
-        elif column.text == "float" or is_fractional(data_type):
+        elif column.text == "float":
             text = double_text(value.cast("double"))
-        elif isinstance(data_type, T.BooleanType):
-            text = value.cast("int").cast("string")
         else:
-            text = value.cast("string")
+            text = value_text(value, data_type)
         filled = F.when(is_missing(value, data_type), F.lit("")).otherwise(text)
         out.append(null_for_load(filled).alias(column.name))
     return df.select(*out)
+
+
+# ------------------------------------------------- feeds with differing headers
+
+# Digits of the whole number types.
+DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+WHOLE = tuple(DIGITS)
+
+
+def _as_decimal(data_type: T.DataType) -> T.DecimalType:
+    return data_type if isinstance(data_type, T.DecimalType) else T.DecimalType(DIGITS[type(data_type)], 0)
+
+
+def common_type(first: T.DataType, second: T.DataType) -> T.DataType:
+    """The narrowest type for the values of both: whole numbers, decimals, doubles, texts, in this order.
+
+    Dates and timestamps meet in the timestamp. What else differs meets in text; nested types
+    that differ have no type in common, which is an error.
+    """
+    if first == second or isinstance(second, T.NullType):
+        return first
+    if isinstance(first, T.NullType):
+        return second
+    if isinstance(first, WHOLE) and isinstance(second, WHOLE):
+        return max(first, second, key=lambda t: DIGITS[type(t)])
+    exact = (*WHOLE, T.DecimalType)
+    if isinstance(first, exact) and isinstance(second, exact):
+        a, b = _as_decimal(first), _as_decimal(second)
+        scale = max(a.scale, b.scale)
+        digits = max(a.precision - a.scale, b.precision - b.scale) + scale
+        return T.DecimalType(digits, scale) if digits <= 38 else T.DoubleType()
+    if isinstance(first, T.NumericType) and isinstance(second, T.NumericType):
+        return T.DoubleType()
+    kinds = {type(first), type(second)}
+    for stamp in (T.TimestampType, T.TimestampNTZType):
+        if kinds == {T.DateType, stamp}:
+            return stamp()
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    if isinstance(first, nested) or isinstance(second, nested):
+        raise ValueError(f"{first.simpleString()} and {second.simpleString()} have no type in common")
+    return T.StringType()
+
+
+def merged_schema(schemas: Sequence[T.StructType]) -> T.StructType:
+    """Every column of the schemas, in the order they come, with a type for all its values.
+
+    Names that differ in case only are one column, under the first spelling.
+    """
+    found: dict[str, T.StructField] = {}
+    for schema in schemas:
+        for field in schema.fields:
+            known = found.get(field.name.lower())
+            kind = common_type(known.dataType, field.dataType) if known else field.dataType
+            found[field.name.lower()] = T.StructField(known.name if known else field.name, kind)
+    return T.StructType(list(found.values()))
+
+
+def merged_frames(frames: Sequence[DataFrame]) -> DataFrame:
+    """All rows of frames with differing columns; a column that a frame lacks is NULL in its rows.
+
+    Rows are neither moved nor compared. A frame without rows adds its columns; a name that one
+    frame has twice is an error.
+    """
+    if not frames:
+        raise ValueError("there are no frames to merge")
+    for frame in frames:
+        names = [c.lower() for c in frame.columns]
+        twice = sorted({n for n in names if names.count(n) > 1})
+        if twice:
+            raise ValueError(f"a frame has several columns {', '.join(twice)}")
+    schema = merged_schema([f.schema for f in frames])
+
+    def shaped(frame: DataFrame) -> DataFrame:
+        own = {field.name.lower(): field for field in frame.schema.fields}
+        out = []
+        for field in schema.fields:
+            found = own.get(field.name.lower())
+            value = F.lit(None) if found is None else F.col(f"`{found.name}`")
+            if found is not None and isinstance(field.dataType, T.StringType):
+                value = value_text(value, found.dataType)
+            out.append(value.cast(field.dataType).alias(field.name))
+        return frame.select(*out)
+
+    return reduce(DataFrame.unionAll, [shaped(f) for f in frames])
+
+
+def read_merged(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Parquet feeds, each of one shape, as one frame; their shapes come from a file's footer each."""
+    return merged_frames([spark.read.parquet(p) for p in paths])
+
+
+def read_merged_csv(spark: SparkSession, paths: Sequence[str], rule: str = "ascii") -> DataFrame:
+    """Text exports with a header each, which may differ from path to path; blanks are empty texts."""
+    return merged_frames([read_csv_feed(spark, p, rule) for p in paths]).fillna("")
