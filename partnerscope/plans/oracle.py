@@ -414,6 +414,7 @@ def oracle() -> dict[str, str]:
         "incremental_ingest": """SELECT o_orderstatus, 2 * count(*) AS n, 2 * count(*) AS ids,
             -max(o_orderkey) AS lowest, max(o_orderkey) AS highest,
             (SELECT 2 * count(*) FROM orders) AS added FROM orders GROUP BY o_orderstatus""",
+        "slice_plan": "SELECT CAST(16 AS BIGINT) AS slices, count(*) AS n, count(*) AS sliced, true AS even FROM lineitem",
         "merged_feeds": """WITH shaped AS (SELECT *, o_orderkey % 3 AS part, CAST(o_orderkey AS VARCHAR) AS name FROM orders)
             SELECT CASE WHEN part = 2 THEN 'K' || name ELSE name END AS o_orderkey,
                    CASE part WHEN 0 THEN o_totalprice WHEN 1 THEN floor(o_totalprice) END AS o_totalprice,

@@ -507,6 +507,22 @@ def merged_feeds(spark, folder):
         return kept(feeds.read_merged(spark, paths).withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")))
 
 
+@query
+def slice_plan(spark, folder):
+    """Lines in 16 slices by a key that a third of them share: slices of one size, each line in one."""
+    hot = F.when(F.col("l_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("l_partkey"))
+    lines = table(spark, folder, "lineitem").select(hot.cast("bigint").alias("part"), "l_orderkey")
+    conditions = jdbc.slice_conditions(jdbc.slice_cuts(lines, "part", "l_orderkey", 16), "part", "l_orderkey")
+    sizes = lines.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.expr(c)).alias(f"s{i}") for i, c in enumerate(conditions)])
+    every = F.array(*[f"s{i}" for i in range(len(conditions))])
+    return sizes.select(
+        F.size(every).cast("bigint").alias("slices"),
+        "n",
+        F.aggregate(every, F.lit(0).cast("bigint"), lambda a, b: a + b).alias("sliced"),
+        (F.array_max(every) <= F.array_min(every) * 1.1).alias("even"),
+    )
+
+
 @query
 def head10(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
